@@ -23,7 +23,7 @@ AMOUNT = "decimal(20,2)"
 def _ts(as_of) -> Column:
     if as_of is None:
         return F.current_timestamp()
-    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
+    return as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp_ntz")
 
 
 def vehicle_money(fact_purchase: DataFrame, fact_repair: DataFrame, fact_sale: DataFrame,

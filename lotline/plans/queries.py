@@ -473,7 +473,7 @@ def q_dedup(spark, sf):
     conv = DriverSilver(spark, sf).raw("conversations")
     a = conv.withColumn("ingested_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     b = conv.withColumn("ingested_at", F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")) \
-        .withColumn("text", F.upper("text"))
+        .withColumn("text", F.concat("text", F.lit(" (edited)")))
     return dml.dedup_latest(a.unionByName(b), ["conv_id", "turn"], "ingested_at")
 
 
