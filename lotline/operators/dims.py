@@ -49,7 +49,7 @@ def dim_date_covering(df: DataFrame, *date_cols: str) -> DataFrame:
 
 
 def build_dim(df: DataFrame, cols: Sequence[str | Column], key_name: str, natural_key: str,
-              small: bool = False) -> DataFrame:
+              small: bool | None = None) -> DataFrame:
     """Projection plus a dense surrogate key in natural-key order (D-3).
 
     The output has the key first, then ``cols``.
@@ -59,7 +59,7 @@ def build_dim(df: DataFrame, cols: Sequence[str | Column], key_name: str, natura
     return keyed.select(key_name, *[c for c in projected.columns])
 
 
-def dim_vehicle(vehicle: DataFrame, small: bool = False) -> DataFrame:
+def dim_vehicle(vehicle: DataFrame, small: bool | None = None) -> DataFrame:
     """Current, non-deleted vehicles with SCD2 columns (D-2).
 
     effective_from = created_at, effective_to = null, is_current = true;
@@ -77,7 +77,7 @@ def dim_vehicle(vehicle: DataFrame, small: bool = False) -> DataFrame:
 
 
 def dim_staff(staff: DataFrame, staff_role: DataFrame, as_of: Column | str | None = None,
-              small: bool = False) -> DataFrame:
+              small: bool | None = None) -> DataFrame:
     """Staff with their alphabetically first role (D-4).
 
     Role validity dates are ignored, as in the reference.  ``effective_from``

@@ -65,7 +65,12 @@ def prefix_offsets(counts: DataFrame, order: Sequence[str], n_col: str, out: str
             .drop("_ob", "_boff"))
 
 
-def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool = False,
+# Inputs with at most this many rows are numbered with one window over a
+# single partition (after a row count has proven the bound).
+SMALL_ROWS = 1_000_000
+
+
+def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | None = None,
               group: Sequence[str] | None = None, target_buckets: int = 4096,
               offset: DataFrame | None = None, materialize: bool = True) -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order`` (ascending).
@@ -75,6 +80,10 @@ def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool = Fal
     ranges of the (numeric) first order column.  ``offset``: a one-row
     DataFrame whose single numeric column is added to every key (W-4).
 
+    ``small``: True forces one window over a single partition (only for
+    inputs bounded by construction); None counts the rows first and takes
+    that path only up to ``SMALL_ROWS`` rows, the bucketed path beyond.
+
     ``materialize``: the bucketed path reads its input several times (range,
     counts, rows).  The input is first written with a reliable
     ``checkpoint`` into the shared checkpoint folder, so every pass sees the
@@ -82,6 +91,8 @@ def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool = Fal
     grow multiplicatively.
     """
     order_cols = _cols(order)
+    if small is None:
+        small = df.count() <= SMALL_ROWS
     if small:
         out = df.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) + (start - 1)).cast("long"))
     else:

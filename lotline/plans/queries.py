@@ -49,6 +49,33 @@ def money_out(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+class LazyDims(dict):
+    """Dimension lookups built on first use only."""
+
+    def __init__(self, s: DriverSilver):
+        super().__init__()
+        self._build = {
+            "auction_house": lambda: D.build_dim(s.auction_house, ["auction_house_id", "name", "country"],
+                                                 "auction_house_key", "auction_house_id"),
+            "staff": lambda: D.dim_staff(s.staff, s.staff_role, as_of=RUN_TS),
+            "branch": lambda: D.build_dim(s.branch, ["branch_id", "name", "is_active"], "branch_key", "branch_id"),
+            "source": lambda: D.build_dim(s.data_source, ["source_id", "source_code"], "source_key", "source_id"),
+            "part": lambda: D.build_dim(s.part, ["part_id", "name", "category"], "part_key", "part_id"),
+            "vendor": lambda: D.build_dim(s.vendor, ["vendor_id", "name"], "vendor_key", "vendor_id"),
+            "customer": lambda: D.build_dim(s.customer, ["customer_id", "name", "phone"], "customer_key",
+                                            "customer_id"),
+        }
+
+    def __missing__(self, key):
+        if key not in self._build:
+            raise KeyError(key)
+        self[key] = self._build[key]()
+        return self[key]
+
+    def get(self, key, default=None):
+        return self[key] if key in self._build else default
+
+
 class Gold:
     """Dimensions built once per query and shared by the facts.
 
@@ -63,21 +90,13 @@ class Gold:
 
     @functools.cached_property
     def dim_vehicle(self) -> DataFrame:
-        return cut_lineage(D.dim_vehicle(self.s.vehicle))
+        # small inputs: one window, reused by every fact through exchange
+        # reuse; large inputs: dense_key materializes its own input
+        return D.dim_vehicle(self.s.vehicle)
 
     @functools.cached_property
-    def dims(self) -> dict:
-        s = self.s
-        return {
-            "auction_house": D.build_dim(s.auction_house, ["auction_house_id", "name", "country"],
-                                         "auction_house_key", "auction_house_id"),
-            "staff": D.dim_staff(s.staff, s.staff_role, as_of=RUN_TS),
-            "branch": D.build_dim(s.branch, ["branch_id", "name", "is_active"], "branch_key", "branch_id"),
-            "source": D.build_dim(s.data_source, ["source_id", "source_code"], "source_key", "source_id"),
-            "part": D.build_dim(s.part, ["part_id", "name", "category"], "part_key", "part_id"),
-            "vendor": D.build_dim(s.vendor, ["vendor_id", "name"], "vendor_key", "vendor_id"),
-            "customer": D.build_dim(s.customer, ["customer_id", "name", "phone"], "customer_key", "customer_id"),
-        }
+    def dims(self) -> "LazyDims":
+        return LazyDims(self.s)
 
     def fact_purchase(self, full: bool = True) -> DataFrame:
         return FX.fact_purchase(self.s.purchase, self.dim_vehicle, self.dims if full else None, FX_RATE)

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from lotline.functions.text import form_id
 from lotline.operators import rules as R
+from lotline.session import cut_lineage
+from lotline.sources.lakehouse import spread_small_scan
 
 AS_OF = "2001-09-01"
 FX_RATE = Decimal("1600.00")
@@ -74,11 +76,19 @@ def _fill(template: str, make, model, lot, next_lot):
 class DriverSilver:
     """Lazily built silver-shaped DataFrames over one driver scale dir."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF):
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, materialize_chain: bool = True):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir.rstrip("/"), as_of
+        self.materialize_chain = materialize_chain
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """One scan per table and query (schema read once, plans share it)."""
+        if name not in self._raw:
+            self._raw[name] = spread_small_scan(self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet"))
+        return self._raw[name]
+
+    def _boundary(self, df: DataFrame) -> DataFrame:
+        return cut_lineage(df) if self.materialize_chain else df
 
     # ------------------------------------------------------------ lookups
     @functools.cached_property
@@ -231,7 +241,9 @@ class DriverSilver:
 
     @functools.cached_property
     def intake(self) -> DataFrame:
-        return R.pickup_and_intake(self.port_arrival, self.as_of)
+        # a silver table boundary: written once (reliable checkpoint) so the
+        # later rules do not re-derive, and re-inline, the whole chain
+        return self._boundary(R.pickup_and_intake(self.port_arrival, self.as_of))
 
     @functools.cached_property
     def inspection_r1(self) -> DataFrame:
@@ -240,7 +252,7 @@ class DriverSilver:
 
     @functools.cached_property
     def repair_chain(self) -> DataFrame:
-        return R.repair_status(self.inspection_r1, self.as_of)
+        return self._boundary(R.repair_status(self.inspection_r1, self.as_of))
 
     @functools.cached_property
     def repair_job(self) -> DataFrame:

@@ -19,6 +19,18 @@ from pyspark.sql import functions as F
 POINTER = "_current"
 
 
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than the session's default
+    parallelism (e.g. one file with one row group), so per-row work before
+    the first shuffle does not run on a single core.  Inputs with at least
+    that many splits (every large table) are returned untouched: no extra
+    shuffle at scale."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def table_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
