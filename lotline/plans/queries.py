@@ -49,6 +49,22 @@ def money_out(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
+_GOLD: dict[tuple, "Gold"] = {}
+
+
+def _written(fn):
+    """A table the pipeline writes once per session (reliable checkpoint
+    into the shared checkpoint folder) and every later query reads."""
+    attr = "_w_" + fn.__name__
+
+    @functools.wraps(fn)
+    def wrapper(self):
+        if attr not in self.__dict__:
+            self.__dict__[attr] = cut_lineage(fn(self))
+        return self.__dict__[attr]
+    return wrapper
+
+
 class LazyDims(dict):
     """Dimension lookups built on first use only."""
 
@@ -86,13 +102,19 @@ class Gold:
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.s = DriverSilver(spark, sf_dir)
+        self.s = DriverSilver.shared(spark, sf_dir)
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str) -> "Gold":
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        if key not in _GOLD:
+            _GOLD[key] = cls(spark, sf_dir)
+        return _GOLD[key]
 
     @functools.cached_property
     def dim_vehicle(self) -> DataFrame:
-        # small inputs: one window, reused by every fact through exchange
-        # reuse; large inputs: dense_key materializes its own input
-        return D.dim_vehicle(self.s.vehicle)
+        # written once per session, read by every fact
+        return cut_lineage(D.dim_vehicle(self.s.vehicle))
 
     @functools.cached_property
     def dims(self) -> "LazyDims":
@@ -108,6 +130,7 @@ class Gold:
     def fact_sale(self, full: bool = True) -> DataFrame:
         return FX.fact_sale(self.s.sale, self.dim_vehicle, self.dims if full else None)
 
+    @_written
     def fact_profit(self) -> DataFrame:
         return P.fact_profit(self.dim_vehicle, self.fact_purchase(False), self.fact_repair(False),
                              self.fact_sale(False), as_of=RUN_TS)
@@ -119,9 +142,11 @@ class Gold:
                             repair_job=s.repair_job, cleaning_task=s.cleaning_task, listing=s.listing,
                             sale=s.sale)
 
+    @_written
     def lifecycle(self) -> DataFrame:
         return L.fact_vehicle_lifecycle(self.s.vehicle, self.dim_vehicle, self.milestones())
 
+    @_written
     def vehicle_history(self) -> DataFrame:
         s = self.s
         src = [
@@ -139,15 +164,19 @@ class Gold:
         ]
         return L.stage_history(L.stage_events(src))
 
+    @_written
     def events_history(self) -> DataFrame:
         return L.stage_history(self.s.stage_events, EVENT_STAGES)
 
+    @_written
     def extracted_event(self) -> DataFrame:
         return TR.extracted_event(self.s.raw_message, self.s.vehicle)
 
+    @_written
     def receipt_lines(self) -> DataFrame:
         return TR.score_receipts(self.s.receipt_line, self.s.purchase)
 
+    @_written
     def review_tasks(self) -> DataFrame:
         ev_tasks = TR.review_tasks(self.extracted_event(), "event_id", "EXTRACTED_EVENT", as_of=RUN_TS)
         rc_tasks = TR.review_tasks(self.receipt_lines(), "line_id", "EXTRACTED_RECEIPT_LINE",
@@ -159,69 +188,69 @@ class Gold:
 
 @query("dim_date_orders")
 def q_dim_date(spark, sf):
-    return D.dim_date_covering(DriverSilver(spark, sf).raw("orders"), "o_orderdate")
+    return D.dim_date_covering(DriverSilver.shared(spark, sf).raw("orders"), "o_orderdate")
 
 
 @query("dim_vehicle")
 def q_dim_vehicle(spark, sf):
-    return Gold(spark, sf).dim_vehicle
+    return Gold.shared(spark, sf).dim_vehicle
 
 
 @query("dim_staff")
 def q_dim_staff(spark, sf):
-    return Gold(spark, sf).dims["staff"]
+    return Gold.shared(spark, sf).dims["staff"]
 
 
 @query("dim_part")
 def q_dim_part(spark, sf):
-    return Gold(spark, sf).dims["part"]
+    return Gold.shared(spark, sf).dims["part"]
 
 
 @query("dim_customer")
 def q_dim_customer(spark, sf):
-    return Gold(spark, sf).dims["customer"]
+    return Gold.shared(spark, sf).dims["customer"]
 
 
 @query("dim_vendor")
 def q_dim_vendor(spark, sf):
-    return Gold(spark, sf).dims["vendor"]
+    return Gold.shared(spark, sf).dims["vendor"]
 
 
 @query("dim_data_source")
 def q_dim_source(spark, sf):
-    return Gold(spark, sf).dims["source"]
+    return Gold.shared(spark, sf).dims["source"]
 
 
 # ----------------------------------------------------------------- facts
 
 @query("fact_purchase")
 def q_fact_purchase(spark, sf):
-    return money_out(Gold(spark, sf).fact_purchase())
+    return money_out(Gold.shared(spark, sf).fact_purchase())
 
 
 @query("fact_repair")
 def q_fact_repair(spark, sf):
-    return money_out(Gold(spark, sf).fact_repair())
+    return money_out(Gold.shared(spark, sf).fact_repair())
 
 
 @query("fact_sale")
 def q_fact_sale(spark, sf):
-    return money_out(Gold(spark, sf).fact_sale())
+    return money_out(Gold.shared(spark, sf).fact_sale())
 
 
 @query("fact_profit")
 def q_fact_profit(spark, sf):
-    return money_out(Gold(spark, sf).fact_profit())
+    return money_out(Gold.shared(spark, sf).fact_profit())
 
 
 @query("profit_summary")
 def q_profit_summary(spark, sf):
-    return money_out(P.profit_summary(Gold(spark, sf).fact_profit()))
+    return money_out(P.profit_summary(Gold.shared(spark, sf).fact_profit()))
 
 
 @query("top_profits")
 def q_top_profits(spark, sf):
-    fp = Gold(spark, sf).fact_profit().filter(F.col("profit_ngn").isNotNull())
+    fp = Gold.shared(spark, sf).fact_profit().filter(F.col("profit_ngn").isNotNull())
     return money_out(RP.top_k(fp, "profit_ngn", 10, "vehicle_key",
                               ["vehicle_key", "total_cost_ngn", "total_revenue_ngn", "profit_ngn", "margin_pct"]))
 
@@ -230,7 +259,7 @@ def q_top_profits(spark, sf):
 def q_profit_history(spark, sf):
     """Two runs appended: the first snapshot (repair lines shipped by the
     cut-off only), then the re-run audit of vehicles whose profit changed."""
-    g = Gold(spark, sf)
+    g = Gold.shared(spark, sf)
     dv = g.dim_vehicle
     early_lines = g.s.repair_job_part.filter(F.col("created_at") < F.lit("1998-01-01").cast("timestamp_ntz"))
     first = P.fact_profit(dv, g.fact_purchase(False), FX.fact_repair(early_lines, g.s.repair_job, dv),
@@ -243,14 +272,14 @@ def q_profit_history(spark, sf):
 
 @query("fact_expense")
 def q_fact_expense(spark, sf):
-    s = DriverSilver(spark, sf)
+    s = DriverSilver.shared(spark, sf)
     li = s.raw("lineitem")
     expense = li.select(
         F.col("l_orderkey").alias("vehicle_id"), F.lit("CUSTOMS").alias("category"),
         (F.col("l_extendedprice").cast("decimal(14,2)") * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(14,2)")
         .alias("amount"), F.lit("NGN").alias("currency"), F.to_date("l_shipdate").alias("expense_date"),
         (F.lit(1) + F.col("l_orderkey") % 7).alias("source_id"))
-    dims = {"expense_category": D.dim_expense_category(spark), "source": Gold(spark, sf).dims["source"]}
+    dims = {"expense_category": D.dim_expense_category(spark), "source": Gold.shared(spark, sf).dims["source"]}
     return money_out(FX.fact_expense(expense, D.dim_vehicle(s.vehicle), dims))
 
 
@@ -258,33 +287,33 @@ def q_fact_expense(spark, sf):
 
 @query("fact_vehicle_lifecycle")
 def q_lifecycle(spark, sf):
-    return Gold(spark, sf).lifecycle()
+    return Gold.shared(spark, sf).lifecycle()
 
 
 @query("avg_cycle_days")
 def q_avg_cycle(spark, sf):
-    return RP.avg_cycle_days(Gold(spark, sf).lifecycle())
+    return RP.avg_cycle_days(Gold.shared(spark, sf).lifecycle())
 
 
 @query("top_longest_cycles")
 def q_top_cycles(spark, sf):
-    return RP.top_k(Gold(spark, sf).lifecycle(), "total_days_purchase_to_sale", 10, "vehicle_key",
+    return RP.top_k(Gold.shared(spark, sf).lifecycle(), "total_days_purchase_to_sale", 10, "vehicle_key",
                     ["vehicle_key", "current_stage", "total_days_purchase_to_sale"])
 
 
 @query("stage_history_events")
 def q_hist_events(spark, sf):
-    return Gold(spark, sf).events_history()
+    return Gold.shared(spark, sf).events_history()
 
 
 @query("stage_history_vehicles")
 def q_hist_vehicles(spark, sf):
-    return Gold(spark, sf).vehicle_history()
+    return Gold.shared(spark, sf).vehicle_history()
 
 
 @query("vehicle_stage_sync")
 def q_stage_sync(spark, sf):
-    g = Gold(spark, sf)
+    g = Gold.shared(spark, sf)
     v = L.sync_current_stage(g.s.vehicle, g.vehicle_history(), as_of=RUN_TS)
     return v.select("vehicle_id", "current_stage", "current_status", "updated_at")
 
@@ -293,12 +322,12 @@ def q_stage_sync(spark, sf):
 def q_time_in_stage(spark, sf):
     sla = spark.createDataFrame([(s, d) for s, d in zip(EVENT_STAGES, (3, 2, 2, 5, 1))],
                                 "stage string, sla_days int")
-    return L.time_in_stage(Gold(spark, sf).events_history(), sla, as_of="2024-01-31 00:00:00")
+    return L.time_in_stage(Gold.shared(spark, sf).events_history(), sla, as_of="2024-01-31 00:00:00")
 
 
 @query("listing_sold_sync")
 def q_listing_sync(spark, sf):
-    g = Gold(spark, sf)
+    g = Gold.shared(spark, sf)
     sold = g.s.sale.filter(F.col("status").isin("FINALIZED", "PENDING_PAYMENT")).select("vehicle_id")
     out = dml.update_where_in(g.s.listing, sold, "vehicle_id",
                               {"status": F.lit("SOLD"), "updated_at": F.lit(RUN_TS).cast("timestamp_ntz")})
@@ -309,50 +338,50 @@ def q_listing_sync(spark, sf):
 
 @query("status_shipment")
 def q_st_ship(spark, sf):
-    return RP.breakdown(DriverSilver(spark, sf).shipment, "shipment_status")
+    return RP.breakdown(DriverSilver.shared(spark, sf).shipment, "shipment_status")
 
 
 @query("status_clearance")
 def q_st_clear(spark, sf):
-    return RP.breakdown(DriverSilver(spark, sf).port_arrival, "clearance_status")
+    return RP.breakdown(DriverSilver.shared(spark, sf).port_arrival, "clearance_status")
 
 
 @query("status_inspection")
 def q_st_insp(spark, sf):
-    return RP.breakdown(DriverSilver(spark, sf).inspection, "round_no", "overall_result")
+    return RP.breakdown(DriverSilver.shared(spark, sf).inspection, "round_no", "overall_result")
 
 
 @query("status_repair")
 def q_st_repair(spark, sf):
-    return RP.breakdown(DriverSilver(spark, sf).repair_job, "status")
+    return RP.breakdown(DriverSilver.shared(spark, sf).repair_job, "status")
 
 
 @query("status_sale")
 def q_st_sale(spark, sf):
-    return RP.breakdown(DriverSilver(spark, sf).sale, "status")
+    return RP.breakdown(DriverSilver.shared(spark, sf).sale, "status")
 
 
 @query("status_dim_vehicle")
 def q_st_dim(spark, sf):
-    return RP.breakdown(Gold(spark, sf).dim_vehicle, "stage", "status")
+    return RP.breakdown(Gold.shared(spark, sf).dim_vehicle, "stage", "status")
 
 
 # ----------------------------------------------------------------- rules
 
 @query("shipments")
 def q_shipments(spark, sf):
-    return DriverSilver(spark, sf).shipment.select("vehicle_id", "etd", "eta", "ata", "shipment_status")
+    return DriverSilver.shared(spark, sf).shipment.select("vehicle_id", "etd", "eta", "ata", "shipment_status")
 
 
 @query("port_arrivals")
 def q_port(spark, sf):
-    return DriverSilver(spark, sf).port_arrival.select("vehicle_id", "arrival_date", "clearance_status",
+    return DriverSilver.shared(spark, sf).port_arrival.select("vehicle_id", "arrival_date", "clearance_status",
                                                        "cleared_date", "hold_reason")
 
 
 @query("pickups")
 def q_pickups(spark, sf):
-    return DriverSilver(spark, sf).intake.select("vehicle_id", "pickup_date", "intake_date")
+    return DriverSilver.shared(spark, sf).intake.select("vehicle_id", "pickup_date", "intake_date")
 
 
 def _results(s: DriverSilver) -> DataFrame:
@@ -365,12 +394,12 @@ def _results(s: DriverSilver) -> DataFrame:
 
 @query("inspection_results")
 def q_results(spark, sf):
-    return _results(DriverSilver(spark, sf))
+    return _results(DriverSilver.shared(spark, sf))
 
 
 @query("damage_items")
 def q_damage(spark, sf):
-    s = DriverSilver(spark, sf)
+    s = DriverSilver.shared(spark, sf)
     res = _results(s).filter(F.col("inspection_id") % 10 == 1)  # damage only from round 1
     res = res.withColumns({"damage_id": F.col("inspection_id") * 10 + F.col("item_id"),
                            "part_draw": F.floor(F.col("inspection_id") / 10),
@@ -380,28 +409,28 @@ def q_damage(spark, sf):
 
 @query("repair_jobs")
 def q_repair_jobs(spark, sf):
-    return DriverSilver(spark, sf).repair_job
+    return DriverSilver.shared(spark, sf).repair_job
 
 
 @query("latest_passed")
 def q_latest_passed(spark, sf):
-    return R.latest_passed(DriverSilver(spark, sf).inspection)
+    return R.latest_passed(DriverSilver.shared(spark, sf).inspection)
 
 
 @query("cleaning_tasks")
 def q_cleaning(spark, sf):
-    return DriverSilver(spark, sf).cleaning_task
+    return DriverSilver.shared(spark, sf).cleaning_task
 
 
 @query("repair_cost")
 def q_repair_cost(spark, sf):
-    s = DriverSilver(spark, sf)
+    s = DriverSilver.shared(spark, sf)
     return money_out(R.repair_cost(s.repair_job_part, s.repair_job))
 
 
 @query("listings")
 def q_listings(spark, sf):
-    return money_out(DriverSilver(spark, sf).listing.select("listing_id", "vehicle_id", "price_amount",
+    return money_out(DriverSilver.shared(spark, sf).listing.select("listing_id", "vehicle_id", "price_amount",
                                                             "listed_date"))
 
 
@@ -415,12 +444,12 @@ def _matured(s: DriverSilver) -> DataFrame:
 
 @query("matured_sales")
 def q_matured(spark, sf):
-    return money_out(_matured(DriverSilver(spark, sf)).select("vehicle_id", "sale_date", "agreed_price"))
+    return money_out(_matured(DriverSilver.shared(spark, sf)).select("vehicle_id", "sale_date", "agreed_price"))
 
 
 @query("first_payments")
 def q_payments(spark, sf):
-    return money_out(R.first_payment(_matured(DriverSilver(spark, sf)))
+    return money_out(R.first_payment(_matured(DriverSilver.shared(spark, sf)))
                      .select("vehicle_id", "sale_status", "payment_amount"))
 
 
@@ -428,23 +457,23 @@ def q_payments(spark, sf):
 
 @query("extracted_event")
 def q_extracted(spark, sf):
-    return Gold(spark, sf).extracted_event().drop("reviewed_at")
+    return Gold.shared(spark, sf).extracted_event().drop("reviewed_at")
 
 
 @query("receipt_scores")
 def q_receipts(spark, sf):
-    return money_out(Gold(spark, sf).receipt_lines().select("line_id", "vehicle_id", "amount",
+    return money_out(Gold.shared(spark, sf).receipt_lines().select("line_id", "vehicle_id", "amount",
                                                            "confidence_score", "review_status"))
 
 
 @query("review_tasks")
 def q_review_tasks(spark, sf):
-    return Gold(spark, sf).review_tasks()
+    return Gold.shared(spark, sf).review_tasks()
 
 
 @query("fact_review_queue")
 def q_review_queue(spark, sf):
-    g = Gold(spark, sf)
+    g = Gold.shared(spark, sf)
     ev, rc = g.extracted_event(), g.receipt_lines()
     return TR.fact_review_queue(g.review_tasks(), ev, rc, g.dims["staff"], g.dims["source"])
 
@@ -456,14 +485,14 @@ def q_review_kpis(spark, sf):
 
 @query("status_review")
 def q_st_review(spark, sf):
-    return RP.breakdown(Gold(spark, sf).review_tasks(), "source_type", "status")
+    return RP.breakdown(Gold.shared(spark, sf).review_tasks(), "source_type", "status")
 
 
 # ----------------------------------------------------------------- declared
 
 @query("scd2_user_versions")
 def q_scd2(spark, sf):
-    ev = DriverSilver(spark, sf).raw("events")
+    ev = DriverSilver.shared(spark, sf).raw("events")
     return scd2.scd2_from_changes(ev, "user_id", ["event_type"], "ts", "event_id", surrogate="version_key")
 
 
@@ -471,7 +500,7 @@ def q_scd2(spark, sf):
 def q_scd2_apply(spark, sf):
     """Versions from events before the cut-off, then one batch: each user's
     last event type after the cut-off."""
-    ev = DriverSilver(spark, sf).raw("events")
+    ev = DriverSilver.shared(spark, sf).raw("events")
     cut = F.lit(EVENTS_CUTOFF).cast("timestamp_ntz")
     dim = scd2.scd2_from_changes(ev.filter(F.col("ts") < cut), "user_id", ["event_type"], "ts", "event_id",
                                  surrogate="version_key")
@@ -489,7 +518,7 @@ def q_state_as_of(spark, sf):
 
 @query("dedup_messages")
 def q_dedup(spark, sf):
-    conv = DriverSilver(spark, sf).raw("conversations")
+    conv = DriverSilver.shared(spark, sf).raw("conversations")
     a = conv.withColumn("ingested_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     b = conv.withColumn("ingested_at", F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")) \
         .withColumn("text", F.concat("text", F.lit(" (edited)")))
@@ -498,7 +527,7 @@ def q_dedup(spark, sf):
 
 @query("upsert_vehicles")
 def q_upsert(spark, sf):
-    g = Gold(spark, sf)
+    g = Gold.shared(spark, sf)
     synced = L.sync_current_stage(g.s.vehicle, g.vehicle_history(), as_of=RUN_TS)
     base = g.s.vehicle
     out = dml.upsert_since(base, synced, "vehicle_id", "2001-08-31 00:00:00")
@@ -507,7 +536,7 @@ def q_upsert(spark, sf):
 
 @query("soft_delete_reversed")
 def q_soft_delete(spark, sf):
-    s = DriverSilver(spark, sf)
+    s = DriverSilver.shared(spark, sf)
     ids = s.sale.filter(F.col("status") == "REVERSED").select("vehicle_id")
     out = dml.soft_delete(s.vehicle, ids, "vehicle_id", RUN_TS)
     return RP.breakdown(out, "is_deleted")
@@ -515,13 +544,13 @@ def q_soft_delete(spark, sf):
 
 @query("contract_violations")
 def q_violations(spark, sf):
-    s = DriverSilver(spark, sf)
+    s = DriverSilver.shared(spark, sf)
     v = Q.violations(s.repair_job_part, "repair_job_part", not_null=["line_id", "part_id"], unique=[["line_id"]],
                      foreign_keys=[("part_id", s.part, "part_id"), ("repair_job_id", s.repair_job, "repair_job_id")])
     p = Q.violations(s.purchase, "purchase", not_null=["vehicle_id", "price_amount"], unique=[["purchase_id"]],
                      allowed={"price_currency": ["USD", "NGN"]},
                      foreign_keys=[("buyer_staff_id", s.staff, "staff_id")])
-    rt = Q.violations(Gold(spark, sf).review_tasks(), "review_task", not_null=["source_id"],
+    rt = Q.violations(Gold.shared(spark, sf).review_tasks(), "review_task", not_null=["source_id"],
                       allowed={"status": ["OPEN", "IN_PROGRESS", "RESOLVED", "DISMISSED"]},
                       polymorphic=[("source_type", "source_id", {
                           "EXTRACTED_EVENT": (s.raw_message, "message_id"),
@@ -531,13 +560,13 @@ def q_violations(spark, sf):
 
 @query("source_mix")
 def q_source_mix(spark, sf):
-    s = DriverSilver(spark, sf)
+    s = DriverSilver.shared(spark, sf)
     return Q.source_mix([("purchase", s.purchase), ("sale", s.sale), ("repair_job", s.repair_job)])
 
 
 @query("payload_fields")
 def q_payload(spark, sf):
-    ev = DriverSilver(spark, sf).raw("events")
+    ev = DriverSilver.shared(spark, sf).raw("events")
     return explode_payload(ev, "props", "k int", keep=("event_id", "event_type"))
 
 

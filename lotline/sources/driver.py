@@ -73,8 +73,26 @@ def _fill(template: str, make, model, lot, next_lot):
     return F.concat(*parts) if len(parts) > 1 else parts[0]
 
 
+_SHARED: dict[tuple, "DriverSilver"] = {}
+
+
 class DriverSilver:
-    """Lazily built silver-shaped DataFrames over one driver scale dir."""
+    """Lazily built silver-shaped DataFrames over one driver scale dir.
+
+    Tables that several gold queries read (vehicle, sale, the rule-chain
+    stages, cleaning, listing) are silver-table boundaries: each is written
+    once (reliable checkpoint into the shared checkpoint folder) and read by
+    every query of the session, as a pipeline writes its silver layer once
+    and builds each gold table from it.
+    """
+
+    @classmethod
+    def shared(cls, spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> "DriverSilver":
+        """The session's instance for one scale dir (built on first use)."""
+        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
+        if key not in _SHARED:
+            _SHARED[key] = cls(spark, sf_dir, as_of)
+        return _SHARED[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, materialize_chain: bool = True):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir.rstrip("/"), as_of
@@ -160,7 +178,7 @@ class DriverSilver:
         o = self.orders_plus
         k = F.col("o_orderkey")
         deleted = F.col("o_totalprice") < 10000
-        return o.select(
+        return self._boundary(o.select(
             k.alias("vehicle_id"), F.format_string("VIN%014d", k).alias("vin"), lot_no(k).alias("auction_lot_no"),
             F.col("o_orderpriority").alias("make"), F.col("c_name").alias("model"),
             (F.lit(2012) + k % 9).cast("int").alias("model_year"), F.col("c_nationkey").cast("long").alias("branch_id"),
@@ -168,7 +186,7 @@ class DriverSilver:
             .otherwise("IN_REPAIR").alias("current_stage"),
             F.when(F.col("o_orderstatus") == "F", "SOLD").otherwise("ACTIVE").alias("current_status"),
             F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("updated_at"),
-            deleted.alias("is_deleted"), F.when(deleted, F.col("o_orderdate")).alias("deleted_at"))
+            deleted.alias("is_deleted"), F.when(deleted, F.col("o_orderdate")).alias("deleted_at")))
 
     @functools.cached_property
     def purchase(self) -> DataFrame:
@@ -191,13 +209,13 @@ class DriverSilver:
             F.max(F.to_date("l_shipdate")).alias("sale_date"))
         o = self.raw("orders")
         k, c = F.col("o_orderkey"), F.col("o_custkey")
-        return o.join(net, o["o_orderkey"] == net["l_orderkey"]).select(
+        return self._boundary(o.join(net, o["o_orderkey"] == net["l_orderkey"]).select(
             k.alias("sale_id"), k.alias("vehicle_id"), k.alias("listing_id"), c.alias("customer_id"),
             ((c + 1) % STAFF_LIMIT).alias("salesperson_staff_id"), "agreed_price", F.lit("NGN").alias("currency"),
             "sale_date",
             F.when(F.col("o_orderstatus") == "F", "FINALIZED").when(F.col("o_orderstatus") == "P", "PENDING_PAYMENT")
             .otherwise("REVERSED").alias("status"),
-            (F.lit(1) + c % 7).alias("source_id"))
+            (F.lit(1) + c % 7).alias("source_id")))
 
     @functools.cached_property
     def repair_job_part(self) -> DataFrame:
@@ -271,9 +289,9 @@ class DriverSilver:
     def cleaning_task(self) -> DataFrame:
         passed = R.latest_passed(self.inspection)
         draws = self.plan.select("vehicle_id", "redo")
-        return (R.cleaning_tasks(passed.join(draws, "vehicle_id"), self.as_of)
-                .select(F.col("vehicle_id").alias("cleaning_id"), "vehicle_id", "task_date",
-                        F.col("cleaning_status").alias("status")))
+        return self._boundary(R.cleaning_tasks(passed.join(draws, "vehicle_id"), self.as_of)
+                              .select(F.col("vehicle_id").alias("cleaning_id"), "vehicle_id", "task_date",
+                                      F.col("cleaning_status").alias("status")))
 
     @functools.cached_property
     def listing(self) -> DataFrame:
@@ -281,10 +299,10 @@ class DriverSilver:
         cleaned = self.cleaning_task.withColumnRenamed("status", "cleaning_status").join(
             self.plan.select("vehicle_id", "markup"), "vehicle_id")
         lp = R.list_price(cleaned, self.purchase, costs, self.as_of, FX_RATE)
-        return lp.select(F.col("vehicle_id").alias("listing_id"), "vehicle_id",
-                         F.col("list_price").alias("price_amount"), F.lit("NGN").alias("currency"),
-                         "listed_date", F.lit("ACTIVE").alias("status"),
-                         F.lit(self.as_of).cast("timestamp_ntz").alias("updated_at"))
+        return self._boundary(lp.select(F.col("vehicle_id").alias("listing_id"), "vehicle_id",
+                                        F.col("list_price").alias("price_amount"), F.lit("NGN").alias("currency"),
+                                        "listed_date", F.lit("ACTIVE").alias("status"),
+                                        F.lit(self.as_of).cast("timestamp_ntz").alias("updated_at")))
 
     # ------------------------------------------------------------ triage
     @functools.cached_property
