@@ -38,12 +38,11 @@ def _col(c) -> Column:
 def _range_bucket(df: DataFrame, lead: Column, target_buckets: int, out: str) -> DataFrame:
     """Add ``out`` = range bucket of numeric ``lead``; <= target_buckets values."""
     stats = df.agg(F.min(lead).alias("_kmin"), F.max(lead).alias("_kmax")).select(
-        "_kmin",
-        F.greatest(F.ceil((F.col("_kmax") - F.col("_kmin") + 1) / F.lit(target_buckets)), F.lit(1))
-        .cast("long").alias("_kw"))
-    return (df.crossJoin(F.broadcast(stats))  # exactly one row
-            .withColumn(out, F.floor((lead - F.col("_kmin")) / F.col("_kw")))
-            .drop("_kmin", "_kw"))
+        F.struct(F.col("_kmin").alias("kmin"),
+                 F.greatest(F.ceil((F.col("_kmax") - F.col("_kmin") + 1) / F.lit(target_buckets)), F.lit(1))
+                 .cast("long").alias("kw")))
+    s = stats.scalar()  # scalar subquery: one row, evaluated once
+    return df.withColumn(out, F.floor((lead - s.getField("kmin")) / s.getField("kw")))
 
 
 def prefix_offsets(counts: DataFrame, order: Sequence[str], n_col: str, out: str = "_off",
@@ -78,7 +77,8 @@ def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | Non
     ``group``: columns forming a prefix of ``order`` whose first column is
     numeric; rows are numbered inside groups.  Without it the groups are
     ranges of the (numeric) first order column.  ``offset``: a one-row
-    DataFrame whose single numeric column is added to every key (W-4).
+    DataFrame whose single numeric column is added to every key (W-4), as a
+    scalar subquery.
 
     ``small``: True forces one window over a single partition (only for
     inputs bounded by construction); None counts the rows first and takes
@@ -114,9 +114,8 @@ def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | Non
                .drop("_off", *(["_g"] if group is None else [])))
     if offset is not None:
         off_col = offset.columns[0]
-        base = offset.select(F.coalesce(F.col(off_col), F.lit(0)).cast("long").alias("_base"))
-        out = (out.crossJoin(F.broadcast(base))  # exactly one row
-               .withColumn(name, F.col(name) + F.col("_base")).drop("_base"))
+        base = offset.select(F.coalesce(F.col(off_col), F.lit(0)).cast("long")).scalar()  # one row
+        out = out.withColumn(name, F.col(name) + base)
     return out
 
 

@@ -50,9 +50,9 @@ def contains_join(texts: DataFrame, patterns: DataFrame, text_id: str = "text_id
     anchors = (grams.join(freq, ["_a", "_g"])
                .groupBy("_pid", "_pat", "_a")
                .agg(F.min_by("_g", F.struct("_f", "_g")).alias("_g")))
-    lens = anchors.select("_a").distinct()  # at most k values
+    lens = anchors.agg(F.collect_set("_a")).scalar()  # anchor lengths in use: at most k values
     t = texts.select(F.col(text_id).alias("_tid"), F.col(text).alias("_txt")).filter(F.col("_txt").isNotNull())
-    tg = (t.crossJoin(F.broadcast(lens))  # bounded by k rows
+    tg = (t.select("_tid", "_txt", F.explode(lens).alias("_a"))
           .filter(F.length("_txt") >= F.col("_a"))
           .select("_tid", "_txt", "_a",
                   F.explode(F.sequence(F.lit(1), F.length("_txt") - F.col("_a") + 1)).alias("_pos"))
@@ -70,8 +70,9 @@ def lot_hits(messages: DataFrame, vehicles: DataFrame, text: str = "message_text
     other = v.filter(~F.col("lot").rlike(LOT_SHAPE))
     tokens = messages.select("message_id", F.explode(F.regexp_extract_all(F.col(text), F.lit(LOT_TOKEN), 0))
                              .alias("tok"))
-    lens = shaped.select(F.length("lot").alias("n")).distinct()  # a few distinct lengths
-    prefixes = (tokens.crossJoin(F.broadcast(lens)).filter(F.length("tok") >= F.col("n"))
+    # distinct lot lengths: bounded by the longest lot, a handful of values
+    lens = shaped.agg(F.collect_set(F.length("lot"))).scalar()
+    prefixes = (tokens.select("message_id", "tok", F.explode(lens).alias("n")).filter(F.length("tok") >= F.col("n"))
                 .select("message_id", F.substring("tok", 1, F.col("n")).alias("lot")))
     hit_shaped = prefixes.join(shaped, "lot").select("message_id", "vehicle_id")
     hit_other = (contains_join(messages.select("message_id", F.col(text).alias("text")),

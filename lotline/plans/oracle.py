@@ -576,7 +576,9 @@ SELECT profit_history_key, vehicle_key, CAST(total_cost_ngn AS DOUBLE) AS total_
      OR n.total_revenue_ngn IS DISTINCT FROM o.total_revenue_ngn OR n.profit_ngn IS DISTINCT FROM o.profit_ngn)""",
                                  "fact_profit", "fact_profit_early"),
     "fact_expense": sql(f"""
-SELECT dv.vehicle_key, CAST(1 AS BIGINT) AS category_key, {dk('CAST(l.l_shipdate AS DATE)')} AS expense_date_key,
+SELECT dv.vehicle_key,
+       CAST(CASE l.l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 WHEN 'R' THEN 3 ELSE 4 END AS BIGINT) AS category_key,
+       {dk('CAST(l.l_shipdate AS DATE)')} AS expense_date_key,
        src.source_key,
        CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(14,2)) * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(14,2)) AS DOUBLE) AS amount_ngn,
        'NGN' AS currency

@@ -275,7 +275,9 @@ def q_fact_expense(spark, sf):
     s = DriverSilver.shared(spark, sf)
     li = s.raw("lineitem")
     expense = li.select(
-        F.col("l_orderkey").alias("vehicle_id"), F.lit("CUSTOMS").alias("category"),
+        F.col("l_orderkey").alias("vehicle_id"),
+        F.when(F.col("l_returnflag") == "A", "CUSTOMS").when(F.col("l_returnflag") == "N", "TRANSPORT")
+        .when(F.col("l_returnflag") == "R", "REPAIR").otherwise("MISC").alias("category"),
         (F.col("l_extendedprice").cast("decimal(14,2)") * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(14,2)")
         .alias("amount"), F.lit("NGN").alias("currency"), F.to_date("l_shipdate").alias("expense_date"),
         (F.lit(1) + F.col("l_orderkey") % 7).alias("source_id"))

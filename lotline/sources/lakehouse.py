@@ -90,5 +90,5 @@ def create_namespace(spark: SparkSession, name: str) -> None:
 
 def scalar_or_default(df: DataFrame, expr, default, alias: str = "value") -> DataFrame:
     """One-row DataFrame with an aggregate and a default (S-8, S-9), kept in
-    the plan (join it with ``crossJoin``) instead of collected."""
+    the plan (use ``.scalar()`` on it) instead of collected."""
     return df.agg(F.coalesce(expr, F.lit(default)).alias(alias))
