@@ -24,6 +24,14 @@ def top_k(df: DataFrame, measure: str, k: int, tie_key: str | Sequence[str],
     return out.select(*cols) if cols else out
 
 
+def first_k(df: DataFrame, key: str | Sequence[str], k: int, cols: Sequence[str] | None = None) -> DataFrame:
+    """The k rows with the smallest key (L-5; the reference samples its demo
+    rows this way).  Plans as TakeOrderedAndProject."""
+    keys = [key] if isinstance(key, str) else list(key)
+    out = df.orderBy(*[F.col(c).asc() for c in keys]).limit(k)
+    return out.select(*cols) if cols else out
+
+
 def avg_cycle_days(lifecycle: DataFrame, stage: str = "SOLD") -> DataFrame:
     """Average purchase-to-sale days over vehicles whose current stage is
     ``stage`` (D-25)."""

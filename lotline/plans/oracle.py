@@ -547,6 +547,18 @@ FROM (SELECT CAST(unnest(generate_series(CAST(MIN(o_orderdate) AS DATE), CAST(MA
     "dim_customer": sql("SELECT * FROM dim_customer", "dim_customer"),
     "dim_vendor": sql("SELECT * FROM dim_vendor", "dim_vendor"),
     "dim_data_source": sql("SELECT * FROM dim_source", "dim_source"),
+    "dim_branch": sql("SELECT * FROM dim_branch", "dim_branch"),
+    "dim_auction_house": sql("SELECT * FROM dim_auction_house", "dim_auction_house"),
+    "status_cleaning": sql("SELECT status, COUNT(*) AS count FROM cleaning_task GROUP BY 1", "cleaning_task"),
+    "status_listing": sql("""
+SELECT CASE WHEN s.vehicle_id IS NOT NULL THEN 'SOLD' ELSE 'ACTIVE' END AS status, COUNT(*) AS count
+FROM listing l LEFT JOIN (SELECT DISTINCT vehicle_id FROM sale WHERE status IN ('FINALIZED', 'PENDING_PAYMENT')) s
+     ON l.vehicle_id = s.vehicle_id GROUP BY 1""", "listing", "sale"),
+    "first_purchases": sql("""
+SELECT vehicle_id, CAST(price_amount AS DOUBLE) AS price_amount, purchase_date FROM purchase
+ORDER BY vehicle_id LIMIT 10""", "purchase"),
+    "landed_events": sql(f"""
+SELECT event_id, event_type, {RUN} AS ingested_at, 'events.parquet' AS source_file FROM events"""),
     "fact_purchase": sql("SELECT * FROM fact_purchase_full", "fact_purchase_full"),
     "fact_repair": sql("SELECT * FROM fact_repair_full", "fact_repair_full"),
     "fact_sale": sql("SELECT * FROM fact_sale_full", "fact_sale_full"),

@@ -27,7 +27,7 @@ from lotline.operators import scd2
 from lotline.operators import triage as TR
 from lotline.sources.driver import AS_OF, EVENT_STAGES, FX_RATE, DriverSilver
 from lotline.session import cut_lineage
-from lotline.sources.landing import explode_payload
+from lotline.sources.landing import explode_payload, land_raw
 
 RUN_TS = f"{AS_OF} 00:00:00"
 EVENTS_CUTOFF = "2024-01-15 00:00:00"
@@ -216,6 +216,16 @@ def q_dim_vendor(spark, sf):
     return Gold.shared(spark, sf).dims["vendor"]
 
 
+@query("dim_branch")
+def q_dim_branch(spark, sf):
+    return Gold.shared(spark, sf).dims["branch"]
+
+
+@query("dim_auction_house")
+def q_dim_auction(spark, sf):
+    return Gold.shared(spark, sf).dims["auction_house"]
+
+
 @query("dim_data_source")
 def q_dim_source(spark, sf):
     return Gold.shared(spark, sf).dims["source"]
@@ -363,6 +373,30 @@ def q_st_sale(spark, sf):
     return RP.breakdown(DriverSilver.shared(spark, sf).sale, "status")
 
 
+@query("status_cleaning")
+def q_st_clean(spark, sf):
+    return RP.breakdown(DriverSilver.shared(spark, sf).cleaning_task, "status")
+
+
+@query("status_listing")
+def q_st_listing(spark, sf):
+    return RP.breakdown(q_listing_sync(spark, sf), "status")
+
+
+@query("first_purchases")
+def q_first_purchases(spark, sf):
+    return money_out(RP.first_k(DriverSilver.shared(spark, sf).purchase, "vehicle_id", 10,
+                                ["vehicle_id", "price_amount", "purchase_date"]))
+
+
+@query("landed_events")
+def q_landed(spark, sf):
+    raw = land_raw(spark, f"{sf.rstrip('/')}/events.parquet",
+                   "event_id long, ts timestamp_ntz, user_id long, event_type string", fmt="parquet", as_of=RUN_TS)
+    return raw.select("event_id", "event_type", "ingested_at",
+                      F.regexp_extract("source_file", r"[^/]+$", 0).alias("source_file"))
+
+
 @query("status_dim_vehicle")
 def q_st_dim(spark, sf):
     return RP.breakdown(Gold.shared(spark, sf).dim_vehicle, "stage", "status")
