@@ -66,7 +66,7 @@ def prefix_offsets(counts: DataFrame, order: Sequence[str], n_col: str, out: str
 
 # Inputs with at most this many rows are numbered with one window over a
 # single partition (after a row count has proven the bound).
-SMALL_ROWS = 1_000_000
+SMALL_ROWS = 2_000_000
 
 
 def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | None = None,
