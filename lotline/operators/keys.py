@@ -69,6 +69,11 @@ def prefix_offsets(counts: DataFrame, order: Sequence[str], n_col: str, out: str
 SMALL_ROWS = 2_000_000
 
 
+def is_small(df: DataFrame) -> bool:
+    """Row count proves the input small enough for one single-partition window."""
+    return df.count() <= SMALL_ROWS
+
+
 def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | None = None,
               group: Sequence[str] | None = None, target_buckets: int = 4096,
               offset: DataFrame | None = None, materialize: bool = True) -> DataFrame:
@@ -92,7 +97,7 @@ def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | Non
     """
     order_cols = _cols(order)
     if small is None:
-        small = df.count() <= SMALL_ROWS
+        small = is_small(df)
     if small:
         out = df.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) + (start - 1)).cast("long"))
     else:

@@ -101,7 +101,13 @@ def test_lifecycle_and_gaps(spark):
     assert lc[3].purchase_date_key is None                          # no milestones
 
 
-def test_stage_history_ties_and_chain(spark):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("small_rows", [2_000_000, 0])   # one window / bucketed ids + self-join
+def test_stage_history_ties_and_chain(spark, monkeypatch, small_rows):
+    import lotline.operators.keys as K
+    monkeypatch.setattr(K, "SMALL_ROWS", small_rows)
     ev = spark.createDataFrame([
         (1, "PURCHASED", d(2025, 1, 1)), (1, "AT_OFFICE", d(2025, 1, 9)), (1, "PICKED_UP", d(2025, 1, 9)),
         (2, "PURCHASED", d(2025, 1, 3))], "vehicle_id long, stage string, d date").withColumn("tb", F.lit(0).cast("long"))
