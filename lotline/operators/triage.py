@@ -52,13 +52,16 @@ def contains_join(texts: DataFrame, patterns: DataFrame, text_id: str = "text_id
                .agg(F.min_by("_g", F.struct("_f", "_g")).alias("_g")))
     lens = anchors.agg(F.collect_set("_a")).scalar()  # anchor lengths in use: at most k values
     t = texts.select(F.col(text_id).alias("_tid"), F.col(text).alias("_txt")).filter(F.col("_txt").isNotNull())
+    # gram rows carry only (text id, length, gram): the text itself is not
+    # copied once per position; the few anchor hits are joined back to it
     tg = (t.select("_tid", "_txt", F.explode(lens).alias("_a"))
           .filter(F.length("_txt") >= F.col("_a"))
           .select("_tid", "_txt", "_a",
                   F.explode(F.sequence(F.lit(1), F.length("_txt") - F.col("_a") + 1)).alias("_pos"))
-          .select("_tid", "_txt", "_a", F.substring("_txt", F.col("_pos"), F.col("_a")).alias("_g")))
-    cand = tg.join(anchors, ["_a", "_g"]).filter(F.instr("_txt", F.col("_pat")) > 0)
-    return cand.select(F.col("_tid").alias(text_id), F.col("_pid").alias(pattern_id)).distinct()
+          .select("_tid", "_a", F.substring("_txt", F.col("_pos"), F.col("_a")).alias("_g")))
+    cand = tg.join(anchors, ["_a", "_g"]).select("_tid", "_pid", "_pat").distinct()
+    hits = cand.join(t, "_tid").filter(F.instr("_txt", F.col("_pat")) > 0)
+    return hits.select(F.col("_tid").alias(text_id), F.col("_pid").alias(pattern_id))
 
 
 def lot_hits(messages: DataFrame, vehicles: DataFrame, text: str = "message_text") -> DataFrame:
