@@ -157,3 +157,19 @@ def test_streaming_triage_matches_batch(spark):
     want = extracted_event(msgs, s.vehicle).select("event_id", "vehicle_id", "confidence_score")
     assert got.count() == want.count() == msgs.count()
     assert got.exceptAll(want).count() == 0
+
+
+def test_land_raw_json_and_array_payload(spark):
+    from lotline.sources.landing import land_raw
+    d0 = tempfile.mkdtemp(prefix="lotline-raw-")
+    with open(os.path.join(d0, "m.json"), "w") as f:
+        f.write('{"message_id": 1, "raw_payload": "{\\"media_urls\\": [\\"a.jpg\\", \\"b.jpg\\"]}"}\n')
+        f.write('{"message_id": 2, "raw_payload": "{\\"media_urls\\": []}"}\n')
+        f.write('{"message_id": 3, "extra": "ignored"}\n')
+    raw = land_raw(spark, d0, "message_id long, raw_payload string", fmt="json", as_of="2025-01-01 00:00:00")
+    assert rows(raw, "message_id", "ingested_at") == [(1, ts(2025, 1, 1)), (2, ts(2025, 1, 1)), (3, ts(2025, 1, 1))]
+    assert all(r.source_file.endswith("m.json") for r in raw.collect())
+    media = explode_payload(raw, "raw_payload", "media_urls array<string>", array_col="media_urls",
+                            keep=("message_id",))
+    # explode_outer keeps messages with an empty or missing array
+    assert rows(media) == [(1, "a.jpg"), (1, "b.jpg"), (2, None), (3, None)]
