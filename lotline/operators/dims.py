@@ -88,8 +88,9 @@ def dim_staff(staff: DataFrame, staff_role: DataFrame, as_of: Column | str | Non
     keyed = dense_key(full, "staff_id", "staff_key", small=small)
     eff = F.current_timestamp() if as_of is None else (
         F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
+    eff_type = "timestamp_ntz" if isinstance(as_of, str) else "timestamp"
     return keyed.select("staff_key", "staff_id", "name", "branch_id", "primary_role",
-                        eff.alias("effective_from"), F.lit(None).cast("timestamp").alias("effective_to"),
+                        eff.alias("effective_from"), F.lit(None).cast(eff_type).alias("effective_to"),
                         F.lit(True).alias("is_current"))
 
 

@@ -162,9 +162,10 @@ def review_tasks(items: DataFrame, id_col: str, source_type: str, existing: Data
         mx = existing.agg(F.max("task_id").alias("_mx"))
         keyed = dense_key(pend, "source_id", "task_id", offset=mx)
     ts = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp_ntz")
+    ts_type = "timestamp" if as_of is None else "timestamp_ntz"
     return keyed.select("task_id", F.lit(source_type).alias("source_type"), "source_id",
                         F.lit(assignee).cast("long").alias("assigned_to_staff_id"), F.lit("OPEN").alias("status"),
-                        ts.alias("created_at"), F.lit(None).cast("timestamp").alias("resolved_at"))
+                        ts.alias("created_at"), F.lit(None).cast(ts_type).alias("resolved_at"))
 
 
 def fact_review_queue(tasks: DataFrame, events: DataFrame, receipt_lines: DataFrame,
