@@ -45,8 +45,10 @@ def midnight(d) -> Column:
 
 
 def hours_between(a, b) -> Column:
-    """Fractional hours from ``a`` to ``b``; null when either is null."""
-    return (F.unix_micros(_c(b).cast("timestamp")) - F.unix_micros(_c(a).cast("timestamp"))) / F.lit(3.6e9)
+    """Fractional hours from ``a`` to ``b``; null when either is null.
+    Computed on the values as given (no session-zone conversion of
+    zone-less timestamps, so no DST shifts)."""
+    return F.timestamp_diff("MICROSECOND", _c(a), _c(b)) / F.lit(3.6e9)
 
 
 def calendar_parts(d) -> dict[str, Column]:
