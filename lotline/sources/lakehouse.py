@@ -73,9 +73,14 @@ def write_version(df: DataFrame, root: str, layer: str, table: str, fmt: str = "
     return f"{path}/{version}"
 
 
-def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
-    """Overwrite a catalog table by name (S-12)."""
-    df.write.format(fmt).mode(mode).saveAsTable(name)
+def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
+                  path: str | None = None) -> None:
+    """Overwrite a catalog table by name (S-12); ``path`` makes it an
+    external table stored there instead of under the warehouse folder."""
+    w = df.write.format(fmt).mode(mode)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
 
 
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")

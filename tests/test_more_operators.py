@@ -173,3 +173,15 @@ def test_land_raw_json_and_array_payload(spark):
                             keep=("message_id",))
     # explode_outer keeps messages with an empty or missing array
     assert rows(media) == [(1, "a.jpg"), (1, "b.jpg"), (2, None), (3, None)]
+
+
+def test_catalog_namespace_and_named_table(spark):
+    import pytest
+    LH.create_namespace(spark, "silver_t")
+    with pytest.raises(ValueError):
+        LH.create_namespace(spark, "bad; drop")
+    loc = tempfile.mkdtemp(prefix="lotline-cat-")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    LH.save_as_table(df, "silver_t.branch", path=f"{loc}/branch")
+    LH.save_as_table(df.filter("id = 2"), "silver_t.branch", path=f"{loc}/branch")   # overwrite by name
+    assert rows(spark.table("silver_t.branch")) == [(2, "b")]
