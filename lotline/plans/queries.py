@@ -112,7 +112,7 @@ class Gold:
 
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str) -> "Gold":
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        key = (spark.conf.get("spark.app.id", "session"), sf_dir.rstrip("/"))
         if key not in _GOLD:
             _GOLD[key] = cls(spark, sf_dir)
         return _GOLD[key]

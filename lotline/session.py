@@ -58,11 +58,17 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext access (Spark Connect)
+            current = None
     if current:
         return current
     path = fallback or tempfile.mkdtemp(prefix="lotline-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
+    try:
+        spark.sparkContext.setCheckpointDir(path)
+    except Exception:
+        pass
     spark.conf.set("spark.checkpoint.dir", path)
     return path
 

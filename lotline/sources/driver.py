@@ -90,7 +90,7 @@ class DriverSilver:
     @classmethod
     def shared(cls, spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> "DriverSilver":
         """The session's instance for one scale dir (built on first use)."""
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), as_of)
+        key = (spark.conf.get("spark.app.id", "session"), sf_dir.rstrip("/"), as_of)
         if key not in _SHARED:
             _SHARED[key] = cls(spark, sf_dir, as_of)
         return _SHARED[key]

@@ -25,10 +25,12 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     the first shuffle does not run on a single core.  Inputs with at least
     that many splits (every large table) are returned untouched: no extra
     shuffle at scale."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (Spark Connect): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def table_path(root: str, layer: str, table: str) -> str:
