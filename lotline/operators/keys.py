@@ -76,7 +76,8 @@ def is_small(df: DataFrame) -> bool:
 
 def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | None = None,
               group: Sequence[str] | None = None, target_buckets: int = 4096,
-              offset: DataFrame | None = None, materialize: bool = True) -> DataFrame:
+              offset: DataFrame | None = None, materialize: bool = True,
+              write_first: bool = False) -> DataFrame:
     """Add ``name`` = start, start+1, ... following ``order`` (ascending).
 
     ``group``: columns forming a prefix of ``order`` whose first column is
@@ -94,8 +95,16 @@ def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | Non
     ``checkpoint`` into the shared checkpoint folder, so every pass sees the
     same rows (also after an executor loss) and nested keyed plans do not
     grow multiplicatively.
+
+    ``write_first``: for inputs that are expensive to compute (derived by
+    joins), write them once before the size check, so the row count reads
+    the written table instead of recomputing the input.
     """
     order_cols = _cols(order)
+    if write_first and small is None:
+        from lotline.session import cut_lineage
+        df = cut_lineage(df)
+        materialize = False  # already written
     if small is None:
         small = is_small(df)
     if small:
@@ -125,11 +134,11 @@ def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | Non
 
 
 def next_keys(df: DataFrame, order, name: str, existing: DataFrame, existing_key: str,
-              small: bool = False) -> DataFrame:
+              small: bool | None = None, write_first: bool = False) -> DataFrame:
     """Number new rows after the current maximum of ``existing`` (W-4);
     an empty existing table starts at 1."""
     mx = existing.agg(F.max(existing_key).alias("_mx"))
-    return dense_key(df, order, name, small=small, offset=mx)
+    return dense_key(df, order, name, small=small, offset=mx, write_first=write_first)
 
 
 def unique_id(df: DataFrame, name: str) -> DataFrame:

@@ -98,4 +98,5 @@ def profit_changes(new_profit: DataFrame, history: DataFrame, reason: str) -> Da
             & F.col("total_revenue_ngn").eqNullSafe(F.col("_last.total_revenue_ngn"))
             & F.col("profit_ngn").eqNullSafe(F.col("_last.profit_ngn")))
     changed = j.filter(~same).drop("_last").withColumn("reason", F.lit(reason))
-    return next_keys(changed, "vehicle_key", "profit_history_key", history, "profit_history_key")
+    return next_keys(changed, "vehicle_key", "profit_history_key", history, "profit_history_key",
+                     write_first=True)

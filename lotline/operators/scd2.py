@@ -52,7 +52,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, tracked: Sequence[s
          else F.col(c)) for c in base_cols])
     fresh = j.filter(in_ch & (~in_cur | changed)).select(
         key, *[F.col(f"_new_{c}").alias(c) for c in tracked])
-    fresh = next_keys(fresh, key, surrogate, dim, surrogate)
+    fresh = next_keys(fresh, key, surrogate, dim, surrogate, write_first=True)
     fresh = fresh.select(*[
         F.col(c) if c in fresh.columns else
         (ts_col.alias(c) if c == "effective_from" else
@@ -84,7 +84,7 @@ def scd2_from_changes(changes: DataFrame, key: str, tracked: Sequence[str], ts:
     for c in tracked:
         same_as_prev = same_as_prev & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
     starts = j.filter(~F.coalesce(same_as_prev, F.lit(False))).select(key, *tracked, ts, tiebreak, "_day")
-    ver = dense_key(starts, [key, "_day", ts, tiebreak], surrogate, group=[key, "_day"])
+    ver = dense_key(starts, [key, "_day", ts, tiebreak], surrogate, group=[key, "_day"], write_first=True)
     nxt = ver.select((F.col(surrogate) - 1).alias(surrogate), F.col(key).alias("_nk"),
                      F.col(ts).alias("_nts"))
     out = ver.join(nxt, surrogate, "left")
