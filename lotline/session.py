@@ -7,7 +7,9 @@ and command-line use.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -50,11 +52,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Return the checkpoint folder the cluster names in ``spark.checkpoint.dir``.
+    """The shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) do we set one: ``fallback`` or a
-    fresh scratch folder.
+    Only a local session (tests, bench), whose driver is its executor, gets a
+    folder of its own where the setting is missing: ``fallback`` or a new
+    scratch folder, removed when Python ends.  On a cluster a missing setting
+    is an error, since executors would write where nobody else can read.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
@@ -64,7 +67,12 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
             current = None
     if current:
         return current
-    path = fallback or tempfile.mkdtemp(prefix="lotline-ckpt-")
+    if not spark.conf.get("spark.master", "").startswith("local[") and spark.conf.get("spark.master", "") != "local":
+        raise RuntimeError("spark.checkpoint.dir names no shared folder")
+    path = fallback
+    if not path:
+        path = tempfile.mkdtemp(prefix="lotline-ckpt-")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
     try:
         spark.sparkContext.setCheckpointDir(path)
     except Exception:
@@ -86,7 +94,7 @@ def cut_lineage(df):
     root = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{root}/lotline-tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def env_cores(default: str = "8") -> str:
