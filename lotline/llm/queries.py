@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotline.llm import bpe, exact_dedup, language, mixing, quality, simhash
+from lotline.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, pii, quality, simhash, url_filter
 
 #: Where the tokenizer's file lies (a parameter of the operator; read on the driver only).
 VOCABULARY = "word_bpe_49k.json"
+#: The rules (host, path, verdict) of the URL query.
+RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+#: Key of the pseudonyms in the query; a user gives a secret one.
+PII_KEY = "example key"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +44,29 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line dedup of ``documents``: per document its dropped lines, equal to or one word from an earlier one."""
+    return line_dedup.line_counts(_table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text of ``documents`` with its personal values replaced by pseudonyms."""
+    out = pii.pseudonymise(_table(spark, sf_dir, "documents"), key=PII_KEY)
+    return out.select("doc_id", "text", *[f"n_{k}" for k in pii.KINDS])
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text of ``documents`` encoded and decoded."""
     return bpe.encode(_table(spark, sf_dir, "documents"), vocabulary(), keep=["doc_id"], with_ids=False)
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every URL of ``pages``: rules, and for the rest trees trained from the URLs that the rules label."""
+    pages = _table(spark, sf_dir, "pages")
+    model = url_filter.train(url_filter.labelled_by_rules(pages, RULES))
+    return url_filter.filter_urls(pages, RULES, model)
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of ``documents``: of equal texts the largest doc_id stays."""
     return exact_dedup.exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
@@ -58,8 +80,14 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.select("doc_id", language.held_out("doc_id").alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message of ``conversations`` without quotes, linked to what it quotes, in reply order."""
+    return chat.format_chats(_table(spark, sf_dir, "conversations"))
+
+
 def registry() -> dict:
-    return {f.__name__: f for f in (op1_simhash, op2_mixing, op3_quality, op6_bpe, op8_exact_dedup, op9_language)}
+    return {f.__name__: f for f in (
+        op1_simhash, op2_mixing, op3_quality, op4_line_dedup, op5_pii, op6_bpe, op7_url_filter, op8_exact_dedup, op9_language, op10_chat_format)}
 
 
 OP2 = r"""
