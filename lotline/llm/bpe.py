@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-KNOWN_WORDS = 600_000
+KNOWN_WORDS = 400_000
 #: Words of more bytes (rare) are merged one by one, so that they don't pad the arrays.
 LONG_WORD = 255
 #: Characters of text whose new words are encoded together.

@@ -3,16 +3,17 @@
 A text's subwords are its letter pairs, triples and quadruples (lower case,
 with the word's edges).  Their hashes count into buckets; each bucket has an
 embedding, a text is the average of its subwords' embeddings, and a linear
-softmax turns the average into languages.  There is no bias, so a text whose
-subwords the training never met gets an even distribution and is rejected.
+softmax turns the average into languages.
 
 Training is stochastic gradient descent in numpy on the driver, over a sample
 of at most ``max_rows`` labelled texts (about evenly many per language, drawn
 by a hash of the identifier); only bucket counts of the sample reach the
 driver, ``buckets`` numbers a text at most, however long it is.  A fifth of
 the sample is kept from training to calibrate: one temperature, by which the
-score becomes the probability that the prediction is right.  Scoring a text
-adds up one precomputed row of logits per subword and reads the whole text.
+score becomes the probability that the prediction is right, and the limits of
+rejection, on the score and on the share of subwords that the training met.
+Scoring a text adds up one precomputed row of logits per subword and reads the
+whole text.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 BUCKETS, DIM, EPOCHS = 4096, 16, 8
+#: Cells in which the model notes the subwords of four that it has met (128 KB).
+CELLS = 1 << 20
 #: Labelled texts used in training and calibration.
 MAX_ROWS = 4_000
 #: Characters looked at at a time, so that a very long text needs no more memory.
@@ -45,10 +48,9 @@ def letters(text: str) -> np.ndarray:
     return _TABLE[0][np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
 
 
-def counts(text: str, buckets: int = BUCKETS) -> np.ndarray:
-    """Subword counts of a whole text by bucket."""
-    total, shift = np.zeros(buckets, np.int64), np.uint32(33 - int(buckets).bit_length())
-    for at in range(0, len(text) + 1, CHARS):  # subwords that begin at one of these places of the text with edges
+def subwords(text: str) -> Iterator[tuple[int, np.ndarray]]:
+    """(length, hashes) of the subwords of a whole text, by parts: two to four places of the text with edges, letters inside."""
+    for at in range(0, len(text) + 1, CHARS):  # subwords that begin at one of these places
         m = min(CHARS, len(text) + 1 - at)
         c = letters(text[max(0, at - 1) : at + m + 2])
         c = np.concatenate((np.zeros(int(at == 0), np.uint32), c, np.zeros(3, np.uint32)))[: m + 3]
@@ -57,26 +59,59 @@ def counts(text: str, buckets: int = BUCKETS) -> np.ndarray:
             h = (h ^ (h >> np.uint32(15))) * np.uint32(_MULTIPLIERS[1]) + c[n - 1 : n - 1 + m] * np.uint32(_MULTIPLIERS[n - 1])
             if n == 4:
                 inner = inner & (c[2 : m + 2] != 0)
-            used = ((h ^ (h >> np.uint32(13))) * np.uint32(_MULTIPLIERS[0])) >> shift
-            total += np.bincount(used[inner], minlength=buckets)
+            yield n, ((h ^ (h >> np.uint32(13))) * np.uint32(_MULTIPLIERS[0]))[inner]
+
+
+def counts(text: str, buckets: int = BUCKETS) -> np.ndarray:
+    """Subword counts of a whole text by bucket."""
+    total, shift = np.zeros(buckets, np.int64), np.uint32(33 - int(buckets).bit_length())
+    for _, h in subwords(text):
+        total += np.bincount(h >> shift, minlength=buckets)
     return total
 
 
+def quads(text: str) -> np.ndarray:
+    """Cells (of ``CELLS``) of a text's subwords of four."""
+    return np.concatenate([h >> np.uint32(33 - CELLS.bit_length()) for n, h in subwords(text) if n == 4])
+
+
 @dataclass
 class Model:
     languages: list[str]
     logits: np.ndarray  # bucket x language: embedding times softmax weights
     temperature: float = 1.0
+    seen: np.ndarray | None = None  # packed bits: cells of the subwords of four met in training
+    min_score: float = 0.0
+    min_known: float = 0.0
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, text: str | None) -> tuple[str, float, float]:
+        """Language, its calibrated probability, and the share of the text's subwords of four that the training met."""
         if not text or not self.languages:
-            return UNKNOWN, 0.0
-        seen = counts(text, len(self.logits))
-        if not seen.any() and not letters(text).any():
-            return UNKNOWN, 0.0
-        p = softmax((seen @ self.logits / max(1, seen.sum()) / self.temperature)[None])[0]
+            return UNKNOWN, 0.0, 0.0
+        buckets, known, of = len(self.logits), 0, 0
+        total, shift = np.zeros(buckets, np.int64), np.uint32(33 - buckets.bit_length())
+        for n, h in subwords(text):
+            total += np.bincount(h >> shift, minlength=buckets)
+            if n == 4 and self.seen is not None:
+                cell = h >> np.uint32(33 - CELLS.bit_length())
+                known += int((self.seen[cell >> np.uint32(3)] >> (7 - (cell & np.uint32(7))).astype(np.uint8) & 1).sum())
+                of += len(cell)
+        if not total.any() and not letters(text).any():
+            return UNKNOWN, 0.0, 0.0
+        p = softmax((total @ self.logits / max(1, total.sum()) / self.temperature)[None])[0]
         best = int(p.argmax())
-        return self.languages[best], float(p[best])
+        return self.languages[best], float(p[best]), known / of if of else 1.0
+
+    def calibrate_rejection(self, shares: list[np.ndarray], cells: list[np.ndarray], train: np.ndarray, held: np.ndarray) -> None:
+        """Limits at half of what the worst of the calibration texts reaches, so that natural text stays."""
+        seen = np.zeros(CELLS, bool)
+        for i in train:
+            seen[cells[i]] = True
+        self.seen = np.packbits(seen)
+        if len(held):
+            p = softmax(np.array([shares[i] @ self.logits for i in held]) / self.temperature)
+            self.min_score = float(p.max(axis=1).min()) / 2
+            self.min_known = min([float(seen[cells[i]].mean()) for i in held if len(cells[i])], default=0.0) / 2
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -129,33 +164,40 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         for b in batches:
             rows = [counts(t, buckets) for t in b.column(1).to_pylist()]
             at = [np.flatnonzero(r) for r in rows]
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(at, pa.list_(pa.int64())), pa.array([r[i] for r, i in zip(rows, at, strict=True)], pa.list_(pa.int64()))],
-                names=["_lang", "_draw", "_at", "_n"])
+            packed = ([i.astype(np.uint32).tobytes() for i in at], [r[i].tobytes() for r, i in zip(rows, at, strict=True)],
+                      [np.unique(quads(t)).tobytes() for t in b.column(1).to_pylist()])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(p, pa.binary()) for p in packed)], names=["_lang", "_draw", "_at", "_n", "_quads"])
 
     # the draw keeps the sample near max_rows; the limit holds it below twice that whatever the identifiers are
-    got = sample.select("_lang", "_text", "_draw").mapInArrow(featurise, "_lang string, _draw long, _at array<long>, _n array<long>")
-    got = sorted((r["_lang"], r["_draw"], r["_at"], r["_n"]) for r in got.limit(2 * max_rows).collect())
+    got = sample.select("_lang", "_text", "_draw").mapInArrow(featurise, "_lang string, _draw long, _at binary, _n binary, _quads binary")
+    got = sorted((r["_lang"], r["_draw"], bytes(r["_at"]), bytes(r["_n"]), bytes(r["_quads"])) for r in got.limit(2 * max_rows).collect())
     got = [r for r in got if r[2]]
     if not got:
         return Model([], np.zeros((buckets, 0)))
     languages = sorted({r[0] for r in got})
     x, y = np.zeros((len(got), buckets), np.float32), np.array([languages.index(r[0]) for r in got])
-    for i, (_, _, at, n) in enumerate(got):
-        x[i, at] = np.array(n) / np.sum(n)
+    for i, (_, _, at, n, _) in enumerate(got):
+        n = np.frombuffer(n, np.int64)
+        x[i, np.frombuffer(at, np.uint32)] = n / n.sum()
     calibrate = np.arange(len(got)) % 5 == 4
-    return fit(x, y, languages, calibrate, seed=seed)
+    model = fit(x, y, languages, calibrate, seed=seed)
+    model.calibrate_rejection(x, [np.frombuffer(r[4], np.uint32) for r in got], np.flatnonzero(~calibrate), np.flatnonzero(calibrate))
+    return model
 
 
-def identify(docs: DataFrame, model: Model, text_col: str = "text", min_score: float = 0.5) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text_col: str = "text", min_score: float | None = None, min_known: float | None = None) -> DataFrame:
     """``docs`` (all columns) with lang_pred, score and rejected.
 
     ``lang_pred`` is a language of the model; ``und`` with score 0 if the
     text is null, empty or has no letter, or the model knows no language.
     ``score`` is the calibrated probability of the prediction.  ``rejected``:
-    ``und``, or a prediction more likely wrong than right (score under
-    ``min_score``).  Columns of these names are replaced.
+    ``und``, a score under ``min_score``, or fewer than ``min_known`` of the
+    text's subwords met in training (text of another language); both limits
+    are the model's calibrated ones unless given.  Columns of these names
+    are replaced.
     """
+    min_score = model.min_score if min_score is None else min_score
+    min_known = model.min_known if min_known is None else min_known
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
     rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("_text"))
     schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
@@ -164,8 +206,8 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", min_score: f
         for b in batches:
             said = [model.predict(t.as_py()) for t in b.column(b.num_columns - 1)]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array([x for x, _ in said], pa.string()), pa.array([s for _, s in said], pa.float64()),
-                 pa.array([x == UNKNOWN or s < min_score for x, s in said], pa.bool_())],
+                [*b.columns[:-1], pa.array([x for x, _, _ in said], pa.string()), pa.array([s for _, s, _ in said], pa.float64()),
+                 pa.array([x == UNKNOWN or s < min_score or known < min_known for x, s, known in said], pa.bool_())],
                 names=[*kept, "lang_pred", "score", "rejected"])
 
     return rows.mapInArrow(predict, schema)

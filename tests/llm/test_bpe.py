@@ -5,7 +5,7 @@ import pytest
 import public_tokenizers
 from lotline.llm import bpe
 from lotline.llm.queries import VOCABULARY, vocabulary
-from tests_llm_util import ODD
+from tests_llm_util import ODD, docs, small  # noqa: F401
 from tokenizers import Tokenizer
 
 

@@ -1,7 +1,7 @@
 import hashlib
 
 from lotline.llm import exact_dedup
-from tests_llm_util import ODD
+from tests_llm_util import ODD, docs, small  # noqa: F401
 
 
 def brute(rows, best):

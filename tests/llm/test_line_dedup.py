@@ -2,7 +2,7 @@ import random
 
 import pytest
 from lotline.llm import line_dedup
-from tests_llm_util import ODD
+from tests_llm_util import ODD, docs, small  # noqa: F401
 
 
 def distance_one(a, b):

@@ -3,7 +3,7 @@ from collections import Counter, defaultdict
 
 import pytest
 from lotline.llm import mixing
-from tests_llm_util import ODD
+from tests_llm_util import ODD, docs, small  # noqa: F401
 
 
 def brute_targets(sizes, weights=(5, 2, 1), share=1.5, epochs=2):

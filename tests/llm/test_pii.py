@@ -3,7 +3,7 @@ import re
 
 from lotline.llm import pii
 from pyspark.sql import functions as F
-from tests_llm_util import ODD
+from tests_llm_util import ODD, docs, small  # noqa: F401
 
 
 def luhn(s):

@@ -4,7 +4,7 @@ from collections import Counter
 
 import zstandard
 from lotline.llm import quality
-from tests_llm_util import ODD
+from tests_llm_util import ODD, docs, small  # noqa: F401
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 import xxhash
 from lotline.llm import simhash
-from tests_llm_util import ODD, closure
+from tests_llm_util import ODD, closure, docs, small  # noqa: F401
 
 
 def brute_fingerprint(text, width=3):
