@@ -33,11 +33,6 @@ def add_days(d, n) -> Column:
     return F.date_add(_c(d), n if isinstance(n, Column) else F.lit(n))
 
 
-def to_day(ts) -> Column:
-    """Timestamp (with or without zone) -> date."""
-    return F.to_date(_c(ts))
-
-
 def midnight(d) -> Column:
     """Date -> midnight timestamp without zone (what the reference's
     ``datetime.combine(d, time.min)`` gives)."""
@@ -72,3 +67,9 @@ def _lit_date(x) -> Column:
     if isinstance(x, Column):
         return x
     return F.lit(x).cast("date")
+
+
+def add_hours(ts, hours) -> Column:
+    """Timestamp plus hours, fractions included (F-7)."""
+    h = F.lit(hours) if isinstance(hours, (int, float)) else _c(hours)
+    return _c(ts) + F.make_dt_interval(secs=(h * 3600).cast("decimal(18,6)"))

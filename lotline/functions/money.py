@@ -20,14 +20,6 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def money(x, type_: str = MONEY) -> Column:
-    return _c(x).cast(type_)
-
-
-def dec_lit(value, type_: str = MONEY) -> Column:
-    return F.lit(Decimal(str(value))).cast(type_)
-
-
 def round_to_multiple_half_even(x, step: int) -> Column:
     """Round to a multiple of ``step``, ties to even (F-12)."""
     return F.bround(_c(x) / F.lit(step), 0) * F.lit(step)

@@ -3,7 +3,7 @@ form-id formatting (D-12, D-14, F-14 ... F-19)."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -75,3 +75,8 @@ def raw_text_json(text) -> Column:
 def form_id(prefix: str, id_col, width: int = 4) -> Column:
     """Zero-padded form id such as ``FORM-PUR-0001`` (F-17)."""
     return F.format_string(f"{prefix}-%0{width}d", _c(id_col))
+
+
+def lookup(col: Column, mapping: Mapping[str, str]) -> Column:
+    """Static lookup (F-23): the value of a literal mapping, null for other keys."""
+    return F.get(F.array(*[F.lit(v) for v in mapping.values()]), F.array_position(F.array(*[F.lit(k) for k in mapping]), col).cast("int") - 1)

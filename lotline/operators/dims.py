@@ -48,18 +48,17 @@ def dim_date_covering(df: DataFrame, *date_cols: str) -> DataFrame:
     return dim_date_from_bounds(df.agg(lo.alias("start"), hi.alias("end")))
 
 
-def build_dim(df: DataFrame, cols: Sequence[str | Column], key_name: str, natural_key: str,
-              small: bool | None = None) -> DataFrame:
+def build_dim(df: DataFrame, cols: Sequence[str | Column], key_name: str, natural_key: str) -> DataFrame:
     """Projection plus a dense surrogate key in natural-key order (D-3).
 
     The output has the key first, then ``cols``.
     """
     projected = df.select(*cols)
-    keyed = dense_key(projected, natural_key, key_name, small=small)
+    keyed = dense_key(projected, natural_key, key_name)
     return keyed.select(key_name, *[c for c in projected.columns])
 
 
-def dim_vehicle(vehicle: DataFrame, small: bool | None = None) -> DataFrame:
+def dim_vehicle(vehicle: DataFrame) -> DataFrame:
     """Current, non-deleted vehicles with SCD2 columns (D-2).
 
     effective_from = created_at, effective_to = null, is_current = true;
@@ -69,15 +68,14 @@ def dim_vehicle(vehicle: DataFrame, small: bool | None = None) -> DataFrame:
         "vehicle_id", "vin", "make", "model", "model_year", "branch_id",
         F.col("current_stage").alias("stage"), F.col("current_status").alias("status"),
         F.col("created_at").alias("effective_from"))
-    keyed = dense_key(base, "vehicle_id", "vehicle_key", small=small)
+    keyed = dense_key(base, "vehicle_id", "vehicle_key")
     return keyed.select(
         "vehicle_key", "vehicle_id", "vin", "make", "model", "model_year", "branch_id", "stage", "status",
         "effective_from", F.lit(None).cast(keyed.schema["effective_from"].dataType).alias("effective_to"),
         F.lit(True).alias("is_current"))
 
 
-def dim_staff(staff: DataFrame, staff_role: DataFrame, as_of: Column | str | None = None,
-              small: bool | None = None) -> DataFrame:
+def dim_staff(staff: DataFrame, staff_role: DataFrame, as_of: Column | str | None = None) -> DataFrame:
     """Staff with their alphabetically first role (D-4).
 
     Role validity dates are ignored, as in the reference.  ``effective_from``
@@ -85,7 +83,7 @@ def dim_staff(staff: DataFrame, staff_role: DataFrame, as_of: Column | str | Non
     """
     roles = staff_role.groupBy("staff_id").agg(F.min("role_code").alias("primary_role"))
     full = staff.select("staff_id", "name", "branch_id").join(roles, "staff_id", "left")
-    keyed = dense_key(full, "staff_id", "staff_key", small=small)
+    keyed = dense_key(full, "staff_id", "staff_key")
     eff = F.current_timestamp() if as_of is None else (
         F.lit(as_of).cast("timestamp_ntz") if isinstance(as_of, str) else as_of)
     eff_type = "timestamp_ntz" if isinstance(as_of, str) else "timestamp"

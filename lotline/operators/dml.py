@@ -38,11 +38,13 @@ def merge_matched(target: DataFrame, source: DataFrame, key, set_: Mapping[str,
 
     ``set_`` maps target columns to expressions over the source, written as
     ``F.col("u.<col>")`` (or any literal expression).  Unmatched target rows
-    are unchanged; unmatched source rows are ignored; duplicate source keys
-    fail the job.
+    are unchanged; unmatched source rows are ignored, however often they
+    repeat; several source rows for one target row fail the job.
     """
     ks = _keys(key)
-    src = unique_source(source, ks).withColumn("_matched", F.lit(True)).alias("u")
+    # only keys that the target has can clash, as in Delta
+    reached = source.join(target.select(*ks).distinct(), ks, "left_semi")
+    src = unique_source(reached, ks).withColumn("_matched", F.lit(True)).alias("u")
     t = target.alias("t")
     j = t.join(src, [F.col(f"t.{k}") == F.col(f"u.{k}") for k in ks], "left")
     matched = F.col("u._matched").isNotNull()
@@ -82,12 +84,14 @@ def dedup_latest(df: DataFrame, key, order: Sequence[str] | str) -> DataFrame:
     return agg.select(*ks, *[F.col(f"_r.{c}").alias(c) for c in others]).select(*df.columns)
 
 
-def upsert_since(target: DataFrame, source: DataFrame, key, since, ts_col: str = "updated_at") -> DataFrame:
+def upsert_since(target: DataFrame, source: DataFrame, key, since, ts_col: str = "updated_at", tie_break: str | Sequence[str] | None = None) -> DataFrame:
     """Incremental load (X-8): source rows changed after ``since``, latest per
-    key, replace matching target rows and insert new keys."""
+    key, replace matching target rows and insert new keys.  Rows of a key with
+    the same time go by ``tie_break`` (by all columns when not given)."""
     ks = _keys(key)
     changes = source.filter(F.col(ts_col) > F.lit(since).cast(source.schema[ts_col].dataType))
-    changes = dedup_latest(changes, ks, ts_col).select(*target.columns)
+    ties = [c for c in source.columns if c not in ks] if tie_break is None else [tie_break] if isinstance(tie_break, str) else list(tie_break)
+    changes = dedup_latest(changes, ks, [ts_col, *ties]).select(*target.columns)
     kept = target.join(changes.select(*ks), ks, "left_anti")
     return kept.unionByName(changes)
 

@@ -1,144 +1,68 @@
-"""Surrogate keys (W-2 ... W-5).
-
-``dense_key`` numbers rows 1..n in a stated total order.  A plain
-``row_number() over (order by k)`` moves every row into one task; that is
-only used for dimensions whose size is bounded by construction
-(``small=True``).  The default never sends raw rows to a single partition:
-
-1. rows are cut into *groups* that are contiguous in the order: by default
-   ranges of the leading numeric key, ``floor((k - min k) / width)`` with
-   ``width`` chosen so there are at most ``target_buckets`` groups; callers
-   with a non-unique leading key pass finer groups (e.g. vehicle and day),
-   so one hot vehicle still spreads over many groups;
-2. rows are counted per group (partial aggregation: small output);
-3. exclusive running offsets over the group counts are computed with the
-   same range trick one level up (``prefix_offsets``): a window over at
-   most ``target_buckets`` bucket totals, broadcast back (proven bound),
-   plus a running sum inside each bucket of groups;
-4. key = group offset + ``row_number`` inside the group (hash exchange on
-   the group columns).
+"""Surrogate keys and neighbours in a total order (W-2 ... W-7).
+
+``dense_key`` numbers rows 1..n in a stated total order, by one algorithm at
+every size and for any orderable columns, nulls first:
+
+1. the rows are range-partitioned by all order columns (Spark samples the
+   boundaries, so outliers and hot leading values do not matter as long as
+   the whole order is selective) and written to the shared checkpoint folder
+   with their range's number, so every later pass sees the same rows, also
+   after an executor loss;
+2. the rows of each range are counted; a running sum over one row per range
+   gives each range's offset and is broadcast (as many rows as there are
+   shuffle partitions, whatever the input);
+3. key = offset + ``row_number`` inside the range.
+
+The previous and next row of the whole order come from the same windows; at
+the edges of a range they are handed over with the offsets.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotline.session import cut_lineage
+from lotline.sources.lakehouse import scalar_or_default
 
-def _cols(order) -> list:
-    return [order] if isinstance(order, (str, Column)) else list(order)
-
-
-def _col(c) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def _range_bucket(df: DataFrame, lead: Column, target_buckets: int, out: str) -> DataFrame:
-    """Add ``out`` = range bucket of numeric ``lead``; <= target_buckets values."""
-    stats = df.agg(F.min(lead).alias("_kmin"), F.max(lead).alias("_kmax")).select(
-        F.struct(F.col("_kmin").alias("kmin"),
-                 F.greatest(F.ceil((F.col("_kmax") - F.col("_kmin") + 1) / F.lit(target_buckets)), F.lit(1))
-                 .cast("long").alias("kw")))
-    s = stats.scalar()  # scalar subquery: one row, evaluated once
-    return df.withColumn(out, F.floor((lead - s.getField("kmin")) / s.getField("kw")))
-
-
-def prefix_offsets(counts: DataFrame, order: Sequence[str], n_col: str, out: str = "_off",
-                   target_buckets: int = 4096) -> DataFrame:
-    """Exclusive running sum of ``n_col`` over ``order`` without a
-    single-partition window over ``counts``: range-bucket by the leading
-    numeric column, prefix-sum the (bounded) bucket totals, then run the sum
-    inside each bucket."""
-    order = list(order)
-    b = _range_bucket(counts, F.col(order[0]), target_buckets, "_ob")
-    totals = b.groupBy("_ob").agg(F.sum(n_col).alias("_bt"))
-    bucket_off = totals.select(
-        "_ob", F.coalesce(F.sum("_bt").over(Window.orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)),
-                          F.lit(0)).alias("_boff"))
-    inner = F.coalesce(F.sum(n_col).over(Window.partitionBy("_ob").orderBy(*order)
-                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return (b.join(F.broadcast(bucket_off), "_ob")  # <= target_buckets rows
-            .withColumn(out, (F.col("_boff") + inner).cast("long"))
-            .drop("_ob", "_boff"))
-
-
-# Inputs with at most this many rows are numbered with one window over a
-# single partition (after a row count has proven the bound).
-SMALL_ROWS = 2_000_000
-
-
-def is_small(df: DataFrame) -> bool:
-    """Row count proves the input small enough for one single-partition window."""
-    return df.count() <= SMALL_ROWS
-
-
-def dense_key(df: DataFrame, order, name: str, start: int = 1, small: bool | None = None,
-              group: Sequence[str] | None = None, target_buckets: int = 4096,
-              offset: DataFrame | None = None, materialize: bool = True,
-              write_first: bool = False) -> DataFrame:
-    """Add ``name`` = start, start+1, ... following ``order`` (ascending).
-
-    ``group``: columns forming a prefix of ``order`` whose first column is
-    numeric; rows are numbered inside groups.  Without it the groups are
-    ranges of the (numeric) first order column.  ``offset``: a one-row
-    DataFrame whose single numeric column is added to every key (W-4), as a
-    scalar subquery.
-
-    ``small``: True forces one window over a single partition (only for
-    inputs bounded by construction); None counts the rows first and takes
-    that path only up to ``SMALL_ROWS`` rows, the bucketed path beyond.
 
-    ``materialize``: the bucketed path reads its input several times (range,
-    counts, rows).  The input is first written with a reliable
-    ``checkpoint`` into the shared checkpoint folder, so every pass sees the
-    same rows (also after an executor loss) and nested keyed plans do not
-    grow multiplicatively.
+def dense_key(df: DataFrame, order: str | Sequence[str], name: str, start: int = 1, offset: DataFrame | None = None,
+              prev: Sequence[str] | None = None, nxt: Sequence[str] | None = None) -> DataFrame:
+    """Add ``name`` = start, start+1, ... following ``order`` (columns, ascending, nulls first).
 
-    ``write_first``: for inputs that are expensive to compute (derived by
-    joins), write them once before the size check, so the row count reads
-    the written table instead of recomputing the input.
+    ``offset``: a one-row DataFrame whose single numeric column is added to
+    every key (W-4), as a scalar subquery.  ``prev`` / ``nxt``: columns of
+    the previous / next row in the order, added as structs ``_prev`` /
+    ``_next`` (null at the ends).  Rows that tie in all of ``order`` get
+    consecutive keys in any order among them.
     """
-    order_cols = _cols(order)
-    if write_first and small is None:
-        from lotline.session import cut_lineage
-        df = cut_lineage(df)
-        materialize = False  # already written
-    if small is None:
-        small = is_small(df)
-    if small:
-        out = df.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) + (start - 1)).cast("long"))
-    else:
-        if materialize:
-            from lotline.session import cut_lineage
-            df = cut_lineage(df)
-        if group is None:
-            tagged = _range_bucket(df, _col(order_cols[0]), target_buckets, "_g")
-            gcols = ["_g"]
-        else:
-            tagged, gcols = df, list(group)
-        counts = tagged.groupBy(*gcols).agg(F.count(F.lit(1)).alias("_n"))
-        offs = prefix_offsets(counts, gcols, "_n").drop("_n")
-        if group is None:
-            offs = F.broadcast(offs)  # <= target_buckets rows
-        rn = F.row_number().over(Window.partitionBy(*gcols).orderBy(*order_cols))
-        out = (tagged.join(offs, gcols)
-               .withColumn(name, (F.col("_off") + rn + (start - 1)).cast("long"))
-               .drop("_off", *(["_g"] if group is None else [])))
+    order = [order] if isinstance(order, str) else list(order)
+    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = cut_lineage(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
+    place = F.struct(*order)
+    sides = [(side, F.struct(*cols)) for side, cols in (("_prev", prev), ("_next", nxt)) if cols]
+    edges = [(F.max_by if side == "_prev" else F.min_by)(value, place).alias(f"{side}_edge") for side, value in sides]
+    per_range = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), *edges)
+    by_range = Window.orderBy("_range")  # one row per range
+    before = F.coalesce(F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    handed = [(F.lag if side == "_prev" else F.lead)(f"{side}_edge").over(by_range).alias(f"{side}_edge") for side, _ in sides]
+    offsets = per_range.select("_range", before.alias("_before"), *handed)
+    inside = Window.partitionBy("_range").orderBy(*order)
+    near = [F.coalesce((F.lag if side == "_prev" else F.lead)(value).over(inside), F.col(f"{side}_edge")).alias(side) for side, value in sides]
+    out = cut.join(F.broadcast(offsets), "_range").select(
+        *df.columns, (F.col("_before") + F.row_number().over(inside) + (start - 1)).cast("long").alias(name), *near)
     if offset is not None:
-        off_col = offset.columns[0]
-        base = offset.select(F.coalesce(F.col(off_col), F.lit(0)).cast("long")).scalar()  # one row
+        base = offset.select(F.coalesce(F.col(offset.columns[0]), F.lit(0)).cast("long")).scalar()
         out = out.withColumn(name, F.col(name) + base)
     return out
 
 
-def next_keys(df: DataFrame, order, name: str, existing: DataFrame, existing_key: str,
-              small: bool | None = None, write_first: bool = False) -> DataFrame:
+def next_keys(df: DataFrame, order: str | Sequence[str], name: str, existing: DataFrame, existing_key: str) -> DataFrame:
     """Number new rows after the current maximum of ``existing`` (W-4);
     an empty existing table starts at 1."""
-    mx = existing.agg(F.max(existing_key).alias("_mx"))
-    return dense_key(df, order, name, small=small, offset=mx, write_first=write_first)
+    return dense_key(df, order, name, offset=scalar_or_default(existing, F.max(existing_key), 0, "_mx"))
 
 
 def unique_id(df: DataFrame, name: str) -> DataFrame:

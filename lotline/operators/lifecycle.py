@@ -13,12 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotline.functions.dates import date_key, day_diff, midnight
 from lotline.operators.facts import current
-from lotline.operators.keys import dense_key, is_small
+from lotline.operators.keys import dense_key
 
 # The stage names in the order the reference lists its
 # milestones; the position is the tie-break for stages on the same date.
@@ -163,28 +163,16 @@ def stage_history(events: DataFrame, stage_order: Sequence[str] = STAGES, source
     1..n over (vehicle, date, position, tb); ``from_stage`` is the previous
     row's stage of the same vehicle.
 
-    No window is partitioned by vehicle.  Inputs a row count proves small
-    use one window for ids and the previous row.  Larger inputs are numbered
-    in (vehicle, day) groups (see ``dense_key``) and the previous row is
-    found by an equi-join on ``history_id - 1``, which hashes on a unique
-    key, so one vehicle with a third of all rows still spreads over every
-    task.
+    No window is partitioned by vehicle: ``dense_key`` numbers the rows in
+    ranges of the whole order and hands the previous row over at their
+    edges, so one vehicle with a third of all rows spreads over many tasks.
     """
     pos = F.array_position(F.array(*[F.lit(s) for s in stage_order]), F.col("stage")).cast("int")
     ev = events.withColumn("ord", pos)
     order = ["vehicle_id", "d", "ord", "tb"]
-    if is_small(ev):
-        # size proven small: one window numbers the rows and reads the previous one
-        w = Window.orderBy(*order)
-        j = ev.select("*", F.row_number().over(w).cast("long").alias("history_id"),
-                      F.lag("vehicle_id").over(w).alias("_pv"), F.lag("stage").over(w).alias("_ps"))
-    else:
-        keyed = dense_key(ev, order, "history_id", small=False, group=["vehicle_id", "d"])
-        prev = keyed.select((F.col("history_id") + 1).alias("history_id"), F.col("vehicle_id").alias("_pv"),
-                            F.col("stage").alias("_ps"))
-        j = keyed.join(prev, "history_id", "left")
+    j = dense_key(ev, order, "history_id", prev=["vehicle_id", "stage"])
     return (j.select("history_id", "vehicle_id",
-                    F.when(F.col("_pv") == F.col("vehicle_id"), F.col("_ps")).alias("from_stage"),
+                    F.when(F.col("_prev.vehicle_id") == F.col("vehicle_id"), F.col("_prev.stage")).alias("from_stage"),
                     F.col("stage").alias("to_stage"), midnight("d").alias("changed_at"),
                     F.lit(source_id).cast("long").alias("source_id"),
                     F.lit(None).cast("string").alias("source_record_id")))

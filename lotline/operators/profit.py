@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lotline.functions.money import pct
 from lotline.operators.facts import current
-from lotline.operators.keys import next_keys
+from lotline.operators.keys import dense_key, next_keys
 
 REVENUE_STATUSES = ("FINALIZED", "PENDING_PAYMENT")
 AMOUNT = "decimal(20,2)"
@@ -27,9 +27,10 @@ def _ts(as_of) -> Column:
 
 
 def vehicle_money(fact_purchase: DataFrame, fact_repair: DataFrame, fact_sale: DataFrame,
-                  revenue_statuses=REVENUE_STATUSES) -> DataFrame:
-    """vehicle_key -> purchase cost, repair cost, revenue (max agreed price
-    over the revenue statuses; the reference takes the max, not the sum)."""
+                  revenue_statuses=REVENUE_STATUSES, expense: DataFrame | None = None) -> DataFrame:
+    """vehicle_key -> purchase cost, repair cost (with expenses, if given),
+    revenue (max agreed price over the revenue statuses; the reference takes
+    the max, not the sum)."""
     z = F.lit(None).cast(AMOUNT)
     p = fact_purchase.select("vehicle_key", F.col("price_amount_ngn").cast(AMOUNT).alias("p"),
                              z.alias("r"), z.alias("s"))
@@ -37,6 +38,9 @@ def vehicle_money(fact_purchase: DataFrame, fact_repair: DataFrame, fact_sale: D
                            z.alias("s"))
     s = fact_sale.filter(F.col("status").isin(*revenue_statuses)).select(
         "vehicle_key", z.alias("p"), z.alias("r"), F.col("agreed_price_ngn").cast(AMOUNT).alias("s"))
+    if expense is not None:
+        r = r.unionByName(expense.filter("vehicle_key is not null").select(
+            "vehicle_key", z.alias("p"), F.col("amount_ngn").cast(AMOUNT).alias("r"), z.alias("s")))
     return (p.unionByName(r).unionByName(s)
             .groupBy("vehicle_key")
             .agg(F.sum("p").alias("purchase_cost_ngn"), F.sum("r").alias("repair_cost_ngn"),
@@ -44,14 +48,15 @@ def vehicle_money(fact_purchase: DataFrame, fact_repair: DataFrame, fact_sale: D
 
 
 def fact_profit(dim_vehicle: DataFrame, fact_purchase: DataFrame, fact_repair: DataFrame,
-                fact_sale: DataFrame, as_of=None) -> DataFrame:
+                fact_sale: DataFrame, as_of=None, expense: DataFrame | None = None) -> DataFrame:
     """Profit per current vehicle.
 
     cost = purchase + repair (missing -> 0); profit is null without revenue;
     margin = round(profit / revenue * 100, 2), null when revenue is null or 0.
-    Expenses are not part of the cost (as in the reference).
+    ``expense`` (a fact_expense) is added to the cost where given; without it
+    expenses are not part of the cost (as in the reference).
     """
-    money = vehicle_money(fact_purchase, fact_repair, fact_sale)
+    money = vehicle_money(fact_purchase, fact_repair, fact_sale, expense=expense)
     zero = F.lit(0).cast(AMOUNT)
     cost = (F.coalesce("purchase_cost_ngn", zero) + F.coalesce("repair_cost_ngn", zero))
     return (current(dim_vehicle).select("vehicle_key")
@@ -80,7 +85,6 @@ def profit_snapshot(fact_profit_df: DataFrame, history: DataFrame | None, reason
     appended runs never collide."""
     snap = fact_profit_df.withColumn("reason", F.lit(reason))
     if history is None:
-        from lotline.operators.keys import dense_key
         return dense_key(snap, "vehicle_key", "profit_history_key")
     return next_keys(snap, "vehicle_key", "profit_history_key", history, "profit_history_key")
 
@@ -98,5 +102,4 @@ def profit_changes(new_profit: DataFrame, history: DataFrame, reason: str) -> Da
             & F.col("total_revenue_ngn").eqNullSafe(F.col("_last.total_revenue_ngn"))
             & F.col("profit_ngn").eqNullSafe(F.col("_last.profit_ngn")))
     changed = j.filter(~same).drop("_last").withColumn("reason", F.lit(reason))
-    return next_keys(changed, "vehicle_key", "profit_history_key", history, "profit_history_key",
-                     write_first=True)
+    return next_keys(changed, "vehicle_key", "profit_history_key", history, "profit_history_key")

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def breakdown(df: DataFrame, *keys: str) -> DataFrame:
-    """Row count per key combination (D-26), largest first."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+def breakdown(df: DataFrame, *keys: str, ordered: bool = False) -> DataFrame:
+    """Row count per key combination (D-26); ``ordered``: largest first, then by key (L-1, L-2)."""
+    out = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("count"))
+    return out.orderBy(F.col("count").desc(), *[F.col(k).asc() for k in keys]) if ordered else out
 
 
 def top_k(df: DataFrame, measure: str, k: int, tie_key: str | Sequence[str],

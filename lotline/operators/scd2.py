@@ -52,7 +52,7 @@ def scd2_apply(dim: DataFrame, changes: DataFrame, key: str, tracked: Sequence[s
          else F.col(c)) for c in base_cols])
     fresh = j.filter(in_ch & (~in_cur | changed)).select(
         key, *[F.col(f"_new_{c}").alias(c) for c in tracked])
-    fresh = next_keys(fresh, key, surrogate, dim, surrogate, write_first=True)
+    fresh = next_keys(fresh, key, surrogate, dim, surrogate)
     fresh = fresh.select(*[
         F.col(c) if c in fresh.columns else
         (ts_col.alias(c) if c == "effective_from" else
@@ -69,28 +69,21 @@ def scd2_from_changes(changes: DataFrame, key: str, tracked: Sequence[str], ts:
     Changes of one key are ordered by (ts, tiebreak); a change that repeats
     the tracked values of the previous change of the same key opens no new
     version.  effective_to is the next version's effective_from; the last
-    version is current.  Neighbours are found by equi-joins on a dense
-    sequence number (no window partitioned by key, so a key with a third
-    of all changes still spreads over every task).
+    version is current.  Neighbours come from ranges of the whole order (see
+    ``dense_key``; no window partitioned by key, so a key with a third of all
+    changes still spreads over many tasks).
     """
     tracked = list(tracked)
-    day = F.to_date(F.col(ts)).alias("_day")
-    seq = dense_key(changes.select(key, *tracked, ts, tiebreak, day), [key, "_day", ts, tiebreak], "_seq",
-                    group=[key, "_day"])
-    prev = seq.select((F.col("_seq") + 1).alias("_seq"), F.col(key).alias("_pk"),
-                      *[F.col(c).alias(f"_p_{c}") for c in tracked])
-    j = seq.join(prev, "_seq", "left")
-    same_as_prev = F.col("_pk") == F.col(key)
+    order = [key, ts, tiebreak]
+    seq = dense_key(changes.select(key, *tracked, ts, tiebreak), order, "_seq", prev=[key, *tracked])
+    same_as_prev = F.col(f"_prev.{key}") == F.col(key)
     for c in tracked:
-        same_as_prev = same_as_prev & F.col(c).eqNullSafe(F.col(f"_p_{c}"))
-    starts = j.filter(~F.coalesce(same_as_prev, F.lit(False))).select(key, *tracked, ts, tiebreak, "_day")
-    ver = dense_key(starts, [key, "_day", ts, tiebreak], surrogate, group=[key, "_day"], write_first=True)
-    nxt = ver.select((F.col(surrogate) - 1).alias(surrogate), F.col(key).alias("_nk"),
-                     F.col(ts).alias("_nts"))
-    out = ver.join(nxt, surrogate, "left")
-    has_next = F.coalesce(F.col("_nk") == F.col(key), F.lit(False))
-    return out.select(surrogate, key, *tracked, F.col(ts).alias("effective_from"),
-                      F.when(has_next, F.col("_nts")).alias("effective_to"),
+        same_as_prev = same_as_prev & F.col(c).eqNullSafe(F.col(f"_prev.{c}"))
+    starts = seq.filter(~F.coalesce(same_as_prev, F.lit(False))).select(key, *tracked, ts, tiebreak)
+    ver = dense_key(starts, order, surrogate, nxt=[key, ts])
+    has_next = F.coalesce(F.col(f"_next.{key}") == F.col(key), F.lit(False))
+    return ver.select(surrogate, key, *tracked, F.col(ts).alias("effective_from"),
+                      F.when(has_next, F.col(f"_next.{ts}")).alias("effective_to"),
                       (~has_next).alias("is_current"))
 
 

@@ -22,7 +22,10 @@ from lotline.functions import text as T
 from lotline.functions.dates import date_key, hours_between
 from lotline.operators.facts import current
 from lotline.operators.keys import dense_key
+from lotline.session import cut_lineage
 
+# A gram has some 30 bytes; a longer list of anchors meets the grams in a shuffle.
+ANCHORS = 100_000
 LOT_TOKEN = r"LOT-[0-9]+"
 LOT_SHAPE = r"^LOT-[0-9]+$"
 
@@ -50,15 +53,19 @@ def contains_join(texts: DataFrame, patterns: DataFrame, text_id: str = "text_id
     anchors = (grams.join(freq, ["_a", "_g"])
                .groupBy("_pid", "_pat", "_a")
                .agg(F.min_by("_g", F.struct("_f", "_g")).alias("_g")))
+    anchors = cut_lineage(anchors)
     lens = anchors.agg(F.collect_set("_a")).scalar()  # anchor lengths in use: at most k values
+    wanted = anchors.select("_a", "_g").distinct()
+    few = anchors.count() <= ANCHORS  # so many at most are held against the grams before anything is shuffled
     t = texts.select(F.col(text_id).alias("_tid"), F.col(text).alias("_txt")).filter(F.col("_txt").isNotNull())
-    # gram rows carry only (text id, length, gram): the text itself is not
-    # copied once per position; the few anchor hits are joined back to it
-    tg = (t.select("_tid", "_txt", F.explode(lens).alias("_a"))
-          .filter(F.length("_txt") >= F.col("_a"))
-          .select("_tid", "_txt", "_a",
-                  F.explode(F.sequence(F.lit(1), F.length("_txt") - F.col("_a") + 1)).alias("_pos"))
-          .select("_tid", "_a", F.substring("_txt", F.col("_pos"), F.col("_a")).alias("_g")))
+    # a look-ahead finds the grams of one length at all places in one walk over
+    # the text; gram rows carry only (text id, length, gram), and the few
+    # texts with a hit are joined back
+    grams_of = [F.struct(F.lit(a).alias("_a"), F.when(F.array_contains(F.col("_lens"), a), F.array_distinct(
+        F.regexp_extract_all("_txt", F.lit(f"(?s)(?=(.{{{a}}}))"), F.lit(1)))).alias("_gs")) for a in range(1, k + 1)]
+    tg = (t.withColumn("_lens", lens).select("_tid", F.explode(F.array(*grams_of)).alias("_s"))
+          .select("_tid", F.col("_s._a").alias("_a"), F.explode("_s._gs").alias("_g")))
+    tg = tg.join(F.broadcast(wanted) if few else wanted, ["_a", "_g"], "left_semi")
     cand = tg.join(anchors, ["_a", "_g"]).select("_tid", "_pid", "_pat").distinct()
     hits = cand.join(t, "_tid").filter(F.instr("_txt", F.col("_pat")) > 0)
     return hits.select(F.col("_tid").alias(text_id), F.col("_pid").alias(pattern_id))
@@ -97,7 +104,8 @@ def make_model_candidates(messages: DataFrame, vehicles: DataFrame, text: str =
     models = pairs.select(F.col("md").alias("pattern")).distinct().withColumn("pattern_id", F.col("pattern"))
     mk_hit = contains_join(t, makes, text_id="message_id").select("message_id", F.col("pattern_id").alias("mk"))
     md_hit = contains_join(t, models, text_id="message_id").select("message_id", F.col("pattern_id").alias("md"))
-    both = md_hit.join(pairs, "md").join(mk_hit, ["message_id", "mk"])
+    # makes first: a model that many makes share does not multiply the messages
+    both = mk_hit.join(pairs, "mk").join(md_hit, ["message_id", "md"])
     return both.groupBy("message_id").agg(F.sum("n").alias("n_candidates"), F.min("min_id").alias("cand_min_id"))
 
 

@@ -9,10 +9,16 @@ with integer arithmetic, because DuckDB turns decimal division into double.
 
 from __future__ import annotations
 
-from lotline.functions.text import EVENT_RULES
-from lotline.operators.lifecycle import STAGES
-from lotline.operators.rules import CHECKLIST_PART_MAP, HOLD_REASONS, SEVERITIES
-from lotline.sources.driver import AS_OF, EVENT_STAGES, MESSAGE_TEMPLATES, STAFF_LIMIT
+# Written out here, so that the check does not share its constants with the code it checks.
+AS_OF = "2001-09-01"
+EVENT_STAGES = ("signup", "view", "click", "purchase", "error")
+STAGES = ("PURCHASED", "SHIPPED", "AT_PORT", "CLEARED", "PICKED_UP", "AT_OFFICE", "INSPECTING", "IN_REPAIR", "CLEANED", "LISTED", "SOLD")
+EVENT_RULES = (
+    ("PICKUP", ("picked up", "picking up")),
+    ("OFFICE_ARRIVAL", ("arrived", "at the office")),
+    ("REPAIR_PROGRESS", ("fixed", "bumper", "headlight", "repair", "working on")),
+    ("CUSTOMS_UPDATE", ("held", "duty", "customs")),
+)
 
 A = f"DATE '{AS_OF}'"
 RUN = f"TIMESTAMP '{AS_OF} 00:00:00'"
@@ -45,35 +51,6 @@ def _classify(t: str) -> str:
     return "CASE " + " ".join(parts) + " ELSE 'IGNORE' END"
 
 
-def _message_text() -> str:
-    n = len(MESSAGE_TEMPLATES)
-    slots = {"{m}": "o.o_orderpriority", "{d}": "c.c_name", "{l}": "printf('LOT-%05d', o.o_orderkey)",
-             "{n}": "printf('LOT-%05d', o.o_orderkey + 1)"}
-    whens = []
-    for i, t in enumerate(MESSAGE_TEMPLATES):
-        pieces, rest = [], t
-        while rest:
-            hits = [(rest.find(s), s) for s in slots if rest.find(s) >= 0]
-            if not hits:
-                pieces.append(q(rest))
-                break
-            pos, s = min(hits)
-            if pos:
-                pieces.append(q(rest[:pos]))
-            pieces.append(slots[s])
-            rest = rest[pos + len(s):]
-        whens.append(f"WHEN o.o_orderkey % {n} = {i} THEN " + " || ".join(pieces))
-    return "CASE " + " ".join(whens) + " END"
-
-
-def _part_pick() -> str:
-    whens = []
-    for item, parts in CHECKLIST_PART_MAP.items():
-        arr = "[" + ", ".join("NULL" if p is None else str(p) for p in parts) + "]"
-        whens.append(f"WHEN r.item_id = {item} THEN CAST(({arr})[CAST(r.vehicle_id % {len(parts)} + 1 AS INTEGER)] AS BIGINT)")
-    return "CASE " + " ".join(whens) + " END"
-
-
 # name -> (sql, dependencies)
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
@@ -84,8 +61,8 @@ def cte(name: str, sql: str, *deps: str) -> None:
 
 cte("vehicle", f"""
 SELECT o.o_orderkey AS vehicle_id, printf('VIN%014d', o.o_orderkey) AS vin,
-       printf('LOT-%05d', o.o_orderkey) AS auction_lot_no, o.o_orderpriority AS make, c.c_name AS model,
-       CAST(2012 + o.o_orderkey % 9 AS INTEGER) AS model_year, CAST(c.c_nationkey AS BIGINT) AS branch_id,
+       CASE WHEN o.o_orderstatus = 'P' THEN printf('Hall %d/P', o.o_orderkey) ELSE printf('LOT-%05d', o.o_orderkey) END AS auction_lot_no, o.o_orderpriority AS make, c.c_name AS model,
+       CAST(year(o.o_orderdate) AS INTEGER) AS model_year, CAST(c.c_nationkey AS BIGINT) AS branch_id,
        CASE WHEN o.o_orderstatus = 'F' THEN 'SOLD' WHEN o.o_orderstatus = 'P' THEN 'LISTED' ELSE 'IN_REPAIR' END AS current_stage,
        CASE WHEN o.o_orderstatus = 'F' THEN 'SOLD' ELSE 'ACTIVE' END AS current_status,
        o.o_orderdate AS created_at, o.o_orderdate AS updated_at, o.o_totalprice < 10000 AS is_deleted,
@@ -99,16 +76,16 @@ SELECT ROW_NUMBER() OVER (ORDER BY vehicle_id) AS vehicle_key, vehicle_id, vin,
 FROM vehicle WHERE NOT is_deleted""", "vehicle")
 
 cte("purchase", """
-SELECT o_orderkey AS purchase_id, o_orderkey AS vehicle_id, o_orderkey % 5 AS auction_house_id,
-       o_custkey % 100 AS buyer_staff_id, CAST(o_totalprice AS DECIMAL(14,2)) AS price_amount,
-       'USD' AS price_currency, CAST(o_orderdate AS DATE) AS purchase_date, 1 + o_orderkey % 7 AS source_id
-FROM orders""")
+SELECT o_orderkey AS purchase_id, o_orderkey AS vehicle_id, CAST(n_regionkey AS BIGINT) AS auction_house_id,
+       o_custkey AS buyer_staff_id, CAST(o_totalprice AS DECIMAL(14,2)) AS price_amount,
+       'USD' AS price_currency, CAST(o_orderdate AS DATE) AS purchase_date, CAST(left(o_orderpriority, 1) AS BIGINT) AS source_id
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""")
 
 cte("sale", """
 SELECT o.o_orderkey AS sale_id, o.o_orderkey AS vehicle_id, o.o_custkey AS customer_id,
-       (o.o_custkey + 1) % 100 AS salesperson_staff_id, n.agreed_price, n.sale_date,
+       o.o_custkey AS salesperson_staff_id, n.agreed_price, n.sale_date,
        CASE WHEN o.o_orderstatus = 'F' THEN 'FINALIZED' WHEN o.o_orderstatus = 'P' THEN 'PENDING_PAYMENT'
-            ELSE 'REVERSED' END AS status, 1 + o.o_custkey % 7 AS source_id
+            ELSE 'REVERSED' END AS status, CAST(left(o.o_orderpriority, 1) AS BIGINT) AS source_id
 FROM orders o JOIN (
   SELECT l_orderkey,
          CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) AS DECIMAL(14,2)) AS agreed_price,
@@ -123,16 +100,19 @@ SELECT l_orderkey * 100 + l_linenumber AS line_id, l_orderkey AS repair_job_id,
        l_shipdate AS created_at
 FROM lineitem""")
 
-_reasons = "CASE o_orderkey % 4 " + " ".join(f"WHEN {i} THEN {q(r)}" for i, r in enumerate(HOLD_REASONS)) + " END"
-cte("plan", f"""
+cte("plan", """
 SELECT o_orderkey AS vehicle_id, o_custkey AS customer_key, CAST(o_orderdate AS DATE) AS purchase_date,
-       CAST(20 + o_orderkey % 26 AS INTEGER) AS shipping_days, CAST(3 + o_custkey % 12 AS INTEGER) AS clear_days,
-       o_orderkey % 7 = 3 AS delayed, CAST(10 + o_orderkey % 21 AS INTEGER) AS extra_days,
-       {_reasons} AS hold_reason_draw, o_orderkey % 4 = 0 AS passed_first,
-       CAST(1 + o_orderkey % 3 AS INTEGER) AS n_fails, CAST(3 + o_orderkey % 12 AS INTEGER) AS repair_days,
-       o_orderkey % 10 = 3 AS blocked, o_orderkey % 10 <> 9 AS passed_second, o_orderkey % 20 = 7 AS redo,
-       CAST(125 + o_orderkey % 21 AS INTEGER) AS markup_pct
-FROM orders""")
+       most AS shipping_days, n_lines AS clear_days, returned AS delayed, least AS extra_days,
+       o_orderpriority AS hold_reason_draw, all_done AS passed_first, 2 * n_lines AS repair_days,
+       disc >= 10 AS blocked, o_orderstatus <> 'P' AS passed_second, tax >= 8 AS redo,
+       120 + disc + tax AS markup_pct, most AS sale_days, disc, o_orderpriority = '1-URGENT' AS installment,
+       CAST(left(o_orderpriority, 1) AS BIGINT) AS source_id
+FROM orders JOIN (
+  SELECT l_orderkey, CAST(COUNT(*) AS INTEGER) AS n_lines, CAST(MAX(l_quantity) AS INTEGER) AS most,
+         CAST(MIN(l_quantity) AS INTEGER) AS least, bool_or(l_returnflag = 'R') AS returned,
+         bool_and(l_linestatus = 'F') AS all_done, CAST(round(MAX(l_discount) * 100) AS INTEGER) AS disc,
+         CAST(round(MAX(l_tax) * 100) AS INTEGER) AS tax
+  FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey""")
 
 cte("shipment", f"""
 SELECT *, purchase_date + 2 AS etd, purchase_date + 2 + shipping_days AS eta,
@@ -168,8 +148,8 @@ FROM (SELECT *, inspection_date + 1 AS start_date, {A} - (inspection_date + 1) A
     "inspection_r1")
 
 cte("repair_job", f"""
-SELECT vehicle_id AS repair_job_id, vehicle_id, (customer_key + 2) % {STAFF_LIMIT} AS mechanic_staff_id,
-       start_date, end_date, repair_status AS status, 1 + (vehicle_id + 1) % 7 AS source_id
+SELECT vehicle_id AS repair_job_id, vehicle_id, customer_key AS mechanic_staff_id,
+       start_date, end_date, repair_status AS status, source_id
 FROM repair_chain""", "repair_chain")
 
 cte("inspection", f"""
@@ -209,11 +189,10 @@ FROM (SELECT c.vehicle_id, c.task_date + 1 AS listed_date,
 cte("matured", f"""
 SELECT vehicle_id, listed_date + sale_days AS sale_date,
        CAST({half_even('x5', 100000)} AS DECIMAL(14,2)) AS agreed_price, installment
-FROM (SELECT l.vehicle_id, l.listed_date, CAST(5 + l.vehicle_id % 56 AS INTEGER) AS sale_days,
-             CAST(l.price_amount * 100 AS HUGEINT) * (1000 - l.vehicle_id % 81) AS x5,
-             l.vehicle_id % 5 = 0 AS installment
-      FROM listing l)
-WHERE {A} - listed_date >= sale_days""", "listing")
+FROM (SELECT l.vehicle_id, l.listed_date, p.sale_days,
+             CAST(l.price_amount * 100 AS HUGEINT) * (1000 - 10 * p.disc) AS x5, p.installment
+      FROM listing l JOIN plan p ON l.vehicle_id = p.vehicle_id)
+WHERE {A} - listed_date >= sale_days""", "listing", "plan")
 
 # dimensions
 cte("dim_staff", f"""
@@ -222,10 +201,9 @@ SELECT ROW_NUMBER() OVER (ORDER BY c.c_custkey) AS staff_key, c.c_custkey AS sta
        CAST(NULL AS TIMESTAMP) AS effective_to, TRUE AS is_current
 FROM customer c LEFT JOIN (
   SELECT staff_id, MIN(role_code) AS primary_role FROM (
-    SELECT c_custkey AS staff_id, c_mktsegment AS role_code FROM customer WHERE c_custkey < {STAFF_LIMIT}
-    UNION ALL SELECT c_custkey, 'INSPECTOR' FROM customer WHERE c_custkey < {STAFF_LIMIT} AND c_custkey % 3 = 0)
-  GROUP BY staff_id) r ON c.c_custkey = r.staff_id
-WHERE c.c_custkey < {STAFF_LIMIT}""")
+    SELECT c_custkey AS staff_id, c_mktsegment AS role_code FROM customer
+    UNION ALL SELECT c_custkey, 'INSPECTOR' FROM customer WHERE c_acctbal < 0)
+  GROUP BY staff_id) r ON c.c_custkey = r.staff_id""")
 
 cte("data_source", """
 SELECT CAST(DENSE_RANK() OVER (ORDER BY source_code) AS BIGINT) AS source_id, source_code FROM (
@@ -396,9 +374,14 @@ FROM vehicle v LEFT JOIN (SELECT vehicle_id, arg_max(to_stage, history_id) AS la
                           GROUP BY vehicle_id) u ON v.vehicle_id = u.vehicle_id""", "vehicle", "vehicle_history")
 
 # triage
-cte("raw_message", f"""
-SELECT o.o_orderkey AS message_id, {_message_text()} AS message_text
-FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
+cte("raw_message", """
+SELECT o.o_orderkey AS message_id,
+       concat_ws(' ', CASE o.o_orderpriority WHEN '1-URGENT' THEN 'arrived' WHEN '2-HIGH' THEN 'customs' WHEN '3-MEDIUM' THEN 'fixed'
+                           WHEN '4-NOT SPECIFIED' THEN 'picked up' END,
+                 CASE WHEN o.o_orderstatus = 'O' THEN concat_ws(' ', o.o_orderpriority, c.c_name)
+                      ELSE CASE WHEN o.o_orderstatus = 'P' THEN printf('Hall %d/P', o.o_orderkey) ELSE printf('LOT-%05d', o.o_orderkey) END END, m.text) AS message_text
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
+LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) m ON o.o_orderkey = m.conv_id""")
 
 cte("typed", f"SELECT message_id, message_text, {_classify('message_text')} AS event_type FROM raw_message",
     "raw_message")
@@ -434,9 +417,10 @@ FROM (SELECT t.*, l.lot_vehicle_id, h.n, h.min_id,
 
 cte("receipt_line", """
 SELECT p.purchase_id AS line_id, p.vehicle_id,
-       CASE WHEN p.purchase_id % 5 = 2 THEN CAST(p.price_amount * CAST(1.05 AS DECIMAL(3,2)) AS DECIMAL(14,2))
-            ELSE p.price_amount END AS amount
-FROM purchase p""", "purchase")
+       CASE WHEN o.o_orderstatus = 'F' THEN p.price_amount ELSE COALESCE(l.total, p.price_amount) END AS amount
+FROM purchase p JOIN orders o ON p.purchase_id = o.o_orderkey
+LEFT JOIN (SELECT l_orderkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DECIMAL(14,2)) AS total FROM lineitem
+           GROUP BY l_orderkey) l ON p.purchase_id = l.l_orderkey""", "purchase")
 
 cte("receipt_scored", """
 SELECT r.line_id, r.vehicle_id, r.amount,
@@ -448,24 +432,29 @@ cte("receipt_gated", """
 SELECT *, CASE WHEN confidence_score >= 0.85 THEN 'AUTO_ACCEPTED' ELSE 'PENDING' END AS review_status
 FROM receipt_scored""", "receipt_scored")
 
+MADE = "TIMESTAMP '1995-01-01 06:30:00'"
 cte("ev_tasks", f"""
 SELECT ROW_NUMBER() OVER (ORDER BY event_id) AS task_id, 'EXTRACTED_EVENT' AS source_type, event_id AS source_id,
-       CAST(1 AS BIGINT) AS assigned_to_staff_id, 'OPEN' AS status, {RUN} AS created_at,
-       CAST(NULL AS TIMESTAMP) AS resolved_at
+       CAST(1 AS BIGINT) AS assigned_to_staff_id, {MADE} AS created_at
 FROM extracted_event WHERE review_status = 'PENDING'""", "extracted_event")
 
 cte("review_task", f"""
-SELECT * FROM ev_tasks
-UNION ALL
-SELECT (SELECT COALESCE(MAX(task_id), 0) FROM ev_tasks) + ROW_NUMBER() OVER (ORDER BY line_id),
-       'EXTRACTED_RECEIPT_LINE', line_id, CAST(1 AS BIGINT), 'OPEN', {RUN}, CAST(NULL AS TIMESTAMP)
-FROM receipt_gated WHERE review_status = 'PENDING'""", "ev_tasks", "receipt_gated")
+SELECT t.task_id, t.source_type, t.source_id, t.assigned_to_staff_id,
+       CASE WHEN r.l_orderkey IS NULL THEN 'OPEN' ELSE 'RESOLVED' END AS status, t.created_at, r.last_line AS resolved_at
+FROM (SELECT * FROM ev_tasks
+      UNION ALL
+      SELECT (SELECT COALESCE(MAX(task_id), 0) FROM ev_tasks) + ROW_NUMBER() OVER (ORDER BY line_id),
+             'EXTRACTED_RECEIPT_LINE', line_id, CAST(1 AS BIGINT), {MADE}
+      FROM receipt_gated WHERE review_status = 'PENDING') t
+LEFT JOIN (SELECT l_orderkey, MAX(l_shipdate) AS last_line FROM lineitem
+           WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P') GROUP BY l_orderkey) r
+     ON t.source_id = r.l_orderkey""", "ev_tasks", "receipt_gated")
 
 cte("review_queue", f"""
 SELECT t.task_id AS task_key, src.source_key, st.staff_key AS assigned_staff_key,
        {dk('t.created_at')} AS created_date_key, {dk('t.resolved_at')} AS resolved_date_key,
        CASE WHEN t.source_type = 'EXTRACTED_EVENT' THEN e.confidence_score ELSE r.confidence_score END AS confidence_score,
-       CAST(NULL AS DOUBLE) AS resolution_hours, t.status
+       epoch(t.resolved_at - t.created_at) / 3600.0 AS resolution_hours, t.status
 FROM review_task t
 LEFT JOIN extracted_event e ON t.source_type = 'EXTRACTED_EVENT' AND t.source_id = e.event_id
 LEFT JOIN receipt_scored r ON t.source_type <> 'EXTRACTED_EVENT' AND t.source_id = r.line_id
@@ -558,7 +547,7 @@ FROM listing l LEFT JOIN (SELECT DISTINCT vehicle_id FROM sale WHERE status IN (
 SELECT vehicle_id, CAST(price_amount AS DOUBLE) AS price_amount, purchase_date FROM purchase
 ORDER BY vehicle_id LIMIT 10""", "purchase"),
     "landed_events": sql(f"""
-SELECT event_id, event_type, {RUN} AS ingested_at, 'events.parquet' AS source_file FROM events"""),
+SELECT *, {RUN} AS ingested_at, 'events.parquet' AS source_file FROM events"""),
     "fact_purchase": sql("SELECT * FROM fact_purchase_full", "fact_purchase_full"),
     "fact_repair": sql("SELECT * FROM fact_repair_full", "fact_repair_full"),
     "fact_sale": sql("SELECT * FROM fact_sale_full", "fact_sale_full"),
@@ -595,7 +584,7 @@ SELECT dv.vehicle_key,
        CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(14,2)) * CAST(l.l_tax AS DECIMAL(4,2)) AS DECIMAL(14,2)) AS DOUBLE) AS amount_ngn,
        'NGN' AS currency
 FROM lineitem l LEFT JOIN dim_vehicle dv ON l.l_orderkey = dv.vehicle_id
-LEFT JOIN dim_source src ON 1 + l.l_orderkey % 7 = src.source_id""", "dim_vehicle", "dim_source"),
+LEFT JOIN dim_source src ON l.l_linenumber = src.source_id""", "dim_vehicle", "dim_source"),
     "fact_vehicle_lifecycle": sql("SELECT * FROM lifecycle", "lifecycle"),
     "avg_cycle_days": sql("""
 SELECT AVG(total_days_purchase_to_sale) AS avg_days_purchase_to_sale FROM lifecycle WHERE current_stage = 'SOLD'""",
@@ -620,7 +609,8 @@ FROM events_history h LEFT JOIN (VALUES ('signup', 3), ('view', 2), ('click', 2)
      s(stage, sla_days) ON h.to_stage = s.stage""", "events_history"),
     "listing_sold_sync": sql(f"""
 SELECT l.listing_id, l.vehicle_id, CAST(l.price_amount AS DOUBLE) AS price_amount, 'NGN' AS currency, l.listed_date,
-       CASE WHEN s.vehicle_id IS NOT NULL THEN 'SOLD' ELSE 'ACTIVE' END AS status, {RUN} AS updated_at
+       CASE WHEN s.vehicle_id IS NOT NULL THEN 'SOLD' ELSE 'ACTIVE' END AS status,
+       CASE WHEN s.vehicle_id IS NOT NULL THEN {RUN} ELSE CAST(l.listed_date AS TIMESTAMP) END AS updated_at
 FROM listing l LEFT JOIN (SELECT DISTINCT vehicle_id FROM sale WHERE status IN ('FINALIZED', 'PENDING_PAYMENT')) s
      ON l.vehicle_id = s.vehicle_id""", "listing", "sale"),
     "status_shipment": sql("SELECT shipment_status, COUNT(*) AS count FROM shipment GROUP BY 1", "shipment"),
@@ -637,16 +627,16 @@ FROM listing l LEFT JOIN (SELECT DISTINCT vehicle_id FROM sale WHERE status IN (
     "inspection_results": sql("""
 SELECT i.inspection_id, it.item_id, CASE WHEN f.item_id IS NOT NULL THEN 'FAIL' ELSE 'PASS' END AS pass_fail
 FROM inspection i CROSS JOIN (SELECT CAST(range AS BIGINT) AS item_id FROM range(1, 9)) it
-LEFT JOIN (SELECT DISTINCT r.inspection_id, (r.vehicle_id + t.j * 3) % 8 + 1 AS item_id
-           FROM inspection_r1 r CROSS JOIN (SELECT range AS j FROM range(0, 3)) t
-           WHERE r.overall_result = 'FAIL' AND t.j < r.n_fails) f
+LEFT JOIN (SELECT DISTINCT r.inspection_id, l.l_linenumber AS item_id
+           FROM inspection_r1 r JOIN lineitem l ON r.vehicle_id = l.l_orderkey
+           WHERE r.overall_result = 'FAIL' AND l.l_linestatus = 'O') f
      ON i.inspection_id = f.inspection_id AND it.item_id = f.item_id""", "inspection", "inspection_r1"),
-    "damage_items": sql(f"""
-SELECT r.inspection_id * 10 + r.item_id AS damage_id, r.inspection_id, r.item_id, {_part_pick()} AS part_id,
-       ({_list(SEVERITIES)})[CAST((r.vehicle_id + r.item_id) % 3 + 1 AS INTEGER)] AS severity
-FROM (SELECT DISTINCT i.inspection_id, i.vehicle_id, (i.vehicle_id + t.j * 3) % 8 + 1 AS item_id
-      FROM inspection_r1 i CROSS JOIN (SELECT range AS j FROM range(0, 3)) t
-      WHERE i.overall_result = 'FAIL' AND t.j < i.n_fails) r""", "inspection_r1"),
+    "damage_items": sql("""
+SELECT r.inspection_id * 10 + l.l_linenumber AS damage_id, r.inspection_id, CAST(l.l_linenumber AS BIGINT) AS item_id,
+       MIN(l.l_partkey) AS part_id,
+       CASE MAX(l.l_returnflag) WHEN 'N' THEN 'LOW' WHEN 'A' THEN 'MEDIUM' WHEN 'R' THEN 'HIGH' END AS severity
+FROM inspection_r1 r JOIN lineitem l ON r.vehicle_id = l.l_orderkey
+WHERE r.overall_result = 'FAIL' AND l.l_linestatus = 'O' GROUP BY r.inspection_id, l.l_linenumber""", "inspection_r1"),
     "repair_jobs": sql("SELECT * FROM repair_job", "repair_job"),
     "latest_passed": sql("SELECT * FROM latest_passed", "latest_passed"),
     "cleaning_tasks": sql("SELECT * FROM cleaning_task", "cleaning_task"),
@@ -674,16 +664,48 @@ FROM review_queue GROUP BY 1, 2""", "review_queue"),
     "scd2_user_versions": sql("SELECT * FROM scd2_versions", "scd2_versions"),
     "scd2_apply_batch": sql("SELECT * FROM scd2_applied", "scd2_applied"),
     "state_as_of": sql(f"""
-SELECT event_type, COUNT(*) AS count FROM scd2_versions
-WHERE effective_from <= {CUT} AND (effective_to IS NULL OR {CUT} < effective_to) GROUP BY 1""", "scd2_versions"),
+SELECT user_id, event_type, effective_from FROM scd2_versions
+WHERE effective_from <= {CUT} AND (effective_to IS NULL OR {CUT} < effective_to)""", "scd2_versions"),
     "dedup_messages": sql("""
 SELECT conv_id, turn, role, text || ' (edited)' AS text, TIMESTAMP '2024-01-02 00:00:00' AS ingested_at
 FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)"""),
-    "upsert_vehicles": sql("SELECT current_stage, current_status, COUNT(*) AS count FROM vehicle_synced GROUP BY 1, 2",
-                           "vehicle_synced"),
-    "soft_delete_reversed": sql("""
-SELECT is_deleted OR vehicle_id IN (SELECT vehicle_id FROM sale WHERE status = 'REVERSED') AS is_deleted, COUNT(*) AS count
-FROM vehicle GROUP BY 1""", "vehicle", "sale"),
+    "upsert_vehicles": sql("""
+SELECT vehicle_id, CASE WHEN updated_at > TIMESTAMP '1998-01-01 00:00:00' THEN current_stage || '_LOADED' ELSE current_stage END AS current_stage,
+       current_status, updated_at
+FROM vehicle""", "vehicle"),
+    "soft_delete_reversed": sql(f"""
+SELECT v.vehicle_id, v.is_deleted OR s.vehicle_id IS NOT NULL AS is_deleted,
+       CASE WHEN s.vehicle_id IS NOT NULL THEN {RUN} ELSE v.deleted_at END AS deleted_at
+FROM vehicle v LEFT JOIN (SELECT DISTINCT vehicle_id FROM sale WHERE status = 'REVERSED') s ON v.vehicle_id = s.vehicle_id""",
+                                "vehicle", "sale"),
+    "source_mix_by_branch_and_date": sql("""
+SELECT entity, branch_id, day, source_id, COUNT(*) AS records,
+       round(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (PARTITION BY entity, branch_id, day), 2) AS pct_of_records
+FROM (SELECT 'purchase' AS entity, v.branch_id, purchase_date AS day, source_id FROM purchase JOIN vehicle v USING (vehicle_id)
+      UNION ALL SELECT 'sale', v.branch_id, sale_date, source_id FROM sale JOIN vehicle v USING (vehicle_id))
+GROUP BY 1, 2, 3, 4""", "purchase", "sale", "vehicle"),
+    "customers_by_name": sql("""
+SELECT ROW_NUMBER() OVER w AS name_key, c_mktsegment, c_name, LAG(c_name) OVER w AS prev_name, LEAD(c_name) OVER w AS next_name
+FROM customer WINDOW w AS (ORDER BY c_mktsegment, c_name)"""),
+    "sold_by_date": sql("""
+SELECT sold_date, o_orderkey, ROW_NUMBER() OVER (ORDER BY sold_date NULLS FIRST, o_orderkey) AS sale_no
+FROM (SELECT CASE WHEN o_orderstatus = 'F' THEN CAST(o_orderdate AS DATE) END AS sold_date, o_orderkey FROM orders)"""),
+    "status_sale_ordered": sql("""
+SELECT status, COUNT(*) AS count, ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, status) AS place FROM sale GROUP BY status""", "sale"),
+    "fact_profit_with_expenses": sql("""
+SELECT vehicle_key, CAST(cost AS DOUBLE) AS total_cost_ngn, CAST(total_revenue_ngn AS DOUBLE) AS total_revenue_ngn,
+       CAST(total_revenue_ngn - cost AS DOUBLE) AS profit_ngn,
+       CASE WHEN total_revenue_ngn <> 0 THEN round(CAST(total_revenue_ngn - cost AS DOUBLE) / CAST(total_revenue_ngn AS DOUBLE) * 100, 2) END AS margin_pct,
+       calculated_at
+FROM (SELECT p.*, p.total_cost_ngn + COALESCE(e.expenses, 0) AS cost FROM fact_profit p LEFT JOIN (
+        SELECT dv.vehicle_key, SUM(CAST(CAST(l_extendedprice AS DECIMAL(14,2)) * CAST(l_tax AS DECIMAL(4,2)) AS DECIMAL(14,2))) AS expenses
+        FROM lineitem JOIN dim_vehicle dv ON l_orderkey = dv.vehicle_id GROUP BY 1) e ON p.vehicle_key = e.vehicle_key)""",
+                                     "fact_profit", "dim_vehicle"),
+    "benchmark_in_documents": sql("""
+SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON length(b.text) > 0 AND contains(d.text, b.text)"""),
+    "versioned_listing": sql("""
+SELECT n_nationkey, n_name, 1 AS version FROM nation WHERE n_nationkey >= 5
+UNION ALL SELECT n_nationkey, n_name, 2 FROM nation WHERE n_nationkey < 3"""),
     "contract_violations": sql(f"""
 SELECT 'repair_job_part' AS "table", 'not_null' AS rule, 'line_id' AS "column", CAST(COUNT(*) FILTER (WHERE line_id IS NULL) AS BIGINT) AS failing FROM repair_job_part
 UNION ALL SELECT 'repair_job_part', 'not_null', 'part_id', COUNT(*) FILTER (WHERE part_id IS NULL) FROM repair_job_part
@@ -694,7 +716,7 @@ UNION ALL SELECT 'purchase', 'not_null', 'vehicle_id', COUNT(*) FILTER (WHERE ve
 UNION ALL SELECT 'purchase', 'not_null', 'price_amount', COUNT(*) FILTER (WHERE price_amount IS NULL) FROM purchase
 UNION ALL SELECT 'purchase', 'allowed_values', 'price_currency', COUNT(*) FILTER (WHERE price_currency NOT IN ('USD', 'NGN')) FROM purchase
 UNION ALL SELECT 'purchase', 'unique', 'purchase_id', COALESCE(SUM(n), 0) FROM (SELECT COUNT(*) AS n FROM purchase GROUP BY purchase_id HAVING COUNT(*) > 1)
-UNION ALL SELECT 'purchase', 'foreign_key', 'buyer_staff_id', COUNT(*) FROM purchase p WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey < {STAFF_LIMIT} AND c.c_custkey = p.buyer_staff_id)
+UNION ALL SELECT 'purchase', 'foreign_key', 'buyer_staff_id', COUNT(*) FROM purchase p WHERE NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = p.buyer_staff_id)
 UNION ALL SELECT 'review_task', 'not_null', 'source_id', COUNT(*) FILTER (WHERE source_id IS NULL) FROM review_task
 UNION ALL SELECT 'review_task', 'allowed_values', 'status', COUNT(*) FILTER (WHERE status NOT IN ('OPEN', 'IN_PROGRESS', 'RESOLVED', 'DISMISSED')) FROM review_task
 UNION ALL SELECT 'review_task', 'polymorphic_fk', 'source_type,source_id', COUNT(*) FROM review_task t

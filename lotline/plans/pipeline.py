@@ -13,13 +13,15 @@ from __future__ import annotations
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lotline.operators import dims as D
 from lotline.operators import facts as FX
 from lotline.operators import lifecycle as L
 from lotline.operators import profit as P
 from lotline.operators import triage as TR
-from lotline.sources.lakehouse import read_table, write_table
+from lotline.operators import dml
+from lotline.sources.lakehouse import read_table, table_exists, write_table, write_version
 
 MILESTONE_TABLES = ("purchase", "shipment", "port_arrival", "pickup", "office_intake", "inspection",
                     "repair_job", "cleaning_task", "listing", "sale")
@@ -70,17 +72,29 @@ def build_gold(spark: SparkSession, root: str, calendar: tuple[str, str] = ("202
     w(P.fact_profit(dv, out["fact_purchase"], out["fact_repair"], out["fact_sale"], as_of=run_ts), "fact_profit")
 
     # append-only audit history: keys continue after the last run's maximum
-    try:
-        history = read_table(spark, root, "gold", "fact_profit_history")
-        history.schema  # noqa: B018  (raises when the table does not exist yet)
-    except Exception:
-        history = None
-    snap = P.profit_snapshot(out["fact_profit"], history, reason)
+    if table_exists(spark, root, "gold", "fact_profit_history"):
+        snap = P.profit_changes(out["fact_profit"], read_table(spark, root, "gold", "fact_profit_history"), reason)
+    else:
+        snap = P.profit_snapshot(out["fact_profit"], None, reason)
     write_table(snap, root, "gold", "fact_profit_history", mode="append")
     out["fact_profit_history"] = read_table(spark, root, "gold", "fact_profit_history")
     return out
 
 
+def sync_current_state(spark: SparkSession, root: str, sources, as_of: str | None = None) -> None:
+    """Bring silver up to date (D-20, D-21): the vehicles' stages from their
+    milestones (``sources`` as in ``lifecycle.stage_events``), and listings of
+    sold vehicles; each as a new version of its table."""
+    history = L.stage_history(L.stage_events(sources))
+    vehicle = L.sync_current_stage(read_table(spark, root, "silver", "vehicle"), history, as_of=as_of)
+    write_version(vehicle, root, "silver", "vehicle")
+    listing = read_table(spark, root, "silver", "listing")
+    sold = read_table(spark, root, "silver", "sale").filter(F.col("status").isin("FINALIZED", "PENDING_PAYMENT")).select("vehicle_id")
+    now = F.current_timestamp() if as_of is None else F.lit(as_of)
+    write_version(dml.update_where_in(listing, sold, "vehicle_id", {"status": F.lit("SOLD"), "updated_at": now.cast(listing.schema["updated_at"].dataType)}),
+                  root, "silver", "listing")
+
+
 def build_triage(spark: SparkSession, root: str, run_ts: str | None = None) -> dict[str, DataFrame]:
     """Extracted events, scored receipt lines, review tasks (events first,
     receipts numbered after them) and the review-queue fact."""

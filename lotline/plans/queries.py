@@ -8,8 +8,8 @@ from exact decimals at the very end), so both engines hash equal values.
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
-from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,11 +25,15 @@ from lotline.operators import reports as RP
 from lotline.operators import rules as R
 from lotline.operators import scd2
 from lotline.operators import triage as TR
-from lotline.sources.driver import AS_OF, EVENT_STAGES, FX_RATE, DriverSilver
-from lotline.session import cut_lineage
+from lotline.functions.text import lookup
+from lotline.sources.driver import AS_OF, EVENT_STAGES, FX_RATE, SEVERITY_OF_FLAG, DriverSilver
+from lotline.operators.keys import dense_key
+from lotline.session import cut_lineage, ensure_checkpoint_dir
+from lotline.sources.lakehouse import read_table, write_table, write_version
 from lotline.sources.landing import explode_payload, land_raw
 
 RUN_TS = f"{AS_OF} 00:00:00"
+TASK_TS = "1995-01-01 06:30:00"
 EVENTS_CUTOFF = "2024-01-15 00:00:00"
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -49,12 +53,9 @@ def money_out(df: DataFrame) -> DataFrame:
                        else F.col(f.name) for f in df.schema.fields])
 
 
-_GOLD: dict[tuple, "Gold"] = {}
-
-
 def _written(fn):
-    """A table the pipeline writes once per session (reliable checkpoint
-    into the shared checkpoint folder) and every later query reads."""
+    """A table that several steps of one query read: written once to the
+    shared checkpoint folder and read back."""
     attr = "_w_" + fn.__name__
 
     @functools.wraps(fn)
@@ -66,32 +67,28 @@ def _written(fn):
 
 
 class LazyDims(dict):
-    """Dimension lookups built on first use only."""
+    """Dimension lookups built on first use, each written as a table: its size
+    is then known, so Spark broadcasts the small ones by their size and only
+    joins on the large ones shuffle."""
 
     def __init__(self, s: DriverSilver):
         super().__init__()
-        # bounded by construction (no size check needed): region has 5 rows
-        # and nation 25 by the TPC-H definition, staff are customer keys
-        # below STAFF_LIMIT, data sources are the event types plus two codes;
-        # vendor, part and customer grow with the scale and get the check
         self._build = {
             "auction_house": lambda: D.build_dim(s.auction_house, ["auction_house_id", "name", "country"],
-                                                 "auction_house_key", "auction_house_id", small=True),
-            "staff": lambda: D.dim_staff(s.staff, s.staff_role, as_of=RUN_TS, small=True),
-            "branch": lambda: D.build_dim(s.branch, ["branch_id", "name", "is_active"], "branch_key", "branch_id",
-                                          small=True),
-            "source": lambda: D.build_dim(s.data_source, ["source_id", "source_code"], "source_key", "source_id",
-                                          small=True),
+                                                 "auction_house_key", "auction_house_id"),
+            "staff": lambda: D.dim_staff(s.staff, s.staff_role, as_of=RUN_TS),
+            "branch": lambda: D.build_dim(s.branch, ["branch_id", "name", "is_active"], "branch_key", "branch_id"),
+            "source": lambda: D.build_dim(s.data_source, ["source_id", "source_code"], "source_key", "source_id"),
             "part": lambda: D.build_dim(s.part, ["part_id", "name", "category"], "part_key", "part_id"),
             "vendor": lambda: D.build_dim(s.vendor, ["vendor_id", "name"], "vendor_key", "vendor_id"),
-            "customer": lambda: D.build_dim(s.customer, ["customer_id", "name", "phone"], "customer_key",
-                                            "customer_id"),
+            "customer": lambda: D.build_dim(s.customer, ["customer_id", "name", "phone"], "customer_key", "customer_id"),
+            "expense_category": lambda: D.dim_expense_category(s.spark),
         }
 
     def __missing__(self, key):
         if key not in self._build:
             raise KeyError(key)
-        self[key] = self._build[key]()
+        self[key] = cut_lineage(self._build[key]())
         return self[key]
 
     def get(self, key, default=None):
@@ -99,27 +96,18 @@ class LazyDims(dict):
 
 
 class Gold:
-    """Dimensions built once per query and shared by the facts.
+    """Dimensions and facts of one query over one scale folder.
 
-    Dimensions are materialized (reliable checkpoint into the shared
-    checkpoint folder), as a pipeline writes them before building facts:
-    every fact then reads the finished dimension instead of re-deriving its
-    keys.
+    Tables that several steps read are written to the shared checkpoint folder
+    first, as a pipeline writes its layers; nothing is kept from one query to
+    the next.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.s = DriverSilver.shared(spark, sf_dir)
-
-    @classmethod
-    def shared(cls, spark: SparkSession, sf_dir: str) -> "Gold":
-        key = (spark.conf.get("spark.app.id", "session"), sf_dir.rstrip("/"))
-        if key not in _GOLD:
-            _GOLD[key] = cls(spark, sf_dir)
-        return _GOLD[key]
+        self.s = DriverSilver(spark, sf_dir)
 
     @functools.cached_property
     def dim_vehicle(self) -> DataFrame:
-        # written once per session, read by every fact
         return cut_lineage(D.dim_vehicle(self.s.vehicle))
 
     @functools.cached_property
@@ -184,89 +172,92 @@ class Gold:
 
     @_written
     def review_tasks(self) -> DataFrame:
-        ev_tasks = TR.review_tasks(self.extracted_event(), "event_id", "EXTRACTED_EVENT", as_of=RUN_TS)
+        ev_tasks = TR.review_tasks(self.extracted_event(), "event_id", "EXTRACTED_EVENT", as_of=TASK_TS)
         rc_tasks = TR.review_tasks(self.receipt_lines(), "line_id", "EXTRACTED_RECEIPT_LINE",
-                                   existing=ev_tasks, as_of=RUN_TS)
-        return ev_tasks.unionByName(rc_tasks)
+                                   existing=ev_tasks, as_of=TASK_TS)
+        tasks = ev_tasks.unionByName(rc_tasks)
+        # tasks of final orders have been resolved since
+        return dml.merge_matched(tasks, self.s.resolution, "source_id", {
+            "status": F.lit("RESOLVED"), "resolved_at": F.col("u.resolved_at")})
 
 
 # ----------------------------------------------------------------- dims
 
 @query("dim_date_orders")
 def q_dim_date(spark, sf):
-    return D.dim_date_covering(DriverSilver.shared(spark, sf).raw("orders"), "o_orderdate")
+    return D.dim_date_covering(DriverSilver(spark, sf).raw("orders"), "o_orderdate")
 
 
 @query("dim_vehicle")
 def q_dim_vehicle(spark, sf):
-    return Gold.shared(spark, sf).dim_vehicle
+    return Gold(spark, sf).dim_vehicle
 
 
 @query("dim_staff")
 def q_dim_staff(spark, sf):
-    return Gold.shared(spark, sf).dims["staff"]
+    return Gold(spark, sf).dims["staff"]
 
 
 @query("dim_part")
 def q_dim_part(spark, sf):
-    return Gold.shared(spark, sf).dims["part"]
+    return Gold(spark, sf).dims["part"]
 
 
 @query("dim_customer")
 def q_dim_customer(spark, sf):
-    return Gold.shared(spark, sf).dims["customer"]
+    return Gold(spark, sf).dims["customer"]
 
 
 @query("dim_vendor")
 def q_dim_vendor(spark, sf):
-    return Gold.shared(spark, sf).dims["vendor"]
+    return Gold(spark, sf).dims["vendor"]
 
 
 @query("dim_branch")
 def q_dim_branch(spark, sf):
-    return Gold.shared(spark, sf).dims["branch"]
+    return Gold(spark, sf).dims["branch"]
 
 
 @query("dim_auction_house")
 def q_dim_auction(spark, sf):
-    return Gold.shared(spark, sf).dims["auction_house"]
+    return Gold(spark, sf).dims["auction_house"]
 
 
 @query("dim_data_source")
 def q_dim_source(spark, sf):
-    return Gold.shared(spark, sf).dims["source"]
+    return Gold(spark, sf).dims["source"]
 
 
 # ----------------------------------------------------------------- facts
 
 @query("fact_purchase")
 def q_fact_purchase(spark, sf):
-    return money_out(Gold.shared(spark, sf).fact_purchase())
+    return money_out(Gold(spark, sf).fact_purchase())
 
 
 @query("fact_repair")
 def q_fact_repair(spark, sf):
-    return money_out(Gold.shared(spark, sf).fact_repair())
+    return money_out(Gold(spark, sf).fact_repair())
 
 
 @query("fact_sale")
 def q_fact_sale(spark, sf):
-    return money_out(Gold.shared(spark, sf).fact_sale())
+    return money_out(Gold(spark, sf).fact_sale())
 
 
 @query("fact_profit")
 def q_fact_profit(spark, sf):
-    return money_out(Gold.shared(spark, sf).fact_profit())
+    return money_out(Gold(spark, sf).fact_profit())
 
 
 @query("profit_summary")
 def q_profit_summary(spark, sf):
-    return money_out(P.profit_summary(Gold.shared(spark, sf).fact_profit()))
+    return money_out(P.profit_summary(Gold(spark, sf).fact_profit()))
 
 
 @query("top_profits")
 def q_top_profits(spark, sf):
-    fp = Gold.shared(spark, sf).fact_profit().filter(F.col("profit_ngn").isNotNull())
+    fp = Gold(spark, sf).fact_profit().filter(F.col("profit_ngn").isNotNull())
     return money_out(RP.top_k(fp, "profit_ngn", 10, "vehicle_key",
                               ["vehicle_key", "total_cost_ngn", "total_revenue_ngn", "profit_ngn", "margin_pct"]))
 
@@ -275,7 +266,7 @@ def q_top_profits(spark, sf):
 def q_profit_history(spark, sf):
     """Two runs appended: the first snapshot (repair lines shipped by the
     cut-off only), then the re-run audit of vehicles whose profit changed."""
-    g = Gold.shared(spark, sf)
+    g = Gold(spark, sf)
     dv = g.dim_vehicle
     early_lines = g.s.repair_job_part.filter(F.col("created_at") < F.lit("1998-01-01").cast("timestamp_ntz"))
     first = P.fact_profit(dv, g.fact_purchase(False), FX.fact_repair(early_lines, g.s.repair_job, dv),
@@ -288,50 +279,49 @@ def q_profit_history(spark, sf):
 
 @query("fact_expense")
 def q_fact_expense(spark, sf):
-    s = DriverSilver.shared(spark, sf)
-    li = s.raw("lineitem")
+    g = Gold(spark, sf)
+    li = g.s.raw("lineitem")
     expense = li.select(
         F.col("l_orderkey").alias("vehicle_id"),
         F.when(F.col("l_returnflag") == "A", "CUSTOMS").when(F.col("l_returnflag") == "N", "TRANSPORT")
         .when(F.col("l_returnflag") == "R", "REPAIR").otherwise("MISC").alias("category"),
         (F.col("l_extendedprice").cast("decimal(14,2)") * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(14,2)")
         .alias("amount"), F.lit("NGN").alias("currency"), F.to_date("l_shipdate").alias("expense_date"),
-        (F.lit(1) + F.col("l_orderkey") % 7).alias("source_id"))
-    dims = {"expense_category": D.dim_expense_category(spark), "source": Gold.shared(spark, sf).dims["source"]}
-    return money_out(FX.fact_expense(expense, D.dim_vehicle(s.vehicle), dims))
+        F.col("l_linenumber").cast("long").alias("source_id"))
+    return money_out(FX.fact_expense(expense, g.dim_vehicle, g.dims))
 
 
 # ----------------------------------------------------------------- lifecycle
 
 @query("fact_vehicle_lifecycle")
 def q_lifecycle(spark, sf):
-    return Gold.shared(spark, sf).lifecycle()
+    return Gold(spark, sf).lifecycle()
 
 
 @query("avg_cycle_days")
 def q_avg_cycle(spark, sf):
-    return RP.avg_cycle_days(Gold.shared(spark, sf).lifecycle())
+    return RP.avg_cycle_days(Gold(spark, sf).lifecycle())
 
 
 @query("top_longest_cycles")
 def q_top_cycles(spark, sf):
-    return RP.top_k(Gold.shared(spark, sf).lifecycle(), "total_days_purchase_to_sale", 10, "vehicle_key",
+    return RP.top_k(Gold(spark, sf).lifecycle(), "total_days_purchase_to_sale", 10, "vehicle_key",
                     ["vehicle_key", "current_stage", "total_days_purchase_to_sale"])
 
 
 @query("stage_history_events")
 def q_hist_events(spark, sf):
-    return Gold.shared(spark, sf).events_history()
+    return Gold(spark, sf).events_history()
 
 
 @query("stage_history_vehicles")
 def q_hist_vehicles(spark, sf):
-    return Gold.shared(spark, sf).vehicle_history()
+    return Gold(spark, sf).vehicle_history()
 
 
 @query("vehicle_stage_sync")
 def q_stage_sync(spark, sf):
-    g = Gold.shared(spark, sf)
+    g = Gold(spark, sf)
     v = L.sync_current_stage(g.s.vehicle, g.vehicle_history(), as_of=RUN_TS)
     return v.select("vehicle_id", "current_stage", "current_status", "updated_at")
 
@@ -340,12 +330,12 @@ def q_stage_sync(spark, sf):
 def q_time_in_stage(spark, sf):
     sla = spark.createDataFrame([(s, d) for s, d in zip(EVENT_STAGES, (3, 2, 2, 5, 1))],
                                 "stage string, sla_days int")
-    return L.time_in_stage(Gold.shared(spark, sf).events_history(), sla, as_of="2024-01-31 00:00:00")
+    return L.time_in_stage(Gold(spark, sf).events_history(), sla, as_of="2024-01-31 00:00:00")
 
 
 @query("listing_sold_sync")
 def q_listing_sync(spark, sf):
-    g = Gold.shared(spark, sf)
+    g = Gold(spark, sf)
     sold = g.s.sale.filter(F.col("status").isin("FINALIZED", "PENDING_PAYMENT")).select("vehicle_id")
     out = dml.update_where_in(g.s.listing, sold, "vehicle_id",
                               {"status": F.lit("SOLD"), "updated_at": F.lit(RUN_TS).cast("timestamp_ntz")})
@@ -356,32 +346,32 @@ def q_listing_sync(spark, sf):
 
 @query("status_shipment")
 def q_st_ship(spark, sf):
-    return RP.breakdown(DriverSilver.shared(spark, sf).shipment, "shipment_status")
+    return RP.breakdown(DriverSilver(spark, sf).shipment, "shipment_status")
 
 
 @query("status_clearance")
 def q_st_clear(spark, sf):
-    return RP.breakdown(DriverSilver.shared(spark, sf).port_arrival, "clearance_status")
+    return RP.breakdown(DriverSilver(spark, sf).port_arrival, "clearance_status")
 
 
 @query("status_inspection")
 def q_st_insp(spark, sf):
-    return RP.breakdown(DriverSilver.shared(spark, sf).inspection, "round_no", "overall_result")
+    return RP.breakdown(DriverSilver(spark, sf).inspection, "round_no", "overall_result")
 
 
 @query("status_repair")
 def q_st_repair(spark, sf):
-    return RP.breakdown(DriverSilver.shared(spark, sf).repair_job, "status")
+    return RP.breakdown(DriverSilver(spark, sf).repair_job, "status")
 
 
 @query("status_sale")
 def q_st_sale(spark, sf):
-    return RP.breakdown(DriverSilver.shared(spark, sf).sale, "status")
+    return RP.breakdown(DriverSilver(spark, sf).sale, "status")
 
 
 @query("status_cleaning")
 def q_st_clean(spark, sf):
-    return RP.breakdown(DriverSilver.shared(spark, sf).cleaning_task, "status")
+    return RP.breakdown(DriverSilver(spark, sf).cleaning_task, "status")
 
 
 @query("status_listing")
@@ -391,107 +381,107 @@ def q_st_listing(spark, sf):
 
 @query("first_purchases")
 def q_first_purchases(spark, sf):
-    return money_out(RP.first_k(DriverSilver.shared(spark, sf).purchase, "vehicle_id", 10,
+    return money_out(RP.first_k(DriverSilver(spark, sf).purchase, "vehicle_id", 10,
                                 ["vehicle_id", "price_amount", "purchase_date"]))
 
 
 @query("landed_events")
 def q_landed(spark, sf):
     raw = land_raw(spark, f"{sf.rstrip('/')}/events.parquet",
-                   "event_id long, ts timestamp_ntz, user_id long, event_type string", fmt="parquet", as_of=RUN_TS)
-    return raw.select("event_id", "event_type", "ingested_at",
-                      F.regexp_extract("source_file", r"[^/]+$", 0).alias("source_file"))
+                   "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string", fmt="parquet", as_of=RUN_TS)
+    return raw.withColumn("source_file", F.regexp_extract("source_file", r"[^/]+$", 0))
 
 
 @query("status_dim_vehicle")
 def q_st_dim(spark, sf):
-    return RP.breakdown(Gold.shared(spark, sf).dim_vehicle, "stage", "status")
+    return RP.breakdown(Gold(spark, sf).dim_vehicle, "stage", "status")
 
 
 # ----------------------------------------------------------------- rules
 
 @query("shipments")
 def q_shipments(spark, sf):
-    return DriverSilver.shared(spark, sf).shipment.select("vehicle_id", "etd", "eta", "ata", "shipment_status")
+    return DriverSilver(spark, sf).shipment.select("vehicle_id", "etd", "eta", "ata", "shipment_status")
 
 
 @query("port_arrivals")
 def q_port(spark, sf):
-    return DriverSilver.shared(spark, sf).port_arrival.select("vehicle_id", "arrival_date", "clearance_status",
+    return DriverSilver(spark, sf).port_arrival.select("vehicle_id", "arrival_date", "clearance_status",
                                                        "cleared_date", "hold_reason")
 
 
 @query("pickups")
 def q_pickups(spark, sf):
-    return DriverSilver.shared(spark, sf).intake.select("vehicle_id", "pickup_date", "intake_date")
+    return DriverSilver(spark, sf).intake.select("vehicle_id", "pickup_date", "intake_date")
+
+
+def _open_lines(s: DriverSilver) -> DataFrame:
+    """Open lines of orders whose first inspection failed: the failed items."""
+    fail1 = s.inspection_r1.filter(F.col("overall_result") == "FAIL").select("inspection_id", "vehicle_id")
+    li = s.raw("lineitem").filter("l_linestatus = 'O'")
+    return fail1.join(li, F.col("vehicle_id") == F.col("l_orderkey")).select(
+        "inspection_id", F.col("l_linenumber").cast("long").alias("item_id"), "l_partkey", "l_returnflag")
 
 
 def _results(s: DriverSilver) -> DataFrame:
-    fail1 = s.inspection_r1.filter(F.col("overall_result") == "FAIL")
-    failures = fail1.select("inspection_id", F.explode(F.sequence(F.lit(0), F.col("n_fails") - 1)).alias("j"),
-                            "vehicle_id").select(
-        "inspection_id", ((F.col("vehicle_id") + F.col("j") * 3) % 8 + 1).alias("item_id"))
-    return R.expand_checklist(s.inspection, s.checklist, failures)
+    return R.expand_checklist(s.inspection, s.checklist, _open_lines(s))
 
 
 @query("inspection_results")
 def q_results(spark, sf):
-    return _results(DriverSilver.shared(spark, sf))
+    return _results(DriverSilver(spark, sf))
 
 
 @query("damage_items")
 def q_damage(spark, sf):
-    s = DriverSilver.shared(spark, sf)
-    res = _results(s).filter(F.col("inspection_id") % 10 == 1)  # damage only from round 1
-    res = res.withColumns({"damage_id": F.col("inspection_id") * 10 + F.col("item_id"),
-                           "part_draw": F.floor(F.col("inspection_id") / 10),
-                           "severity_draw": F.floor(F.col("inspection_id") / 10) + F.col("item_id")})
-    return R.damage_items(res).select("damage_id", "inspection_id", "item_id", "part_id", "severity")
+    s = DriverSilver(spark, sf)
+    found = _open_lines(s).groupBy("inspection_id", "item_id").agg(
+        F.min("l_partkey").alias("part_id"), F.max("l_returnflag").alias("_flag"))
+    found = found.select("inspection_id", "item_id", "part_id", lookup(F.col("_flag"), SEVERITY_OF_FLAG).alias("severity"))
+    damage = R.damage_items(_results(s), found).withColumn("damage_id", F.col("inspection_id") * 10 + F.col("item_id"))
+    return damage.select("damage_id", "inspection_id", "item_id", "part_id", "severity")
 
 
 @query("repair_jobs")
 def q_repair_jobs(spark, sf):
-    return DriverSilver.shared(spark, sf).repair_job
+    return DriverSilver(spark, sf).repair_job
 
 
 @query("latest_passed")
 def q_latest_passed(spark, sf):
-    return R.latest_passed(DriverSilver.shared(spark, sf).inspection)
+    return R.latest_passed(DriverSilver(spark, sf).inspection)
 
 
 @query("cleaning_tasks")
 def q_cleaning(spark, sf):
-    return DriverSilver.shared(spark, sf).cleaning_task
+    return DriverSilver(spark, sf).cleaning_task
 
 
 @query("repair_cost")
 def q_repair_cost(spark, sf):
-    s = DriverSilver.shared(spark, sf)
+    s = DriverSilver(spark, sf)
     return money_out(R.repair_cost(s.repair_job_part, s.repair_job))
 
 
 @query("listings")
 def q_listings(spark, sf):
-    return money_out(DriverSilver.shared(spark, sf).listing.select("listing_id", "vehicle_id", "price_amount",
+    return money_out(DriverSilver(spark, sf).listing.select("listing_id", "vehicle_id", "price_amount",
                                                             "listed_date"))
 
 
 def _matured(s: DriverSilver) -> DataFrame:
-    k = F.col("vehicle_id")
-    draws = s.plan.select("vehicle_id", (F.lit(5) + k % 56).cast("int").alias("sale_days"),
-                          ((k % 81).cast("decimal(7,3)") * F.lit(Decimal("0.001"))).cast("decimal(4,3)").alias("discount"),
-                          (k % 5 == 0).alias("installment"))
-    return R.matured_sales(s.listing.join(draws, "vehicle_id"), AS_OF)
+    terms = s.plan.select("vehicle_id", "sale_days", "discount", "installment")
+    return R.matured_sales(s.listing.join(terms, "vehicle_id"), AS_OF)
 
 
 @query("matured_sales")
 def q_matured(spark, sf):
-    return money_out(_matured(DriverSilver.shared(spark, sf)).select("vehicle_id", "sale_date", "agreed_price"))
+    return money_out(_matured(DriverSilver(spark, sf)).select("vehicle_id", "sale_date", "agreed_price"))
 
 
 @query("first_payments")
 def q_payments(spark, sf):
-    return money_out(R.first_payment(_matured(DriverSilver.shared(spark, sf)))
+    return money_out(R.first_payment(_matured(DriverSilver(spark, sf)))
                      .select("vehicle_id", "sale_status", "payment_amount"))
 
 
@@ -499,23 +489,23 @@ def q_payments(spark, sf):
 
 @query("extracted_event")
 def q_extracted(spark, sf):
-    return Gold.shared(spark, sf).extracted_event().drop("reviewed_at")
+    return Gold(spark, sf).extracted_event().drop("reviewed_at")
 
 
 @query("receipt_scores")
 def q_receipts(spark, sf):
-    return money_out(Gold.shared(spark, sf).receipt_lines().select("line_id", "vehicle_id", "amount",
+    return money_out(Gold(spark, sf).receipt_lines().select("line_id", "vehicle_id", "amount",
                                                            "confidence_score", "review_status"))
 
 
 @query("review_tasks")
 def q_review_tasks(spark, sf):
-    return Gold.shared(spark, sf).review_tasks()
+    return Gold(spark, sf).review_tasks()
 
 
 @query("fact_review_queue")
 def q_review_queue(spark, sf):
-    g = Gold.shared(spark, sf)
+    g = Gold(spark, sf)
     ev, rc = g.extracted_event(), g.receipt_lines()
     return TR.fact_review_queue(g.review_tasks(), ev, rc, g.dims["staff"], g.dims["source"])
 
@@ -527,14 +517,14 @@ def q_review_kpis(spark, sf):
 
 @query("status_review")
 def q_st_review(spark, sf):
-    return RP.breakdown(Gold.shared(spark, sf).review_tasks(), "source_type", "status")
+    return RP.breakdown(Gold(spark, sf).review_tasks(), "source_type", "status")
 
 
 # ----------------------------------------------------------------- declared
 
 @query("scd2_user_versions")
 def q_scd2(spark, sf):
-    ev = DriverSilver.shared(spark, sf).raw("events")
+    ev = DriverSilver(spark, sf).raw("events")
     return scd2.scd2_from_changes(ev, "user_id", ["event_type"], "ts", "event_id", surrogate="version_key")
 
 
@@ -542,7 +532,7 @@ def q_scd2(spark, sf):
 def q_scd2_apply(spark, sf):
     """Versions from events before the cut-off, then one batch: each user's
     last event type after the cut-off."""
-    ev = DriverSilver.shared(spark, sf).raw("events")
+    ev = DriverSilver(spark, sf).raw("events")
     cut = F.lit(EVENTS_CUTOFF).cast("timestamp_ntz")
     dim = scd2.scd2_from_changes(ev.filter(F.col("ts") < cut), "user_id", ["event_type"], "ts", "event_id",
                                  surrogate="version_key")
@@ -555,12 +545,12 @@ def q_scd2_apply(spark, sf):
 @query("state_as_of")
 def q_state_as_of(spark, sf):
     v = q_scd2(spark, sf)
-    return RP.breakdown(scd2.state_as_of(v, EVENTS_CUTOFF), "event_type")
+    return scd2.state_as_of(v, EVENTS_CUTOFF).select("user_id", "event_type", "effective_from")
 
 
 @query("dedup_messages")
 def q_dedup(spark, sf):
-    conv = DriverSilver.shared(spark, sf).raw("conversations")
+    conv = DriverSilver(spark, sf).raw("conversations")
     a = conv.withColumn("ingested_at", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     b = conv.withColumn("ingested_at", F.lit("2024-01-02 00:00:00").cast("timestamp_ntz")) \
         .withColumn("text", F.concat("text", F.lit(" (edited)")))
@@ -569,30 +559,32 @@ def q_dedup(spark, sf):
 
 @query("upsert_vehicles")
 def q_upsert(spark, sf):
-    g = Gold.shared(spark, sf)
-    synced = L.sync_current_stage(g.s.vehicle, g.vehicle_history(), as_of=RUN_TS)
-    base = g.s.vehicle
-    out = dml.upsert_since(base, synced, "vehicle_id", "2001-08-31 00:00:00")
-    return RP.breakdown(out, "current_stage", "current_status")
+    """Base: vehicles of the first order years; load: all vehicles, their stage
+    changed, of which those before the watermark are not taken."""
+    v = DriverSilver(spark, sf).vehicle
+    base = v.filter(F.col("updated_at") < F.lit("1998-07-01").cast("timestamp_ntz"))
+    load = v.withColumn("current_stage", F.concat(F.col("current_stage"), F.lit("_LOADED")))
+    out = dml.upsert_since(base, load, "vehicle_id", "1998-01-01 00:00:00", tie_break="vin")
+    return out.select("vehicle_id", "current_stage", "current_status", "updated_at")
 
 
 @query("soft_delete_reversed")
 def q_soft_delete(spark, sf):
-    s = DriverSilver.shared(spark, sf)
+    s = DriverSilver(spark, sf)
     ids = s.sale.filter(F.col("status") == "REVERSED").select("vehicle_id")
     out = dml.soft_delete(s.vehicle, ids, "vehicle_id", RUN_TS)
-    return RP.breakdown(out, "is_deleted")
+    return out.select("vehicle_id", "is_deleted", "deleted_at")
 
 
 @query("contract_violations")
 def q_violations(spark, sf):
-    s = DriverSilver.shared(spark, sf)
+    s = DriverSilver(spark, sf)
     v = Q.violations(s.repair_job_part, "repair_job_part", not_null=["line_id", "part_id"], unique=[["line_id"]],
                      foreign_keys=[("part_id", s.part, "part_id"), ("repair_job_id", s.repair_job, "repair_job_id")])
     p = Q.violations(s.purchase, "purchase", not_null=["vehicle_id", "price_amount"], unique=[["purchase_id"]],
                      allowed={"price_currency": ["USD", "NGN"]},
                      foreign_keys=[("buyer_staff_id", s.staff, "staff_id")])
-    rt = Q.violations(Gold.shared(spark, sf).review_tasks(), "review_task", not_null=["source_id"],
+    rt = Q.violations(Gold(spark, sf).review_tasks(), "review_task", not_null=["source_id"],
                       allowed={"status": ["OPEN", "IN_PROGRESS", "RESOLVED", "DISMISSED"]},
                       polymorphic=[("source_type", "source_id", {
                           "EXTRACTED_EVENT": (s.raw_message, "message_id"),
@@ -602,15 +594,77 @@ def q_violations(spark, sf):
 
 @query("source_mix")
 def q_source_mix(spark, sf):
-    s = DriverSilver.shared(spark, sf)
+    s = DriverSilver(spark, sf)
     return Q.source_mix([("purchase", s.purchase), ("sale", s.sale), ("repair_job", s.repair_job)])
 
 
+@query("source_mix_by_branch_and_date")
+def q_source_mix_keys(spark, sf):
+    s = DriverSilver(spark, sf)
+    branch = s.vehicle.select("vehicle_id", "branch_id")
+    of = lambda df, day: df.join(branch, "vehicle_id").withColumn("day", F.col(day))
+    return Q.source_mix([("purchase", of(s.purchase, "purchase_date")), ("sale", of(s.sale, "sale_date"))], keys=["branch_id", "day"])
+
+
 @query("payload_fields")
 def q_payload(spark, sf):
-    ev = DriverSilver.shared(spark, sf).raw("events")
+    ev = DriverSilver(spark, sf).raw("events")
     return explode_payload(ev, "props", "k int", keep=("event_id", "event_type"))
 
 
+@query("customers_by_name")
+def q_by_name(spark, sf):
+    """Dense keys over a string column, and previous and next rows (W-2, W-6)."""
+    c = DriverSilver(spark, sf).raw("customer").select("c_name", "c_mktsegment")
+    k = dense_key(c, ["c_mktsegment", "c_name"], "name_key", prev=["c_name"], nxt=["c_name"])
+    return k.select("name_key", "c_mktsegment", "c_name", F.col("_prev.c_name").alias("prev_name"), F.col("_next.c_name").alias("next_name"))
+
+
+@query("sold_by_date")
+def q_sold_by_date(spark, sf):
+    """Dense keys over a column with nulls (nulls first), hot days and ties split by the order key."""
+    o = DriverSilver(spark, sf).raw("orders")
+    sold = F.when(F.col("o_orderstatus") == "F", F.to_date("o_orderdate"))
+    return dense_key(o.select(sold.alias("sold_date"), "o_orderkey"), ["sold_date", "o_orderkey"], "sale_no")
+
+
+@query("status_sale_ordered")
+def q_st_sale_ordered(spark, sf):
+    """Breakdown in order, the largest count first (L-1, L-2), with its place."""
+    b = RP.breakdown(DriverSilver(spark, sf).sale, "status")
+    return dense_key(b.withColumn("_minus", -F.col("count")), ["_minus", "status"], "place").drop("_minus")
+
+
+@query("fact_profit_with_expenses")
+def q_profit_expenses(spark, sf):
+    g = Gold(spark, sf)
+    li = g.s.raw("lineitem")
+    expense = li.select(F.col("l_orderkey").alias("vehicle_id"), F.lit("CUSTOMS").alias("category"),
+                        (F.col("l_extendedprice").cast("decimal(14,2)") * F.col("l_tax").cast("decimal(4,2)")).cast("decimal(14,2)").alias("amount"),
+                        F.lit("NGN").alias("currency"), F.to_date("l_shipdate").alias("expense_date"), F.lit(None).cast("long").alias("source_id"))
+    expenses = FX.fact_expense(expense, g.dim_vehicle, None)
+    return money_out(P.fact_profit(g.dim_vehicle, g.fact_purchase(False), g.fact_repair(False), g.fact_sale(False),
+                                   as_of=RUN_TS, expense=expenses))
+
+
+@query("benchmark_in_documents")
+def q_contained(spark, sf):
+    """Documents that hold a benchmark passage word for word (J-9, J-10)."""
+    s = DriverSilver(spark, sf)
+    return TR.contains_join(s.raw("documents").select("doc_id", "text"), s.raw("benchmark"), text_id="doc_id", text="text",
+                            pattern_id="item_id", pattern="text", k=24)
+
+
+@query("versioned_listing")
+def q_versioned(spark, sf):
+    """Write, rewrite as a new version, append and read back (S-1, S-10, S-11)."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lotline-tables/{uuid.uuid4().hex}"
+    r = DriverSilver(spark, sf).raw("nation").select("n_nationkey", "n_name", F.lit(0).alias("version"))
+    write_table(r, root, "silver", "nation")
+    write_version(read_table(spark, root, "silver", "nation").filter("n_nationkey >= 5").withColumn("version", F.lit(1)), root, "silver", "nation")
+    write_table(r.filter("n_nationkey < 3").withColumn("version", F.lit(2)), root, "silver", "nation", mode="append")
+    return read_table(spark, root, "silver", "nation")
+
+
 def registry() -> dict[str, QueryFn]:
     return dict(REGISTRY)

@@ -8,7 +8,6 @@ and command-line use.
 from __future__ import annotations
 
 import atexit
-import os
 import shutil
 import tempfile
 import uuid
@@ -95,7 +94,3 @@ def cut_lineage(df):
     path = f"{root}/lotline-tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def env_cores(default: str = "8") -> str:
-    return os.environ.get("BENCH_CPUS", default)

@@ -2,10 +2,11 @@
 the dealership tables (FIXTURES.md §4).
 
 Every table here is derived by Spark from the given parquet files, so the
-work of every query grows with them.  The simulator's random draws become
-deterministic columns computed from the order key ``k`` and customer key
-``c``; "today" is the ``as_of`` date.  ``plans/oracle.py`` restates the
-same mapping in SQL for the DuckDB oracle, so the two must change together.
+work of every query grows with them.  What the rules of ``operators.rules``
+take as input columns (days, flags, rates) comes from the order's own lines:
+quantities, flags, discounts and taxes.  "Today" is the ``as_of`` date.
+``plans/oracle.py`` restates the mapping in SQL for the DuckDB oracle, with
+its own constants.
 """
 
 from __future__ import annotations
@@ -16,97 +17,50 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotline.functions.text import form_id
+from lotline.functions.text import form_id, lookup
 from lotline.operators import rules as R
+from lotline.operators.keys import dense_key
 from lotline.session import cut_lineage
-from lotline.sources.lakehouse import spread_small_scan
 
 AS_OF = "2001-09-01"
 FX_RATE = Decimal("1600.00")
-STAFF_LIMIT = 100  # customers 0..99 double as staff
 EVENT_STAGES = ("signup", "view", "click", "purchase", "error")
-FACT_SCALE = frozenset({"orders", "lineitem", "events", "conversations"})
-
-# The reference's inspection checklist (item, category, label).
-CHECKLIST = (
-    (1, "ENGINE", "Engine starts and runs smoothly"),
-    (2, "ENGINE", "No visible oil/coolant leaks"),
-    (3, "BODY", "No major dents or rust"),
-    (4, "BODY", "Panel alignment is correct"),
-    (5, "ELECTRICAL", "All lights functional"),
-    (6, "ELECTRICAL", "AC/heating works"),
-    (7, "INTERIOR", "Seats and upholstery in good condition"),
-    (8, "TIRES", "Tire tread depth acceptable"),
-)
-
-# Message templates after the reference's sample messages;
-# template = order key mod 8.  {m} make, {d} model, {l} lot, {n} next lot.
-MESSAGE_TEMPLATES = (
-    "Just picked up the {m} {d} ({l}) from the port, heading to the office now.",
-    "{m} {d} ({l}) has arrived at the office.",
-    "Fixed the bumper on {l}, moving on to the headlight tomorrow.",
-    "The {m} {d} is at the office now.",
-    "That Toyota from yesterday is looking good after the wash.",
-    "Good morning everyone, safe journey today",
-    "Customs duty on {n} and {l} is still held.",
-    "Still working on the blue one, customs paperwork pending.",
-)
-
-
-def lot_no(key) -> "F.Column":
-    return F.format_string("LOT-%05d", key)
-
-
-def _fill(template: str, make, model, lot, next_lot):
-    """Template -> concat expression (null when a used part is null)."""
-    parts, rest = [], template
-    slots = {"{m}": make, "{d}": model, "{l}": lot, "{n}": next_lot}
-    while rest:
-        idx = [(rest.find(s), s) for s in slots if rest.find(s) >= 0]
-        if not idx:
-            parts.append(F.lit(rest))
-            break
-        pos, slot = min(idx)
-        if pos:
-            parts.append(F.lit(rest[:pos]))
-        parts.append(slots[slot])
-        rest = rest[pos + len(slot):]
-    return F.concat(*parts) if len(parts) > 1 else parts[0]
-
-
-_SHARED: dict[tuple, "DriverSilver"] = {}
+# checklist items are the line numbers of an order's lines, with a category
+CHECKLIST = ((1, "ENGINE"), (2, "ENGINE"), (3, "BODY"), (4, "BODY"), (5, "ELECTRICAL"), (6, "ELECTRICAL"), (7, "INTERIOR"), (8, "TIRES"))
+SEVERITY_OF_FLAG = {"N": "LOW", "A": "MEDIUM", "R": "HIGH"}
+# one keyword of the classifier per priority; 5-LOW has none
+KEYWORD_OF_PRIORITY = {"1-URGENT": "arrived", "2-HIGH": "customs", "3-MEDIUM": "fixed", "4-NOT SPECIFIED": "picked up"}
+
+
+def lot_no(key, status) -> "F.Column":
+    """Auction lot; pending orders have one of another shape."""
+    return F.when(status == "P", F.format_string("Hall %d/P", key)).otherwise(F.format_string("LOT-%05d", key))
+
+
+def source_of(priority: str) -> "F.Column":
+    """Source id: the number that an order's priority begins with."""
+    return F.substring(priority, 1, 1).cast("long")
 
 
 class DriverSilver:
     """Lazily built silver-shaped DataFrames over one driver scale dir.
 
-    Tables that several gold queries read (vehicle, sale, the rule-chain
-    stages, cleaning, listing) are silver-table boundaries: each is written
-    once (reliable checkpoint into the shared checkpoint folder) and read by
-    every query of the session, as a pipeline writes its silver layer once
-    and builds each gold table from it.
+    Tables that several steps of one query read (vehicle, sale, the rule-chain
+    stages, cleaning, listing) are silver-table boundaries, written to the
+    shared checkpoint folder and read back, as a pipeline writes its silver
+    layer before it builds gold.  An instance serves one query; nothing is
+    kept from one query to the next.
     """
 
-    @classmethod
-    def shared(cls, spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> "DriverSilver":
-        """The session's instance for one scale dir (built on first use)."""
-        key = (spark.conf.get("spark.app.id", "session"), sf_dir.rstrip("/"), as_of)
-        if key not in _SHARED:
-            _SHARED[key] = cls(spark, sf_dir, as_of)
-        return _SHARED[key]
-
     def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = AS_OF, materialize_chain: bool = True):
         self.spark, self.sf_dir, self.as_of = spark, sf_dir.rstrip("/"), as_of
         self.materialize_chain = materialize_chain
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        """One scan per table and session (schema read once, plans share it).
-        Fact-scale tables are spread when they arrive in fewer splits than
-        the session has cores; dimension-scale tables are read as they are."""
+        """One scan per table and instance (schema read once, plans share it)."""
         if name not in self._raw:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            self._raw[name] = spread_small_scan(df) if name in FACT_SCALE else df
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._raw[name]
 
     def _boundary(self, df: DataFrame) -> DataFrame:
@@ -141,41 +95,41 @@ class DriverSilver:
     @functools.cached_property
     def data_source(self) -> DataFrame:
         """Upper-cased event types plus the two agent codes, ids 1..n by code."""
-        from pyspark.sql import Window
         codes = (self.raw("events").select(F.upper("event_type").alias("source_code")).distinct()
                  .unionByName(self.spark.createDataFrame([("WHATSAPP_GROUP_AGENT",), ("RECEIPT_AGENT",)],
                                                          "source_code string"))
                  .distinct())
-        # a code list: a handful of rows, numbered in one small window
-        return codes.select(F.dense_rank().over(Window.orderBy("source_code")).cast("long").alias("source_id"),
-                            "source_code")
+        return dense_key(codes, "source_code", "source_id").select("source_id", "source_code")
 
     @functools.cached_property
     def staff(self) -> DataFrame:
-        return (self.raw("customer").filter(F.col("c_custkey") < STAFF_LIMIT)
+        """Every customer doubles as a member of staff."""
+        return (self.raw("customer")
                 .select(F.col("c_custkey").alias("staff_id"), F.col("c_nationkey").cast("long").alias("branch_id"),
                         F.col("c_name").alias("name"), F.lit(True).alias("is_active")))
 
     @functools.cached_property
     def staff_role(self) -> DataFrame:
-        c = self.raw("customer").filter(F.col("c_custkey") < STAFF_LIMIT)
+        c = self.raw("customer")
         seg = c.select(F.col("c_custkey").alias("staff_id"), F.col("c_mktsegment").alias("role_code"))
-        extra = c.filter(F.col("c_custkey") % 3 == 0).select(F.col("c_custkey").alias("staff_id"),
+        extra = c.filter(F.col("c_acctbal") < 0).select(F.col("c_custkey").alias("staff_id"),
                                                              F.lit("INSPECTOR").alias("role_code"))
         return seg.unionByName(extra).select("staff_id", "role_code", F.lit(None).cast("date").alias("valid_from"),
                                              F.lit(None).cast("date").alias("valid_to"))
 
     @functools.cached_property
     def checklist(self) -> DataFrame:
-        return self.spark.createDataFrame([(i, c, lbl, True, i) for i, c, lbl in CHECKLIST],
-                                          "item_id long, category string, label string, is_active boolean, sort_order long")
+        return self.spark.createDataFrame([(i, c, True, i) for i, c in CHECKLIST],
+                                          "item_id long, category string, is_active boolean, sort_order long")
 
     # ------------------------------------------------------------ vehicles
     @functools.cached_property
     def orders_plus(self) -> DataFrame:
-        """Orders with the customer's name and nation (left join)."""
+        """Orders with the customer's name, nation and region (left joins)."""
         c = self.raw("customer").select("c_custkey", "c_name", "c_nationkey")
-        return self.raw("orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+        n = self.raw("nation").select("n_nationkey", "n_regionkey")
+        return (self.raw("orders").join(c, F.col("o_custkey") == F.col("c_custkey"), "left")
+                .join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left"))
 
     @functools.cached_property
     def vehicle(self) -> DataFrame:
@@ -183,9 +137,9 @@ class DriverSilver:
         k = F.col("o_orderkey")
         deleted = F.col("o_totalprice") < 10000
         return self._boundary(o.select(
-            k.alias("vehicle_id"), F.format_string("VIN%014d", k).alias("vin"), lot_no(k).alias("auction_lot_no"),
+            k.alias("vehicle_id"), F.format_string("VIN%014d", k).alias("vin"), lot_no(k, F.col("o_orderstatus")).alias("auction_lot_no"),
             F.col("o_orderpriority").alias("make"), F.col("c_name").alias("model"),
-            (F.lit(2012) + k % 9).cast("int").alias("model_year"), F.col("c_nationkey").cast("long").alias("branch_id"),
+            F.year("o_orderdate").alias("model_year"), F.col("c_nationkey").cast("long").alias("branch_id"),
             F.when(F.col("o_orderstatus") == "F", "SOLD").when(F.col("o_orderstatus") == "P", "LISTED")
             .otherwise("IN_REPAIR").alias("current_stage"),
             F.when(F.col("o_orderstatus") == "F", "SOLD").otherwise("ACTIVE").alias("current_status"),
@@ -195,12 +149,12 @@ class DriverSilver:
     @functools.cached_property
     def purchase(self) -> DataFrame:
         k = F.col("o_orderkey")
-        return self.raw("orders").select(
-            k.alias("purchase_id"), k.alias("vehicle_id"), (k % 5).alias("auction_house_id"),
-            (F.col("o_custkey") % STAFF_LIMIT).alias("buyer_staff_id"),
+        return self.orders_plus.select(
+            k.alias("purchase_id"), k.alias("vehicle_id"), F.col("n_regionkey").cast("long").alias("auction_house_id"),
+            F.col("o_custkey").alias("buyer_staff_id"),
             F.col("o_totalprice").cast("decimal(14,2)").alias("price_amount"), F.lit("USD").alias("price_currency"),
             F.to_date("o_orderdate").alias("purchase_date"), F.lit("CONFIRMED").alias("status"),
-            (F.lit(1) + k % 7).alias("source_id"), form_id("FORM-PUR", k).alias("source_record_id"),
+            source_of("o_orderpriority").alias("source_id"), form_id("FORM-PUR", k).alias("source_record_id"),
             F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("updated_at"),
             F.lit(False).alias("is_deleted"), F.lit(None).cast("timestamp_ntz").alias("deleted_at"))
 
@@ -215,11 +169,11 @@ class DriverSilver:
         k, c = F.col("o_orderkey"), F.col("o_custkey")
         return self._boundary(o.join(net, o["o_orderkey"] == net["l_orderkey"]).select(
             k.alias("sale_id"), k.alias("vehicle_id"), k.alias("listing_id"), c.alias("customer_id"),
-            ((c + 1) % STAFF_LIMIT).alias("salesperson_staff_id"), "agreed_price", F.lit("NGN").alias("currency"),
+            c.alias("salesperson_staff_id"), "agreed_price", F.lit("NGN").alias("currency"),
             "sale_date",
             F.when(F.col("o_orderstatus") == "F", "FINALIZED").when(F.col("o_orderstatus") == "P", "PENDING_PAYMENT")
             .otherwise("REVERSED").alias("status"),
-            (F.lit(1) + c % 7).alias("source_id")))
+            source_of("o_orderpriority").alias("source_id")))
 
     @functools.cached_property
     def repair_job_part(self) -> DataFrame:
@@ -234,23 +188,21 @@ class DriverSilver:
     # ------------------------------------------------------------ rule chain
     @functools.cached_property
     def plan(self) -> DataFrame:
-        """Purchase plan with the simulator's draws as columns."""
-        k, c = F.col("o_orderkey"), F.col("o_custkey")
-        reasons = F.array(*[F.lit(r) for r in R.HOLD_REASONS])
-        return self.raw("orders").select(
-            k.alias("vehicle_id"), c.alias("customer_key"), F.to_date("o_orderdate").alias("purchase_date"),
-            (F.lit(20) + k % 26).cast("int").alias("shipping_days"),
-            (F.lit(3) + c % 12).cast("int").alias("clear_days"),
-            (k % 7 == 3).alias("delayed"),
-            (F.lit(10) + k % 21).cast("int").alias("extra_days"),
-            F.element_at(reasons, (k % 4 + 1).cast("int")).alias("hold_reason_draw"),
-            (k % 4 == 0).alias("passed_first"),
-            (F.lit(1) + k % 3).cast("int").alias("n_fails"),
-            (F.lit(3) + k % 12).cast("int").alias("repair_days"),
-            (k % 10 == 3).alias("blocked"),
-            (k % 10 != 9).alias("passed_second"),
-            (k % 20 == 7).alias("redo"),
-            ((F.lit(125) + k % 21).cast("decimal(7,2)") * F.lit(Decimal("0.01"))).cast("decimal(5,2)").alias("markup"))
+        """Orders with what the rules need, taken from their lines."""
+        pct = lambda c: F.round(F.max(c) * 100).cast("int")
+        lines = self.raw("lineitem").groupBy("l_orderkey").agg(
+            F.count(F.lit(1)).cast("int").alias("n_lines"), F.max("l_quantity").cast("int").alias("most"), F.min("l_quantity").cast("int").alias("least"),
+            F.bool_or(F.col("l_returnflag") == "R").alias("returned"), F.bool_and(F.col("l_linestatus") == "F").alias("all_done"),
+            pct("l_discount").alias("discount_pct"), pct("l_tax").alias("tax_pct"))
+        return self.raw("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey")).select(
+            F.col("o_orderkey").alias("vehicle_id"), F.col("o_custkey").alias("customer_key"), F.to_date("o_orderdate").alias("purchase_date"),
+            F.col("most").alias("shipping_days"), F.col("n_lines").alias("clear_days"), F.col("returned").alias("delayed"), F.col("least").alias("extra_days"),
+            F.col("o_orderpriority").alias("hold_reason_draw"), F.col("all_done").alias("passed_first"),
+            (F.col("n_lines") * 2).alias("repair_days"), (F.col("discount_pct") >= 10).alias("blocked"),
+            (F.col("o_orderstatus") != "P").alias("passed_second"), (F.col("tax_pct") >= 8).alias("redo"),
+            ((F.lit(120) + F.col("discount_pct") + F.col("tax_pct")).cast("decimal(7,2)") * F.lit(Decimal("0.01"))).cast("decimal(5,2)").alias("markup"),
+            F.col("most").alias("sale_days"), (F.col("discount_pct").cast("decimal(7,3)") * F.lit(Decimal("0.01"))).cast("decimal(4,3)").alias("discount"),
+            (F.col("o_orderpriority") == "1-URGENT").alias("installment"), source_of("o_orderpriority").alias("source_id"))
 
     @functools.cached_property
     def shipment(self) -> DataFrame:
@@ -280,8 +232,8 @@ class DriverSilver:
     def repair_job(self) -> DataFrame:
         k = F.col("vehicle_id")
         return self.repair_chain.select(
-            k.alias("repair_job_id"), "vehicle_id", ((F.col("customer_key") + 2) % STAFF_LIMIT).alias("mechanic_staff_id"),
-            "start_date", "end_date", F.col("repair_status").alias("status"), (F.lit(1) + (k + 1) % 7).alias("source_id"))
+            k.alias("repair_job_id"), "vehicle_id", F.col("customer_key").alias("mechanic_staff_id"),
+            "start_date", "end_date", F.col("repair_status").alias("status"), "source_id")
 
     @functools.cached_property
     def inspection(self) -> DataFrame:
@@ -306,35 +258,42 @@ class DriverSilver:
         return self._boundary(lp.select(F.col("vehicle_id").alias("listing_id"), "vehicle_id",
                                         F.col("list_price").alias("price_amount"), F.lit("NGN").alias("currency"),
                                         "listed_date", F.lit("ACTIVE").alias("status"),
-                                        F.lit(self.as_of).cast("timestamp_ntz").alias("updated_at")))
+                                        F.col("listed_date").cast("timestamp_ntz").alias("updated_at")))
 
     # ------------------------------------------------------------ triage
     @functools.cached_property
     def raw_message(self) -> DataFrame:
+        """One message per order: the priority's keyword, what the order's
+        status names (F: the lot; O: make and model; P: the odd lot), and
+        the text of the conversation with the order's number, if any."""
         o = self.orders_plus
-        k = F.col("o_orderkey")
-        make, model, lot, nxt = F.col("o_orderpriority"), F.col("c_name"), lot_no(k), lot_no(k + 1)
-        tpl = None
-        for i, t in enumerate(MESSAGE_TEMPLATES):
-            e = _fill(t, make, model, lot, nxt)
-            tpl = F.when(k % len(MESSAGE_TEMPLATES) == i, e) if tpl is None else tpl.when(
-                k % len(MESSAGE_TEMPLATES) == i, e)
-        return o.select(k.alias("message_id"), F.lit(1).cast("long").alias("group_id"),
-                        F.lit(None).cast("string").alias("sender_phone"), F.col("o_orderdate").alias("sent_at"),
-                        tpl.alias("message_text"))
+        k, status = F.col("o_orderkey"), F.col("o_orderstatus")
+        first = self.raw("conversations").filter("turn = 0").select("conv_id", F.col("text").alias("_said"))
+        named = F.when(status == "O", F.concat_ws(" ", "o_orderpriority", "c_name")).otherwise(lot_no(k, status))
+        text = F.concat_ws(" ", lookup(F.col("o_orderpriority"), KEYWORD_OF_PRIORITY), named, F.col("_said"))
+        return o.join(first, k == F.col("conv_id"), "left").select(
+            k.alias("message_id"), F.lit(1).cast("long").alias("group_id"), F.lit(None).cast("string").alias("sender_phone"),
+            F.col("o_orderdate").alias("sent_at"), text.alias("message_text"))
 
     @functools.cached_property
     def receipt_line(self) -> DataFrame:
-        """One receipt line per purchase; every fifth (k mod 5 = 2) carries a
-        +5 % reading error, the simulator's OCR draw."""
-        p = self.purchase
-        err = F.col("purchase_id") % 5 == 2
-        amount = F.when(err, (F.col("price_amount") * F.lit(Decimal("1.05"))).cast("decimal(14,2)")) \
-            .otherwise(F.col("price_amount"))
+        """One receipt line per purchase: the price paid where the order is
+        final, the sum of its lines' prices elsewhere (which differs)."""
+        lines = self.raw("lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice").cast("decimal(14,2)")).cast("decimal(14,2)").alias("_lines"))
+        o = self.raw("orders").select("o_orderkey", "o_orderstatus")
+        p = self.purchase.join(o, F.col("purchase_id") == F.col("o_orderkey")).join(lines, F.col("purchase_id") == F.col("l_orderkey"), "left")
+        amount = F.when(F.col("o_orderstatus") == "F", F.col("price_amount")).otherwise(F.coalesce("_lines", "price_amount"))
         return p.select(F.col("purchase_id").alias("line_id"), F.col("purchase_id").alias("receipt_id"),
                         "vehicle_id", amount.alias("amount"), F.col("price_currency").alias("currency"),
                         F.col("purchase_date").alias("receipt_date"))
 
+    @functools.cached_property
+    def resolution(self) -> DataFrame:
+        """(source_id, resolved_at): final orders' tasks are resolved with their last line."""
+        last = self.raw("lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("resolved_at"))
+        o = self.raw("orders").filter("o_orderstatus <> 'P'").select("o_orderkey")
+        return o.join(last, F.col("o_orderkey") == F.col("l_orderkey")).select(F.col("o_orderkey").alias("source_id"), "resolved_at")
+
     # ------------------------------------------------------------ events
     @functools.cached_property
     def stage_events(self) -> DataFrame:

@@ -15,35 +15,30 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException
 
 POINTER = "_current"
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the session's default
-    parallelism (e.g. one file with one row group), so per-row work before
-    the first shuffle does not run on a single core.  Inputs with at least
-    that many splits (every large table) are returned untouched: no extra
-    shuffle at scale."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (Spark Connect): leave as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def table_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
 def _current_version(spark: SparkSession, path: str) -> str | None:
-    """Version folder named by the pointer, or None for a plain table."""
+    """Version folder that the last pointer names, or None for a plain table.
+
+    Pointers are numbered files that are added, never replaced, so a reader
+    sees either the old or the new one.  Only a missing pointer folder means a
+    plain table; any other failure to read it is an error.
+    """
     try:
-        rows = spark.read.text(f"{path}/{POINTER}").collect()  # one short line
-    except Exception:  # no pointer: plain table
-        return None
-    return rows[0][0].strip() if rows else None
+        pointers = spark.read.schema("n long, version string").json(f"{path}/{POINTER}")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return None
+        raise
+    last = pointers.agg(F.max_by("version", "n")).first()  # one short line per rewrite
+    return last[0] if last else None
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str, fmt: str = "parquet") -> DataFrame:
@@ -52,29 +47,61 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str, fmt: str
     return spark.read.format(fmt).load(f"{path}/{version}" if version else path)
 
 
+def table_exists(spark: SparkSession, root: str, layer: str, table: str) -> bool:
+    """False only if the table's folder is not there."""
+    try:
+        read_table(spark, root, layer, table)
+        return True
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e):
+            return False
+        raise
+
+
 def write_table(df: DataFrame, root: str, layer: str, table: str, mode: str = "overwrite",
                 fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
-    """Overwrite or append a plain table by path (S-10, S-11)."""
+    """Overwrite or append a table by path (S-10, S-11).
+
+    A versioned table is appended to in its current version's folder, and
+    overwritten by a new version.
+    """
     path = table_path(root, layer, table)
+    version = _current_version(df.sparkSession, path)
+    if version and mode == "overwrite":
+        return write_version(df, root, layer, table, fmt, partition_by)
     w = df.write.format(fmt).mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    path = f"{path}/{version}" if version else path
     w.save(path)
     return path
 
 
-def write_version(df: DataFrame, root: str, layer: str, table: str, fmt: str = "parquet") -> str:
+def write_version(df: DataFrame, root: str, layer: str, table: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """Write a new table state (the result of a MERGE/UPDATE rewrite) to a
     fresh version folder, then point readers at it.  ``df`` may read the
-    current version: the old folder is never overwritten."""
+    current version: no folder is ever overwritten."""
     spark = df.sparkSession
     path = table_path(root, layer, table)
     version = f"v-{uuid.uuid4().hex[:12]}"
-    df.write.format(fmt).mode("errorifexists").save(f"{path}/{version}")
-    spark.createDataFrame([(version,)], "v string").coalesce(1).write.mode("overwrite").text(f"{path}/{POINTER}")
+    w = df.write.format(fmt).mode("errorifexists")
+    (w.partitionBy(*partition_by) if partition_by else w).save(f"{path}/{version}")
+    last = spark.read.schema("n long, version string").json(f"{path}/{POINTER}").agg(F.max("n")).first()[0] if _current_version(spark, path) else 0
+    pointer = spark.createDataFrame([(last + 1, version)], "n long, version string").coalesce(1)
+    pointer.write.mode("append").json(f"{path}/{POINTER}")
     return f"{path}/{version}"
 
 
+def read_like(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """Read files with another table's schema (S-6)."""
+    return spark.read.schema(like.schema).format(fmt).load(path)
+
+
+def read_named(spark: SparkSession, name: str) -> DataFrame:
+    """A table by its catalog name (S-3)."""
+    return spark.table(name)
+
+
 def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet",
                   path: str | None = None) -> None:
     """Overwrite a catalog table by name (S-12); ``path`` makes it an

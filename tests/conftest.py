@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from lotline.session import local_session
-    s = local_session("*", 8, app="lotline-tests")
+    s = local_session("*", 4, app="lotline-tests")
     yield s
     s.stop()
 

@@ -10,33 +10,50 @@ from lotline.operators import dml
 from lotline.operators.keys import dense_key, next_keys
 
 
-@pytest.mark.parametrize("small", [True, False, None])
-def test_dense_key_with_gaps(spark, small):
+def test_dense_key_with_gaps(spark):
     df = spark.createDataFrame([(i,) for i in (5, 1, 900, 42, 7, 100000)], "k long")
-    out = rows(dense_key(df, "k", "sk", small=small, target_buckets=3), "k", "sk")
-    assert out == [(1, 1), (5, 2), (7, 3), (42, 4), (900, 5), (100000, 6)]
+    assert rows(dense_key(df, "k", "sk"), "k", "sk") == [(1, 1), (5, 2), (7, 3), (42, 4), (900, 5), (100000, 6)]
 
 
-def test_dense_key_bucketed_equals_global_row_number(spark):
-    df = spark.range(0, 5000).select((F.col("id") * 7 % 5003).alias("k"), (F.col("id") % 11).alias("v"))
-    got = dense_key(df, ["k", "v"], "sk", small=False, target_buckets=16)
-    ref = df.withColumn("sk", F.row_number().over(Window.orderBy("k", "v")).cast("long"))
-    assert got.select("k", "v", "sk").exceptAll(ref.select("k", "v", "sk")).count() == 0
-    assert got.count() == 5000
+def _reference(df, order):
+    w = Window.orderBy(*order)
+    return df.select("*", F.row_number().over(w).cast("long").alias("sk"), F.lag(order[0]).over(w).alias("p"), F.lead(order[-1]).over(w).alias("n"))
 
 
-def test_dense_key_grouped_hot_key(spark):
-    # one key holds most rows: numbering in (key, day) groups stays exact
-    data = [(1, dt.date(2024, 1, 1 + i % 20), i) for i in range(300)] + [(2, dt.date(2024, 1, 1), 0)]
-    df = spark.createDataFrame(data, "k long, d date, t long")
-    got = dense_key(df, ["k", "d", "t"], "sk", small=False, group=["k", "d"])
-    ref = df.withColumn("sk", F.row_number().over(Window.orderBy("k", "d", "t")).cast("long"))
-    assert got.select("k", "d", "t", "sk").exceptAll(ref).count() == 0
+@pytest.mark.parametrize("case", ["numbers", "hot", "nulls", "strings", "outlier"])
+def test_dense_key_equals_global_window(spark, case):
+    n = 5000
+    data = {
+        "numbers": [((i * 7) % 5003, i % 11) for i in range(n)],
+        "hot": [(1 if i % 3 else i, i) for i in range(n)],  # one leading value holds most rows
+        "nulls": [(None if i % 4 == 0 else i, i) for i in range(n)],
+        "strings": [(f"name {i * 31 % n}", i) for i in range(n)] + [(None, -1)],
+        "outlier": [(i, i) for i in range(n)] + [(10 ** 15, 1)],
+    }[case]
+    df = spark.createDataFrame(data, f"k {'string' if case == 'strings' else 'long'}, v long")
+    got = dense_key(df, ["k", "v"], "sk", prev=["k"], nxt=["v"]).select("k", "v", "sk", F.col("_prev.k").alias("p"), F.col("_next.v").alias("n"))
+    ref = _reference(df, ["k", "v"])
+    assert got.count() == len(data)
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
+
+
+def test_ranges_are_even(spark):
+    """Neither an outlier nor a hot leading value fills one range; no raw rows meet in a single task."""
+    import re
+
+    for k in (F.when(F.col("id") == 0, 10 ** 15).otherwise(F.col("id")), F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id"))):
+        df = spark.range(40_000).select(k.alias("k"), F.col("id").alias("v"))
+        out = dense_key(df, ["k", "v"], "sk")
+        plan = plan_text(out)
+        # the only single-partition exchange is of the counted ranges
+        assert plan.count("SinglePartition") == 1 and re.search(r"SinglePartition.*\n.*HashAggregate", plan)
+        sizes = [r["count"] for r in df.repartitionByRange(8, "k", "v").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 2 * 40_000 / 8
 
 
 def test_dense_key_empty_and_continuation(spark):
     empty = spark.createDataFrame([], "k long")
-    assert dense_key(empty, "k", "sk", small=False).count() == 0
+    assert dense_key(empty, "k", "sk").count() == 0
     existing = spark.createDataFrame([(10,), (3,)], "task_id long")
     new = spark.createDataFrame([(7,), (2,)], "k long")
     assert rows(next_keys(new, "k", "sk", existing, "task_id"), "k", "sk") == [(2, 11), (7, 12)]

@@ -104,10 +104,7 @@ def test_lifecycle_and_gaps(spark):
 import pytest  # noqa: E402
 
 
-@pytest.mark.parametrize("small_rows", [2_000_000, 0])   # one window / bucketed ids + self-join
-def test_stage_history_ties_and_chain(spark, monkeypatch, small_rows):
-    import lotline.operators.keys as K
-    monkeypatch.setattr(K, "SMALL_ROWS", small_rows)
+def test_stage_history_ties_and_chain(spark):
     ev = spark.createDataFrame([
         (1, "PURCHASED", d(2025, 1, 1)), (1, "AT_OFFICE", d(2025, 1, 9)), (1, "PICKED_UP", d(2025, 1, 9)),
         (2, "PURCHASED", d(2025, 1, 3))], "vehicle_id long, stage string, d date").withColumn("tb", F.lit(0).cast("long"))
@@ -135,5 +132,5 @@ def test_sync_and_time_in_stage(spark):
 def test_union_lifecycle_plan_has_two_exchanges_of_rows(spark):
     v = _vehicle(spark)
     ms = L.milestones(purchase=spark.createDataFrame([(1, d(2025, 1, 1))], "vehicle_id long, purchase_date date"))
-    p = plan_text(L.fact_vehicle_lifecycle(v, D.dim_vehicle(v, small=True), ms))
+    p = plan_text(L.fact_vehicle_lifecycle(v, D.dim_vehicle(v), ms))
     assert "CartesianProduct" not in p

@@ -104,8 +104,12 @@ def test_checklist_expansion_and_damage(spark):
     fails = spark.createDataFrame([(11, 3), (11, 6)], "inspection_id long, item_id long")
     res = R.expand_checklist(insp, items, fails)
     assert res.count() == 16 and rows(res.filter("pass_fail = 'FAIL'"), "inspection_id", "item_id") == [(11, 3), (11, 6)]
-    dmg = R.damage_items(res.withColumn("part_draw", F.lit(1)).withColumn("severity_draw", F.lit(2)))
-    assert rows(dmg, "item_id", "part_id", "severity") == [(3, 3, "HIGH"), (6, None, "HIGH")]
+    found = spark.createDataFrame([(11, 3, 7, "HIGH"), (11, 4, 8, "LOW")], "inspection_id long, item_id long, part_id long, severity string")
+    assert rows(R.damage_items(res, found), "item_id", "part_id", "severity") == [(3, 7, "HIGH"), (6, None, None)]
+    import pytest
+    with pytest.raises(Exception, match="too long"):
+        many = spark.range(R.MAX_ITEMS + 1).select(F.col("id").alias("item_id"), F.lit(True).alias("is_active"))
+        R.expand_checklist(insp, many, fails).count()
 
 
 def test_violations_and_source_mix(spark):
@@ -129,6 +133,32 @@ def test_versioned_table_roundtrip(spark):
     LH.write_version(new, root, "silver", "listing")          # reads the old state while writing the new
     assert rows(LH.read_table(spark, root, "silver", "listing")) == [(1, "ACTIVE"), (2, "SOLD")]
     assert os.path.exists(os.path.join(root, "silver", "listing", "_current"))
+    # an append after the switch is read back, an overwrite is a new version
+    LH.write_table(spark.createDataFrame([(3, "ACTIVE")], "id long, status string"), root, "silver", "listing", mode="append")
+    assert rows(LH.read_table(spark, root, "silver", "listing")) == [(1, "ACTIVE"), (2, "SOLD"), (3, "ACTIVE")]
+    LH.write_table(LH.read_table(spark, root, "silver", "listing").filter("id > 1"), root, "silver", "listing")
+    assert rows(LH.read_table(spark, root, "silver", "listing")) == [(2, "SOLD"), (3, "ACTIVE")]
+    like = LH.read_like(spark, LH.table_path(root, "silver", "listing") + "/" + LH._current_version(spark, LH.table_path(root, "silver", "listing")), v1)
+    assert like.schema == v1.schema and like.count() == 2
+
+
+def test_only_a_missing_pointer_means_plain(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="lotline-lh-")
+    LH.write_table(spark.range(3), root, "silver", "t")
+    assert LH.table_exists(spark, root, "silver", "t") and not LH.table_exists(spark, root, "silver", "u")
+    assert LH._current_version(spark, LH.table_path(root, "silver", "t")) is None
+    LH.write_version(spark.range(5), root, "silver", "t")
+    # a pointer that cannot be read is an error, not a plain table
+    folder = os.path.join(root, "silver", "t", "_current")
+    for name in os.listdir(folder):
+        if name.startswith("part-"):
+            os.truncate(os.path.join(folder, name), 0)
+            os.replace(os.path.join(folder, name), os.path.join(folder, name + ".gz"))
+            with open(os.path.join(folder, name + ".gz"), "w") as f:
+                f.write("no gzip")
+    with pytest.raises(Exception):
+        LH.read_table(spark, root, "silver", "t").count()
 
 
 def test_payload_and_driver_entry(spark):
@@ -137,7 +167,8 @@ def test_payload_and_driver_entry(spark):
     import __spark_entry__ as E
     df = E.entry(spark)
     assert df.count() > 0 and "profit_ngn" in df.columns
-    assert set(E.queries()) == set(E.oracle_sql())
+    from lotline.plans.queries import registry
+    assert set(registry()) <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_streaming_triage_matches_batch(spark):
