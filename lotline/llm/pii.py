@@ -15,6 +15,8 @@ on.  A text is one projection: split at the candidates, map, join again.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
@@ -29,6 +31,11 @@ _CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\d|[.-]\d)"
 PATTERN = "|".join((_EMAIL, _DATE, _IP, _SSN, _PHONE, _CARD))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` worked out once, however often and deep the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _digest(key: str, *parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), *[p.cast("string") for p in parts]), 512)
 
@@ -53,11 +60,15 @@ def _shift(text: Column, key: str, turn: Column, other: Column) -> Column:
 
 def feistel_text(text: Column, key: str) -> Column:
     """Keyed permutation of the texts of the same length and character classes."""
+    return _let(text, lambda t: _feistel_text(t, key))
+
+
+def _feistel_text(text: Column, key: str) -> Column:
     half = F.floor(F.length(text) / 2).cast("int")
     begin = F.struct(F.substring(text, F.lit(1), half).alias("l"), F.substring(text, half + 1, F.length(text)).alias("r"))
     end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), begin, lambda s, i: F.struct(
         s["r"].alias("l"), _shift(s["l"], key, i, s["r"]).alias("r")))
-    return F.concat(end["l"], end["r"])  # an even number of rounds: each half is back in its place
+    return _let(end, lambda s: F.concat(s["l"], s["r"]))  # an even number of rounds: each half is back in its place
 
 
 def feistel_number(x: Column, a: int, b: int, key: str) -> Column:
@@ -65,15 +76,11 @@ def feistel_number(x: Column, a: int, b: int, key: str) -> Column:
     def stream(i: Column, other: Column) -> Column:
         return F.conv(F.substring(_digest(key, i, other), 1, 15), 16, 10).cast("long")
 
-    x = x.cast("long")
-    begin = F.struct(F.floor(x / b).cast("long").alias("l"), (x % b).alias("r"))
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), begin, lambda s, i: _two_turns(s, i, a, b, stream))
-    return end["l"] * b + end["r"]
-
+    def two_turns(s: Column, i: Column) -> Column:
+        return _let((s["l"] + stream(i * 2, s["r"])) % a, lambda l: F.struct(l.alias("l"), ((s["r"] + stream(i * 2 + 1, l)) % b).alias("r")))
 
-def _two_turns(s: Column, i: Column, a: int, b: int, stream) -> Column:
-    left = (s["l"] + stream(i * 2, s["r"])) % a
-    return F.struct(left.alias("l"), ((s["r"] + stream(i * 2 + 1, left)) % b).alias("r"))
+    begin = _let(x.cast("long"), lambda v: F.struct(F.floor(v / b).cast("long").alias("l"), (v % b).alias("r")))
+    return _let(F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS // 2)), begin, two_turns), lambda s: s["l"] * b + s["r"])
 
 
 # ---------------------------------------------------------------------- kinds
@@ -90,6 +97,10 @@ def _put(form: Column, digits: Column) -> Column:
     return F.array_join(F.transform(_chars(form), place), "")
 
 
+def _formed(form: Column, digits: Column) -> Column:
+    return _let(digits, lambda d: _put(form, d))
+
+
 def _luhn_sum(digits: Column) -> Column:
     """Sum of the digits, every other one doubled, beginning with the last but one."""
     def add(total: Column, i: Column) -> Column:
@@ -117,6 +128,10 @@ def _date(text: Column) -> Column:
 def _new_date(text: Column, key: str) -> Column:
     first = F.to_date(F.lit("1800-01-01"))
     moved = F.date_add(first, feistel_number(F.datediff(_date(text), first), 189, 773, f"{key}|date").cast("int"))  # 189 * 773 days are 400 years
+    return _let(moved, lambda day: _date_like(text, day))
+
+
+def _date_like(text: Column, moved: Column) -> Column:
     parts, d, m, y = F.split(text, "[-/.]"), F.dayofmonth(moved).cast("string"), F.month(moved).cast("string"), F.year(moved).cast("string")
     # a part written with a leading zero gets one
     zero = F.get(parts, F.lit(0)).startswith("0") | F.get(parts, F.lit(1)).startswith("0")
@@ -131,8 +146,8 @@ def _octets(text: Column) -> Column:
 
 def _new_ip(text: Column, key: str) -> Column:
     o = _octets(text)
-    x = feistel_number(F.aggregate(o, F.lit(0).cast("long"), lambda t, y: t * 256 + y), 65536, 65536, f"{key}|ip")
-    return F.array_join(F.transform(F.array(*[F.lit(s) for s in (24, 16, 8, 0)]), lambda s: F.floor(x / F.pow(F.lit(2), s)).cast("long") % 256), ".")
+    new = feistel_number(F.aggregate(o, F.lit(0).cast("long"), lambda t, y: t * 256 + y), 65536, 65536, f"{key}|ip")
+    return _let(new, lambda x: F.concat_ws(".", *[(F.shiftright(x, s) % 256).cast("string") for s in (24, 16, 8, 0)]))
 
 
 def _ssn_parts(text: Column) -> tuple[Column, Column, Column]:
@@ -142,23 +157,27 @@ def _ssn_parts(text: Column) -> tuple[Column, Column, Column]:
 def _new_ssn(text: Column, key: str) -> Column:
     area, group, serial = _ssn_parts(text)  # areas 001-665 and 667-899, groups 01-99, serials 0001-9999
     at = F.when(area > 666, area - 2).otherwise(area - 1)
-    x = feistel_number((at.cast("long") * 99 + group - 1) * 9999 + serial - 1, 898, 99 * 9999, f"{key}|ssn")
-    at = F.floor(x / (99 * 9999))
-    area = at + F.when(at >= 665, 2).otherwise(1)
     pad = lambda c, n: F.lpad(c.cast("string"), n, "0")
-    return F.concat_ws("-", pad(area, 3), pad(F.floor(x / 9999) % 99 + 1, 2), pad(x % 9999 + 1, 4))
+
+    def write(x: Column) -> Column:
+        at = F.floor(x / (99 * 9999))
+        return F.concat_ws("-", pad(at + F.when(at >= 665, 2).otherwise(1), 3), pad(F.floor(x / 9999) % 99 + 1, 2), pad(x % 9999 + 1, 4))
+
+    return _let(feistel_number((at.cast("long") * 99 + group - 1) * 9999 + serial - 1, 898, 99 * 9999, f"{key}|ssn"), write)
 
 
 def _new_card(text: Column, key: str) -> Column:
-    digits = _digits(text)
-    body = feistel_text(F.substring(digits, F.lit(1), F.length(digits) - 1), f"{key}|card")
-    return _put(text, F.concat(body, ((F.lit(10) - _luhn_sum(F.concat(body, F.lit("0"))) % 10) % 10).cast("string")))
+    def checked(body: Column) -> Column:  # the last digit makes the sum right
+        return F.concat(body, ((F.lit(10) - _let(F.concat(body, F.lit("0")), _luhn_sum) % 10) % 10).cast("string"))
+
+    body = _let(_digits(text), lambda d: feistel_text(F.substring(d, F.lit(1), F.length(d) - 1), f"{key}|card"))
+    return _formed(text, _let(body, checked))
 
 
 def _new_phone(text: Column, key: str) -> Column:
     country = F.regexp_extract(text, r"^\+[0-9]{1,3}(?=[ .(-])", 0)  # a country code that is set apart stays
     rest = F.substring(text, F.length(country) + 1, F.length(text))
-    return F.concat(country, _put(rest, feistel_text(_digits(rest), f"{key}|phone")))
+    return F.concat(country, _let(rest, lambda r: _formed(r, feistel_text(_digits(r), f"{key}|phone"))))
 
 
 def _new_email(text: Column, key: str) -> Column:
@@ -169,7 +188,7 @@ def _new_email(text: Column, key: str) -> Column:
 def kind(text: Column) -> Column:
     """Kind of a candidate, null if it is not valid."""
     digits, area, group, serial = _digits(text), *_ssn_parts(text)
-    is_card = F.length(digits).between(13, 19) & (_luhn_sum(digits) % 10 == 0) & digits.rlike("[1-9]")
+    is_card = F.length(digits).between(13, 19) & (_let(digits, _luhn_sum) % 10 == 0) & digits.rlike("[1-9]")
     return (
         F.when(text.contains("@"), "email")
         .when(text.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.when(F.forall(_octets(text), lambda x: x < 256), "ip"))
