@@ -37,7 +37,8 @@ def normal(text: Column) -> Column:
 
 
 def _hash(text: Column) -> Column:
-    return F.sha2(text, 256)
+    """128 bits of a text."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit("second"), text).alias("b"))
 
 
 def parse(messages: DataFrame, text_col: str = "_text") -> DataFrame:
@@ -116,11 +117,14 @@ def format_chats(conversations: DataFrame, conv_col: str = "conv_id", turn_col:
     rows = conversations.select(F.col(f"`{conv_col}`").alias("_conv"), F.coalesce(F.col(f"`{turn_col}`").cast("long"), F.lit(LAST)).alias("_turn"),
                                 F.col(f"`{turn_col}`").alias("_given"), F.col(f"`{role_col}`").cast("string").alias("_role"), text.alias("_text"), F.xxhash64(text).alias("_tie"))
     parsed = parse(rows)
-    slim = cut_lineage(parsed.select("_conv", "_turn", "_given", "_role", "_tie", "_body", "_lines", "_passages"))
-    found = link_quotes(slim).toDF("_c", "_t", "_u", "_reply", "_quotes")
-    rows = slim.withColumns({"_depth": F.coalesce(F.array_max(F.transform("_passages", lambda p: p["level"])), F.lit(0)), "_n": F.size("_passages")}).drop("_lines", "_passages")
-    rows = rows.join(found, F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("_turn") == F.col("_t")) & (F.col("_tie") == F.col("_u")), "left").drop("_c", "_t", "_u")
-    rows = reply_order(rows)
+    # links and branches are found on the keys; texts are shuffled once, to meet them
+    found = link_quotes(parsed).toDF("_c", "_t", "_u", "_reply", "_quotes")
+    keys = rows.select("_conv", "_turn", "_tie").distinct()
+    keys = keys.join(found, F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("_turn") == F.col("_t")) & (F.col("_tie") == F.col("_u")), "left").drop("_c", "_t", "_u")
+    marks = reply_order(cut_lineage(keys)).toDF("_c", "_t", "_u", "_reply", "_quotes", "_branch")
+    depth = F.coalesce(F.array_max(F.transform("_passages", lambda p: p["level"])), F.lit(0))
+    rows = parsed.select("_conv", "_turn", "_given", "_role", "_tie", "_body", depth.alias("_depth"), F.size("_passages").alias("_n"))
+    rows = rows.join(marks, F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("_turn") == F.col("_t")) & (F.col("_tie") == F.col("_u")))
     role = F.coalesce("_role", F.lit("user"))
     return rows.select(
         F.col("_conv").alias(conv_col), F.col("_given").alias(turn_col), F.col("_role").alias(role_col), F.col("_body").alias(text_col),

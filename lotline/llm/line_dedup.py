@@ -37,12 +37,12 @@ def _words(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_pos, _words) of every line with a word; ``_pos`` orders lines (null identifiers last)."""
+    """(_pos, _text) of every line with a word; ``_pos`` orders lines (null identifiers last)."""
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.xxhash64(text).alias("_tie"), F.posexplode(F.split(text, "\n", -1)).alias("_line", "_text"))
     rows = rows.filter(F.btrim("_text", F.lit(WHITE_SPACE)) != "")
     pos = F.struct(F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_tie").alias("tie"), F.col("_line").alias("line"))
-    return rows.select(pos.alias("_pos"), _words(F.col("_text")).alias("_words"))
+    return rows.select(pos.alias("_pos"), "_text")
 
 
 def _halves(words: Column, n: Column) -> dict[str, Column]:
@@ -61,38 +61,41 @@ def _xor(x: Column) -> Column:
     return F.aggregate(x, F.lit(0).cast("long"), lambda a, b: a.bitwiseXOR(b))
 
 
-def _running_xor(x: Column) -> Column:
-    """Exclusive-or of all elements before each element, block by block."""
-    def run(part: Column) -> Column:
-        begin = F.array(F.lit(0).cast("long"))
-        return F.aggregate(part, begin, lambda got, b: F.concat(got, F.array(F.element_at(got, -1).bitwiseXOR(b))))
+def _running_xor(values: Column) -> Column:
+    """Exclusive-or of all elements before each element, and of all at the end."""
+    begin = F.array(F.lit(0).cast("long"))
+    return F.aggregate(values, begin, lambda got, x: F.concat(got, F.array(F.element_at(got, -1).bitwiseXOR(x))))
 
-    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(x) - 1) / BLOCK).cast("int")), lambda b: run(F.slice(x, b * BLOCK + 1, F.lit(BLOCK))))
-    before = run(F.transform(blocks, lambda b: F.element_at(b, -1)))
-    shifted = F.transform(blocks, lambda b, i: F.transform(F.slice(b, F.lit(1), F.lit(BLOCK)), lambda y: y.bitwiseXOR(F.get(before, i))))
-    return F.flatten(shifted)
+
+def _with_running_xor(rows: DataFrame, values: str, name: str) -> DataFrame:
+    """Adds ``name``: the exclusive-or of all elements before each one, block by block (a copy of a block per element)."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / BLOCK).cast("int")), lambda b: _running_xor(F.slice(values, b * BLOCK + 1, F.lit(BLOCK))))
+    rows = rows.withColumn("_blocks", blocks)
+    before = F.slice(_running_xor(F.transform("_blocks", lambda b: F.element_at(b, -1))), F.lit(1), F.size("_blocks"))
+    # zipped, so that what comes before a block is worked out once, not for each element
+    moved = F.zip_with("_blocks", before, lambda b, x: F.transform(F.slice(b, F.lit(1), F.lit(BLOCK)), lambda y: y.bitwiseXOR(x)))
+    return rows.withColumn(name, F.slice(F.flatten(moved), F.lit(1), F.size(values))).drop("_blocks")
 
 
 def _variants(lines: DataFrame) -> DataFrame:
-    """Rows (_key, _own, _at, _line fields) of the deletion neighbourhoods of ``lines``."""
-    words, n = F.col("_words"), F.col("_n")
-    here = F.transform(words, lambda w, i: F.xxhash64(w, i))
-    left = F.transform(words, lambda w, i: F.xxhash64(w, i - 1))  # as if a word before it were gone
-    rows = lines.withColumns({"_here": here, "_left": left})
-    rows = rows.withColumn("_change", _running_xor(F.zip_with("_here", "_left", lambda a, b: a.bitwiseXOR(b))))
-    rows = rows.withColumns({"_all": _xor(F.col("_here")), "_all_left": _xor(F.col("_left"))})
-    half = F.floor(n / 2).cast("int")
+    """Rows (_h1, _h2, _first, _key, _own, _at) of the deletion neighbourhoods of ``lines``."""
+    n = F.col("_n")
+    here = F.transform("_words", lambda w, i: F.xxhash64(w, i))
+    left = F.transform("_words", lambda w, i: F.xxhash64(w, i - 1))  # as if a word before it were gone
+    hits = [f"_hit{k}" for k in ("_first0", "_last0", "_first1", "_last1")]
+    rows = lines.select("_h1", "_h2", "_first", "_n", *hits, here.alias("_here"), left.alias("_left"))
+    rows = rows.withColumns({"_all": _xor(F.col("_here")), "_all_left": _xor(F.col("_left")), "_both": F.zip_with("_here", "_left", lambda a, b: a.bitwiseXOR(b))})
+    rows = cut_lineage(_with_running_xor(rows, "_both", "_change").drop("_both"))
     # with the first half shared, the change lies in the last, and the other way round
-    places = F.filter(F.sequence(F.lit(0), n - 1), lambda i: ((i >= half) & F.col("_hit_first0")) | ((i < half) & F.col("_hit_last0")))
-    changed = F.transform(places, lambda i: F.struct(
-        F.xxhash64(F.lit("changed"), n, i, F.col("_all").bitwiseXOR(F.get("_here", i))).alias("_key"), F.lit(False).alias("_own"), i.alias("_at")))
-    removed = F.transform(places, lambda i: F.struct(
-        F.xxhash64(F.lit("removed"), n - 1, F.lit(-1), F.col("_all_left").bitwiseXOR(F.get("_change", i)).bitwiseXOR(F.get("_left", i))).alias("_key"),
-        F.lit(False).alias("_own"), i.alias("_at")))
-    itself = F.when(F.col("_hit_first1") | F.col("_hit_last1"), F.array(F.struct(
-        F.xxhash64(F.lit("removed"), n, F.lit(-1), F.col("_all")).alias("_key"), F.lit(True).alias("_own"), F.lit(-1).alias("_at"))))
-    every = F.concat(changed, removed, F.coalesce(itself, F.array().cast("array<struct<_key:bigint,_own:boolean,_at:int>>")))
-    return rows.select("_h1", "_h2", "_first", F.explode(every).alias("_v")).select("_h1", "_h2", "_first", "_v.*")
+    at = rows.select("_h1", "_h2", "_first", "_n", "_hit_first0", "_hit_last0", "_all", "_all_left", F.posexplode(F.arrays_zip("_here", "_left", "_change")).alias("_at", "_w"))
+    half = F.floor(n / 2)
+    at = at.filter(((F.col("_at") >= half) & F.col("_hit_first0")) | ((F.col("_at") < half) & F.col("_hit_last0")))
+    changed = F.xxhash64(F.lit("changed"), n, F.col("_at"), F.col("_all").bitwiseXOR(F.col("_w._here")))
+    removed = F.xxhash64(F.lit("removed"), n - 1, F.col("_all_left").bitwiseXOR(F.col("_w._change")).bitwiseXOR(F.col("_w._left")))
+    at = at.select("_h1", "_h2", "_first", F.explode(F.array(changed, removed)).alias("_key"), F.lit(False).alias("_own"), "_at")
+    itself = rows.filter(F.col("_hit_first1") | F.col("_hit_last1")).select(
+        "_h1", "_h2", "_first", F.xxhash64(F.lit("removed"), n, F.col("_all")).alias("_key"), F.lit(True).alias("_own"), F.lit(-1).alias("_at"))
+    return at.unionByName(itself)
 
 
 def _near(lines: DataFrame) -> DataFrame:
@@ -129,7 +132,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     words, n = F.col("_words"), F.size("_words")
     halves = {k: F.when(n >= (min_words if k.endswith("0") else min_words - 1), c) for k, c in _halves(words, n).items()}
-    found = _lines(docs, id_col, text_col).withColumns({"_h1": F.xxhash64(words), "_h2": F.xxhash64(F.lit("second"), words), "_n": n, **halves})
+    found = _lines(docs, id_col, text_col).select("_pos", _words(F.col("_text")).alias("_words")).withColumns({"_h1": F.xxhash64(words), "_h2": F.xxhash64(F.lit("second"), words), "_n": n, **halves})
     found = cut_lineage(found.drop("_words"))
     lines = found.groupBy("_h1", "_h2", "_n", *halves).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_times"))
     lines = cut_lineage(lines)
@@ -138,11 +141,11 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = keys.groupBy("_key").agg(F.count(F.lit(1)).alias("_c")).filter("_c > 1").select("_key")
     hits = keys.join(shared, "_key", "left_semi").groupBy("_h1", "_h2").agg(*[F.max(F.col("_half") == k).alias(f"_hit{k}") for k in halves])
     hits = hits.join(lines.select("_h1", "_h2", "_n", "_first"), ["_h1", "_h2"])
-    # only the first of equal lines needs its words
+    # only the first of equal lines needs its words; lines travel as text, which packs better than words
     same = [F.col(f"_first.{c}").eqNullSafe(F.col(f"_pos.{c}")) for c in ("none", "id", "tie", "line")]
     texts = _lines(docs, id_col, text_col)
     suspects = hits.join(texts, same[0] & same[1] & same[2] & same[3]).dropDuplicates(["_h1", "_h2"])
-    near = _near(cut_lineage(suspects.select("_h1", "_h2", "_n", "_first", "_words", *[f"_hit{k}" for k in halves])))
+    near = _near(cut_lineage(suspects.select("_h1", "_h2", "_n", "_first", _words(F.col("_text")).alias("_words"), *[f"_hit{k}" for k in halves])))
     fate = lines.select("_h1", "_h2", "_first", "_times").join(near, ["_h1", "_h2"], "left").filter("_times > 1 or _earlier is not null")
     dropped = found.select("_pos", "_h1", "_h2").join(fate, ["_h1", "_h2"]).filter(F.col("_earlier").isNotNull() | (F.col("_pos") != F.col("_first")))
     keep = F.coalesce("_earlier", "_first")
