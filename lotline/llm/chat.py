@@ -9,12 +9,19 @@ to, the first, says what it replies to; quotes and the lines that introduce
 them are then taken out.
 
 A message that answers an earlier one than its predecessor begins a branch, any
-other goes on in the branch before it, so in the order (conversation, branch,
-turn) every message stands after what it replies to.  Branches are found by
-running maxima inside blocks of turns and then over the blocks' maxima, so a
-conversation of very many turns is not put into one task; originals are
-aggregated to the earliest before they are joined, so a phrase that
-everybody writes makes no pairs.
+other goes on in the branch before it: a branch is a run of neighbouring turns.
+Branches are found by running maxima inside blocks of turns and then over the
+blocks' maxima, so a conversation of very many turns is not put into one task;
+originals are aggregated to the earliest before they are joined, so a phrase
+that everybody writes makes no pairs.
+
+Threads follow the replies: a message answers what it quotes, else the message
+before it, and is in the thread of what it answers unless that has an earlier
+answer; then it opens a thread.  Inside a branch every message goes on from the
+one before, so threads are chains of whole branches, each joined to the branch
+whose last message it is the first to answer; the chains are followed by
+pointer doubling.  In the order (conversation, thread, turn) a message stands
+right after the one it continues.
 """
 
 from __future__ import annotations
@@ -101,13 +108,42 @@ def reply_order(messages: DataFrame) -> DataFrame:
     return rows.withColumn("_branch", F.coalesce("_here", "_earlier", "_root")).drop("_begin", "_block", "_here", "_earlier", "_root", "_c", "_b")
 
 
+def reply_threads(marks: DataFrame) -> DataFrame:
+    """``marks`` (_conv, _turn, _reply, _branch; a written table) with ``_thread``, the turn that its thread begins with.
+
+    Rows that share a turn are one message here; the latest of their replies counts.
+    """
+    first = F.col("_turn") == F.col("_branch")
+    runs = marks.groupBy("_conv", "_branch").agg(F.max("_turn").alias("_end"), F.max(F.when(first, F.col("_reply"))).alias("_to"))
+    answers = runs.filter("_to is not null").groupBy(F.col("_conv").alias("_c"), "_to").agg(F.min("_branch").alias("_run"))
+    # only a branch's last message has no answer inside of it
+    ends = runs.select("_conv", "_end", F.col("_branch").alias("_up"))
+    edges = answers.join(ends, F.col("_c").eqNullSafe(F.col("_conv")) & (F.col("_to") == F.col("_end"))).select("_c", "_run", "_up")
+    edges, more = cut_lineage(edges), True
+    if edges.isEmpty():
+        return marks.withColumn("_thread", F.col("_branch"))
+    while more:
+        above = edges.toDF("_a", "_r", "_top")
+        edges = edges.join(above, F.col("_c").eqNullSafe(F.col("_a")) & (F.col("_up") == F.col("_r")), "left")
+        edges = cut_lineage(edges.select("_c", "_run", F.coalesce("_top", "_up").alias("_up"), F.col("_top").isNotNull().alias("_more")))
+        more, edges = not edges.filter("_more").isEmpty(), edges.drop("_more")
+    # a branch may have very many turns, so its thread reaches them by blocks
+    rows = marks.withColumn("_block", F.floor(F.col("_turn") / BLOCK))
+    parts = rows.select("_conv", "_branch", "_block").distinct()
+    parts = parts.join(edges, F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("_branch") == F.col("_run")))
+    parts = parts.select(F.col("_conv").alias("_a"), F.col("_branch").alias("_r"), F.col("_block").alias("_b"), "_up")
+    rows = rows.join(parts, F.col("_conv").eqNullSafe(F.col("_a")) & (F.col("_branch") == F.col("_r")) & (F.col("_block") == F.col("_b")), "left")
+    return rows.withColumn("_thread", F.coalesce("_up", "_branch")).drop("_block", "_a", "_r", "_b", "_up")
+
+
 def format_chats(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
-    """One row per input row: conv, turn, role, text without quotes, formatted, quote_depth, n_quotes, quotes, reply_to, branch.
+    """One row per input row: conv, turn, role, text without quotes, formatted, quote_depth, n_quotes, quotes, reply_to, branch, thread.
 
     ``quotes`` are (level, turn) of the linked passages, ``reply_to`` the turn
     that the message answers by quoting (null: none found), ``branch`` the turn
-    its branch begins with; sorted by (conv, branch, turn) the conversation
-    is in reply order.  ``formatted`` is the message in role marks.  A null
+    its branch begins with, ``thread`` the turn its thread begins with (both
+    null where that is a null turn); sorted by (conv, thread, turn), nulls
+    last, the conversation is in reply order.  ``formatted`` is the message in role marks.  A null
     text counts as empty, a null role as ``user``; null conversations are one
     conversation, a null turn comes after all others and is quoted by none.
     Rows that share conversation and turn are kept apart by their text; rows
@@ -121,7 +157,7 @@ def format_chats(conversations: DataFrame, conv_col: str = "conv_id", turn_col:
     found = link_quotes(parsed).toDF("_c", "_t", "_u", "_reply", "_quotes")
     keys = rows.select("_conv", "_turn", "_tie").distinct()
     keys = keys.join(found, F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("_turn") == F.col("_t")) & (F.col("_tie") == F.col("_u")), "left").drop("_c", "_t", "_u")
-    marks = reply_order(cut_lineage(keys)).toDF("_c", "_t", "_u", "_reply", "_quotes", "_branch")
+    marks = reply_threads(cut_lineage(reply_order(cut_lineage(keys)))).toDF("_c", "_t", "_u", "_reply", "_quotes", "_branch", "_thread")
     depth = F.coalesce(F.array_max(F.transform("_passages", lambda p: p["level"])), F.lit(0))
     rows = parsed.select("_conv", "_turn", "_given", "_role", "_tie", "_body", depth.alias("_depth"), F.size("_passages").alias("_n"))
     rows = rows.join(marks, F.col("_conv").eqNullSafe(F.col("_c")) & (F.col("_turn") == F.col("_t")) & (F.col("_tie") == F.col("_u")))
@@ -131,4 +167,5 @@ def format_chats(conversations: DataFrame, conv_col: str = "conv_id", turn_col:
         F.concat(F.lit("<|im_start|>"), role, F.lit("\n"), F.col("_body"), F.lit("<|im_end|>")).alias("formatted"),
         F.col("_depth").cast("long").alias("quote_depth"), F.col("_n").cast("long").alias("n_quotes"),
         F.coalesce("_quotes", F.array().cast("array<struct<level:int,turn:bigint>>")).alias("quotes"), F.col("_reply").alias("reply_to"),
-        F.when(F.col("_branch") < LAST, F.col("_branch")).alias("branch"))
+        F.when(F.col("_branch") < LAST, F.col("_branch")).alias("branch"),
+        F.when(F.col("_thread") < LAST, F.col("_thread")).alias("thread"))

@@ -50,6 +50,31 @@ def test_branches_against_brute_force(talk, monkeypatch):
         assert all(reply[c, t] is None or order.index(reply[c, t]) < order.index(t) for t in range(40))
 
 
+def test_interleaved_threads(talk):
+    rows = [(1, t, "user", ("" if to is None else f"> message {to}\n") + f"message {t}") for t, to in enumerate((None, None, 0, 1, 2))]
+    got = chat.format_chats(talk(rows)).collect()
+    assert {r.turn: r.thread for r in got} == {0: 0, 1: 0, 2: 2, 3: 0, 4: 2}
+    assert [r.turn for r in sorted(got, key=lambda r: (r.thread, r.turn))] == [0, 1, 3, 2, 4]
+
+
+@pytest.mark.parametrize("step", [1, 3])  # turns without and with gaps
+def test_threads_against_brute_force(talk, monkeypatch, step):
+    monkeypatch.setattr(chat, "BLOCK", 4)
+    rng, rows, want = random.Random(5), [], {}
+    for c in (None, 1, 2, 3):
+        answered = set()
+        for t in range(60):
+            # mostly two or three talks side by side
+            to = rng.choice([max(0, t - 2), max(0, t - 3), rng.randrange(t)]) if t and rng.random() < 0.8 else None
+            up = t - 1 if to is None else to
+            want[c, t * step] = want[c, up * step] if t and up not in answered else t * step
+            answered.add(up)
+            rows.append((c, t * step, "user", ("" if to is None else f"> message {to} of {c}\n") + f"message {t} of {c}"))
+    got = {(r.conv_id, r.turn): r.thread for r in chat.format_chats(talk(rows)).collect()}
+    assert got == want
+    assert any(sorted(range(0, 60 * step, step), key=lambda t: (got[c, t], t)) != list(range(0, 60 * step, step)) for c in (None, 1, 2, 3))
+
+
 def test_odd_rows(talk):
     rows = [(None, None, None, None), (None, 1, "user", ""), (1, None, "user", "> hello there"), (1, 1, "user", "hello there"), (1, 1, "user", "hello there"), (1, 1, None, ">>>"),
             (1, 2, "user", "> hello there\n" * 3000), (3, 5, "user", "x" * 200_000), (3, -7, "user", "> x"), (4, 0, "a", "a > b\nc >> d"), (5, 0, "u", " keeps  its\tspace \n")]
