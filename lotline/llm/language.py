@@ -30,6 +30,9 @@ BUCKETS, DIM, EPOCHS = 4096, 16, 8
 CELLS = 1 << 20
 #: Labelled texts used in training and calibration.
 MAX_ROWS = 4_000
+#: Share of the calibration texts that the limits of rejection disregard as outliers, and the different
+#: subwords of four that a text needs to count among them.
+OUTLIERS, ENOUGH = 0.02, 16
 #: Characters looked at at a time, so that a very long text needs no more memory.
 CHARS = 1 << 20
 UNKNOWN = "und"
@@ -103,15 +106,24 @@ class Model:
         return self.languages[best], float(p[best]), known / of if of else 1.0
 
     def calibrate_rejection(self, shares: list[np.ndarray], cells: list[np.ndarray], train: np.ndarray, held: np.ndarray) -> None:
-        """Limits at half of what the worst of the calibration texts reaches, so that natural text stays."""
+        """Limits with half the room that the calibration texts leave at their ``OUTLIERS`` point, so that natural text stays.
+
+        The score's limit is midway from chance (one in the number of languages)
+        to that point, the known share's is half of it.  Texts of fewer than
+        ``ENOUGH`` subwords count only if there are no others.
+        """
         seen = np.zeros(CELLS, bool)
         for i in train:
             seen[cells[i]] = True
         self.seen = np.packbits(seen)
-        if len(held):
+        held = [i for i in held if len(cells[i])]
+        held = [i for i in held if len(cells[i]) >= ENOUGH] or held
+        if held:
+            # of two texts or more, the lowest one alone never decides
+            low = lambda x: float(np.quantile(x, OUTLIERS, method="higher"))
             p = softmax(np.array([shares[i] @ self.logits for i in held]) / self.temperature)
-            self.min_score = float(p.max(axis=1).min()) / 2
-            self.min_known = min([float(seen[cells[i]].mean()) for i in held if len(cells[i])], default=0.0) / 2
+            self.min_score = (low(p.max(axis=1)) + 1 / len(self.languages)) / 2
+            self.min_known = low([float(seen[cells[i]].mean()) for i in held]) / 2
 
 
 def softmax(x: np.ndarray) -> np.ndarray:

@@ -50,6 +50,28 @@ def test_rejects_what_it_has_not_met(spark, docs):
     assert language.identify(docs([]), model).count() == 0
 
 
+def test_outliers_leave_the_limits_alone(spark, docs):
+    """One-word texts and junk among the labelled ones: texts of other languages are rejected as without them."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = np.random.default_rng(8)
+    junk = lambda n: " ".join("".join(rng.choice(list("bcdfghjkqvwxz"), 6)) for _ in range(n))
+    odd = [(-1 - i, junk(1 if i % 2 else 40), "en") for i in range(12)]
+    model = language.train(df.union(spark.createDataFrame(odd, df.schema)))
+    foreign = ["Привет мир, как дела у вас сегодня", "日本語の文章です", "Ez egy magyar nyelvű szöveg, amelyben nincsenek ismert szavak",
+               "Tämä on suomenkielinen teksti jota malli ei tunne lainkaan", "Bu cümle Türkçe yazılmış ve model bunu bilmiyor"]
+    assert all(r.rejected for r in language.identify(docs(list(enumerate(foreign))), model).collect())
+    assert language.identify(df, model).filter("rejected").count() < 5
+
+
+def test_limits_against_single_outliers():
+    cells = [np.arange(100 * (i % 3), 100 * (i % 3) + 100, dtype=np.uint32) for i in range(30)]
+    cells += [np.arange(9000, 9100, dtype=np.uint32), np.array([9500], np.uint32)]  # junk, and one word
+    shares = [np.eye(3)[i % 3] for i in range(30)] + [np.ones(3) / 3] * 2
+    model = language.Model(["a", "b", "c"], np.eye(3) * 9)
+    model.calibrate_rejection(shares, cells, np.arange(15), np.arange(15, 32))
+    assert model.min_score > 0.6 and model.min_known == 0.5
+
+
 def test_nothing_to_learn(docs):
     for rows in ([], [(1, "text", None)], [(1, None, "en")], [(1, "", "en")]):
         model = language.train(docs(rows))
