@@ -1,6 +1,7 @@
 """PII: format-preserving Feistel pseudonyms (DataFrame functions only).
 
-Candidates are found by one pattern, validated by kind (Luhn sum, octets,
+Candidates are found by one pattern (a text's valid cards are looked up first
+and stand in it as they are, so digits beside them hide none), validated by kind (Luhn sum, octets,
 calendar, numbering rules), and replaced by a keyed permutation of the values
 of the same kind and format; so equal values get equal pseudonyms in every
 document, different ones different pseudonyms, and what is valid stays valid.
@@ -26,9 +27,12 @@ _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.
 _DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})(?![\d/-]|\.\d)"
 _IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-_PHONE = r"(?<![\d+(-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d|-\d)|(?<![\d+])\+\d{7,15}(?!\d)|(?<![\d+])\+\d{1,3}(?: \d{1,4}){2,6}(?! ?\d)"
+_PHONE = r"(?<![\d+(-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d|-\d)|(?<![\d+])\+\d{7,15}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ -]\d{1,4}){2,6}(?![ -]?\d)"
 _CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\d|[.-]\d)"
-PATTERN = "|".join((_EMAIL, _DATE, _IP, _SSN, _PHONE, _CARD))
+# printed forms, looked for at every group, as digits beside a card (a list number, a check code, a date) are not part of it
+_GROUPS = (r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}", r"\d{4}(?:[ -]\d{4}){3}", r"\d{4}[ -]\d{6}[ -]\d{5}", r"\d{4}[ -]\d{6}[ -]\d{4}", r"\d{4}(?:[ -]\d{3}){3}", r"\d{13,19}")
+_LEFT, _RIGHT = r"(?<![\d.+])(?:(?<!-)|(?<=\d-))", r"(?!\d|\.\d)"
+OTHERS = "|".join((_DATE, _IP, _SSN, _PHONE))
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -115,10 +119,16 @@ def _date_parts(text: Column) -> tuple[Column, Column, Column]:
     iso, slash = text.rlike("^[0-9]{4}-"), text.contains("/")
     parts = F.split(text, "[-/.]")
     one, two, three = (F.get(parts, F.lit(i)).cast("int") for i in range(3))
-    # day.month.year with dots; with slashes month/day/year
+    # day.month.year with dots; with slashes month/day/year, or day/month/year where that is no month
+    slash = slash & (one <= 12)
     return (F.when(iso, one).otherwise(three), F.when(iso, two).when(slash, one).otherwise(two), F.when(iso, three).when(slash, two).otherwise(one))
 
 
+def _day_first(text: Column) -> Column:
+    """Written day/month/year, which only shows on days after the 12th."""
+    return text.contains("/") & (F.get(F.split(text, "/"), F.lit(0)).cast("int") > 12)
+
+
 def _date(text: Column) -> Column:
     year, month, day = _date_parts(text)
     two = lambda x: F.lpad(x.cast("string"), 2, "0")
@@ -128,7 +138,22 @@ def _date(text: Column) -> Column:
 def _new_date(text: Column, key: str) -> Column:
     first = F.to_date(F.lit("1800-01-01"))
     moved = F.date_add(first, feistel_number(F.datediff(_date(text), first), 189, 773, f"{key}|date").cast("int"))  # 189 * 773 days are 400 years
-    return _let(moved, lambda day: _date_like(text, day))
+    return F.when(_day_first(text), _let(_new_late_day(_date(text), key), lambda day: _date_like(text, day))).otherwise(_let(moved, lambda day: _date_like(text, day)))
+
+
+def _new_late_day(date: Column, key: str) -> Column:
+    """Days after the 12th among themselves, so that day/month stays apart from month/day; 9 * 9833 of them are in 400 years."""
+    first = F.to_date(F.lit("1800-01-01"))
+    before = lambda m: F.datediff(F.add_months(first, m), first) - m * 12  # noqa: E731  late days before month m
+    month = (F.year(date) - 1800) * 12 + F.month(date) - 1
+    number = F.datediff(date, first) - (month + 1) * 12
+
+    def day(x: Column) -> Column:  # a month has 18.4 of them, so x is at most a month off its share
+        near = F.transform(F.sequence(F.lit(-2), F.lit(2)), lambda i: F.floor(x * 4800 / 88497).cast("int") + i)
+        m = F.get(F.filter(near, lambda m: (before(m) <= x) & (x < before(m + 1))), F.lit(0))
+        return _let(m, lambda m: F.date_add(F.add_months(first, m), (x - before(m) + 12).cast("int")))
+
+    return _let(feistel_number(number, 9, 9833, f"{key}|day/month"), day)
 
 
 def _date_like(text: Column, moved: Column) -> Column:
@@ -137,7 +162,7 @@ def _date_like(text: Column, moved: Column) -> Column:
     zero = F.get(parts, F.lit(0)).startswith("0") | F.get(parts, F.lit(1)).startswith("0")
     wide = lambda x: F.when(zero, F.lpad(x, 2, "0")).otherwise(x)
     return (F.when(text.rlike("^[0-9]{4}-"), F.concat_ws("-", y, F.lpad(m, 2, "0"), F.lpad(d, 2, "0")))
-            .when(text.contains("/"), F.concat_ws("/", wide(m), wide(d), y)).otherwise(F.concat_ws(".", wide(d), wide(m), y)))
+            .when(_day_first(text), F.concat_ws("/", d, wide(m), y)).when(text.contains("/"), F.concat_ws("/", wide(m), wide(d), y)).otherwise(F.concat_ws(".", wide(d), wide(m), y)))
 
 
 def _octets(text: Column) -> Column:
@@ -188,14 +213,27 @@ def _new_email(text: Column, key: str) -> Column:
 def kind(text: Column) -> Column:
     """Kind of a candidate, null if it is not valid."""
     digits, area, group, serial = _digits(text), *_ssn_parts(text)
-    is_card = F.length(digits).between(13, 19) & (_let(digits, _luhn_sum) % 10 == 0) & digits.rlike("[1-9]")
     return (
         F.when(text.contains("@"), "email")
         .when(text.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.when(F.forall(_octets(text), lambda x: x < 256), "ip"))
         .when(text.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4})$"), F.when(_date(text).isNotNull(), "date"))
         .when(text.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.when(area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0), "ssn"))
         .when(text.rlike(r"^[+(]|^[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}$"), F.when(F.length(digits).between(7, 15), "phone"))
-        .when(is_card, "card"))
+        .when(is_card(text), "card"))
+
+
+def is_card(text: Column) -> Column:
+    digits = _digits(text)
+    return F.length(digits).between(13, 19) & (_let(digits, _luhn_sum) % 10 == 0) & digits.rlike("[1-9]")
+
+
+def pattern(text: Column) -> Column:
+    """Pattern of a text's candidates: the valid cards are found first, at every place where one can begin, and stand in it as they are."""
+    found = [F.regexp_extract_all(text, F.lit(f"{_LEFT}(?=({g}){_RIGHT})"), F.lit(1)) for g in _GROUPS] + [F.regexp_extract_all(text, F.lit(f"({_CARD})"), F.lit(1))]
+    valid = F.filter(F.array_distinct(F.concat(*found)), is_card)
+    longest = F.transform(F.sort_array(F.transform(valid, lambda c: F.struct(F.length(c).alias("n"), c.alias("c"))), asc=False), lambda s: s["c"])
+    of_cards = F.when(F.size(longest) > 0, F.concat(F.lit(f"{_EMAIL}|{_LEFT}(?:"), F.array_join(longest, "|"), F.lit(f"){_RIGHT}|{OTHERS}")))
+    return F.coalesce(F.when(text.rlike(r"\d(?:[ -]?\d){12}"), of_cards), F.lit(f"{_EMAIL}|{OTHERS}"))
 
 
 def pseudonym(text: Column, kind: Column, key: str) -> Column:
@@ -217,10 +255,12 @@ def pseudonymise(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame
     kept = [c for c in docs.columns if c not in {f"n_{k}" for k in KINDS}]
     text = F.col(f"`{text_col}`").cast("string")
     # most texts have neither a digit nor an @; they are not searched
-    found = F.when(text.rlike("[0-9@]"), F.transform(F.regexp_extract_all(text, F.lit(f"({PATTERN})"), F.lit(1)), lambda m: F.struct(m.alias("old"), kind(m).alias("kind"))))
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], found.alias("_found"))
+    searched = text.rlike("[0-9@]")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.when(searched, pattern(text)).alias("_pattern"))
+    found = F.transform(F.regexp_extract_all(text, F.concat(F.lit("("), F.col("_pattern"), F.lit(")")), F.lit(1)), lambda m: F.struct(m.alias("old"), kind(m).alias("kind")))
+    rows = rows.withColumn("_found", F.when(F.col("_pattern").isNotNull(), found))
     new = F.transform("_found", lambda m: pseudonym(m["old"], m["kind"], key))
-    parts = F.zip_with(F.split(text, PATTERN, -1), new, lambda between, value: F.concat(between, F.coalesce(value, F.lit(""))))
+    parts = F.zip_with(F.split(text, F.col("_pattern"), -1), new, lambda between, value: F.concat(between, F.coalesce(value, F.lit(""))))
     changed = F.when(F.size("_found") > 0, F.array_join(parts, "")).otherwise(text)
     counts = [F.when(F.size("_found") > 0, F.size(F.filter("_found", lambda m: m["kind"] == k))).otherwise(F.lit(0)).cast("long").alias(f"n_{k}") for k in KINDS]
     return rows.select(*[changed.alias(c) if c == text_col else F.col(f"`{c}`") for c in kept], *counts)

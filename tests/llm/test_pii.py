@@ -71,6 +71,28 @@ def test_values_and_formats(spark):
     assert all(r[f"n_{r.kind}"] == 1 for r in twice)
 
 
+def test_values_beside_other_digits(spark):
+    """(text, the value in it, kind): only the value changes."""
+    cards = ["4111 1111 1111 1111", "378282246310005", "3782 822463 10005", "5500-0000-0000-0004"]
+    beside = ["{} 123", "{} 12/25", "1 {}", "12 {} 123", "1234 {}", "{} exp 12/25 cvv 123"]
+    rows = [(b.format(c), c, "card") for c in cards for b in beside]
+    rows += [("born 25/12/2020.", "25/12/2020", "date"), ("born 31/01/1999.", "31/01/1999", "date"), ("call +44-20-7946-0958 now", "+44-20-7946-0958", "phone")]
+    df = spark.createDataFrame(rows, "text string, value string, kind string").withColumn("given", F.col("text"))
+    for r in pii.pseudonymise(df, "k").collect():
+        assert r.value not in r.text and r[f"n_{r.kind}"] >= 1, r
+        assert shape(r.text) == shape(r.given) or r.kind == "date", r
+        if r.kind == "date":
+            d, m, y = map(int, r.text[5:-1].split("/"))
+            assert datetime.date(y, m, d).day > 12
+
+
+def test_day_first_dates_stay_apart(spark):
+    days = spark.sql("select explode(sequence(date'1800-01-01', date'2199-12-31', interval 7 days)) d").filter("day(d) > 12").select(F.date_format("d", "dd/MM/yyyy").alias("text"))
+    got = [r.text for r in pii.pseudonymise(days, "k").filter("n_date = 1").collect()]
+    assert len(got) == len(set(got)) == days.count()
+    assert all(datetime.date(*map(int, t.split("/")[::-1])).day > 12 for t in got)
+
+
 def test_all_days_and_numbers_stay_apart(spark):
     days = spark.sql("select explode(sequence(date'1800-01-01', date'1812-12-31')) d").select(F.col("d").cast("string").alias("text"))
     out = pii.pseudonymise(days, "k")
