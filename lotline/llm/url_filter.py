@@ -3,10 +3,11 @@
 A rule fits its host and all subdomains where the path starts with the rule's
 path; the longest one wins.  URLs that no rule decides are judged by
 gradient-boosted trees on lexical features: length, depth, digit ratio,
-entropy, parameter counts and suffix statistics.  The trees are trained from
-labelled URLs, at most ``MAX_ROWS`` of them, drawn by a hash of the URL; the
-statistics of a suffix (its share of blocked URLs and how many there are) are
-part of that model and cover the ``MAX_SUFFIXES`` commonest of the sample.
+entropy, parameter counts and suffix statistics.  The statistics of a suffix
+(its share of blocked URLs and how many there are) are counted over all
+labelled URLs and joined to the pages.  The trees are trained from about
+``MAX_ROWS`` distinct labelled URLs at most, half of them of either label,
+drawn by a hash of the URL; each weighs as many rows as it stands for.
 """
 
 from __future__ import annotations
@@ -19,9 +20,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lotline.session import cut_lineage
 
-#: Labelled URLs that the trees are trained from.
+#: Distinct labelled URLs that the trees are trained from.
 MAX_ROWS = 20_000
-MAX_SUFFIXES = 500
+#: Suffixes up to which their statistics are broadcast; beyond, Spark chooses the join.
+BROADCAST_SUFFIXES = 100_000
 TREES, DEPTH = 12, 4
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -82,21 +84,23 @@ def suffix(host: Column) -> Column:
 
 
 class Model:
-    """Trees, and the suffix statistics they were trained with; with one kind of label only, that label."""
+    """Trees, and the suffix statistics they were trained with (a written table: _s, _share, _n); with one kind of label only, that label."""
 
-    def __init__(self, trees: PipelineModel | None, share: dict[str, tuple[float, float]], base: float):
-        self.trees, self.share, self.base = trees, share, base
+    def __init__(self, trees: PipelineModel | None, suffixes: DataFrame | None, base: float):
+        self.trees, self.suffixes, self.base = trees, suffixes, base
+        self.small = suffixes is not None and suffixes.count() <= BROADCAST_SUFFIXES
 
     def with_features(self, urls: DataFrame, url_col: str = "_url") -> DataFrame:
         """``urls`` with host, path and all features."""
         host, path = host_and_path(F.col(url_col))
         rows = urls.withColumns({"_host": host, "_path": path})
         rows = rows.withColumns({f"_f_{k}": c for k, c in features(F.col(url_col), F.col("_host"), F.col("_path")).items()})
-        end = suffix(F.col("_host"))
-        for i, name in enumerate(SUFFIX_FEATURES):
-            known = F.create_map(*[x for s, v in sorted(self.share.items()) for x in (F.lit(s), F.lit(float(v[i])))]) if self.share else None
-            rows = rows.withColumn(f"_f_{name}", F.lit((self.base, 0.0)[i]) if known is None else F.coalesce(F.try_element_at(known, end), F.lit((self.base, 0.0)[i])))
-        return rows
+        if self.suffixes is None:
+            return rows.withColumns({f"_f_{name}": F.lit((self.base, 0.0)[i]) for i, name in enumerate(SUFFIX_FEATURES)})
+        known = F.broadcast(self.suffixes) if self.small else self.suffixes
+        rows = rows.join(known, suffix(F.col("_host")) == F.col("_s"), "left")
+        share, n = SUFFIX_FEATURES
+        return rows.withColumns({f"_f_{share}": F.coalesce("_share", F.lit(self.base)), f"_f_{n}": F.coalesce("_n", F.lit(0.0))}).drop("_s", "_share", "_n")
 
     def score(self, urls: DataFrame, url_col: str = "_url") -> DataFrame:
         """``urls`` with _host, _path and _score, the probability that the URL is to be blocked."""
@@ -111,23 +115,28 @@ class Model:
 def train(labelled: DataFrame, url_col: str = "url", block_col: str = "block", max_rows: int = MAX_ROWS, trees: int = TREES, depth: int = DEPTH, seed: int = 11) -> Model:
     """Trees from labelled URLs (``block_col`` boolean; rows with a null in either column are left out)."""
     rows = labelled.select(F.col(f"`{url_col}`").alias("_url"), F.col(f"`{block_col}`").alias("_block")).filter("_url is not null and _block is not null")
-    n = rows.count()
-    if n > max_rows:
-        draw = F.pmod(F.xxhash64("_url", F.lit(seed)), F.lit(1 << 31))
-        rows = rows.filter(draw < int(max_rows / n * (1 << 31)) + 1).limit(2 * max_rows)
-    sample = cut_lineage(rows)
-    host, _ = host_and_path(F.col("_url"))
     blocked = F.col("_block").cast("double")
-    seen = sample.groupBy(suffix(host).alias("s")).agg(F.count(F.lit(1)).alias("n"), F.sum(blocked).alias("b")).orderBy(F.desc("n"), "s").limit(MAX_SUFFIXES).collect()
-    total = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(blocked), F.lit(0.0)).alias("b")).first()
+    host, _ = host_and_path(F.col("_url"))
+    seen = cut_lineage(rows.groupBy(suffix(host).alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.sum(blocked).alias("_b")))
+    total = seen.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.coalesce(F.sum("_b"), F.lit(0.0)).alias("b")).first()
     if not total["n"] or total["b"] in (0, total["n"]):
-        return Model(None, {}, float(bool(total["n"] and total["b"])))
+        return Model(None, None, float(bool(total["n"] and total["b"])))
     base = total["b"] / total["n"]
-    model = Model(None, {r["s"]: ((r["b"] + 10 * base) / (r["n"] + 10), float(r["n"])) for r in seen}, base)
+    model = Model(None, seen.select("_s", ((F.col("_b") + 10 * base) / (F.col("_n") + 10)).alias("_share"), F.col("_n").cast("double").alias("_n")), base)
+    # each label has its own draw, so that a rare one is met; a URL is drawn with all its rows or not at all
+    if total["n"] > max_rows:
+        of = {r["_block"]: r["n"] for r in rows.groupBy("_block").agg(F.approx_count_distinct("_url", 0.02).alias("n")).collect()}
+        part = {label: 1.0 if sum(of.values()) <= max_rows else min(1.0, max_rows / 2 / max(1, n)) for label, n in of.items()}
+        draw = F.pmod(F.xxhash64("_url", F.lit(seed)), F.lit(1 << 31))
+        share = F.when(F.col("_block"), part[True]).otherwise(part[False])
+        rows = rows.filter(draw < share * (1 << 31)).withColumn("_part", share)
+    else:
+        rows = rows.withColumn("_part", F.lit(1.0))
+    sample = cut_lineage(rows.groupBy("_url", "_block").agg((F.count(F.lit(1)) / F.first("_part")).alias("_weight")))
     rows = cut_lineage(model.with_features(sample).withColumn("_label", blocked).drop("_host", "_path"))
     inputs = [c for c in rows.columns if c.startswith("_f_")]
     assemble = VectorAssembler(inputCols=inputs, outputCol="_vector")
-    boost = GBTClassifier(featuresCol="_vector", labelCol="_label", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, cacheNodeIds=False, checkpointInterval=-1)
+    boost = GBTClassifier(featuresCol="_vector", labelCol="_label", weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, cacheNodeIds=False, checkpointInterval=-1)
     model.trees = PipelineModel([assemble, boost.fit(assemble.transform(rows))])
     return model
 

@@ -82,3 +82,23 @@ def test_one_kind_of_label(spark):
     for labels, want in (([], "allow"), ([("http://x.y/", True)], "block"), ([("http://x.y/", False), (None, True)], "allow")):
         model = url_filter.train(spark.createDataFrame(labels, "url string, block boolean"))
         assert [r.verdict for r in url_filter.filter_urls(df, [], model).collect()] == [want]
+
+
+def test_suffixes_are_counted_over_all_rows(spark):
+    """More suffixes than 500 and more rows than are drawn: every suffix has its own share and count."""
+    df = spark.range(6000).select(F.format_string("http://h.s%d/%d", F.col("id") % 1500, F.col("id")).alias("url"), (F.col("id") % 1500 < 700).alias("block"))
+    model = url_filter.train(df, max_rows=400)
+    got = model.with_features(df.select(F.col("url").alias("_url"), "block")).select("block", "_f_suffix_share", "_f_suffix_count").distinct().collect()
+    base = 700 / 1500
+    assert {(r.block, round(r._f_suffix_share, 9), r._f_suffix_count) for r in got} == {(True, round((4 + 10 * base) / 14, 9), 4.0), (False, round(10 * base / 14, 9), 4.0)}
+
+
+def test_one_hot_url(spark):
+    """A URL with most of the labelled rows neither fills the sample nor hides the other label, whatever the draw."""
+    hot = spark.range(9000).select(F.lit("http://hot.example.com/a").alias("url"), F.lit(False).alias("block"))
+    rest = spark.range(1500).select(F.format_string("http://h%d.example.com/%s", F.col("id") % 5, F.when(F.col("id") % 3 == 0, F.repeat(F.lit("9"), 8)).otherwise(F.lit("page"))).alias("u"), "id")
+    rest = rest.select(F.concat("u", F.lit("/"), F.col("id").cast("string")).alias("url"), (F.col("id") % 3 == 0).alias("block"))
+    for seed in range(2):
+        model = url_filter.train(hot.union(rest), max_rows=300, seed=seed)
+        right = model.score(rest.withColumnRenamed("url", "_url")).agg(F.avg(((F.col("_score") >= 0.5) == F.col("block")).cast("double"))).first()[0]
+        assert right > 0.9
