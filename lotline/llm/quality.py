@@ -16,14 +16,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-CHUNK = 8192
+CHUNK = 1024
 LEVEL = 3
 #: (bytes from, least ratio, greatest ratio); natural text of many languages lies far inside.
 BANDS = (
     (0, 0.0, 3.0), (256, 1.05, 3.2), (512, 1.2, 3.4), (1024, 1.35, 3.6), (2048, 1.4, 4.0), (4096, 1.45, 4.5), (16384, 1.5, 5.0),
 )
-#: Share of a text's chunks that may lie outside of the chunks' band.
-BAD_CHUNKS = 0.5
+#: Share of a text's chunks that may lie outside of the chunks' band.  Of 10,000 given documents 7,078 have chunks:
+#: in 92 % none is bad (all ratios begin at 1.66, base64 is at 1.26), in the others, which repeat themselves, over a third are.
+BAD_CHUNKS = 0.2
 SYMBOLS = "#*$%&|<>"
 
 

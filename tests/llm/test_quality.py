@@ -51,3 +51,20 @@ def test_bands():
     # half of it repeats itself: the chunks show it
     assert quality.compression(prose[:16_384].encode() + b"again " * 5000, zip_)[1] > 0.5
     assert quality.compression(b"", zip_) == (0.0, 0.0)
+
+
+def test_mixed_texts(docs):
+    """Prose with up to half of it noise or filler, from 8 to 64 KB: the whole text's ratio alone does not show it."""
+    rng = random.Random(6)
+    words = ["".join(rng.choice("etaoinshrdlucmfw") for _ in range(rng.randint(2, 9))) for _ in range(400)]
+    prose = " ".join(rng.choice(words) for _ in range(12_000))
+    noise = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(40_000))
+    filler = "".join(f"line {i} of the very same filler text goes on here " for i in range(1000))
+    rows = []
+    for size in (8192, 16_384, 65_536):
+        for kind, bad in enumerate(("", noise, filler)):
+            for share in (0.5, 0.3) if bad else (0,):
+                rows.append((1000 * len(rows) + kind, prose[: int(size * (1 - share))] + " " + bad[: int(size * share)]))
+    got = {r.doc_id: r.kept for r in quality.quality(docs(rows), max_repeated=1.0).collect()}
+    assert {i: k for i, k in got.items() if i % 1000 == 0} == {i: True for i, _ in rows if i % 1000 == 0}
+    assert not [i for i, kept in got.items() if i % 1000 and kept]
