@@ -1,10 +1,12 @@
 """Chat formatting: quotation linking (DataFrame functions only).
 
 A message's lines have a quote level, the number of ``>`` before them.  Runs
-of lines of one level are passages.  Quoted passages and their lines are
-hashed in a normal form (letters and digits only, lower case) and joined to
-the earliest message of the conversation that has the same text unquoted, as a
-whole or as a line of its own.  The innermost quote level that a message adds
+of lines of one level are passages.  Passages and messages are cut in pieces:
+the whole, its lines, its sentences, and all windows of ``WINDOW`` words.  The
+pieces are hashed in a normal form (letters and digits only, lower case) and
+joined to the earliest message of the conversation that has the same piece
+unquoted; the message with the most words of the passage is its original.  The
+innermost quote level that a message adds
 to, the first, says what it replies to; quotes and the lines that introduce
 them are then taken out.
 
@@ -32,6 +34,10 @@ from lotline.session import cut_lineage
 
 #: Turns of one conversation that are put in order together.
 BLOCK = 512
+#: Words of the windows by which parts of sentences and text wrapped anew are found.
+WINDOW = 5
+#: Conversations with quotes up to which the list of them is broadcast.
+BROADCAST_QUOTING = 100_000
 _MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 # a line that introduces a quote: "On ..., X wrote:" in some languages
 _INTRODUCES = r"(?i)^.{0,200}\b(?:wrote|writes|said|schrieb|écrit|escribió)\b.{0,80}:\s*$"
@@ -67,29 +73,55 @@ def parse(messages: DataFrame, text_col: str = "_text") -> DataFrame:
     return rows.withColumn("_passages", F.filter(runs, lambda p: p["level"] > 0)).drop("_begins")
 
 
-def _keys(whole: Column, lines: Column) -> Column:
-    """Hashes of a text and of its lines, those without a word left out: (hash, whole)."""
-    one = F.filter(F.array(normal(whole)), lambda x: x != "")
-    rest = F.filter(F.transform(lines, normal), lambda x: x != "")
-    return F.array_distinct(F.concat(F.transform(one, lambda x: F.struct(_hash(x).alias("hash"), F.lit(True).alias("whole"))),
-                                     F.transform(rest, lambda x: F.struct(_hash(x).alias("hash"), F.lit(False).alias("whole")))))
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _pieces(text: Column, lines: Column) -> Column:
+    """Pieces of a text, those without a word left out: (kind, hash, at, n), ``n`` words; ``at`` is the first word of a window."""
+    def cut(kind: int, parts: Column) -> Column:
+        parts = F.filter(F.array_distinct(F.transform(parts, normal)), lambda x: x != "")
+        return F.transform(parts, lambda x, i: F.struct(F.lit(kind).alias("kind"), _hash(x).alias("hash"), i.alias("at"), F.size(F.split(x, " ")).alias("n")))
+
+    def windows(words: Column) -> Column:
+        starts = F.when(F.size(words) >= WINDOW, F.sequence(F.lit(1), F.size(words) - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(starts, lambda i: F.struct(F.lit(3).alias("kind"), _hash(F.array_join(F.slice(words, i, WINDOW), " ")).alias("hash"), i.alias("at"), F.lit(WINDOW).alias("n")))
+
+    sentences = F.split(F.regexp_replace(text, r"\s+", " "), r"(?<=[.!?])[\"')\]]* |(?<=[。！？])")
+    return F.concat(cut(0, F.array(text)), cut(1, lines), cut(2, sentences), _let(F.split(normal(text), " "), windows))
+
+
+def _words(pieces: Column) -> Column:
+    """Words in pieces (at, n) of one kind, sorted; windows may overlap."""
+    begin = F.struct(F.lit(0).alias("end"), F.lit(0).alias("sum"))
+    return F.aggregate(pieces, begin, lambda s, p: F.struct((p["at"] + p["n"]).alias("end"), (s["sum"] + p["at"] + p["n"] - F.greatest(p["at"], s["end"])).alias("sum")))["sum"]
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
     """(_conv, _turn, _tie, _reply, _quotes): what parsed ``messages`` reply to and quote.
 
     ``_quotes`` is the sorted array of (level, turn) of the linked passages.
-    A passage links as a whole where it can, else by its lines; of several
-    passages at the first level the latest original is the one replied to.
+    Each piece of a passage counts for the earliest message that has it; the
+    passage links to the message with most words in pieces of one kind, of
+    equal ones to the earliest.  Of several passages at the first level the
+    latest original is the one replied to.
     """
+    # only conversations with quotes are cut in pieces
+    quoting = cut_lineage(messages.filter(F.col("_text").rlike(r"(?m)^[ \t]*>")).select(F.col("_conv").alias("_in")).distinct())
+    quoting = F.broadcast(quoting) if quoting.count() <= BROADCAST_QUOTING else quoting
     own = F.transform(F.filter("_lines", lambda x: x["level"] == 0), lambda x: x["text"])
-    originals = messages.select("_conv", "_turn", F.explode(_keys(F.col("_body"), own)).alias("_k"))
-    originals = originals.groupBy(F.col("_conv").alias("_in"), F.col("_k.hash").alias("_hash")).agg(F.min("_turn").alias("_from"))
+    originals = messages.join(quoting, F.col("_conv").eqNullSafe(F.col("_in")), "left_semi")
+    originals = originals.select("_conv", "_turn", F.explode(F.array_distinct(F.transform(_pieces(F.col("_body"), own), lambda p: p["hash"]))).alias("_k"))
+    originals = originals.groupBy(F.col("_conv").alias("_in"), F.col("_k").alias("_hash")).agg(F.min("_turn").alias("_from"))
     quotes = messages.filter(F.size("_passages") > 0).select("_conv", "_turn", "_tie", F.posexplode("_passages").alias("_nth", "_p"))
-    quotes = quotes.select("_conv", "_turn", "_tie", "_nth", F.col("_p.level").alias("_level"), F.explode(_keys(F.array_join("_p.lines", " "), F.col("_p.lines"))).alias("_k"))
-    quotes = quotes.withColumns({"_hash": F.col("_k.hash"), "_part": ~F.col("_k.whole")}).drop("_k")
+    quotes = quotes.select("_conv", "_turn", "_tie", "_nth", F.col("_p.level").alias("_level"), F.explode(_pieces(F.array_join("_p.lines", " "), F.col("_p.lines"))).alias("_k"))
+    quotes = quotes.withColumn("_hash", F.col("_k.hash"))
     met = quotes.join(originals, F.col("_conv").eqNullSafe(F.col("_in")) & (quotes["_hash"] == originals["_hash"])).filter("_from < _turn")
-    linked = met.groupBy("_conv", "_turn", "_tie", "_nth", "_level").agg(F.min(F.struct("_part", "_from"))["_from"].alias("_from"))
+    passage = ["_conv", "_turn", "_tie", "_nth", "_level"]
+    linked = met.groupBy(*passage, "_from", F.col("_k.kind").alias("_kind")).agg(F.sort_array(F.collect_set(F.struct("_k.at", "_k.n"))).alias("_met"))
+    words = F.when(F.col("_kind") == 3, _words(F.col("_met"))).otherwise(F.aggregate("_met", F.lit(0), lambda t, p: t + p["n"]))
+    linked = linked.withColumn("_words", words).groupBy(*passage).agg((-F.max(F.struct(F.col("_words").alias("words"), (-F.col("_from")).alias("before")))["before"]).alias("_from"))
     return linked.groupBy("_conv", "_turn", "_tie").agg(
         F.max(F.when(F.col("_level") == 1, F.col("_from"))).alias("_reply"), F.sort_array(F.collect_set(F.struct(F.col("_level").alias("level"), F.col("_from").alias("turn")))).alias("_quotes"))
 

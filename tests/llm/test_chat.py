@@ -50,6 +50,16 @@ def test_branches_against_brute_force(talk, monkeypatch):
         assert all(reply[c, t] is None or order.index(reply[c, t]) < order.index(t) for t in range(40))
 
 
+def test_parts_of_messages(talk):
+    """A sentence out of a line, text wrapped anew, a common line beside the real one, part of a sentence."""
+    long = "We meet at the old station. Bring a warm coat, some food and the blue map! Is that fine?"
+    rows = [(1, 0, "user", "Yes."), (1, 1, "user", long), (1, 2, "user", "no"), (1, 3, "user", "Well.\nThe train leaves at nine.\nYes."),
+            (1, 4, "user", "> Yes.\n> The train leaves at nine.\nGood."), (1, 5, "user", "> Bring a warm coat,\n> some food and the blue\n> map!\nI will."),
+            (1, 6, "user", "> Is that fine?\nIt is."), (1, 7, "user", "> coat, some food and the\n> blue\nWhich one?"), (1, 8, "user", "> nobody said this at all\nHm.")]
+    got = {r.turn: r.reply_to for r in chat.format_chats(talk(rows)).collect()}
+    assert [got[t] for t in range(9)] == [None] * 4 + [3, 1, 1, 1, None]
+
+
 def test_interleaved_threads(talk):
     rows = [(1, t, "user", ("" if to is None else f"> message {to}\n") + f"message {t}") for t, to in enumerate((None, None, 0, 1, 2))]
     got = chat.format_chats(talk(rows)).collect()
