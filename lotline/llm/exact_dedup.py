@@ -1,12 +1,11 @@
-"""Exact dedup: tree-merge of sorted digest runs (DataFrame functions only).
-
-Every input partition writes one *run*: its rows' digests, sorted, in the
-shared checkpoint folder.  The runs then meet in binomial rounds.  With
-``lanes = radix ** levels`` runs, round ``k`` joins the ``radix`` runs whose
-numbers differ only in their ``k``-th digit: each of these takes from all
-others the digests whose ``k``-th digit is its own, and merges what it gets.
-After ``levels`` rounds a digest's entries from all runs have met, and no task
-ever held more than its share of the digests.
+"""Exact dedup: salted two-level aggregation of digests (DataFrame functions only).
+
+Every input partition's rows are written with the number of their *run*.  Entries
+are then aggregated in rounds: a round puts together the entries of ``radix``
+runs whose numbers differ only in one digit, so with ``lanes = radix **
+levels`` runs a digest's entries have met after ``levels`` rounds.  The rounds
+are hash aggregations over Spark's shuffle, salted by the run's number; sorted
+runs are not exchanged or merged in order, as equal digests only have to meet.
 
 An entry is (64-bit digest, SHA-256, byte length, identifier kept, rows).  The
 64-bit digest places an entry; two entries are merged only if SHA-256 and
