@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotline.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, pii, quality, simhash, url_filter
+from lotline.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, pii, quality, simhash, token_count, url_filter
 
-#: Where the tokenizer's file lies (a parameter of the operator; read on the driver only).
-VOCABULARY = "word_bpe_49k.json"
+#: Where the tokenizers' files lie (a parameter of the operators; read on the driver only).
+VOCABULARY, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
 #: The rules (host, path, verdict) of the URL query.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 #: Key of the pseudonyms in the query; a user gives a secret one.
@@ -26,6 +26,14 @@ def vocabulary(name: str = VOCABULARY) -> str:
         return f.read()
 
 
+def pieces(name: str = PIECES) -> bytes:
+    """Model of a public tokenizer."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), "rb") as f:
+        return f.read()
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash near-dedup of ``documents``: 3-word shingles, XXH64 with seed 42, links at 2 bits."""
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), width=3, seed=42, radius=2)
@@ -85,9 +93,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(_table(spark, sf_dir, "conversations"))
 
 
+def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every whole text of ``documents``; over the limit from 4,097 on."""
+    return token_count.count_tokens(_table(spark, sf_dir, "documents"), pieces(), keep=["doc_id"], limit=4096)
+
+
 def registry() -> dict:
     return {f.__name__: f for f in (
-        op1_simhash, op2_mixing, op3_quality, op4_line_dedup, op5_pii, op6_bpe, op7_url_filter, op8_exact_dedup, op9_language, op10_chat_format)}
+        op1_simhash, op2_mixing, op3_quality, op4_line_dedup, op5_pii, op6_bpe, op7_url_filter, op8_exact_dedup, op9_language, op10_chat_format,
+        op13_token_count)}
 
 
 OP2 = r"""
