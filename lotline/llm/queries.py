@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotline.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, pii, quality, simhash, token_count, url_filter
+from lotline.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, pii, quality, simhash, token_count, url_filter, vector_codes
 
 #: Where the tokenizers' files lie (a parameter of the operators; read on the driver only).
 VOCABULARY, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -93,6 +93,12 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(_table(spark, sf_dir, "conversations"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all ``embeddings``: 4 parts, 256 entries, 4 rounds."""
+    coded = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text of ``documents``; over the limit from 4,097 on."""
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), pieces(), keep=["doc_id"], limit=4096)
@@ -101,7 +107,7 @@ def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict:
     return {f.__name__: f for f in (
         op1_simhash, op2_mixing, op3_quality, op4_line_dedup, op5_pii, op6_bpe, op7_url_filter, op8_exact_dedup, op9_language, op10_chat_format,
-        op13_token_count)}
+        op11_vector_codes, op13_token_count)}
 
 
 OP2 = r"""
@@ -134,5 +140,39 @@ FROM documents
 """
 
 
+def _op11_sql(rounds: int = 4) -> str:
+    """Each round as two tables: nearest entries by distance and index, and the entries moved."""
+    steps = []
+    for r in range(rounds + 1):
+        steps.append(f"""
+n{r} AS MATERIALIZED (
+  SELECT vec_id, label, part, x, min(struct_pack(d := d, entry := entry)) AS best
+  FROM (SELECT v.*, e.entry, list_sum(list_transform(list_zip(v.x, e.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+        FROM v JOIN e{r} e USING (part)) GROUP BY ALL)""")
+        if r < rounds:
+            steps.append(f"""
+m{r} AS (
+  SELECT part, entry, list(m ORDER BY pos) AS x FROM (
+    SELECT part, best.entry AS entry, pos, CAST(floor(sum(x[pos]) / count(*)::DOUBLE) AS BIGINT) AS m
+    FROM n{r}, (SELECT unnest(generate_series(1, (SELECT max(len(x)) FROM v))) AS pos) GROUP BY ALL) GROUP BY ALL),
+e{r + 1} AS MATERIALIZED (SELECT e.part, e.entry, coalesce(m.x, e.x) AS x FROM e{r} e LEFT JOIN m{r} m USING (part, entry))""")
+    return f"""
+WITH k AS (
+  SELECT vec_id, label, list_transform(embedding, lambda c: CAST(floor(1024 * c::DOUBLE) AS BIGINT)) AS c FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+v AS MATERIALIZED (
+  SELECT vec_id, label, part, c[part * len(c) // 4 + 1 : (part + 1) * len(c) // 4] AS x FROM k, (SELECT unnest([0, 1, 2, 3]) AS part)),
+e0 AS MATERIALIZED (
+  SELECT part, entry, x FROM (SELECT *, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry FROM v) WHERE entry < 256),
+{",".join(steps).strip()},
+h AS (
+  SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM e{rounds}),
+c AS (
+  SELECT vec_id, label, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM n{rounds} GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM c, h
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2, "op8_exact_dedup": OP8}
+    return {"op2_mixing": OP2, "op8_exact_dedup": OP8, "op11_vector_codes": _op11_sql()}

@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from lotline.llm.names import spare
+
 #: Characters of a chunk and of the overlap first tried.
 CHUNK, OVERLAP = 1 << 16, 256
 #: Characters of short texts that are encoded in one call.
@@ -128,7 +130,7 @@ def count_tokens(docs: DataFrame, model: bytes, text_col: str = "text", keep: li
     made = ("n_bytes", "n_tokens", "over_limit")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
     text = F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.octet_length(text).cast("long").alias("n_bytes"), text.alias("_text"))
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.octet_length(text).cast("long").alias("n_bytes"), text.alias(spare("_text", keep)))
     schema = T.StructType(rows.schema.fields[:-1]).add("n_tokens", "long")
     digest = hashlib.sha256(model).hexdigest()
 
