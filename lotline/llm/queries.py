@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lotline.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, pii, quality, simhash, token_count, url_filter, vector_codes
+from lotline.llm import bpe, chat, exact_dedup, language, line_dedup, mixing, pii, prefix_trie, quality, simhash, token_count, url_filter, vector_codes
 
 #: Where the tokenizers' files lie (a parameter of the operators; read on the driver only).
 VOCABULARY, PIECES = "word_bpe_49k.json", "piece_bpe_32k.model"
@@ -99,6 +99,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prefix trie of all ``conversations``, each begun like the first one of its group of five."""
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"), openings=5)
+
+
 def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every whole text of ``documents``; over the limit from 4,097 on."""
     return token_count.count_tokens(_table(spark, sf_dir, "documents"), pieces(), keep=["doc_id"], limit=4096)
@@ -107,7 +112,7 @@ def op13_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registry() -> dict:
     return {f.__name__: f for f in (
         op1_simhash, op2_mixing, op3_quality, op4_line_dedup, op5_pii, op6_bpe, op7_url_filter, op8_exact_dedup, op9_language, op10_chat_format,
-        op11_vector_codes, op13_token_count)}
+        op11_vector_codes, op12_prefix_trie, op13_token_count)}
 
 
 OP2 = r"""
@@ -174,5 +179,43 @@ SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT)
 """
 
 
+# a conversation's turns as one string, each with its lengths in front, so that prefixes of turns are prefixes of strings
+OP12 = """
+WITH o AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(concat(octet_length(encode(coalesce(role, ''))), ':', coalesce(role, ''), coalesce(text, '')))) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (
+  SELECT DISTINCT c, c - c % 5 AS b,
+         xor(list_reduce([4294967295::UBIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::UBIGINT),
+           lambda a, x: list_reduce([xor(a, x)] || [0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT, 0::UBIGINT],
+             lambda v, z: xor(v >> 1, 3988292384::UBIGINT * (v & 1)))), 4294967295::UBIGINT) % 9 AS h
+  FROM o),
+t AS (
+  SELECT n.c, o.i, o.role, o.text FROM n JOIN o ON o.c = n.b AND o.i <= n.h
+  UNION ALL SELECT n.c, o.i, o.role, o.text FROM n JOIN o ON o.c = n.c AND o.i > n.h),
+d AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY i) AS depth FROM t),
+p AS (
+  SELECT c, depth, octet_length(encode(text)) AS bytes,
+         string_agg(concat('|', length(role), ',', length(text), ':', role, text), '' ORDER BY depth) OVER (PARTITION BY c ORDER BY depth) AS path,
+         coalesce(string_agg(concat('|', length(role), ',', length(text), ':', role, text), '' ORDER BY depth)
+           OVER (PARTITION BY c ORDER BY depth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS up,
+         depth = count(*) OVER (PARTITION BY c) AS last
+  FROM d
+  UNION ALL SELECT c, 0, 0, '', NULL, c NOT IN (SELECT c FROM d) FROM n),
+g AS MATERIALIZED (
+  SELECT path, any_value(up) AS up, any_value(depth) AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS saved,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (last), '')) AS ends_sha256
+  FROM p GROUP BY path),
+k AS (SELECT up AS path, count(*) AS n_children FROM g WHERE up IS NOT NULL GROUP BY up),
+m AS MATERIALIZED (SELECT g.*, coalesce(n_children, 0) AS n_children FROM g LEFT JOIN k USING (path)),
+s AS (
+  SELECT a.path, CAST(sum(CAST(b.n_children = 0 AS BIGINT)) AS BIGINT) AS n_leaves, CAST(sum(b.saved) AS BIGINT) AS saved_tokens
+  FROM m a JOIN m b ON b.depth >= a.depth AND starts_with(b.path, a.path) GROUP BY a.path)
+SELECT m.conv_id, CAST(m.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves, s.saved_tokens, m.ends_sha256
+FROM m JOIN s USING (path) LEFT JOIN m u ON u.path = m.up
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": OP2, "op8_exact_dedup": OP8, "op11_vector_codes": _op11_sql()}
+    return {"op2_mixing": OP2, "op8_exact_dedup": OP8, "op11_vector_codes": _op11_sql(), "op12_prefix_trie": OP12}
