@@ -9,8 +9,9 @@ right edge of the left token against the left edge of the right one; only
 words with a failing pair undergo exact merging.  All three steps are numpy
 over the batch, a step of all words at a time.
 
-Each distinct word is encoded once; a worker's table of known words is emptied
-when it has ``KNOWN_WORDS``, which costs time but changes no result.
+A distinct word is encoded once; a worker's table of known words is emptied when
+it takes ``KNOWN_BYTES``, and at the end of a task but for ``REST_BYTES`` at most,
+which costs time but changes no result.
 """
 
 from __future__ import annotations
@@ -25,14 +26,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-KNOWN_WORDS = 400_000
+from lotline.llm.memory import give_back
+from lotline.llm.names import spare
+
+#: Size of the table of known words within a task, and of one that is left to the worker's next task; a word takes
+#: some ``WORD_BYTES`` beside its letters (three strings, a tuple and its place in the table).
+KNOWN_BYTES, REST_BYTES, WORD_BYTES = 64 << 20, 24 << 20, 300
 #: Words of more bytes (rare) are merged one by one, so that they don't pad the arrays.
 LONG_WORD = 255
 #: Characters of text whose new words are encoded together.
-GROUP_CHARS = 4 << 20
+GROUP_CHARS = 1 << 20
 NEVER = np.int64(1) << 40
 # The word pattern of the vocabulary's own file, with its white space written out ...
 _SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -121,6 +128,7 @@ class Bpe:
         self.cut = re.compile("(" + "|".join(map(re.escape, special)) + ")") if special else None
         self.special = {t: (1, self.number[i], t) for t, i in special.items()}
         self.known: dict[str, tuple[int, str, str]] = {}
+        self.held = 0  # bytes of ``known``, about
 
     # ------------------------------------------------------------ exact merging
     def lookup(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -246,6 +254,8 @@ class Bpe:
         for i, w in enumerate(short.tolist()):
             got = flat[where[i] : where[i + 1]] if (r := row.get(i)) is None else ids[r, : count[r]].tolist()
             known[words[w]] = (len(got), " ".join([number[t] for t in got]), " ".join([token[t] for t in got]))
+        # a token of n bytes is written in at most n letters and six digits, each with a blank
+        self.held += len(words) * WORD_BYTES + 4 * len(text)
         for w in np.flatnonzero(size > LONG_WORD).tolist():
             got = self.merge(raw[w])
             known[words[w]] = (len(got), " ".join([number[t] for t in got]), self.decode(got))
@@ -261,10 +271,14 @@ class Bpe:
         wide = not text.isascii() and len(text.encode("utf-16-le")) > 2 * len(text)
         return (self.word if wide else self.narrow_word).findall(text)
 
+    def forget(self, above: int) -> None:
+        """Empties the table of known words if it is larger than that."""
+        if self.held > above:
+            self.known, self.held = {}, 0
+
     def encode(self, texts: list[str]) -> list[list[tuple[int, str, str]]]:
         """Of each text's words: number of ids, the ids as text, and decoded."""
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
+        self.forget(KNOWN_BYTES)
         self.known.update(self.special)
         cut = [self.words(t) for t in texts]
         if new := set().union(*cut).difference(self.known):
@@ -303,8 +317,8 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[
     """
     made = (["ids"] if with_ids else []) + ["n_tokens", "ids_sha256", "decoded_sha256"]
     keep = [c for c in (docs.columns if keep is None else keep) if c not in made]
-    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = rows.drop("_text").schema
+    rows = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text_col}`").cast("string").alias(spare("_text", keep)))
+    schema = T.StructType(rows.schema.fields[:-1])
     for c in made:
         schema = schema.add(c, T.ArrayType(T.IntegerType()) if c == "ids" else "long" if c == "n_tokens" else "string")
     digest = hashlib.sha256(vocabulary.encode()).hexdigest()
@@ -313,13 +327,13 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _model(vocabulary, digest)
         for whole in batches:
-            texts = [t or "" for t in whole.column(whole.num_columns - 1).to_pylist()]
-            group = np.cumsum([len(t) for t in texts]) // GROUP_CHARS
-            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(texts)]
+            text = whole.column(whole.num_columns - 1)
+            group = np.cumsum(pc.fill_null(pc.utf8_length(text), 0).to_numpy(zero_copy_only=False)) // GROUP_CHARS
+            cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(text)]
             for x, y in zip(cuts, cuts[1:], strict=False):
                 if x == y:
                     continue
-                coded = bpe.encode(texts[x:y])
+                coded = bpe.encode([t or "" for t in text.slice(x, y - x).to_pylist()])
                 arrays = [
                     pa.array([sum([w[0] for w in words]) for words in coded], pa.int64()),
                     pa.array([sha(words, 1) for words in coded], pa.string()),
@@ -327,6 +341,8 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[
                 if with_ids:
                     arrays.insert(0, pa.array([id_array(words) for words in coded], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays([*(c.slice(x, y - x) for c in whole.columns[:-1]), *arrays], names=[*keep, *made])
+        bpe.forget(REST_BYTES)
+        give_back()
 
     return rows.mapInArrow(run, schema)
 
@@ -334,8 +350,8 @@ def encode(docs: DataFrame, vocabulary: str, text_col: str = "text", keep: list[
 def decode(tokens: DataFrame, vocabulary: str, ids_col: str = "ids") -> DataFrame:
     """``tokens`` with ``decoded`` (string): the text of the ids (null or no ids: empty)."""
     kept = [c for c in tokens.columns if c != "decoded"]
-    rows = tokens.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{ids_col}`").alias("_ids"))
-    schema = rows.drop("_ids").schema.add("decoded", "string")
+    rows = tokens.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{ids_col}`").alias(spare("_ids", kept)))
+    schema = T.StructType(rows.schema.fields[:-1]).add("decoded", "string")
     digest = hashlib.sha256(vocabulary.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

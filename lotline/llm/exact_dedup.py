@@ -74,15 +74,18 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row left of each group of equal texts (all columns).
 
     The kept identifier's first row stays; if the very same identifier and
-    text stand in several rows, one of them stays.
+    text stand in several rows, one of them stays.  Null and empty texts are
+    equal; a very long text is compared by its digests; columns of any name
+    are kept.  An empty table gives no rows.
     """
     columns = docs.columns
     marks = exact_dedup(docs, id_col, text_col, keep).filter("group_size > 1")
     marks = marks.groupBy(F.col(id_col).alias("_id"), F.col("text_sha256").alias("_sha")).agg(
         F.first("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows"))
-    tagged = docs.withColumn("_sha", digest_columns(F.col(text_col))["_sha"]).alias("d").join(
-        marks.alias("m"), (F.col(f"d.{id_col}").eqNullSafe(F.col("m._id"))) & (F.col("d._sha") == F.col("m._sha")), "left")
-    tagged = tagged.select(*[F.col(f"d.`{c}`") for c in columns], F.col("d._sha"), "_kept", "_rows")
-    single = tagged.filter(F.coalesce("_kept", F.lit(True)) & (F.coalesce("_rows", F.lit(1)) == 1)).select(*columns)
+    # the rows' own columns lie in one struct, so that no name of theirs can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")
+    rows = docs.select(row, F.col(f"`{id_col}`").alias("_of"), digest_columns(F.col(f"`{text_col}`"))["_sha"].alias("_text_sha"))
+    tagged = rows.join(marks, F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_text_sha") == F.col("_sha")), "left")
+    single = tagged.filter(F.coalesce("_kept", F.lit(True)) & (F.coalesce("_rows", F.lit(1)) == 1)).select("_row.*")
     again = tagged.filter(F.col("_kept") & (F.col("_rows") > 1))
-    return single.unionByName(again.dropDuplicates([id_col, "_sha"]).select(*columns))
+    return single.unionByName(again.dropDuplicates(["_of", "_text_sha"]).select("_row.*"))

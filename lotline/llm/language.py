@@ -6,12 +6,14 @@ embedding, a text is the average of its subwords' embeddings, and a linear
 softmax turns the average into languages.
 
 Training is stochastic gradient descent in numpy on the driver, over a sample
-of at most ``max_rows`` labelled texts (about evenly many per language, drawn
-by a hash of the identifier); only bucket counts of the sample reach the
-driver, ``buckets`` numbers a text at most, however long it is.  A fifth of
-the sample is kept from training to calibrate: one temperature, by which the
-score becomes the probability that the prediction is right, and the limits of
-rejection, on the score and on the share of subwords that the training met.
+of about ``max_rows`` different labelled texts (evenly many per language, one
+expected at least, drawn by a hash of identifier and text), which is written
+once; only bucket counts of the sample reach the driver, ``buckets`` numbers a
+text at most, however long it is.  A fifth of the sample is kept from training
+to calibrate: one temperature, by which the score becomes the probability that
+the prediction is right, and the limits of rejection, on the score and on the
+share of subwords that the training met.  Which subwords those are is gathered on
+the executors as one set of bits, the known shares are counted there.
 Scoring a text adds up one precomputed row of logits per subword and reads the
 whole text.
 """
@@ -23,7 +25,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from lotline.llm.memory import give_back
+from lotline.llm.names import spare
+from lotline.session import cut_lineage
 
 BUCKETS, DIM, EPOCHS = 4096, 16, 8
 #: Cells in which the model notes the subwords of four that it has met (128 KB).
@@ -117,13 +123,18 @@ class Model:
             seen[cells[i]] = True
         self.seen = np.packbits(seen)
         held = [i for i in held if len(cells[i])]
-        held = [i for i in held if len(cells[i]) >= ENOUGH] or held
-        if held:
+        p = softmax(np.array([shares[i] @ self.logits for i in held]) / self.temperature).max(axis=1) if held else np.zeros(0)
+        self.set_limits(p, np.array([seen[cells[i]].mean() for i in held]), np.array([len(cells[i]) for i in held]))
+
+    def set_limits(self, p: np.ndarray, known: np.ndarray, size: np.ndarray) -> None:
+        """Limits of rejection from calibration texts: top probability, known share, and different subwords of four."""
+        some = size > 0
+        some &= size >= ENOUGH if (size >= ENOUGH).any() else True
+        if some.any():
             # of two texts or more, the lowest one alone never decides
             low = lambda x: float(np.quantile(x, OUTLIERS, method="higher"))
-            p = softmax(np.array([shares[i] @ self.logits for i in held]) / self.temperature)
-            self.min_score = (low(p.max(axis=1)) + 1 / len(self.languages)) / 2
-            self.min_known = low([float(seen[cells[i]].mean()) for i in held]) / 2
+            self.min_score = (low(p[some]) + 1 / len(self.languages)) / 2
+            self.min_known = low(known[some]) / 2
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
@@ -158,42 +169,84 @@ def fit(x: np.ndarray, y: np.ndarray, languages: list[str], calibrate: np.ndarra
     return model
 
 
+def _sample(labelled: DataFrame, max_rows: int, seed: int) -> DataFrame | None:
+    """(_lang, _text, _draw): about ``max_rows`` different labelled texts, about as many of each language; None without any."""
+    found = cut_lineage(labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n")))
+    languages = found.count()
+    if not languages:
+        return None
+    each = max(1, max_rows // languages)
+    # the upper 31 bits of the draw are below the language's share for about `each` of its rows; copies draw the same
+    draw, share = F.xxhash64("_id", "_text", F.lit(seed)), F.lit(each) / F.col("_n") * F.lit(1 << 31)
+    drawn = labelled.withColumn("_draw", draw).join(F.broadcast(found) if languages <= max_rows else found, "_lang").filter(F.shiftrightunsigned("_draw", 33) <= share)
+    return cut_lineage(drawn.select("_lang", "_text", "_draw").dropDuplicates(["_lang", "_draw"]))
+
+
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", max_rows: int = MAX_ROWS,
           buckets: int = BUCKETS, seed: int = 7) -> Model:
-    """Model from rows with a non-null language; no such rows: a model that knows none."""
-    labelled = labelled.select(F.col(id_col).cast("string").alias("_id"), F.col(lang_col).cast("string").alias("_lang"), F.col(text_col).cast("string").alias("_text"))
-    labelled = labelled.filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull())
-    found = {r["_lang"]: r["n"] for r in labelled.groupBy("_lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "_lang").limit(max_rows).collect()}
-    if not found:
-        return Model([], np.zeros((buckets, 0)))
-    languages, each = sorted(found), max(1, max_rows // len(found))
-    # the 31-bit draw of the identifier is below the language's share for about `each` of its rows
-    draw = F.pmod(F.xxhash64("_id", F.lit(seed)), F.lit(1 << 31))
-    share = F.create_map(*[x for lang in languages for x in (F.lit(lang), F.lit(min(1 << 31, int(each / found[lang] * (1 << 31)) + 1)))])
-    sample = labelled.filter(draw < F.element_at(share, F.col("_lang"))).withColumn("_draw", draw)
+    """Model from rows with a non-null language and a text; no such rows, or none with a letter: a model that knows none.
+
+    Equal rows are one text of the sample.  Other columns are not read.
+    """
+    labelled = labelled.select(F.col(f"`{id_col}`").cast("string").alias("_id"), F.col(f"`{lang_col}`").cast("string").alias("_lang"), F.col(f"`{text_col}`").cast("string").alias("_text"))
+    sample = _sample(labelled.filter(F.col("_lang").isNotNull() & F.col("_text").isNotNull()), max_rows, seed)
+    nothing = Model([], np.zeros((buckets, 0)))
+    if sample is None:
+        return nothing
 
     def featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [counts(t, buckets) for t in b.column(1).to_pylist()]
+            rows = [counts(t.as_py(), buckets) for t in b.column(1)]
             at = [np.flatnonzero(r) for r in rows]
-            packed = ([i.astype(np.uint32).tobytes() for i in at], [r[i].tobytes() for r, i in zip(rows, at, strict=True)],
-                      [np.unique(quads(t)).tobytes() for t in b.column(1).to_pylist()])
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(p, pa.binary()) for p in packed)], names=["_lang", "_draw", "_at", "_n", "_quads"])
-
-    # the draw keeps the sample near max_rows; the limit holds it below twice that whatever the identifiers are
-    got = sample.select("_lang", "_text", "_draw").mapInArrow(featurise, "_lang string, _draw long, _at binary, _n binary, _quads binary")
-    got = sorted((r["_lang"], r["_draw"], bytes(r["_at"]), bytes(r["_n"]), bytes(r["_quads"])) for r in got.limit(2 * max_rows).collect())
-    got = [r for r in got if r[2]]
+            packed = [i.astype(np.uint32).tobytes() for i in at], [r[i].tobytes() for r, i in zip(rows, at, strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), *(pa.array(p, pa.binary()) for p in packed)], names=["_lang", "_draw", "_at", "_n"])
+
+    got = sample.mapInArrow(featurise, "_lang string, _draw long, _at binary, _n binary").filter(F.octet_length("_at") > 0)
+    got = sorted((r["_lang"], r["_draw"], bytes(r["_at"]), bytes(r["_n"])) for r in got.collect())
     if not got:
-        return Model([], np.zeros((buckets, 0)))
+        return nothing
     languages = sorted({r[0] for r in got})
-    x, y = np.zeros((len(got), buckets), np.float32), np.array([languages.index(r[0]) for r in got])
-    for i, (_, _, at, n, _) in enumerate(got):
+    of = {lang: i for i, lang in enumerate(languages)}
+    x, y = np.zeros((len(got), buckets), np.float32), np.array([of[r[0]] for r in got])
+    for i, (_, _, at, n) in enumerate(got):
         n = np.frombuffer(n, np.int64)
         x[i, np.frombuffer(at, np.uint32)] = n / n.sum()
     calibrate = np.arange(len(got)) % 5 == 4
     model = fit(x, y, languages, calibrate, seed=seed)
-    model.calibrate_rejection(x, [np.frombuffer(r[4], np.uint32) for r in got], np.flatnonzero(~calibrate), np.flatnonzero(calibrate))
+    held = {got[i][:2]: i for i in np.flatnonzero(calibrate).tolist()}
+
+    def rows_of(batch: pa.RecordBatch, want: bool) -> Iterator[tuple[str, int, str]]:
+        for lang, text, draw in zip(*batch.columns, strict=True):
+            if ((lang.as_py(), draw.as_py()) in held) == want:
+                yield lang.as_py(), draw.as_py(), text.as_py()
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(CELLS, bool)  # subwords of four of a task's texts, handed on as 64-bit words
+        for b in batches:
+            for _, _, t in rows_of(b, False):
+                bits[quads(t)] = True
+        words = np.packbits(bits).view(np.int64)
+        at = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(words[at])], names=["at", "bits"])
+
+    seen = np.zeros(CELLS // 64, np.int64)
+    bits = sample.mapInArrow(met, "at int, bits long")
+    for r in bits.groupBy("at").agg(F.bit_or("bits").alias("bits")).collect():  # at most CELLS / 64 numbers
+        seen[r["at"]] = r["bits"]
+    model.seen = seen.view(np.uint8)
+
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.unpackbits(model.seen).astype(bool)
+        for b in batches:
+            for lang, draw, t in rows_of(b, True):
+                cells = np.unique(quads(t))
+                share = float(seen[cells].mean()) if len(cells) else 0.0
+                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in (lang, draw, len(cells), share)], names=["_lang", "_draw", "size", "known"])
+
+    shares = sample.mapInArrow(known, "_lang string, _draw long, size long, known double").collect()
+    if shares:
+        p = softmax(x[[held[r["_lang"], r["_draw"]] for r in shares]] @ model.logits / model.temperature).max(axis=1)
+        model.set_limits(p, np.array([r["known"] for r in shares]), np.array([r["size"] for r in shares]))
     return model
 
 
@@ -206,13 +259,14 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", min_score: f
     ``und``, a score under ``min_score``, or fewer than ``min_known`` of the
     text's subwords met in training (text of another language); both limits
     are the model's calibrated ones unless given.  Columns of these names
-    are replaced.
+    are replaced, others kept; very long texts are read whole, by parts.  An
+    empty table gives no rows.
     """
     min_score = model.min_score if min_score is None else min_score
     min_known = model.min_known if min_known is None else min_known
     kept = [c for c in docs.columns if c not in ("lang_pred", "score", "rejected")]
-    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias("_text"))
-    schema = rows.drop("_text").schema.add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
+    rows = docs.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text_col}`").cast("string").alias(spare("_text", kept)))
+    schema = T.StructType(rows.schema.fields[:-1]).add("lang_pred", "string").add("score", "double").add("rejected", "boolean")
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -221,10 +275,18 @@ def identify(docs: DataFrame, model: Model, text_col: str = "text", min_score: f
                 [*b.columns[:-1], pa.array([x for x, _, _ in said], pa.string()), pa.array([s for _, s, _ in said], pa.float64()),
                  pa.array([x == UNKNOWN or s < min_score or known < min_known for x, s, known in said], pa.bool_())],
                 names=[*kept, "lang_pred", "score", "rejected"])
+        give_back()
 
     return rows.mapInArrow(predict, schema)
 
 
+def drop_unidentified(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """``docs`` (all columns, of any name) without the rows whose language is rejected (see ``identify``)."""
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    said = identify(docs.toDF(*places), model, places[docs.columns.index(text_col)])
+    return said.filter("not rejected").select(*places).toDF(*docs.columns)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Rows kept from training: crc32 of the identifier's text is divisible by 5 (a null identifier is not held out)."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))

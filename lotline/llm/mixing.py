@@ -29,7 +29,8 @@ BROADCAST_SOURCES = 50_000
 def word_count(text: Column) -> Column:
     """Number of ``[^\\x20\\x09-\\x0D]+`` in a text (null: 0)."""
     bare = F.btrim(text.cast("string"), F.lit(WHITE_SPACE))
-    return F.when(bare.isNull() | (bare == ""), F.lit(0)).otherwise(F.size(F.split(bare, "[ \\t\\n\\x0B\\f\\r]+"))).cast("long")
+    # a letter for each word and its white space, so no array of words is made
+    return F.coalesce(F.length(F.regexp_replace(bare, "[^ \\t\\n\\x0B\\f\\r]+[ \\t\\n\\x0B\\f\\r]*", "x")), F.lit(0)).cast("long")
 
 
 def targets(sources: DataFrame, weights=(5, 2, 1), share: float = 1.5, max_epochs: int = 2) -> DataFrame:
@@ -130,8 +131,10 @@ def take(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source
     """The mix itself: every row of ``docs``, all columns, as often as the mix takes it (whole documents).
 
     Texts are not shuffled: the plan has a row per source, and only rows of
-    the cell at a source's cut are put in order.  A text without words takes
-    up no share and stays once.
+    the cell at a source's cut are put in order.  A text without words (null,
+    empty) takes up no share and stays once; very long texts are taken whole
+    or not at all; rows that tie or repeat are dealt as in ``mix``; columns of
+    any name are kept.  An empty table gives no rows.
     """
     sizes = cut_lineage(_keyed(docs, id_col, text_col, source_col, seed, []).drop("_row"))
     plan, n = _plan(sizes, weights, share, max_epochs)

@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
+from lotline.llm.memory import give_back
 from lotline.session import cut_lineage
 
 NODE_ROWS = 16_384
@@ -70,6 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             texts = (x or b"" for x in batch.column(2).cast(pa.large_binary()).to_pylist())
             fp = np.array([fingerprint(x, width, seed) for x in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], names=["_id", "_tie", "_fp"])
+        give_back()
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_tie"), text.alias("_text"))
@@ -308,8 +310,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` (all columns) with one text left of each component; rows that repeat it whole are left to exact dedup."""
-    columns = docs.columns
+    """``docs`` (all columns, of any name) with one text left of each component; rows that repeat it whole are left to exact dedup.
+
+    Null, empty and blank texts are one component; a very long text is hashed
+    by parts.  An empty table gives no rows.
+    """
     gone = near_duplicates(docs, id_col, text_col, **how).filter("not kept").select(F.col(id_col).alias("_gone"), F.col("_tie").alias("_gone_tie")).distinct()
-    tagged = docs.withColumn("_tie", F.xxhash64(F.col(text_col).cast("string")))
-    return tagged.join(gone, F.col(id_col).eqNullSafe(F.col("_gone")) & (F.col("_tie") == F.col("_gone_tie")), "left_anti").select(*[F.col(f"`{c}`") for c in columns])
+    # the rows' own columns lie in one struct, so that no name of theirs can clash
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    rows = docs.select(row, F.col(f"`{id_col}`").alias("_of"), F.xxhash64(F.col(f"`{text_col}`").cast("string")).alias("_of_tie"))
+    return rows.join(gone, F.col("_of").eqNullSafe(F.col("_gone")) & (F.col("_of_tie") == F.col("_gone_tie")), "left_anti").select("_row.*")

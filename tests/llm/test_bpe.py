@@ -82,7 +82,7 @@ def test_odd_rows(docs, library):
 
 
 def test_emptied_table_of_known_words(ours, library, monkeypatch):
-    monkeypatch.setattr(bpe, "KNOWN_WORDS", 2)
+    monkeypatch.setattr(bpe, "KNOWN_BYTES", 2)
     for text in ("the quick brown fox", "jumps over", "the lazy dog"):
         want, got = both(library, ours, text)
         assert got == want

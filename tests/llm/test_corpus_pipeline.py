@@ -4,6 +4,7 @@ from collections import Counter
 import corpus_pipeline
 import public_tokenizers
 from lotline.llm import queries
+from pyspark.sql import functions as F
 from test_simhash import brute_components, brute_fingerprint
 from tokenizers import Tokenizer
 
@@ -49,3 +50,21 @@ def test_run_on_odd_tables(spark, tmp_path):
         spark.createDataFrame(given, schema).write.parquet(f"{tmp_path}/{k}/documents.parquet")
         got = corpus_pipeline.run(spark, f"{tmp_path}/{k}")
         assert {r.doc_id for r in got.collect()} <= {2, 3}
+
+
+def test_clashing_columns_and_very_long_texts(spark, tmp_path):
+    """Columns named like those that the stages add beside a table's own come out as they went in."""
+    from lotline.session import cut_lineage
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    names = ["_text", "_sha", "_tie", "_row", "_id", "_kept", "_rows", "_gone", "size", "taken", "_lang", "_extra", "ids", "rejected"]
+    long = spark.createDataFrame([(10_000, "the and of with " * 60_000, "en", "z", 5)], given.schema)
+    docs = cut_lineage(given.union(long).select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names]))
+    for name, stage in corpus_pipeline.STAGES:
+        if name == "bpe_encode":
+            continue
+        docs = cut_lineage(stage(spark, docs, SF))
+        assert docs.columns == given.columns + names
+        assert docs.filter(" or ".join(f"`{n}` is null or `{n}` <> concat('{n}', doc_id)" for n in names)).count() == 0
+        assert docs.filter("doc_id = 10000").count() >= (1 if name != "mix_sources" else 0)
+    got = corpus_pipeline.encode_tokens(spark, docs, SF)
+    assert got.count() == docs.count()
