@@ -8,17 +8,20 @@ every size and for any orderable columns, nulls first:
    the whole order is selective) and written to the shared checkpoint folder
    with their range's number, so every later pass sees the same rows, also
    after an executor loss;
-2. the rows of each range are counted; a running sum over one row per range
-   gives each range's offset and is broadcast (as many rows as there are
-   shuffle partitions, whatever the input);
-3. key = offset + ``row_number`` inside the range.
+2. the rows of each range are counted; the running sums, one number per range
+   (as many as there are shuffle partitions, whatever the input), become a
+   constant of the plan;
+3. key = offset of the range + place inside it.
 
-The previous and next row of the whole order come from the same windows; at
-the edges of a range they are handed over with the offsets.
+So the numbered table is a projection of the written files: no join and no
+further shuffle.  The previous and next row of the whole order come from windows
+inside the ranges; at the edges of a range they are handed over by a broadcast
+of one row per range.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -40,19 +43,24 @@ def dense_key(df: DataFrame, order: str | Sequence[str], name: str, start: int =
     """
     order = [order] if isinstance(order, str) else list(order)
     ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cut = cut_lineage(df.repartitionByRange(ranges, *order).withColumn("_range", F.spark_partition_id()))
-    place = F.struct(*order)
+    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    # the identifier counts a partition's rows in their order, the partition's number above them
+    cut = cut_lineage(dealt.withColumn("_id", F.monotonically_increasing_id()))
+    cut = cut.select(*df.columns, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    size = {r["_range"]: r["_n"] for r in cut.groupBy("_range").agg((F.max("_at") + 1).alias("_n")).collect()}
+    before = [0, *itertools.accumulate(size.get(r, 0) for r in range(max(size, default=0)))]
+    key = F.element_at(F.lit(before).cast("array<bigint>"), (F.col("_range") + 1).cast("int")) + F.col("_at") + F.lit(start)
     sides = [(side, F.struct(*cols)) for side, cols in (("_prev", prev), ("_next", nxt)) if cols]
-    edges = [(F.max_by if side == "_prev" else F.min_by)(value, place).alias(f"{side}_edge") for side, value in sides]
-    per_range = cut.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"), *edges)
-    by_range = Window.orderBy("_range")  # one row per range
-    before = F.coalesce(F.sum("_n").over(by_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    handed = [(F.lag if side == "_prev" else F.lead)(f"{side}_edge").over(by_range).alias(f"{side}_edge") for side, _ in sides]
-    offsets = per_range.select("_range", before.alias("_before"), *handed)
-    inside = Window.partitionBy("_range").orderBy(*order)
-    near = [F.coalesce((F.lag if side == "_prev" else F.lead)(value).over(inside), F.col(f"{side}_edge")).alias(side) for side, value in sides]
-    out = cut.join(F.broadcast(offsets), "_range").select(
-        *df.columns, (F.col("_before") + F.row_number().over(inside) + (start - 1)).cast("long").alias(name), *near)
+    near = []
+    if sides:
+        edges = [(F.max_by if side == "_prev" else F.min_by)(value, "_at").alias(f"{side}_edge") for side, value in sides]
+        by_range = Window.orderBy("_range")  # one row per range
+        handed = [(F.lag if side == "_prev" else F.lead)(f"{side}_edge").over(by_range).alias(f"{side}_edge") for side, _ in sides]
+        per_range = cut.groupBy("_range").agg(*edges).select("_range", *handed)
+        inside = Window.partitionBy("_range").orderBy("_at")
+        near = [F.coalesce((F.lag if side == "_prev" else F.lead)(value).over(inside), F.col(f"{side}_edge")).alias(side) for side, value in sides]
+        cut = cut.join(F.broadcast(per_range), "_range")
+    out = cut.select(*df.columns, key.cast("long").alias(name), *near)
     if offset is not None:
         base = offset.select(F.coalesce(F.col(offset.columns[0]), F.lit(0)).cast("long")).scalar()
         out = out.withColumn(name, F.col(name) + base)

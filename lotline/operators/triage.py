@@ -99,14 +99,22 @@ def make_model_candidates(messages: DataFrame, vehicles: DataFrame, text: str =
     v = (vehicles.select("vehicle_id", F.lower("make").alias("mk"), F.lower("model").alias("md"))
          .filter(F.col("mk").isNotNull() & F.col("md").isNotNull()))
     pairs = v.groupBy("mk", "md").agg(F.count(F.lit(1)).alias("n"), F.min("vehicle_id").alias("min_id"))
+    both = named_pairs(messages, pairs, text).join(pairs, ["mk", "md"])
+    return both.groupBy("message_id").agg(F.sum("n").alias("n_candidates"), F.min("min_id").alias("cand_min_id"))
+
+
+def named_pairs(messages: DataFrame, pairs: DataFrame, text: str = "message_text") -> DataFrame:
+    """(message_id, mk, md): the makes and the models that a message names, each with each.
+
+    Joined by message, so that a make or a model that many vehicles share
+    multiplies nothing: a message has at most its makes times its models.
+    """
     t = messages.select("message_id", F.lower(F.col(text)).alias("text"))
     makes = pairs.select(F.col("mk").alias("pattern")).distinct().withColumn("pattern_id", F.col("pattern"))
     models = pairs.select(F.col("md").alias("pattern")).distinct().withColumn("pattern_id", F.col("pattern"))
     mk_hit = contains_join(t, makes, text_id="message_id").select("message_id", F.col("pattern_id").alias("mk"))
     md_hit = contains_join(t, models, text_id="message_id").select("message_id", F.col("pattern_id").alias("md"))
-    # makes first: a model that many makes share does not multiply the messages
-    both = mk_hit.join(pairs, "mk").join(md_hit, ["message_id", "md"])
-    return both.groupBy("message_id").agg(F.sum("n").alias("n_candidates"), F.min("min_id").alias("cand_min_id"))
+    return mk_hit.join(md_hit, "message_id")
 
 
 def match_entity(messages: DataFrame, vehicles: DataFrame, rules=T.EVENT_RULES,
@@ -118,9 +126,10 @@ def match_entity(messages: DataFrame, vehicles: DataFrame, rules=T.EVENT_RULES,
     none -> (null, 0.30).  All vehicles are searched, deleted ones too.
     """
     typed = messages.select("message_id", text, T.classify(F.col(text), rules).alias("event_type"))
-    relevant = typed.filter(F.col("event_type") != T.IGNORE)
-    lots = lot_hits(relevant, vehicles, text)
-    need_names = relevant.join(lots, "message_id", "left_anti")
+    # several joins read each of these
+    relevant = cut_lineage(typed.filter(F.col("event_type") != T.IGNORE).select("message_id", text))
+    lots = cut_lineage(lot_hits(relevant, vehicles, text))
+    need_names = cut_lineage(relevant.join(lots, "message_id", "left_anti"))
     cands = make_model_candidates(need_names, vehicles, text)
     j = typed.join(lots, "message_id", "left").join(cands, "message_id", "left")
     n = F.coalesce(F.col("n_candidates"), F.lit(0))

@@ -374,14 +374,20 @@ FROM vehicle v LEFT JOIN (SELECT vehicle_id, arg_max(to_stage, history_id) AS la
                           GROUP BY vehicle_id) u ON v.vehicle_id = u.vehicle_id""", "vehicle", "vehicle_history")
 
 # triage
-cte("raw_message", """
+cte("order_message", """
 SELECT o.o_orderkey AS message_id,
        concat_ws(' ', CASE o.o_orderpriority WHEN '1-URGENT' THEN 'arrived' WHEN '2-HIGH' THEN 'customs' WHEN '3-MEDIUM' THEN 'fixed'
                            WHEN '4-NOT SPECIFIED' THEN 'picked up' END,
                  CASE WHEN o.o_orderstatus = 'O' THEN concat_ws(' ', o.o_orderpriority, c.c_name)
-                      ELSE CASE WHEN o.o_orderstatus = 'P' THEN printf('Hall %d/P', o.o_orderkey) ELSE printf('LOT-%05d', o.o_orderkey) END END, m.text) AS message_text
-FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey
-LEFT JOIN (SELECT conv_id, text FROM conversations WHERE turn = 0) m ON o.o_orderkey = m.conv_id""")
+                      ELSE CASE WHEN o.o_orderstatus = 'P' THEN printf('Hall %d/P', o.o_orderkey) ELSE printf('LOT-%05d', o.o_orderkey) END END) AS message_text
+FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey""")
+
+cte("raw_message", """
+SELECT message_id, message_text FROM order_message
+UNION ALL
+SELECT (SELECT MAX(o_orderkey) FROM orders) + ROW_NUMBER() OVER (ORDER BY t.conv_id NULLS FIRST, t.turn NULLS FIRST),
+       concat_ws(' ', m.message_text, t.text)
+FROM conversations t LEFT JOIN order_message m ON t.conv_id = m.message_id""", "order_message")
 
 cte("typed", f"SELECT message_id, message_text, {_classify('message_text')} AS event_type FROM raw_message",
     "raw_message")
@@ -704,8 +710,7 @@ FROM (SELECT p.*, p.total_cost_ngn + COALESCE(e.expenses, 0) AS cost FROM fact_p
     "benchmark_in_documents": sql("""
 SELECT d.doc_id, b.item_id FROM documents d JOIN benchmark b ON length(b.text) > 0 AND contains(d.text, b.text)"""),
     "versioned_listing": sql("""
-SELECT n_nationkey, n_name, 1 AS version FROM nation WHERE n_nationkey >= 5
-UNION ALL SELECT n_nationkey, n_name, 2 FROM nation WHERE n_nationkey < 3"""),
+SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus <> 'P' THEN 1 ELSE 2 END AS version FROM orders"""),
     "contract_violations": sql(f"""
 SELECT 'repair_job_part' AS "table", 'not_null' AS rule, 'line_id' AS "column", CAST(COUNT(*) FILTER (WHERE line_id IS NULL) AS BIGINT) AS failing FROM repair_job_part
 UNION ALL SELECT 'repair_job_part', 'not_null', 'part_id', COUNT(*) FILTER (WHERE part_id IS NULL) FROM repair_job_part
@@ -720,9 +725,9 @@ UNION ALL SELECT 'purchase', 'foreign_key', 'buyer_staff_id', COUNT(*) FROM purc
 UNION ALL SELECT 'review_task', 'not_null', 'source_id', COUNT(*) FILTER (WHERE source_id IS NULL) FROM review_task
 UNION ALL SELECT 'review_task', 'allowed_values', 'status', COUNT(*) FILTER (WHERE status NOT IN ('OPEN', 'IN_PROGRESS', 'RESOLVED', 'DISMISSED')) FROM review_task
 UNION ALL SELECT 'review_task', 'polymorphic_fk', 'source_type,source_id', COUNT(*) FROM review_task t
-  WHERE NOT ((t.source_type = 'EXTRACTED_EVENT' AND EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = t.source_id))
+  WHERE NOT ((t.source_type = 'EXTRACTED_EVENT' AND EXISTS (SELECT 1 FROM raw_message m WHERE m.message_id = t.source_id))
           OR (t.source_type = 'EXTRACTED_RECEIPT_LINE' AND EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = t.source_id)))""",
-                               "repair_job_part", "repair_job", "purchase", "review_task"),
+                               "repair_job_part", "repair_job", "purchase", "review_task", "raw_message"),
     "source_mix": sql("""
 SELECT entity, source_id, COUNT(*) AS records,
        round(COUNT(*) * 100.0 / SUM(COUNT(*)) OVER (PARTITION BY entity), 2) AS pct_of_records

@@ -28,7 +28,11 @@ MILESTONE_TABLES = ("purchase", "shipment", "port_arrival", "pickup", "office_in
 
 
 def _write_read(spark: SparkSession, df: DataFrame, root: str, layer: str, name: str, mode: str = "overwrite"):
-    write_table(df, root, layer, name, mode=mode)
+    """Readers keep the old version until the new one is whole."""
+    if mode == "overwrite":
+        write_version(df, root, layer, name)
+    else:
+        write_table(df, root, layer, name, mode=mode)
     return read_table(spark, root, layer, name)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lotline.functions.text import form_id, lookup
 from lotline.operators import rules as R
-from lotline.operators.keys import dense_key
+from lotline.operators.keys import dense_key, next_keys
 from lotline.session import cut_lineage
 
 AS_OF = "2001-09-01"
@@ -133,10 +133,15 @@ class DriverSilver:
 
     @functools.cached_property
     def vehicle(self) -> DataFrame:
+        return self._boundary(self.vehicle_rows)
+
+    @functools.cached_property
+    def vehicle_rows(self) -> DataFrame:
+        """The vehicles, not written: for steps that read them once, and write what they make of them."""
         o = self.orders_plus
         k = F.col("o_orderkey")
         deleted = F.col("o_totalprice") < 10000
-        return self._boundary(o.select(
+        return o.select(
             k.alias("vehicle_id"), F.format_string("VIN%014d", k).alias("vin"), lot_no(k, F.col("o_orderstatus")).alias("auction_lot_no"),
             F.col("o_orderpriority").alias("make"), F.col("c_name").alias("model"),
             F.year("o_orderdate").alias("model_year"), F.col("c_nationkey").cast("long").alias("branch_id"),
@@ -144,7 +149,7 @@ class DriverSilver:
             .otherwise("IN_REPAIR").alias("current_stage"),
             F.when(F.col("o_orderstatus") == "F", "SOLD").otherwise("ACTIVE").alias("current_status"),
             F.col("o_orderdate").alias("created_at"), F.col("o_orderdate").alias("updated_at"),
-            deleted.alias("is_deleted"), F.when(deleted, F.col("o_orderdate")).alias("deleted_at")))
+            deleted.alias("is_deleted"), F.when(deleted, F.col("o_orderdate")).alias("deleted_at"))
 
     @functools.cached_property
     def purchase(self) -> DataFrame:
@@ -263,17 +268,19 @@ class DriverSilver:
     # ------------------------------------------------------------ triage
     @functools.cached_property
     def raw_message(self) -> DataFrame:
-        """One message per order: the priority's keyword, what the order's
-        status names (F: the lot; O: make and model; P: the odd lot), and
-        the text of the conversation with the order's number, if any."""
-        o = self.orders_plus
+        """One message per order: the priority's keyword and what the order's
+        status names (F: the lot; O: make and model; P: the odd lot).  And one
+        per turn of every conversation, numbered behind them by (conv_id, turn):
+        what is said, after the message of the order of the same number, if any."""
         k, status = F.col("o_orderkey"), F.col("o_orderstatus")
-        first = self.raw("conversations").filter("turn = 0").select("conv_id", F.col("text").alias("_said"))
         named = F.when(status == "O", F.concat_ws(" ", "o_orderpriority", "c_name")).otherwise(lot_no(k, status))
-        text = F.concat_ws(" ", lookup(F.col("o_orderpriority"), KEYWORD_OF_PRIORITY), named, F.col("_said"))
-        return o.join(first, k == F.col("conv_id"), "left").select(
-            k.alias("message_id"), F.lit(1).cast("long").alias("group_id"), F.lit(None).cast("string").alias("sender_phone"),
-            F.col("o_orderdate").alias("sent_at"), text.alias("message_text"))
+        about = F.concat_ws(" ", lookup(F.col("o_orderpriority"), KEYWORD_OF_PRIORITY), named)
+        orders = self.orders_plus.select(k.alias("_key"), F.col("o_orderdate").alias("sent_at"), about.alias("_about"))
+        turns = next_keys(self.raw("conversations").select("conv_id", "turn", "text"), ["conv_id", "turn"], "message_id", self.raw("orders"), "o_orderkey")
+        said = turns.join(orders, F.col("conv_id") == F.col("_key"), "left").select(
+            "message_id", "sent_at", F.concat_ws(" ", "_about", "text").alias("message_text"))
+        both = orders.select(F.col("_key").alias("message_id"), "sent_at", F.col("_about").alias("message_text")).unionByName(said)
+        return both.select("message_id", F.lit(1).cast("long").alias("group_id"), F.lit(None).cast("string").alias("sender_phone"), "sent_at", "message_text")
 
     @functools.cached_property
     def receipt_line(self) -> DataFrame:

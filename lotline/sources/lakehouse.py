@@ -10,6 +10,7 @@ can be used where it is installed.
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
 
@@ -24,8 +25,8 @@ def table_path(root: str, layer: str, table: str) -> str:
     return f"{root.rstrip('/')}/{layer}/{table}"
 
 
-def _current_version(spark: SparkSession, path: str) -> str | None:
-    """Version folder that the last pointer names, or None for a plain table.
+def _last(spark: SparkSession, path: str) -> tuple[int, str | None]:
+    """Number and version folder that the last pointer names, or (0, None) for a plain table.
 
     Pointers are numbered files that are added, never replaced, so a reader
     sees either the old or the new one.  Only a missing pointer folder means a
@@ -35,10 +36,14 @@ def _current_version(spark: SparkSession, path: str) -> str | None:
         pointers = spark.read.schema("n long, version string").json(f"{path}/{POINTER}")
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e):
-            return None
+            return 0, None
         raise
-    last = pointers.agg(F.max_by("version", "n")).first()  # one short line per rewrite
-    return last[0] if last else None
+    last = pointers.agg(F.max(F.struct("n", "version")).alias("last")).first()["last"]  # one short line per rewrite
+    return (last["n"], last["version"]) if last else (0, None)
+
+
+def _current_version(spark: SparkSession, path: str) -> str | None:
+    return _last(spark, path)[1]
 
 
 def read_table(spark: SparkSession, root: str, layer: str, table: str, fmt: str = "parquet") -> DataFrame:
@@ -77,21 +82,51 @@ def write_table(df: DataFrame, root: str, layer: str, table: str, mode: str = "o
     return path
 
 
-def write_version(df: DataFrame, root: str, layer: str, table: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
+def write_version(df: DataFrame, root: str, layer: str, table: str, fmt: str = "parquet", partition_by: list[str] | None = None,
+                  based_on: int | None = None) -> str:
     """Write a new table state (the result of a MERGE/UPDATE rewrite) to a
     fresh version folder, then point readers at it.  ``df`` may read the
-    current version: no folder is ever overwritten."""
+    current version: no folder is ever overwritten.
+
+    ``based_on`` is the number of the version that ``df`` was made from
+    (``version_number``; by default the current one when writing begins).  If
+    another writer has added the next number meanwhile, ``ConcurrentRewrite``
+    is raised, readers keep the other one's version, and the caller makes
+    ``df`` again from it.
+    """
     spark = df.sparkSession
     path = table_path(root, layer, table)
+    number = (version_number(spark, root, layer, table) if based_on is None else based_on) + 1
     version = f"v-{uuid.uuid4().hex[:12]}"
     w = df.write.format(fmt).mode("errorifexists")
     (w.partitionBy(*partition_by) if partition_by else w).save(f"{path}/{version}")
-    last = spark.read.schema("n long, version string").json(f"{path}/{POINTER}").agg(F.max("n")).first()[0] if _current_version(spark, path) else 0
-    pointer = spark.createDataFrame([(last + 1, version)], "n long, version string").coalesce(1)
-    pointer.write.mode("append").json(f"{path}/{POINTER}")
+    _add_pointer(spark, f"{path}/{POINTER}", number, version)
     return f"{path}/{version}"
 
 
+class ConcurrentRewrite(RuntimeError):
+    """Another writer has rewritten the table since it was read."""
+
+
+def version_number(spark: SparkSession, root: str, layer: str, table: str) -> int:
+    """Number of a table's current version (0: a plain table, or none)."""
+    return _last(spark, table_path(root, layer, table))[0]
+
+
+def _add_pointer(spark: SparkSession, folder: str, number: int, version: str) -> None:
+    """One short file named by its number.  Creating it fails if it is there, which the file system decides for all writers."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/{number:012d}.json")
+    try:
+        out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path, False)
+    except Exception as e:
+        if "AlreadyExists" in str(e):
+            raise ConcurrentRewrite(f"version {number} of {folder.rsplit('/', 1)[0]} has been written by another") from e
+        raise
+    out.write(bytearray(json.dumps({"n": number, "version": version}).encode()))
+    out.close()
+
+
 def read_like(spark: SparkSession, path: str, like: DataFrame, fmt: str = "parquet") -> DataFrame:
     """Read files with another table's schema (S-6)."""
     return spark.read.schema(like.schema).format(fmt).load(path)
