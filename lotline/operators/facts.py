@@ -16,6 +16,7 @@ fact (vehicle key, date keys, measures) used when only measures are needed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from decimal import Decimal
 
 from pyspark.sql import DataFrame
@@ -46,9 +47,10 @@ def _lookup(df: DataFrame, dims: dict | None, dim_name: str, key: str, natural:
 
 
 def fact_purchase(purchase: DataFrame, dim_vehicle: DataFrame, dims: dict | None = None,
-                  fx_rate: Decimal = FX_RATE) -> DataFrame:
+                  fx_rate: Decimal = FX_RATE, keep: Sequence[str] = ()) -> DataFrame:
     """One row per purchase of a current vehicle; no status or soft-delete
-    filter (as in the reference).  NGN = USD price x fx_rate, exact decimal."""
+    filter (as in the reference).  NGN = USD price x fx_rate, exact decimal.
+    ``keep``: further columns of ``purchase`` (a weight, for instance)."""
     f = purchase.join(_vehicle_keys(dim_vehicle), "vehicle_id")
     f = _lookup(f, dims, "auction_house", "auction_house_key", "auction_house_id")
     f = _lookup(f, dims, "staff", "staff_key", "staff_id", "buyer_staff_id", "buyer_staff_key")
@@ -60,7 +62,7 @@ def fact_purchase(purchase: DataFrame, dim_vehicle: DataFrame, dims: dict | None
         date_key("purchase_date").alias("purchase_date_key"), "source_key",
         F.col("price_amount").alias("price_amount_usd"),
         (F.col("price_amount") * fx).cast("decimal(20,2)").alias("price_amount_ngn"),
-        fx.alias("fx_rate_used"))
+        fx.alias("fx_rate_used"), *keep)
 
 
 def repair_lines(repair_job_part: DataFrame, repair_job: DataFrame) -> DataFrame:
@@ -71,9 +73,10 @@ def repair_lines(repair_job_part: DataFrame, repair_job: DataFrame) -> DataFrame
 
 
 def fact_repair(repair_job_part: DataFrame, repair_job: DataFrame, dim_vehicle: DataFrame,
-                dims: dict | None = None) -> DataFrame:
+                dims: dict | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """One row per part line of a current vehicle's repair job;
-    line_cost = unit_cost x qty (exact decimal)."""
+    line_cost = unit_cost x qty (exact decimal).  ``keep``: further columns
+    of the lines."""
     f = repair_lines(repair_job_part, repair_job).join(_vehicle_keys(dim_vehicle), "vehicle_id")
     f = _lookup(f, dims, "staff", "staff_key", "staff_id", "mechanic_staff_id", "mechanic_staff_key")
     f = _lookup(f, dims, "part", "part_key", "part_id")
@@ -85,7 +88,7 @@ def fact_repair(repair_job_part: DataFrame, repair_job: DataFrame, dim_vehicle:
         date_key("start_date").alias("repair_start_date_key"),
         date_key("end_date").alias("repair_end_date_key"), "source_key",
         "qty", F.col("unit_cost").alias("unit_cost_ngn"),
-        (F.col("unit_cost") * F.col("qty").cast("decimal(10,0)")).cast("decimal(20,2)").alias("line_cost_ngn"))
+        (F.col("unit_cost") * F.col("qty").cast("decimal(10,0)")).cast("decimal(20,2)").alias("line_cost_ngn"), *keep)
 
 
 def fact_sale(sale: DataFrame, dim_vehicle: DataFrame, dims: dict | None = None) -> DataFrame:

@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotline.session import cut_lineage
+from lotline.operators.ordered import ranged
 from lotline.sources.lakehouse import scalar_or_default
 
 
@@ -42,11 +42,7 @@ def dense_key(df: DataFrame, order: str | Sequence[str], name: str, start: int =
     consecutive keys in any order among them.
     """
     order = [order] if isinstance(order, str) else list(order)
-    ranges = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = df.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
-    # the identifier counts a partition's rows in their order, the partition's number above them
-    cut = cut_lineage(dealt.withColumn("_id", F.monotonically_increasing_id()))
-    cut = cut.select(*df.columns, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
+    cut = ranged(df, order)
     size = {r["_range"]: r["_n"] for r in cut.groupBy("_range").agg((F.max("_at") + 1).alias("_n")).collect()}
     before = [0, *itertools.accumulate(size.get(r, 0) for r in range(max(size, default=0)))]
     key = F.element_at(F.lit(before).cast("array<bigint>"), (F.col("_range") + 1).cast("int")) + F.col("_at") + F.lit(start)

@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from lotline.functions.dates import date_key, day_diff, midnight
 from lotline.operators.facts import current
 from lotline.operators.keys import dense_key
+from lotline.operators.ordered import ranged, running_total
+from lotline.session import cut_lineage
 
 # The stage names in the order the reference lists its
 # milestones; the position is the tie-break for stages on the same date.
@@ -221,3 +223,26 @@ def time_in_stage(history: DataFrame, sla: DataFrame | None = None, as_of=None)
         out = (out.join(sla.select("stage", "sla_days"), "stage", "left")
                .withColumn("sla_breached", F.col("days_in_stage") > F.col("sla_days")))
     return out
+
+
+def stage_stock_by_day(history: DataFrame) -> DataFrame:
+    """(stage, day, entered, left, in_stage) for every stage and day of the history's calendar.
+
+    ``in_stage`` counts the vehicles in the stage at the day's end: the
+    running total of entries less exits, over days without any as well.  A
+    vehicle leaves a stage on the day of its next change.  Entries and exits
+    are summed per stage and day before the running total, which goes over
+    ranges of (stage, day).
+    """
+    spans = dense_key(history.select("history_id", "vehicle_id", "to_stage", "changed_at"), "history_id", "_n", nxt=["vehicle_id", "changed_at"])
+    spans = spans.withColumn("_left", F.when(F.col("_next.vehicle_id") == F.col("vehicle_id"), F.to_date("_next.changed_at")))
+    moves = F.array(F.struct(F.to_date("changed_at").alias("day"), F.lit(1).cast("long").alias("entered"), F.lit(0).cast("long").alias("left")),
+                    F.struct(F.col("_left").alias("day"), F.lit(0).cast("long").alias("entered"), F.lit(1).cast("long").alias("left")))
+    daily = spans.select(F.col("to_stage").alias("stage"), F.explode(moves).alias("_m")).select("stage", "_m.*").filter("day is not null")
+    daily = cut_lineage(daily.groupBy("stage", "day").agg(F.sum("entered").alias("entered"), F.sum("left").alias("left")))
+    # the calendar of one row per stage; its ends are scalars
+    first, last = daily.agg(F.min("day")).scalar(), daily.agg(F.max("day")).scalar()
+    calendar = daily.select("stage").distinct().select("stage", F.explode(F.sequence(first, last)).alias("day"))
+    days = calendar.join(daily, ["stage", "day"], "left").na.fill(0, ["entered", "left"])
+    cut = ranged(days.withColumn("_change", F.col("entered") - F.col("left")), ["stage", "day"])
+    return running_total(cut, "stage", "_change", "in_stage").select("stage", "day", "entered", "left", "in_stage")

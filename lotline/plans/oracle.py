@@ -293,6 +293,11 @@ cte("fact_profit", _profit_sql(), *PROFIT_DEPS)
 cte("fact_profit_early", _profit_sql("l.created_at < TIMESTAMP '1998-01-01 00:00:00'",
                                      "TIMESTAMP '2001-01-01 00:00:00'"), *PROFIT_DEPS)
 
+# the first state of the tables that are refreshed: half prices of the first source, pending sales booked as reversed
+cte("fact_profit_first", _profit_sql("l.created_at < TIMESTAMP '1998-01-01 00:00:00'", "TIMESTAMP '2001-01-01 00:00:00'")
+    .replace("CAST(p.price_amount *", "CAST(CASE WHEN p.source_id = 1 THEN CAST((CAST(round(p.price_amount * 100) AS BIGINT) + 1) // 2 AS DECIMAL(18,0)) * CAST(0.01 AS DECIMAL(3,2)) ELSE p.price_amount END *")
+    .replace("IN ('FINALIZED', 'PENDING_PAYMENT')", "= 'FINALIZED'"), *PROFIT_DEPS)
+
 cte("lifecycle", f"""
 SELECT dv.vehicle_key,
        {dk('pd.purchase_date')} AS purchase_date_key, {dk('sd.ship_date')} AS ship_date_key,
@@ -672,6 +677,26 @@ FROM review_queue GROUP BY 1, 2""", "review_queue"),
     "state_as_of": sql(f"""
 SELECT user_id, event_type, effective_from FROM scd2_versions
 WHERE effective_from <= {CUT} AND (effective_to IS NULL OR {CUT} < effective_to)""", "scd2_versions"),
+    "fact_profit_incremental": sql("""
+SELECT n.vehicle_key, CAST(n.total_cost_ngn AS DOUBLE) AS total_cost_ngn, CAST(n.total_revenue_ngn AS DOUBLE) AS total_revenue_ngn,
+       CAST(n.profit_ngn AS DOUBLE) AS profit_ngn, n.margin_pct,
+       CASE WHEN n.total_cost_ngn IS DISTINCT FROM o.total_cost_ngn OR n.total_revenue_ngn IS DISTINCT FROM o.total_revenue_ngn
+            THEN n.calculated_at ELSE o.calculated_at END AS calculated_at
+FROM fact_profit n LEFT JOIN fact_profit_first o ON n.vehicle_key = o.vehicle_key""", "fact_profit", "fact_profit_first"),
+    "stage_stock_by_day": sql("""
+SELECT s.stage, d.day, COUNT(*) FILTER (h.entered = d.day) AS entered, COUNT(*) FILTER (h.gone = d.day) AS "left",
+       COUNT(*) FILTER (h.entered <= d.day AND (h.gone IS NULL OR h.gone > d.day)) AS in_stage
+FROM (SELECT DISTINCT to_stage AS stage FROM vehicle_history) s
+CROSS JOIN (SELECT CAST(unnest(generate_series((SELECT CAST(MIN(changed_at) AS DATE) FROM vehicle_history),
+                                               (SELECT CAST(MAX(changed_at) AS DATE) FROM vehicle_history), INTERVAL 1 DAY)) AS DATE) AS day) d
+JOIN (SELECT to_stage, CAST(changed_at AS DATE) AS entered,
+             CAST(LEAD(changed_at) OVER (PARTITION BY vehicle_id ORDER BY history_id) AS DATE) AS gone FROM vehicle_history) h
+  ON h.to_stage = s.stage GROUP BY 1, 2""", "vehicle_history"),
+    "state_as_of_join": sql("""
+SELECT t.event_id, t.user_id, t.asked_at, v.event_type AS state, v.version_key
+FROM (SELECT event_id, user_id, ts - INTERVAL 1 DAY AS asked_at FROM events) t
+ASOF LEFT JOIN scd2_versions v ON t.user_id = v.user_id AND t.asked_at >= v.effective_from""", "scd2_versions"),
+    "scd2_late_changes": sql("SELECT user_id, event_type, effective_from, effective_to, is_current FROM scd2_versions", "scd2_versions"),
     "dedup_messages": sql("""
 SELECT conv_id, turn, role, text || ' (edited)' AS text, TIMESTAMP '2024-01-02 00:00:00' AS ingested_at
 FROM (SELECT DISTINCT conv_id, turn, role, text FROM conversations)"""),

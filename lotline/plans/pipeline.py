@@ -20,7 +20,7 @@ from lotline.operators import facts as FX
 from lotline.operators import lifecycle as L
 from lotline.operators import profit as P
 from lotline.operators import triage as TR
-from lotline.operators import dml
+from lotline.operators import dml, scd2
 from lotline.sources.lakehouse import read_table, table_exists, write_table, write_version
 
 MILESTONE_TABLES = ("purchase", "shipment", "port_arrival", "pickup", "office_intake", "inspection",
@@ -36,6 +36,19 @@ def _write_read(spark: SparkSession, df: DataFrame, root: str, layer: str, name:
     return read_table(spark, root, layer, name)
 
 
+def _versioned_dim(spark: SparkSession, root: str, name: str, built: DataFrame, key: str, surrogate: str, run_ts: str | None,
+                   tracked: list[str], overwritten: list[str] = ()) -> DataFrame:
+    """The dimension as first built, or the one there is with changed and gone rows closed and new versions opened at ``run_ts``.
+
+    Keys of unchanged rows stay, so facts and histories of earlier runs keep
+    their meaning.  ``overwritten``: columns without versions (the stage has
+    its own history)."""
+    if not table_exists(spark, root, "gold", name):
+        return built
+    now = run_ts if run_ts is not None else F.current_timestamp()
+    return scd2.scd2_refresh(read_table(spark, root, "gold", name), built, key, tracked, now, surrogate, overwritten)
+
+
 def build_gold(spark: SparkSession, root: str, calendar: tuple[str, str] = ("2025-01-01", "2027-12-31"),
                fx_rate: Decimal = Decimal("1600.00"), run_ts: str | None = None,
                reason: str = "initial calculation") -> dict[str, DataFrame]:
@@ -48,7 +61,8 @@ def build_gold(spark: SparkSession, root: str, calendar: tuple[str, str] = ("202
     w = lambda df, name: out.__setitem__(name, _write_read(spark, df, root, "gold", name))
 
     w(D.dim_date(spark, *calendar), "dim_date")
-    w(D.dim_vehicle(s("vehicle")), "dim_vehicle")
+    w(_versioned_dim(spark, root, "dim_vehicle", D.dim_vehicle(s("vehicle")), "vehicle_id", "vehicle_key", run_ts,
+                     tracked=["vin", "make", "model", "model_year", "branch_id"], overwritten=["stage", "status"]), "dim_vehicle")
     dims = {
         "branch": D.build_dim(s("branch"), ["branch_id", "name", "is_active"], "branch_key", "branch_id"),
         "staff": D.dim_staff(s("staff"), s("staff_role"), as_of=run_ts),
@@ -60,6 +74,7 @@ def build_gold(spark: SparkSession, root: str, calendar: tuple[str, str] = ("202
         "source": D.build_dim(s("data_source"), ["source_id", "source_code"], "source_key", "source_id"),
     }
     table_of = {name: ("dim_data_source" if name == "source" else f"dim_{name}") for name in dims}
+    dims["staff"] = _versioned_dim(spark, root, "dim_staff", dims["staff"], "staff_id", "staff_key", run_ts, tracked=["name", "branch_id", "primary_role"])
     for name, df in dims.items():
         w(df, table_of[name])
     gdims = {name: out[table_of[name]] for name in dims}

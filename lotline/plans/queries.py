@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from lotline.operators import dims as D
 from lotline.operators import dml
 from lotline.operators import facts as FX
+from lotline.operators import incremental as IN
 from lotline.operators import lifecycle as L
 from lotline.operators import profit as P
 from lotline.operators import quality as Q
@@ -29,7 +30,7 @@ from lotline.functions.text import lookup
 from lotline.sources.driver import AS_OF, EVENT_STAGES, FX_RATE, SEVERITY_OF_FLAG, DriverSilver
 from lotline.operators.keys import dense_key
 from lotline.session import cut_lineage, ensure_checkpoint_dir
-from lotline.sources.lakehouse import read_table, write_table, write_version
+from lotline.sources.lakehouse import read_table, read_version, write_table, write_version
 from lotline.sources.landing import explode_payload, land_raw
 
 RUN_TS = f"{AS_OF} 00:00:00"
@@ -291,6 +292,33 @@ def q_fact_expense(spark, sf):
     return money_out(FX.fact_expense(expense, g.dim_vehicle, g.dims))
 
 
+@query("fact_profit_incremental")
+def q_profit_incremental(spark, sf):
+    """The profit fact brought up to date by what changed alone: late repair
+    lines (a batch of their own), corrected prices of the first source's
+    purchases, and sales that were booked as reversed at first."""
+    g, root = Gold(spark, sf), f"{ensure_checkpoint_dir(spark).rstrip('/')}/lotline-tables/{uuid.uuid4().hex}"
+    s, dv = g.s, g.dim_vehicle
+    late = F.col("created_at") >= F.lit("1998-01-01").cast("timestamp_ntz")
+    write_table(s.repair_job_part.withColumn("batch", F.when(late, 2).otherwise(1)), root, "silver", "repair_job_part", partition_by=["batch"])
+    half = (F.col("price_amount") / 2).cast("decimal(14,2)")
+    write_version(s.purchase.withColumn("price_amount", F.when(F.col("source_id") == 1, half).otherwise(F.col("price_amount"))), root, "silver", "purchase")
+    write_version(s.purchase, root, "silver", "purchase")
+    write_version(s.sale.withColumn("status", F.when(F.col("status") == "PENDING_PAYMENT", "REVERSED").otherwise(F.col("status"))), root, "silver", "sale")
+    write_version(s.sale, root, "silver", "sale")
+    repair_job = cut_lineage(s.repair_job)
+    at = lambda table, n: read_version(spark, root, "silver", table, n)
+    lines = read_table(spark, root, "silver", "repair_job_part")
+    old = cut_lineage(P.fact_profit(dv, FX.fact_purchase(at("purchase", 1), dv), FX.fact_repair(lines.filter("batch = 1"), repair_job, dv),
+                                    FX.fact_sale(at("sale", 1), dv), as_of="2001-01-01 00:00:00"))
+    new_lines = FX.fact_repair(lines.filter("batch > 1").withColumn("weight", F.lit(1).cast("long")), repair_job, dv, keep=["weight"])
+    changed = IN.signed_changes(at("purchase", 1), at("purchase", 2))
+    repriced = FX.fact_purchase(changed, dv, keep=["weight"])
+    resold = FX.fact_sale(IN.signed_changes(at("sale", 1), at("sale", 2)), dv)
+    return money_out(IN.refresh_profit(old, dv, [(new_lines, "line_cost_ngn"), (repriced, "price_amount_ngn")], resold,
+                                       FX.fact_sale(at("sale", 2), dv), as_of=RUN_TS))
+
+
 # ----------------------------------------------------------------- lifecycle
 
 @query("fact_vehicle_lifecycle")
@@ -333,6 +361,12 @@ def q_time_in_stage(spark, sf):
     return L.time_in_stage(Gold(spark, sf).events_history(), sla, as_of="2024-01-31 00:00:00")
 
 
+@query("stage_stock_by_day")
+def q_stock(spark, sf):
+    """How many vehicles are in each stage on each day."""
+    return L.stage_stock_by_day(Gold(spark, sf).vehicle_history())
+
+
 @query("listing_sold_sync")
 def q_listing_sync(spark, sf):
     g = Gold(spark, sf)
@@ -548,6 +582,28 @@ def q_state_as_of(spark, sf):
     return scd2.state_as_of(v, EVENTS_CUTOFF).select("user_id", "event_type", "effective_from")
 
 
+@query("state_as_of_join")
+def q_state_as_of_join(spark, sf):
+    """Each event's user a day before the event: the state then, if there was one."""
+    v = cut_lineage(q_scd2(spark, sf))
+    times = DriverSilver(spark, sf).raw("events").select("event_id", "user_id", (F.col("ts") - F.expr("INTERVAL 1 DAY")).alias("asked_at"))
+    found = scd2.state_as_of_join(times, v.withColumnRenamed("event_type", "state"), "user_id", "asked_at", ["state", "version_key"])
+    return found.select("event_id", "user_id", "asked_at", "state", "version_key")
+
+
+@query("scd2_late_changes")
+def q_scd2_late(spark, sf):
+    """All changes in three batches that are mixed in time, the last third first."""
+    ev = DriverSilver(spark, sf).raw("events").select("user_id", "event_type", "ts", "event_id")
+    batch = lambda i: ev.filter(F.col("event_id") % 3 == i)
+    dim = cut_lineage(scd2.scd2_from_changes(batch(2), "user_id", ["event_type"], "ts", "event_id", surrogate="version_key"))
+    log = batch(2)
+    for i in (0, 1):
+        dim, log = scd2.scd2_splice(dim, log, batch(i), "user_id", ["event_type"], "ts", "event_id", surrogate="version_key")
+        dim = cut_lineage(dim)
+    return dim.drop("version_key")
+
+
 @query("dedup_messages")
 def q_dedup(spark, sf):
     conv = DriverSilver(spark, sf).raw("conversations")

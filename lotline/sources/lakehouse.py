@@ -52,6 +52,16 @@ def read_table(spark: SparkSession, root: str, layer: str, table: str, fmt: str
     return spark.read.format(fmt).load(f"{path}/{version}" if version else path)
 
 
+def read_version(spark: SparkSession, root: str, layer: str, table: str, number: int, fmt: str = "parquet") -> DataFrame:
+    """A versioned table as it was at version ``number``."""
+    path = table_path(root, layer, table)
+    pointers = spark.read.schema("n long, version string").json(f"{path}/{POINTER}")
+    found = pointers.filter(F.col("n") == number).collect()  # one short line
+    if len(found) != 1:
+        raise ValueError(f"{path} has no version {number}")
+    return spark.read.format(fmt).load(f"{path}/{found[0]['version']}")
+
+
 def table_exists(spark: SparkSession, root: str, layer: str, table: str) -> bool:
     """False only if the table's folder is not there."""
     try:
