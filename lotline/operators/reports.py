@@ -47,3 +47,24 @@ def review_kpis(review_queue: DataFrame) -> DataFrame:
         F.round(F.avg("confidence_score"), 4).alias("avg_confidence"),
         F.count("resolved_date_key").alias("resolved"),
         F.round(F.avg("resolution_hours"), 2).alias("avg_resolution_hours"))
+
+
+def status_report(tables: Sequence[tuple[str, DataFrame, Sequence[str]]]) -> DataFrame:
+    """All breakdowns in one pass (D-26, A-1, A-2): (report, key1, key2, level, count).
+
+    ``tables``: (report, table, one or two key columns).  The tables' keys are
+    tagged and put together, and one aggregation over GROUPING SETS gives the
+    count of every key combination (level 0), of the first key of two (level
+    1) and of the whole report (level 3), told apart by ``grouping_id``, so a
+    null key is not a total.
+    """
+    tagged = None
+    for name, df, keys in tables:
+        two = [F.col(k).cast("string") for k in keys] + [F.lit(None).cast("string")] * (2 - len(keys))
+        t = df.select(F.lit(name).alias("report"), F.lit(len(keys)).alias("_keys"), two[0].alias("key1"), two[1].alias("key2"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    one, two, three = ["report", "_keys"], ["report", "_keys", "key1"], ["report", "_keys", "key1", "key2"]
+    sets = tagged.groupingSets([[F.col(c) for c in s] for s in (three, two, one)], *[F.col(c) for c in three])
+    out = sets.agg(F.count(F.lit(1)).alias("count"), F.grouping_id().cast("int").alias("level"))
+    # a report by one key has its detail without the second one
+    return out.filter("not (_keys = 1 and level = 0)").withColumn("level", F.expr("if(_keys = 1 and level = 1, 0, level)")).select("report", "key1", "key2", "level", "count")

@@ -529,6 +529,46 @@ def sql(final: str, *needs: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({CTES[n][0]}\n)" for n in order) + "\n" + final.strip()
 
 
+def _quarantine() -> str:
+    """Every rule as a window or a subquery over its whole table."""
+    tables = {
+        "vehicle": ("(SELECT * FROM vehicle WHERE NOT is_deleted)", "vehicle_id"), "branch": ("(SELECT n_nationkey AS branch_id, n_name AS name FROM nation)", "branch_id"),
+        "staff": ("(SELECT c_custkey AS staff_id, c_name AS name, c_nationkey AS branch_id FROM customer)", "staff_id"),
+        "part": ("(SELECT p_partkey AS part_id, p_name AS name FROM part)", "part_id"), "vendor": ("(SELECT s_suppkey AS vendor_id, s_name AS name FROM supplier)", "vendor_id"),
+        "purchase": ("purchase", "purchase_id"), "sale": ("sale", "sale_id"), "repair_job": ("repair_job", "repair_job_id"), "repair_job_part": ("repair_job_part", "line_id")}
+    null = lambda *cs: [(f"not_null:{c}", f"{c} IS NULL") for c in cs]
+    key = lambda *cs: [(f"unique:{','.join(cs)}", " AND ".join(f"{c} IS NOT NULL" for c in cs) + f" AND COUNT(*) OVER (PARTITION BY {', '.join(cs)}) > 1")]
+    ref = lambda c, parent: [(f"reference:{c}", f"{c} IS NOT NULL AND {c} NOT IN (SELECT {tables[parent][1]} FROM {tables[parent][0]})")]
+    one_of = lambda c, *values: [(f"allowed:{c}", f"{c} IS NOT NULL AND {c} NOT IN ({', '.join(q(v) for v in values)})")]
+    rules = {
+        "vehicle": null("vehicle_id", "branch_id") + key("vin") + key("make", "model", "model_year") + ref("branch_id", "branch"),
+        "branch": null("branch_id", "name") + key("name"), "staff": null("staff_id", "name") + key("staff_id") + ref("branch_id", "branch"),
+        "part": null("part_id", "name"), "vendor": null("vendor_id", "name") + key("name"),
+        "purchase": null("vehicle_id", "price_amount") + key("purchase_id") + one_of("price_currency", "USD", "NGN") + ref("vehicle_id", "vehicle") + ref("buyer_staff_id", "staff"),
+        "sale": null("vehicle_id", "customer_id") + key("sale_id") + one_of("status", "FINALIZED", "PENDING_PAYMENT") + ref("vehicle_id", "vehicle") + ref("salesperson_staff_id", "staff"),
+        "repair_job": null("vehicle_id", "start_date") + key("repair_job_id") + one_of("status", "COMPLETED", "IN_PROGRESS", "PENDING", "BLOCKED_WAITING_PART") + ref("vehicle_id", "vehicle"),
+        "repair_job_part": null("qty", "unit_cost") + key("line_id") + ref("repair_job_id", "repair_job") + ref("part_id", "part") + ref("vendor_id", "vendor")}
+    parts = []
+    for name, (table, row_key) in tables.items():
+        cases = ", ".join(f"CASE WHEN {test} THEN {q(reason)} END" for reason, test in sorted(rules[name]))
+        judged = f"(SELECT {row_key} AS row_key, concat_ws(';', {cases}) AS reasons FROM {table})"
+        parts.append(f"SELECT {q(name)} AS \"table\", CAST(row_key AS BIGINT) AS row_key, reasons, CAST(NULL AS BIGINT) AS clean FROM {judged} WHERE reasons <> ''")
+        parts.append(f"SELECT {q(name)}, NULL, NULL, COUNT(*) FROM {judged} WHERE reasons = ''")
+    return "\nUNION ALL ".join(parts)
+
+
+def _status_report() -> str:
+    reports = {"shipment": ("shipment", ["shipment_status"]), "clearance": ("port_arrival", ["clearance_status"]), "inspection": ("inspection", ["round_no", "overall_result"]),
+               "repair": ("repair_job", ["status"]), "cleaning": ("cleaning_task", ["status"]), "sale": ("sale", ["status"]), "vehicle": ("vehicle", ["current_stage", "current_status"])}
+    parts = []
+    for name, (table, keys) in reports.items():
+        for n, level in ([(2, 0), (1, 1), (0, 3)] if len(keys) == 2 else [(1, 0), (0, 3)]):
+            cols = [f"CAST({k} AS VARCHAR)" for k in keys[:n]] + ["CAST(NULL AS VARCHAR)"] * (2 - n)
+            by = f" GROUP BY {', '.join(keys[:n])}" if n else ""
+            parts.append(f"SELECT {q(name)} AS report, {cols[0]} AS key1, {cols[1]} AS key2, {level} AS level, COUNT(*) AS count FROM {table}{by}")
+    return "\nUNION ALL ".join(parts)
+
+
 def _money(cols: str) -> str:
     return cols
 
@@ -683,6 +723,13 @@ SELECT n.vehicle_key, CAST(n.total_cost_ngn AS DOUBLE) AS total_cost_ngn, CAST(n
        CASE WHEN n.total_cost_ngn IS DISTINCT FROM o.total_cost_ngn OR n.total_revenue_ngn IS DISTINCT FROM o.total_revenue_ngn
             THEN n.calculated_at ELSE o.calculated_at END AS calculated_at
 FROM fact_profit n LEFT JOIN fact_profit_first o ON n.vehicle_key = o.vehicle_key""", "fact_profit", "fact_profit_first"),
+    "contract_quarantine": sql(_quarantine(), "vehicle", "purchase", "sale", "repair_job", "repair_job_part"),
+    "status_report": sql(_status_report(), "shipment", "port_arrival", "inspection", "repair_job", "cleaning_task", "sale", "vehicle"),
+    "stage_duration_quantiles": sql("""
+SELECT event_type, s.share::DOUBLE AS share, n AS rows, micros AS quantile FROM (
+  SELECT event_type, micros, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY micros) AS place, COUNT(*) OVER (PARTITION BY event_type) AS n
+  FROM (SELECT event_type, epoch_us(effective_to) - epoch_us(effective_from) AS micros FROM scd2_versions WHERE effective_to IS NOT NULL))
+JOIN (VALUES (0.5), (0.9), (0.99)) s(share) ON place = greatest(1, CAST(ceil(s.share * n) AS BIGINT))""", "scd2_versions"),
     "stage_stock_by_day": sql("""
 SELECT s.stage, d.day, COUNT(*) FILTER (h.entered = d.day) AS entered, COUNT(*) FILTER (h.gone = d.day) AS "left",
        COUNT(*) FILTER (h.entered <= d.day AND (h.gone IS NULL OR h.gone > d.day)) AS in_stage

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lotline.operators import contracts as CO
 from lotline.operators import dims as D
 from lotline.operators import dml
 from lotline.operators import facts as FX
@@ -22,6 +23,7 @@ from lotline.operators import incremental as IN
 from lotline.operators import lifecycle as L
 from lotline.operators import profit as P
 from lotline.operators import quality as Q
+from lotline.operators import quantiles as QU
 from lotline.operators import reports as RP
 from lotline.operators import rules as R
 from lotline.operators import scd2
@@ -361,6 +363,15 @@ def q_time_in_stage(spark, sf):
     return L.time_in_stage(Gold(spark, sf).events_history(), sla, as_of="2024-01-31 00:00:00")
 
 
+@query("stage_duration_quantiles")
+def q_quantiles(spark, sf):
+    """Exact median, 90 % and 99 % of the microseconds that users stay in a state."""
+    v = q_scd2(spark, sf).filter("effective_to is not null")
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    spent = cut_lineage(v.select("event_type", (micros("effective_to") - micros("effective_from")).alias("micros")))
+    return QU.exact_quantiles(spent, "event_type", "micros", [0.5, 0.9, 0.99])
+
+
 @query("stage_stock_by_day")
 def q_stock(spark, sf):
     """How many vehicles are in each stage on each day."""
@@ -413,6 +424,17 @@ def q_st_listing(spark, sf):
     return RP.breakdown(q_listing_sync(spark, sf), "status")
 
 
+@query("status_report")
+def q_st_report(spark, sf):
+    """All status breakdowns with subtotals and totals, in one aggregation."""
+    g = Gold(spark, sf)
+    s = g.s
+    return RP.status_report([
+        ("shipment", s.shipment, ["shipment_status"]), ("clearance", s.port_arrival, ["clearance_status"]),
+        ("inspection", s.inspection, ["round_no", "overall_result"]), ("repair", s.repair_job, ["status"]),
+        ("cleaning", s.cleaning_task, ["status"]), ("sale", s.sale, ["status"]), ("vehicle", s.vehicle, ["current_stage", "current_status"])])
+
+
 @query("first_purchases")
 def q_first_purchases(spark, sf):
     return money_out(RP.first_k(DriverSilver(spark, sf).purchase, "vehicle_id", 10,
@@ -648,6 +670,39 @@ def q_violations(spark, sf):
     return v.unionByName(p).unionByName(rt)
 
 
+@query("contract_quarantine")
+def q_quarantine(spark, sf):
+    """Rows of nine tables that break a rule, each with its reasons, beside
+    the number of the table's clean rows (``row_key`` null).  The vehicle
+    table is the one without deleted vehicles, so what refers to them fails."""
+    s = DriverSilver(spark, sf)
+    tables = {"vehicle": s.vehicle.filter("not is_deleted"), "branch": s.branch, "staff": s.staff, "part": s.part, "vendor": s.vendor,
+              "purchase": s.purchase, "sale": s.sale, "repair_job": s.repair_job, "repair_job_part": s.repair_job_part}
+    ref = CO.Reference
+    contracts = {
+        "vehicle": CO.Contract("vehicle_id", ["vehicle_id", "branch_id"], [["vin"], ["make", "model", "model_year"]], {}, [ref("branch_id", "branch")]),
+        "branch": CO.Contract("branch_id", ["branch_id", "name"], [["name"]]),
+        "staff": CO.Contract("staff_id", ["staff_id", "name"], [["staff_id"]], {}, [ref("branch_id", "branch")]),
+        "part": CO.Contract("part_id", ["part_id", "name"]),
+        "vendor": CO.Contract("vendor_id", ["vendor_id", "name"], [["name"]]),
+        "purchase": CO.Contract("purchase_id", ["vehicle_id", "price_amount"], [["purchase_id"]], {"price_currency": ["USD", "NGN"]},
+                                [ref("vehicle_id", "vehicle"), ref("buyer_staff_id", "staff")]),
+        "sale": CO.Contract("sale_id", ["vehicle_id", "customer_id"], [["sale_id"]], {"status": ["FINALIZED", "PENDING_PAYMENT"]},
+                            [ref("vehicle_id", "vehicle"), ref("salesperson_staff_id", "staff")]),
+        "repair_job": CO.Contract("repair_job_id", ["vehicle_id", "start_date"], [["repair_job_id"]], {"status": ["COMPLETED", "IN_PROGRESS", "PENDING", "BLOCKED_WAITING_PART"]},
+                                  [ref("vehicle_id", "vehicle")]),
+        "repair_job_part": CO.Contract("line_id", ["qty", "unit_cost"], [["line_id"]], {},
+                                       [ref("repair_job_id", "repair_job"), ref("part_id", "part"), ref("vendor_id", "vendor")]),
+    }
+    out = None
+    for name, (clean, rejected) in CO.quarantine(tables, contracts).items():
+        bad = rejected.select(F.lit(name).alias("table"), F.col(contracts[name].key).alias("row_key"), F.array_join("reasons", ";").alias("reasons"), F.lit(None).cast("long").alias("clean"))
+        good = clean.agg(F.count(F.lit(1)).alias("clean")).select(F.lit(name).alias("table"), F.lit(None).cast("long").alias("row_key"), F.lit(None).cast("string").alias("reasons"), "clean")
+        both = bad.unionByName(good)
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 @query("source_mix")
 def q_source_mix(spark, sf):
     s = DriverSilver(spark, sf)

@@ -39,14 +39,12 @@ def test_dense_key_equals_global_window(spark, case):
 
 def test_ranges_are_even(spark):
     """Neither an outlier nor a hot leading value fills one range; no raw rows meet in a single task."""
-    import re
-
     for k in (F.when(F.col("id") == 0, 10 ** 15).otherwise(F.col("id")), F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id"))):
         df = spark.range(40_000).select(k.alias("k"), F.col("id").alias("v"))
         out = dense_key(df, ["k", "v"], "sk")
         plan = plan_text(out)
-        # the only single-partition exchange is of the counted ranges
-        assert plan.count("SinglePartition") == 1 and re.search(r"SinglePartition.*\n.*HashAggregate", plan)
+        # a projection of what has been written: nothing is brought together any more
+        assert "SinglePartition" not in plan and "Exchange" not in plan and "Join" not in plan
         sizes = [r["count"] for r in df.repartitionByRange(8, "k", "v").groupBy(F.spark_partition_id()).count().collect()]
         assert max(sizes) <= 2 * 40_000 / 8
 
