@@ -730,6 +730,16 @@ SELECT event_type, s.share::DOUBLE AS share, n AS rows, micros AS quantile FROM
   SELECT event_type, micros, ROW_NUMBER() OVER (PARTITION BY event_type ORDER BY micros) AS place, COUNT(*) OVER (PARTITION BY event_type) AS n
   FROM (SELECT event_type, epoch_us(effective_to) - epoch_us(effective_from) AS micros FROM scd2_versions WHERE effective_to IS NOT NULL))
 JOIN (VALUES (0.5), (0.9), (0.99)) s(share) ON place = greatest(1, CAST(ceil(s.share * n) AS BIGINT))""", "scd2_versions"),
+    "landed_rejected": sql("""
+SELECT CASE WHEN event_type NOT IN ('error', 'signup') THEN event_id END AS event_id, CASE WHEN event_type = 'click' THEN user_id END AS user_id,
+       CASE WHEN event_type NOT IN ('error', 'signup') THEN event_type END AS event_type,
+       CASE WHEN event_type = 'click' THEN printf('d%d', user_id % 7) END AS device,
+       CASE event_type WHEN 'error' THEN printf('{"event_id":%d,"user_id":', event_id)
+                       WHEN 'signup' THEN printf('{"event_id":%d,"user_id":"user %d","event_type":"signup"}', event_id, user_id) END AS record,
+       CASE event_type WHEN 'error' THEN 'malformed' WHEN 'signup' THEN 'type:user_id' END AS reason
+FROM events"""),
+    "payload_items": sql("""
+SELECT event_id, user_id AS u, unnest(CASE WHEN event_type IN ('view', 'error') THEN [NULL] ELSE regexp_split_to_array(event_type, '[cs]') END) AS part FROM events"""),
     "stage_stock_by_day": sql("""
 SELECT s.stage, d.day, COUNT(*) FILTER (h.entered = d.day) AS entered, COUNT(*) FILTER (h.gone = d.day) AS "left",
        COUNT(*) FILTER (h.entered <= d.day AND (h.gone IS NULL OR h.gone > d.day)) AS in_stage

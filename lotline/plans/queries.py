@@ -33,7 +33,7 @@ from lotline.sources.driver import AS_OF, EVENT_STAGES, FX_RATE, SEVERITY_OF_FLA
 from lotline.operators.keys import dense_key
 from lotline.session import cut_lineage, ensure_checkpoint_dir
 from lotline.sources.lakehouse import read_table, read_version, write_table, write_version
-from lotline.sources.landing import explode_payload, land_raw
+from lotline.sources.landing import explode_payload, land_files, land_raw, read_landed
 
 RUN_TS = f"{AS_OF} 00:00:00"
 TASK_TS = "1995-01-01 06:30:00"
@@ -723,6 +723,40 @@ def q_payload(spark, sf):
     return explode_payload(ev, "props", "k int", keep=("event_id", "event_type"))
 
 
+@query("landed_rejected")
+def q_landed_rejected(spark, sf):
+    """Events as JSON lines in two folders, of which some are cut off, hold a
+    value of another type, or have a field more: landed folder by folder, and
+    all once more.  Records and rejected lines."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/lotline-tables/{uuid.uuid4().hex}"
+    ev = DriverSilver(spark, sf).raw("events")
+    kind = F.col("event_type")
+    line = (F.when(kind == "error", F.format_string('{"event_id":%d,"user_id":', "event_id"))
+            .when(kind == "signup", F.format_string('{"event_id":%d,"user_id":"user %d","event_type":"%s"}', "event_id", "user_id", "event_type"))
+            .when(kind == "click", F.format_string('{"event_id":%d,"user_id":%d,"event_type":"%s","device":"d%d"}', "event_id", "user_id", "event_type", F.col("user_id") % 7))
+            .otherwise(F.format_string('{"event_id":%d,"event_type":"%s"}', "event_id", "event_type")))
+    lines = ev.select(line.alias("value"), F.when(F.col("value") > 50, "a").otherwise("b").alias("folder"))
+    lines.write.partitionBy("folder").text(f"{root}/incoming")
+    schema = "event_id long, user_id long, event_type string"
+    land = lambda path: land_files(spark, path, root, "events", schema, as_of=RUN_TS)
+    land(f"{root}/incoming/folder=a")
+    land(f"{root}/incoming")
+    land(f"{root}/incoming")
+    good = read_landed(spark, root, "events").select(
+        "event_id", "user_id", "event_type", F.col("extra")["device"].alias("device"), F.lit(None).cast("string").alias("record"), F.lit(None).cast("string").alias("reason"))
+    none = [F.lit(None).cast(t).alias(c) for c, t in (("event_id", "long"), ("user_id", "long"), ("event_type", "string"), ("device", "string"))]
+    return good.unionByName(read_landed(spark, root, "events", rejected=True).select(*none, "record", "reason"))
+
+
+@query("payload_items")
+def q_payload_items(spark, sf):
+    """The array branch of a payload: the letters' groups of each event's type, empty and missing arrays included."""
+    ev = DriverSilver(spark, sf).raw("events")
+    parts = F.when(F.col("event_type") == "view", F.array().cast("array<string>")).when(F.col("event_type") != "error", F.split("event_type", "[cs]"))
+    raw = ev.select("event_id", F.to_json(F.struct(F.col("user_id").alias("u"), parts.alias("parts"))).alias("payload"))
+    return explode_payload(raw, "payload", "u long, parts array<string>", array_col="parts", keep=("event_id",)).withColumnRenamed("parts", "part")
+
+
 @query("customers_by_name")
 def q_by_name(spark, sf):
     """Dense keys over a string column, and previous and next rows (W-2, W-6)."""
