@@ -47,20 +47,37 @@ def vehicle_money(fact_purchase: DataFrame, fact_repair: DataFrame, fact_sale: D
                  F.max("s").alias("revenue_ngn")))
 
 
+def copartitioned_money(keys: DataFrame, fact_purchase: DataFrame, fact_repair: DataFrame, fact_sale: DataFrame,
+                        revenue_statuses=REVENUE_STATUSES) -> DataFrame:
+    """As ``vehicle_money``, for tables that are bucketed by vehicle_key: an
+    aggregate and a join each, which all stay inside the buckets (a union
+    would lose them)."""
+    total = lambda df, c, f, name: df.groupBy("vehicle_key").agg(f(F.col(c).cast(AMOUNT)).alias(name))
+    sold = fact_sale.filter(F.col("status").isin(*revenue_statuses))
+    return (keys.join(total(fact_purchase, "price_amount_ngn", F.sum, "purchase_cost_ngn"), "vehicle_key", "left")
+            .join(total(fact_repair, "line_cost_ngn", F.sum, "repair_cost_ngn"), "vehicle_key", "left")
+            .join(total(sold, "agreed_price_ngn", F.max, "revenue_ngn"), "vehicle_key", "left"))
+
+
 def fact_profit(dim_vehicle: DataFrame, fact_purchase: DataFrame, fact_repair: DataFrame,
-                fact_sale: DataFrame, as_of=None, expense: DataFrame | None = None) -> DataFrame:
+                fact_sale: DataFrame, as_of=None, expense: DataFrame | None = None, copartitioned: bool = False) -> DataFrame:
     """Profit per current vehicle.
 
     cost = purchase + repair (missing -> 0); profit is null without revenue;
     margin = round(profit / revenue * 100, 2), null when revenue is null or 0.
     ``expense`` (a fact_expense) is added to the cost where given; without it
     expenses are not part of the cost (as in the reference).
+    ``copartitioned``: the tables are bucketed alike by vehicle_key, and the
+    plan is one without a shuffle (expenses go through the union).
     """
-    money = vehicle_money(fact_purchase, fact_repair, fact_sale, expense=expense)
+    keys = current(dim_vehicle).select("vehicle_key")
+    if copartitioned and expense is None:
+        joined = copartitioned_money(keys, fact_purchase, fact_repair, fact_sale)
+    else:
+        joined = keys.join(vehicle_money(fact_purchase, fact_repair, fact_sale, expense=expense), "vehicle_key", "left")
     zero = F.lit(0).cast(AMOUNT)
     cost = (F.coalesce("purchase_cost_ngn", zero) + F.coalesce("repair_cost_ngn", zero))
-    return (current(dim_vehicle).select("vehicle_key")
-            .join(money, "vehicle_key", "left")
+    return (joined
             .withColumn("total_cost_ngn", cost)
             .withColumn("profit_ngn", F.when(F.col("revenue_ngn").isNotNull(),
                                              F.col("revenue_ngn") - F.col("total_cost_ngn")))

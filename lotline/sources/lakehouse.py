@@ -157,6 +157,26 @@ def save_as_table(df: DataFrame, name: str, mode: str = "overwrite", fmt: str =
     w.saveAsTable(name)
 
 
+def save_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A catalog table in ``buckets`` files by ``key``, sorted by it (S-12): tables bucketed alike join and aggregate by
+    the key without a shuffle (J-4, J-13).  Rows are dealt by the same hash first, so each bucket is one file."""
+    w = df.repartition(buckets, key).write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    (w.option("path", path) if path else w).saveAsTable(name)
+
+
+def overwrite_partitions(df: DataFrame, root: str, layer: str, table: str, partition_by: list[str], fmt: str = "parquet") -> str:
+    """Replace the partitions that ``df`` has rows of, and leave all others as they are (S-10).
+
+    For tables partitioned by a date key: a late day is rewritten alone.  In a
+    versioned table it is the current version's folder.
+    """
+    path = table_path(root, layer, table)
+    version = _current_version(df.sparkSession, path)
+    path = f"{path}/{version}" if version else path
+    df.write.format(fmt).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).save(path)
+    return path
+
+
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
