@@ -39,6 +39,8 @@ def _last(spark: SparkSession, path: str) -> tuple[int, str | None]:
             return 0, None
         raise
     last = pointers.agg(F.max(F.struct("n", "version")).alias("last")).first()["last"]  # one short line per rewrite
+    if last and (last["n"] is None or last["version"] is None):
+        raise ValueError(f"{path} has a pointer that names no version")
     return (last["n"], last["version"]) if last else (0, None)
 
 
