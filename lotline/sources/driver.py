@@ -280,7 +280,8 @@ class DriverSilver:
         said = turns.join(orders, F.col("conv_id") == F.col("_key"), "left").select(
             "message_id", "sent_at", F.concat_ws(" ", "_about", "text").alias("message_text"))
         both = orders.select(F.col("_key").alias("message_id"), "sent_at", F.col("_about").alias("message_text")).unionByName(said)
-        return both.select("message_id", F.lit(1).cast("long").alias("group_id"), F.lit(None).cast("string").alias("sender_phone"), "sent_at", "message_text")
+        return self._boundary(both.select(
+            "message_id", F.lit(1).cast("long").alias("group_id"), F.lit(None).cast("string").alias("sender_phone"), "sent_at", "message_text"))
 
     @functools.cached_property
     def receipt_line(self) -> DataFrame:
