@@ -1,18 +1,24 @@
-"""Exact dedup: salted two-level aggregation of digests (DataFrame functions only).
+"""Exact dedup: tree-merge of sorted digest runs (DataFrame functions only).
 
-Every input partition's rows are written with the number of their *run*.  Entries
-are then aggregated in rounds: a round puts together the entries of ``radix``
-runs whose numbers differ only in one digit, so with ``lanes = radix **
-levels`` runs a digest's entries have met after ``levels`` rounds.  The rounds
-are hash aggregations over Spark's shuffle, salted by the run's number; sorted
-runs are not exchanged or merged in order, as equal digests only have to meet.
+Every input partition is a *run*: its rows' digests are written in order, and
+rows of one text beside each other become one entry before anything leaves the
+partition.  With ``lanes = radix ** levels`` run numbers, round k is a round of
+a binomial tree of that radix: runs whose numbers differ only in digit k
+exchange entries, each taking those whose digest has its own digit there.  What
+arrives is merged in order, and neighbours that agree become one entry.  After
+``levels`` rounds every digest is in one place, with the identifier to keep.
+
+A round is a sort-based aggregation (the plan shows Sort, SortAggregate,
+Exchange, Sort, SortAggregate): the identifier travels in a struct, for which
+Spark merges sorted neighbours and builds no hash table, so a run of any length
+spills as sorted files.
 
 An entry is (64-bit digest, SHA-256, byte length, identifier kept, rows).  The
-64-bit digest places an entry; two entries are merged only if SHA-256 and
-length agree as well, checked at every level, so digests that collide stay
+64-bit digest orders and places an entry; neighbours are merged only if SHA-256
+and length agree as well, checked at every level, so digests that collide stay
 apart.  Each level keeps one entry per verified text and run, so a text that
-holds a third of all rows shrinks to at most ``lanes`` entries before the
-first exchange (map-side aggregation) and to fewer after every round.
+holds a third of all rows shrinks to at most ``lanes`` entries a task before the
+first exchange and to fewer after every round.
 """
 
 from __future__ import annotations
@@ -31,19 +37,23 @@ def digest_columns(text: Column) -> dict[str, Column]:
 
 
 def merge_runs(runs: DataFrame, keep: str, radix: int = RADIX, levels: int = LEVELS) -> DataFrame:
-    """(_digest, _sha, _bytes, _keep, _n): the runs' entries merged in ``levels`` rounds."""
+    """(_digest, _sha, _bytes, _keep, _n): the runs' entries merged in ``levels`` rounds.
+
+    Null identifiers are kept only where an entry has no other; no runs give no rows.
+    """
     best = F.max if keep == "largest" else F.min
+    runs = runs.withColumn("_best", F.when(F.col("_keep").isNotNull(), F.struct("_keep"))).drop("_keep")
     for k in range(levels):
-        # digits of the run number that the rounds so far have not merged
-        other_runs = F.floor(F.col("_run") / F.lit(radix ** (k + 1))).cast("int")
-        taken_digits = F.pmod(F.col("_digest"), F.lit(radix ** (k + 1)))
+        merged = F.lit(radix ** (k + 1))
+        # a run is named by the digits not merged yet, and holds the digests that share the merged ones
+        run = F.floor(F.col("_run") / merged).cast("int")
         runs = (
-            runs.groupBy(other_runs.alias("_other"), taken_digits.alias("_lane"), "_digest", "_sha", "_bytes")
-            .agg(best("_keep").alias("_keep"), F.sum("_n").alias("_n"))
-            .withColumn("_run", F.col("_other") * F.lit(radix ** (k + 1)))
-            .drop("_other", "_lane")
+            runs.groupBy(run.alias("_rest"), F.pmod(F.col("_digest"), merged).alias("_lane"), "_digest", "_sha", "_bytes")
+            .agg(best("_best").alias("_best"), F.sum("_n").alias("_n"))
+            .withColumn("_run", F.col("_rest") * merged)
+            .drop("_rest", "_lane")
         )
-    return runs.drop("_run")
+    return runs.select("_digest", "_sha", "_bytes", F.col("_best._keep").alias("_keep"), "_n")
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
@@ -60,7 +70,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         raise ValueError("keep is 'smallest' or 'largest'")
     rows = docs.select(F.col(id_col).alias("_id"), *[c.alias(n) for n, c in digest_columns(F.col(text_col)).items()])
     rows = rows.withColumn("_run", F.pmod(F.spark_partition_id(), F.lit(radix ** levels)))
-    rows = cut_lineage(rows.sortWithinPartitions("_digest"))
+    rows = cut_lineage(rows.sortWithinPartitions("_digest", "_sha", "_bytes"))
     runs = rows.select("_run", "_digest", "_sha", "_bytes", F.col("_id").alias("_keep"), F.lit(1).cast("long").alias("_n"))
     copies = merge_runs(runs, keep, radix, levels).filter("_n > 1")
     found = rows.join(copies, ["_digest", "_sha", "_bytes"], "left")

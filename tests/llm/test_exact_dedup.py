@@ -40,3 +40,22 @@ def test_colliding_digests_stay_apart(spark):
                                  "_run int, _digest long, _sha string, _bytes int, _keep long, _n long")
     got = sorted((r._sha, r._keep, r._n) for r in exact_dedup.merge_runs(runs, "smallest").collect())
     assert got == [("a", 0, 2), ("b", 2, 2), ("c", 4, 1)]
+
+
+def test_every_round_merges_sorted_runs(spark):
+    schema = "_run int, _digest long, _sha string, _bytes int, _keep long, _n long"
+    merged = exact_dedup.merge_runs(spark.createDataFrame([(0, 7, "a", 1, 1, 1)], schema), "largest", radix=2, levels=3)
+    plan = merged._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("SortAggregate") == 2 * 3 and "HashAggregate" not in plan
+
+
+def test_identifiers_of_every_level_against_brute_force(spark):
+    rows = [(r % 27, d % 11, "ab"[d % 2], d % 3, None if r % 5 == 0 else r * 31 % 101, 1) for r in range(40) for d in range(r % 7)]
+    runs = spark.createDataFrame(rows, "_run int, _digest long, _sha string, _bytes int, _keep long, _n long")
+    for keep, best in (("largest", max), ("smallest", min)):
+        groups = {}
+        for _, d, sha, size, i, _ in rows:
+            groups.setdefault((d, sha, size), []).append(i)
+        want = {k: (best([i for i in v if i is not None], default=None), len(v)) for k, v in groups.items()}
+        got = {(r._digest, r._sha, r._bytes): (r._keep, r._n) for r in exact_dedup.merge_runs(runs, keep, radix=3, levels=3).collect()}
+        assert got == want
