@@ -4,11 +4,13 @@ A message's lines have a quote level, the number of ``>`` before them.  Runs
 of lines of one level are passages.  Passages and messages are cut in pieces:
 the whole, its lines, its sentences, and all windows of ``WINDOW`` words.  The
 pieces are hashed in a normal form (letters and digits only, lower case) and
-joined to the earliest message of the conversation that has the same piece
-unquoted; the message with the most words of the passage is its original.  The
-innermost quote level that a message adds
-to, the first, says what it replies to; quotes and the lines that introduce
-them are then taken out.
+joined to the messages of the conversation that have the same piece unquoted.
+The original of a passage is the earliest message that has all of it: as a whole
+text, line or sentence, or in all windows, for which the messages of its rarest
+window are looked at.  A passage that no message has whole goes to the one with
+the most of its words, a piece counting for the earliest message that has it.
+The innermost quote level that a message adds to, the first, says what it
+replies to; quotes and the lines that introduce them are then taken out.
 
 A message that answers an earlier one than its predecessor begins a branch, any
 other goes on in the branch before it: a branch is a run of neighbouring turns.
@@ -98,30 +100,67 @@ def _words(pieces: Column) -> Column:
     return F.aggregate(pieces, begin, lambda s, p: F.struct((p["at"] + p["n"]).alias("end"), (s["sum"] + p["at"] + p["n"] - F.greatest(p["at"], s["end"])).alias("sum")))["sum"]
 
 
+def _whole_originals(pieces: DataFrame, originals: DataFrame, known: DataFrame) -> DataFrame:
+    """(_in, _pid, _from, _words): the messages that have every window of a passage, with its words.
+
+    Only passages whose windows are all met are looked at.  A message that has
+    them all has the rarest, so its messages are the candidates; a candidate's
+    windows are then counted.
+    """
+    key = ["_in", "_pid"]
+    met = pieces.join(known, ["_in", "_hash"], "left")
+    state = met.groupBy(*key).agg(
+        F.bool_and((F.col("_kind") != 3) | F.col("_held").isNotNull()).alias("_all"),
+        F.min_by(F.when(F.col("_kind") == 3, F.col("_hash")), F.when(F.col("_kind") == 3, F.struct("_held", "_hash"))).alias("_hash"),
+        F.count_distinct(F.when(F.col("_kind") == 3, F.col("_hash"))).alias("_windows"),
+        F.max(F.when(F.col("_kind") == 0, F.col("_n"))).alias("_words"))
+    state = state.filter("_all and _hash is not null")
+    candidates = cut_lineage(state.join(originals, ["_in", "_hash"]).select(*key, "_from", "_windows", "_words"))
+    windows = pieces.filter("_kind = 3").select(*key, "_hash").distinct()
+    has = candidates.join(windows, key).join(originals, ["_in", "_from", "_hash"], "left_semi")
+    has = has.groupBy(*key, "_from", "_windows", "_words").agg(F.count(F.lit(1)).alias("_has"))
+    return has.filter("_has = _windows").select(*key, "_from", "_words")
+
+
 def link_quotes(messages: DataFrame) -> DataFrame:
     """(_conv, _turn, _tie, _reply, _quotes): what parsed ``messages`` reply to and quote.
 
     ``_quotes`` is the sorted array of (level, turn) of the linked passages.
-    Each piece of a passage counts for the earliest message that has it; the
-    passage links to the message with most words in pieces of one kind, of
-    equal ones to the earliest.  Of several passages at the first level the
-    latest original is the one replied to.
+    A passage that a message has as a whole text, line or sentence, or in all
+    its windows, links to the earliest such message before it.  Of any other,
+    each piece counts for the earliest message that has it, and the passage
+    links to the message with most words in pieces of one kind, of equal ones
+    to the earliest.  Of several passages at the first level the latest original
+    is the one replied to.
     """
-    # only conversations with quotes are cut in pieces
-    quoting = cut_lineage(messages.filter(F.col("_text").rlike(r"(?m)^[ \t]*>")).select(F.col("_conv").alias("_in")).distinct())
+    # only conversations with quotes are cut in pieces; a conversation stands in a struct, so that nulls meet
+    messages = messages.withColumn("_in", F.struct("_conv"))
+    quoting = cut_lineage(messages.filter(F.col("_text").rlike(r"(?m)^[ \t]*>")).select("_in").distinct())
     quoting = F.broadcast(quoting) if quoting.count() <= BROADCAST_QUOTING else quoting
+    quotes = messages.filter(F.size("_passages") > 0).select("_in", "_conv", "_turn", "_tie", F.posexplode("_passages").alias("_nth", "_p"))
+    quotes = cut_lineage(quotes.withColumn("_pid", _hash(F.array_join("_p.lines", "\n"))))
+    # a passage that many quote is looked up once
+    passages = quotes.groupBy("_in", "_pid").agg(F.first("_p.lines").alias("_said"))
+    pieces = passages.select("_in", "_pid", F.explode(_pieces(F.array_join("_said", " "), F.col("_said"))).alias("_k"))
+    pieces = cut_lineage(pieces.select("_in", "_pid", F.col("_k.kind").alias("_kind"), F.col("_k.hash").alias("_hash"), F.col("_k.at").alias("_at"), F.col("_k.n").alias("_n")))
     own = F.transform(F.filter("_lines", lambda x: x["level"] == 0), lambda x: x["text"])
-    originals = messages.join(quoting, F.col("_conv").eqNullSafe(F.col("_in")), "left_semi")
-    originals = originals.select("_conv", "_turn", F.explode(F.array_distinct(F.transform(_pieces(F.col("_body"), own), lambda p: p["hash"]))).alias("_k"))
-    originals = originals.groupBy(F.col("_conv").alias("_in"), F.col("_k").alias("_hash")).agg(F.min("_turn").alias("_from"))
-    quotes = messages.filter(F.size("_passages") > 0).select("_conv", "_turn", "_tie", F.posexplode("_passages").alias("_nth", "_p"))
-    quotes = quotes.select("_conv", "_turn", "_tie", "_nth", F.col("_p.level").alias("_level"), F.explode(_pieces(F.array_join("_p.lines", " "), F.col("_p.lines"))).alias("_k"))
-    quotes = quotes.withColumn("_hash", F.col("_k.hash"))
-    met = quotes.join(originals, F.col("_conv").eqNullSafe(F.col("_in")) & (quotes["_hash"] == originals["_hash"])).filter("_from < _turn")
-    passage = ["_conv", "_turn", "_tie", "_nth", "_level"]
-    linked = met.groupBy(*passage, "_from", F.col("_k.kind").alias("_kind")).agg(F.sort_array(F.collect_set(F.struct("_k.at", "_k.n"))).alias("_met"))
+    originals = messages.join(quoting, "_in", "left_semi")
+    originals = originals.select("_in", F.col("_turn").alias("_from"), F.explode(F.array_distinct(F.transform(_pieces(F.col("_body"), own), lambda p: p["hash"]))).alias("_hash"))
+    # of the messages' pieces only those of passages are kept; turns that share a number count once
+    originals = cut_lineage(originals.join(pieces.select("_in", "_hash").distinct(), ["_in", "_hash"], "left_semi").distinct())
+    known = originals.groupBy("_in", "_hash").agg(F.min("_from").alias("_from"), F.count(F.lit(1)).alias("_held"))
+    key = ["_in", "_pid"]
+    met = pieces.join(known, ["_in", "_hash"])
+    linked = met.groupBy(*key, "_from", "_kind").agg(F.sort_array(F.collect_set(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n")))).alias("_met"))
     words = F.when(F.col("_kind") == 3, _words(F.col("_met"))).otherwise(F.aggregate("_met", F.lit(0), lambda t, p: t + p["n"]))
-    linked = linked.withColumn("_words", words).groupBy(*passage).agg((-F.max(F.struct(F.col("_words").alias("words"), (-F.col("_from")).alias("before")))["before"]).alias("_from"))
+    linked = linked.select(*key, "_from", words.alias("_words"))
+    linked = linked.unionByName(_whole_originals(pieces, originals, known.drop("_from")))
+    # of equal numbers of words the earliest message is the original, so a passage keeps one message a number
+    best = linked.groupBy(*key, "_words").agg(F.min("_from").alias("_from"))
+    best = best.groupBy(*key).agg(F.collect_list(F.struct(F.col("_words").alias("words"), (-F.col("_from")).alias("before"))).alias("_best"))
+    earlier = F.filter("_best", lambda b: -b["before"] < F.col("_turn"))
+    linked = quotes.join(best, key).withColumn("_from", -F.array_max(earlier)["before"]).filter("_from is not null")
+    linked = linked.withColumn("_level", F.col("_p.level"))
     return linked.groupBy("_conv", "_turn", "_tie").agg(
         F.max(F.when(F.col("_level") == 1, F.col("_from"))).alias("_reply"), F.sort_array(F.collect_set(F.struct(F.col("_level").alias("level"), F.col("_from").alias("turn")))).alias("_quotes"))
 

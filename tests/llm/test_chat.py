@@ -60,6 +60,37 @@ def test_parts_of_messages(talk):
     assert [got[t] for t in range(9)] == [None] * 4 + [3, 1, 1, 1, None]
 
 
+def test_the_original_has_the_whole_passage(talk):
+    """A message that has all of a quote goes before earlier ones that share parts with it."""
+    rows = [(None, 0, "user", "we meet at nine at the old station by the river"), (None, 1, "user", "fine"),
+            (None, 2, "user", "remember: we meet at nine at the old station by the river and bring the map"),
+            (None, 3, "user", "> at the old station by the river and bring\nyes"), (None, 4, "user", "> the old station by the river\nwhere?"),
+            (None, 5, "user", "at the old station by the river and bring")]
+    got = {r.turn: r.reply_to for r in chat.format_chats(talk(rows)).collect()}
+    assert [got[t] for t in range(6)] == [None, None, None, 2, 0, None]
+
+
+def test_links_against_brute_force(talk):
+    def windows(words):
+        return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
+
+    rng, rows, want = random.Random(6), [], {}
+    phrases = [" ".join(f"w{rng.randrange(5000)}" for _ in range(7)) for _ in range(12)]
+    for c in (None, 1, 2):
+        bodies = []
+        for t in range(40):
+            body, quote = " ".join(rng.choice(phrases) for _ in range(rng.randrange(1, 4))), None
+            if t and rng.random() < 0.6:
+                words = rng.choice(bodies).split()
+                i = rng.randrange(len(words) - 5)
+                quote = " ".join(words[i:rng.randrange(i + 6, len(words) + 1)])
+                want[c, t] = next(k for k, b in enumerate(bodies) if windows(quote.split()) <= windows(b.split()))
+            rows.append((c, t, "user", body if quote is None else f"> {quote}\n{body}"))
+            bodies.append(body)
+    got = {(r.conv_id, r.turn): r.reply_to for r in chat.format_chats(talk(rows)).collect()}
+    assert {k: v for k, v in got.items() if v is not None} == want
+
+
 def test_interleaved_threads(talk):
     rows = [(1, t, "user", ("" if to is None else f"> message {to}\n") + f"message {t}") for t, to in enumerate((None, None, 0, 1, 2))]
     got = chat.format_chats(talk(rows)).collect()
