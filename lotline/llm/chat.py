@@ -101,7 +101,7 @@ def _words(pieces: Column) -> Column:
 
 
 def _whole_originals(pieces: DataFrame, originals: DataFrame, known: DataFrame) -> DataFrame:
-    """(_in, _pid, _from, _words): the messages that have every window of a passage, with its words.
+    """(_in, _pid, _from, _whole, _words): the messages that have every window of a passage, with its words.
 
     Only passages whose windows are all met are looked at.  A message that has
     them all has the rarest, so its messages are the candidates; a candidate's
@@ -119,7 +119,7 @@ def _whole_originals(pieces: DataFrame, originals: DataFrame, known: DataFrame)
     windows = pieces.filter("_kind = 3").select(*key, "_hash").distinct()
     has = candidates.join(windows, key).join(originals, ["_in", "_from", "_hash"], "left_semi")
     has = has.groupBy(*key, "_from", "_windows", "_words").agg(F.count(F.lit(1)).alias("_has"))
-    return has.filter("_has = _windows").select(*key, "_from", "_words")
+    return has.filter("_has = _windows").select(*key, "_from", F.lit(True).alias("_whole"), "_words")
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
@@ -153,11 +153,12 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     met = pieces.join(known, ["_in", "_hash"])
     linked = met.groupBy(*key, "_from", "_kind").agg(F.sort_array(F.collect_set(F.struct(F.col("_at").alias("at"), F.col("_n").alias("n")))).alias("_met"))
     words = F.when(F.col("_kind") == 3, _words(F.col("_met"))).otherwise(F.aggregate("_met", F.lit(0), lambda t, p: t + p["n"]))
-    linked = linked.select(*key, "_from", words.alias("_words"))
+    # pieces may cover all words and yet not be the passage: in another order, for instance
+    linked = linked.select(*key, "_from", (F.col("_kind") == 0).alias("_whole"), words.alias("_words"))
     linked = linked.unionByName(_whole_originals(pieces, originals, known.drop("_from")))
     # of equal numbers of words the earliest message is the original, so a passage keeps one message a number
-    best = linked.groupBy(*key, "_words").agg(F.min("_from").alias("_from"))
-    best = best.groupBy(*key).agg(F.collect_list(F.struct(F.col("_words").alias("words"), (-F.col("_from")).alias("before"))).alias("_best"))
+    best = linked.groupBy(*key, "_whole", "_words").agg(F.min("_from").alias("_from"))
+    best = best.groupBy(*key).agg(F.collect_list(F.struct(F.col("_whole").alias("whole"), F.col("_words").alias("words"), (-F.col("_from")).alias("before"))).alias("_best"))
     earlier = F.filter("_best", lambda b: -b["before"] < F.col("_turn"))
     linked = quotes.join(best, key).withColumn("_from", -F.array_max(earlier)["before"]).filter("_from is not null")
     linked = linked.withColumn("_level", F.col("_p.level"))
