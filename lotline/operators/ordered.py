@@ -29,12 +29,17 @@ def ranged(df: DataFrame, order: Sequence[str]) -> DataFrame:
     return cut.select(*df.columns, F.shiftright("_id", 33).alias("_range"), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)).alias("_at"))
 
 
-def carry_last(cut: DataFrame, value: Column, name: str) -> DataFrame:
-    """Adds the last non-null ``value`` up to each row of a ``ranged`` table (null where there is none yet)."""
+def carry_last(cut: DataFrame, value: Column, name: str, backwards: bool = False) -> DataFrame:
+    """Adds the last non-null ``value`` up to each row of a ``ranged`` table (null where there is none yet).
+
+    ``backwards`` goes through the rows from the last one, so it adds the next non-null value.
+    """
     cut = cut.withColumn("_value", value)
-    inside = Window.partitionBy("_range").orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
-    edge = cut.groupBy("_range").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_at"))).alias("_edge"))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    at, of = (F.col("_at").desc(), F.col("_range").desc()) if backwards else (F.col("_at"), F.col("_range"))
+    inside = Window.partitionBy("_range").orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    outermost = F.min_by if backwards else F.max_by
+    edge = cut.groupBy("_range").agg(outermost("_value", F.when(F.col("_value").isNotNull(), F.col("_at"))).alias("_edge"))
+    before = Window.orderBy(of).rowsBetween(Window.unboundedPreceding, -1)  # one row per range
     handed = edge.select("_range", F.last("_edge", ignorenulls=True).over(before).alias("_edge"))
     out = cut.join(F.broadcast(handed), "_range")
     return out.withColumn(name, F.coalesce(F.last("_value", ignorenulls=True).over(inside), F.col("_edge"))).drop("_value", "_edge")

@@ -705,6 +705,27 @@ FROM matured""", "matured"),
     "receipt_scores": sql("""
 SELECT line_id, vehicle_id, CAST(amount AS DOUBLE) AS amount, confidence_score, review_status FROM receipt_gated""",
                           "receipt_gated"),
+    # rounds over all pairs: those that are best for both sides are matched and leave
+    "receipt_matches": """
+WITH RECURSIVE bought AS (
+  SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS day, CAST(o_totalprice AS DECIMAL(14,2)) AS amount, o_orderstatus FROM orders),
+line AS (
+  SELECT b.id, b.day, CASE WHEN o_orderstatus = 'F' THEN b.amount ELSE COALESCE(l.total, b.amount) END AS amount
+  FROM bought b LEFT JOIN (SELECT l_orderkey, CAST(SUM(CAST(l_extendedprice AS DECIMAL(14,2))) AS DECIMAL(14,2)) AS total
+                           FROM lineitem GROUP BY l_orderkey) l ON b.id = l.l_orderkey),
+pair AS (
+  SELECT r.id AS rid, p.id AS pid, r.amount AS a, p.amount AS b, abs(r.amount - p.amount) AS gap
+  FROM line r JOIN bought p ON r.day = p.day AND abs(r.amount - p.amount) <= CAST(p.amount AS DOUBLE) * 0.05),
+step(n, rid, pid, a, b, gap, hit) AS (
+  SELECT 0, rid, pid, a, b, gap, false FROM pair
+  UNION ALL
+  SELECT n + 1, rid, pid, a, b, gap,
+         row_number() OVER (PARTITION BY rid ORDER BY gap, b, pid) = 1 AND row_number() OVER (PARTITION BY pid ORDER BY gap, a, rid) = 1
+  FROM step s
+  WHERE NOT hit AND NOT EXISTS (SELECT 1 FROM step h WHERE h.hit AND h.rid = s.rid)
+    AND NOT EXISTS (SELECT 1 FROM step h WHERE h.hit AND h.pid = s.pid))
+SELECT l.id AS line_id, m.pid AS purchase_id, CAST(l.amount AS DOUBLE) AS amount, CAST(m.b AS DOUBLE) AS price_amount
+FROM line l LEFT JOIN (SELECT rid, pid, b FROM step WHERE hit) m ON l.id = m.rid""",
     "review_tasks": sql("SELECT * FROM review_task", "review_task"),
     "fact_review_queue": sql("SELECT * FROM review_queue", "review_queue"),
     "review_kpis": sql("""

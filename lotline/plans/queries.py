@@ -21,6 +21,7 @@ from lotline.operators import dml
 from lotline.operators import facts as FX
 from lotline.operators import incremental as IN
 from lotline.operators import lifecycle as L
+from lotline.operators import matching as MA
 from lotline.operators import profit as P
 from lotline.operators import quality as Q
 from lotline.operators import quantiles as QU
@@ -554,6 +555,17 @@ def q_receipts(spark, sf):
                                                            "confidence_score", "review_status"))
 
 
+@query("receipt_matches")
+def q_receipt_matches(spark, sf):
+    """Receipt lines and the purchases of their day and currency, matched one to one within 5 %."""
+    s = Gold(spark, sf).s
+    lines = cut_lineage(s.receipt_line.select("line_id", "currency", "receipt_date", "amount"))
+    bought = cut_lineage(s.purchase.select("purchase_id", F.col("price_currency").alias("currency"), F.col("purchase_date").alias("receipt_date"), "price_amount"))
+    pairs = MA.match_amounts(lines, bought, ["currency", "receipt_date"], "amount", "price_amount", "line_id", "purchase_id", 0.05)
+    out = lines.join(pairs, "line_id", "left").join(bought.select("purchase_id", "price_amount"), "purchase_id", "left")
+    return money_out(out.select("line_id", "purchase_id", "amount", "price_amount"))
+
+
 @query("review_tasks")
 def q_review_tasks(spark, sf):
     return Gold(spark, sf).review_tasks()
