@@ -1,7 +1,8 @@
 """PII: format-preserving Feistel pseudonyms (DataFrame functions only).
 
-Candidates are found by one pattern (a text's valid cards are looked up first
-and stand in it as they are, so digits beside them hide none), validated by kind (Luhn sum, octets,
+Candidates are found by one pattern (a text's valid cards and account numbers
+are looked up first and stand in it as they are, so digits beside them hide
+none), validated by kind (Luhn sum, octets,
 calendar, numbering rules), and replaced by a keyed permutation of the values
 of the same kind and format; so equal values get equal pseudonyms in every
 document, different ones different pseudonyms, and what is valid stays valid.
@@ -10,7 +11,7 @@ Invalid candidates and everything else stay as they are.
 Two Feistel networks do this.  Text of digits and letters is cut in two halves
 that shift each other, each character inside its class.  Values with a valid
 range are numbered and permuted on ``a * b`` numbers, exactly their count:
-dates on a 400-year cycle of 146,097 days, addresses on 65,536 squared, and so
+dates on their 400-year cycle of 146,097 days (years 200 to 9799), addresses on 65,536 squared, and so
 on.  A text is one projection: split at the candidates, map, join again.
 """
 
@@ -21,7 +22,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
-KINDS = ("email", "date", "ip", "ssn", "phone", "card")
+KINDS = ("email", "date", "ip", "ssn", "phone", "card", "iban")
 # each begins only where no longer number or word goes on to its left, so no text is scanned twice
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]{1,63}+(?:\.[A-Za-z0-9-]{1,63}+){1,8}"
 _DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}[/.]\d{1,2}[/.]\d{4})(?![\d/-]|\.\d)"
@@ -29,9 +30,18 @@ _IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\d|\.\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _PHONE = r"(?<![\d+(-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d|-\d)|(?<![\d+])\+\d{7,15}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ -]\d{1,4}){2,6}(?![ -]?\d)"
 _CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\d|[.-]\d)"
+# together, or in fours: looked for at every length, as capitals or digits beside an account number are not part of it
+_IBANS = (r"[A-Z]{2}\d{2}[A-Z0-9]{11,28}", *[rf"[A-Z]{{2}}\d{{2}}(?: [A-Z0-9]{{4}}){{{n}}}{rest}" for n in range(2, 8) for rest in ("", " [A-Z0-9]{1,3}")])
+_ALONE, _ENDS = r"(?<![A-Za-z0-9])", r"(?![A-Za-z0-9])"
 # printed forms, looked for at every group, as digits beside a card (a list number, a check code, a date) are not part of it
 _GROUPS = (r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}", r"\d{4}(?:[ -]\d{4}){3}", r"\d{4}[ -]\d{6}[ -]\d{5}", r"\d{4}[ -]\d{6}[ -]\d{4}", r"\d{4}(?:[ -]\d{3}){3}", r"\d{13,19}")
 _LEFT, _RIGHT = r"(?<![\d.+])(?:(?<!-)|(?<=\d-))", r"(?!\d|\.\d)"
+# fixed values: characters of an account number by country, as its registry (ISO 13616) lists them
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+    23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV",
+    29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC", 32: "LC"}
+_IBAN = "|".join(f"(?:{c.replace(' ', '|')})[0-9]{{2}}[A-Z0-9]{{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 OTHERS = "|".join((_DATE, _IP, _SSN, _PHONE))
 
 
@@ -129,10 +139,17 @@ def _day_first(text: Column) -> Column:
     return text.contains("/") & (F.get(F.split(text, "/"), F.lit(0)).cast("int") > 12)
 
 
+def _cycles(year: Column) -> Column:
+    """Years from the cycle 1800-2199 to that of ``year``; the calendar repeats every 400 years."""
+    return (F.floor((year - 1800) / 400) * 400).cast("int")
+
+
 def _date(text: Column) -> Column:
+    """The day in 1800-2199 that a date of the years 200-9799 has in its own cycle; null if it is not valid."""
     year, month, day = _date_parts(text)
     two = lambda x: F.lpad(x.cast("string"), 2, "0")
-    return F.when(year.between(1800, 2199), F.try_to_date(F.concat_ws("-", year.cast("string"), two(month), two(day)), "yyyy-MM-dd"))
+    same = (year - _cycles(year)).cast("string")
+    return F.when(year.between(200, 9799), F.try_to_date(F.concat_ws("-", same, two(month), two(day)), "yyyy-MM-dd"))
 
 
 def _new_date(text: Column, key: str) -> Column:
@@ -157,7 +174,7 @@ def _new_late_day(date: Column, key: str) -> Column:
 
 
 def _date_like(text: Column, moved: Column) -> Column:
-    parts, d, m, y = F.split(text, "[-/.]"), F.dayofmonth(moved).cast("string"), F.month(moved).cast("string"), F.year(moved).cast("string")
+    parts, d, m, y = F.split(text, "[-/.]"), F.dayofmonth(moved).cast("string"), F.month(moved).cast("string"), F.lpad((F.year(moved) + _cycles(_date_parts(text)[0])).cast("string"), 4, "0")
     # a part written with a leading zero gets one
     zero = F.get(parts, F.lit(0)).startswith("0") | F.get(parts, F.lit(1)).startswith("0")
     wide = lambda x: F.when(zero, F.lpad(x, 2, "0")).otherwise(x)
@@ -199,6 +216,30 @@ def _new_card(text: Column, key: str) -> Column:
     return _formed(text, _let(body, checked))
 
 
+def _rest_97(text: Column) -> Column:
+    """Remainder by 97 of digits and letters (A: 10 ... Z: 35) read as one number."""
+    def add(rest: Column, c: Column) -> Column:
+        return F.when(c.between("0", "9"), rest * 10 + F.ascii(c) - 48).otherwise(rest * 100 + F.ascii(c) - 55) % 97
+
+    return F.aggregate(_chars(text), F.lit(0), add)
+
+
+def is_iban(text: Column) -> Column:
+    """A country's letters and length, check digits 02 to 98; with the first four characters at the end the remainder is 1."""
+    plain = F.replace(text, F.lit(" "), F.lit(""))
+    shaped = plain.rlike(f"^(?:{_IBAN})$") & F.substring(plain, 3, 2).cast("int").between(2, 98)
+    return shaped & (_rest_97(F.concat(F.substring(plain, F.lit(5), F.length(plain)), F.substring(plain, 1, 4))) == 1)
+
+
+def _new_iban(text: Column, key: str) -> Column:
+    def write(account: Column) -> Column:  # the country stays, the check digits follow
+        plain = F.replace(account, F.lit(" "), F.lit(""))
+        check = F.lit(98) - _rest_97(F.concat(plain, F.substring(text, 1, 2), F.lit("00")))
+        return F.concat(F.substring(text, 1, 2), F.lpad(check.cast("string"), 2, "0"), account)
+
+    return _let(feistel_text(F.substring(text, F.lit(5), F.length(text)), f"{key}|iban"), write)
+
+
 def _new_phone(text: Column, key: str) -> Column:
     country = F.regexp_extract(text, r"^\+[0-9]{1,3}(?=[ .(-])", 0)  # a country code that is set apart stays
     rest = F.substring(text, F.length(country) + 1, F.length(text))
@@ -206,8 +247,10 @@ def _new_phone(text: Column, key: str) -> Column:
 
 
 def _new_email(text: Column, key: str) -> Column:
-    at = F.instr(text, "@")
-    return F.concat(feistel_text(F.substring(text, F.lit(1), at - 1), f"{key}|email"), F.substring(text, at, F.length(text)))
+    name, domain = F.substring_index(text, "@", 1), F.substring_index(text, "@", -1)
+    top = F.substring_index(domain, ".", -1)  # stays; the rest of a domain has one pseudonym for all its addresses
+    below = F.substring(domain, F.lit(1), F.length(domain) - F.length(top))
+    return F.concat(feistel_text(name, f"{key}|email"), F.lit("@"), feistel_text(below, f"{key}|domain"), top)
 
 
 def kind(text: Column) -> Column:
@@ -215,6 +258,7 @@ def kind(text: Column) -> Column:
     digits, area, group, serial = _digits(text), *_ssn_parts(text)
     return (
         F.when(text.contains("@"), "email")
+        .when(text.rlike("^[A-Z]"), F.when(is_iban(text), "iban"))
         .when(text.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$"), F.when(F.forall(_octets(text), lambda x: x < 256), "ip"))
         .when(text.rlike(r"^([0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}([/.])[0-9]{1,2}\2[0-9]{4})$"), F.when(_date(text).isNotNull(), "date"))
         .when(text.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), F.when(area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0), "ssn"))
@@ -227,18 +271,25 @@ def is_card(text: Column) -> Column:
     return F.length(digits).between(13, 19) & (_let(digits, _luhn_sum) % 10 == 0) & digits.rlike("[1-9]")
 
 
+def _valid(text: Column, forms: tuple, left: str, right: str, valid: Callable[[Column], Column], others: str | None = None) -> Column:
+    """Alternative for the valid values of ``forms`` in a text, found at every place where one can begin; empty if there is none."""
+    found = [F.regexp_extract_all(text, F.lit(f"{left}(?=({f}){right})"), F.lit(1)) for f in forms]
+    found += [F.regexp_extract_all(text, F.lit(f"({others})"), F.lit(1))] if others else []
+    values = F.filter(F.array_distinct(F.concat(*found)), valid)
+    longest = F.transform(F.sort_array(F.transform(values, lambda c: F.struct(F.length(c).alias("n"), c.alias("c"))), asc=False), lambda s: s["c"])
+    return F.when(F.size(longest) > 0, F.concat(F.lit(f"|{left}(?:"), F.array_join(longest, "|"), F.lit(f"){right}"))).otherwise("")
+
+
 def pattern(text: Column) -> Column:
-    """Pattern of a text's candidates: the valid cards are found first, at every place where one can begin, and stand in it as they are."""
-    found = [F.regexp_extract_all(text, F.lit(f"{_LEFT}(?=({g}){_RIGHT})"), F.lit(1)) for g in _GROUPS] + [F.regexp_extract_all(text, F.lit(f"({_CARD})"), F.lit(1))]
-    valid = F.filter(F.array_distinct(F.concat(*found)), is_card)
-    longest = F.transform(F.sort_array(F.transform(valid, lambda c: F.struct(F.length(c).alias("n"), c.alias("c"))), asc=False), lambda s: s["c"])
-    of_cards = F.when(F.size(longest) > 0, F.concat(F.lit(f"{_EMAIL}|{_LEFT}(?:"), F.array_join(longest, "|"), F.lit(f"){_RIGHT}|{OTHERS}")))
-    return F.coalesce(F.when(text.rlike(r"\d(?:[ -]?\d){12}"), of_cards), F.lit(f"{_EMAIL}|{OTHERS}"))
+    """Pattern of a text's candidates: the valid cards and account numbers are found first and stand in it as they are."""
+    cards = F.when(text.rlike(r"\d(?:[ -]?\d){12}"), _valid(text, _GROUPS, _LEFT, _RIGHT, is_card, _CARD)).otherwise("")
+    ibans = F.when(text.rlike(rf"{_ALONE}[A-Z]{{2}}\d{{2}} ?[A-Z0-9]{{4}}"), _valid(text, _IBANS, _ALONE, _ENDS, is_iban)).otherwise("")
+    return F.concat(F.lit(_EMAIL), ibans, cards, F.lit(f"|{OTHERS}"))
 
 
 def pseudonym(text: Column, kind: Column, key: str) -> Column:
     """A candidate's pseudonym: a value of the same kind and format; itself where the kind is null."""
-    new = {"email": _new_email, "date": _new_date, "ip": _new_ip, "ssn": _new_ssn, "phone": _new_phone, "card": _new_card}
+    new = {"email": _new_email, "date": _new_date, "ip": _new_ip, "ssn": _new_ssn, "phone": _new_phone, "card": _new_card, "iban": _new_iban}
     out = text
     for name, make in new.items():
         out = F.when(kind == name, make(text, key)).otherwise(out)

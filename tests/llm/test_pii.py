@@ -34,9 +34,10 @@ VALID = {
     "phone": ["+1 (988) 555-2485", "555-123-4567", "(212) 555-0123", "+33 1 23 45 67 89", "+4915112345678"],
     "ssn": ["123-45-6789", "665-01-0001", "667-99-9999"],
     "date": ["1999-12-31", "2/28/2024", "29.02.2024", "01/02/2003"],
+    "iban": ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "BE68 5390 0754 7034", "NO9386011117947"],
     "email": ["bosbt.42@mail8.example.com", "Jane_Doe+x@a-b.co.uk"],
 }
-INVALID = ["4041894974608796", "300.1.1.1", "1.2.3.4.5", "000-12-3456", "666-12-3456", "900-12-3456", "2023-02-30", "13/45/2020", "12345", "3.14", "0000000000000000", "a@b", "1-2-3"]
+INVALID = ["4041894974608796", "300.1.1.1", "1.2.3.4.5", "000-12-3456", "666-12-3456", "900-12-3456", "2023-02-30", "13/45/2020", "12345", "3.14", "0000000000000000", "a@b", "1-2-3", "DE88370400440532013000", "GB82 WEST 1234 5698 7654 33", "0150-01-01", "9900-01-01"]
 
 
 def test_values_and_formats(spark):
@@ -122,3 +123,48 @@ def test_odd_rows(docs):
     got = {(r.doc_id, r.text) for r in pii.pseudonymise(docs(rows), "k").collect()}
     assert got == set(rows)
     assert pii.pseudonymise(docs([]), "k").count() == 0
+
+
+def rest_97(s):
+    s = s.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
+
+
+def test_account_numbers(spark):
+    """Country and form stay, the check digits are right again; capitals, digits and cards beside them change nothing."""
+    values = ["DE89370400440532013000", "GB82 WEST 1234 5698 7654 32", "BE68 5390 0754 7034", "AT61 1904 3002 3457 3201"]
+    beside = ["{} PAID IN", "{} 12", "TO {} ABCD EFGH", "{}, 4111 1111 1111 1111"]
+    rows = [(b.format(v), v) for v in values for b in beside] + [("ID12 4111 1111 1111 1111", "")]
+    out = pii.pseudonymise(spark.createDataFrame(rows, "text string, value string").withColumn("given", F.col("text")), "k").collect()
+    new = {}
+    for r in out:
+        assert "4111 1111 1111 1111" not in r.text and r.n_iban == bool(r.value), r
+        if r.value:
+            at = r.given.index(r.value)
+            got = r.text[at:at + len(r.value)]
+            assert got != r.value and got[:2] == r.value[:2] and shape(got) == shape(r.value) and rest_97(got) == 1, r
+            assert new.setdefault(r.value, got) == got
+            assert r.text.startswith(r.given[:at]) and ("4111" in r.given or r.text[at + len(got):] == r.given[at + len(got):])
+    given = [f"NO{98 - int(f'{i:011}232400') % 97:02}{i:011}" for i in range(0, 3000, 7)]
+    assert all(rest_97(v) == 1 for v in given)
+    got = [r.text for r in pii.pseudonymise(spark.createDataFrame([(v,) for v in given], "text string"), "k").collect()]
+    assert len(set(got)) == len(given) and all(rest_97(v) == 1 and v[:2] == "NO" for v in got)
+
+
+def test_dates_of_other_centuries(spark):
+    """A date stays in its 400-year cycle, four digits in the year; days stay apart."""
+    days = [f"{y:04}-{m:02}-{d:02}" for y in (200, 999, 1400, 1750, 2250, 9799) for m in (1, 2, 12) for d in (1, 13, 28)]
+    forms = days + [f"{d[8:]}/{d[5:7]}/{d[:4]}" for d in days if d[8:] > "12"] + [f"{d[8:]}.{d[5:7]}.{d[:4]}" for d in days]
+    out = pii.pseudonymise(spark.createDataFrame([(t, t) for t in forms], "text string, given string"), "k").collect()
+    assert len({r.text for r in out}) == len(forms)
+    for r in out:
+        year = lambda t: int(t[:4] if t[4] == "-" else t[-4:])
+        assert r.n_date == 1 and re.fullmatch(r"\d{4}-\d\d-\d\d|\d{1,2}([/.])\d{1,2}\1\d{4}", r.text), r
+        assert (year(r.text) - 1800) // 400 == (year(r.given) - 1800) // 400
+
+
+def test_domains_are_linked(spark):
+    out = [r.text for r in pii.pseudonymise(spark.createDataFrame([("bob@smith-family.org ann@smith-family.org",), ("bob@example.co.uk",)], "text string"), "k").collect()]
+    one, two = out[0].split()
+    assert one.split("@")[1] == two.split("@")[1] != "smith-family.org" and one.endswith(".org") and shape(one) == "aaa@aaaaa-aaaaaa.aaa"
+    assert "example" not in out[1] and out[1].endswith(".uk")
