@@ -6,8 +6,8 @@ the whole, its lines, its sentences, and all windows of ``WINDOW`` words.  The
 pieces are hashed in a normal form (letters and digits only, lower case) and
 joined to the messages of the conversation that have the same piece unquoted.
 The original of a passage is the earliest message that has all of it: as a whole
-text, line or sentence, or in all windows, for which the messages of its rarest
-window are looked at.  A passage that no message has whole goes to the one with
+text, line or sentence, or as words in a row; for that the messages of its rarest
+window are looked at, and the texts of those with all its windows compared.  A passage that no message has whole goes to the one with
 the most of its words, a piece counting for the earliest message that has it.
 The innermost quote level that a message adds to, the first, says what it
 replies to; quotes and the lines that introduce them are then taken out.
@@ -42,7 +42,7 @@ WINDOW = 5
 BROADCAST_QUOTING = 100_000
 _MARKS = r"^((?:[ \t]*>)+)[ \t]?"
 # a line that introduces a quote: "On ..., X wrote:" in some languages
-_INTRODUCES = r"(?i)^.{0,200}\b(?:wrote|writes|said|schrieb|écrit|escribió)\b.{0,80}:\s*$"
+_INTRODUCES = r"(?i)^.*\b(?:wrote|writes|said|schrieb|écrit|escribió)\b.{0,80}:\s*$"
 LAST = 9223372036854775807
 
 
@@ -100,12 +100,12 @@ def _words(pieces: Column) -> Column:
     return F.aggregate(pieces, begin, lambda s, p: F.struct((p["at"] + p["n"]).alias("end"), (s["sum"] + p["at"] + p["n"] - F.greatest(p["at"], s["end"])).alias("sum")))["sum"]
 
 
-def _whole_originals(pieces: DataFrame, originals: DataFrame, known: DataFrame) -> DataFrame:
-    """(_in, _pid, _from, _whole, _words): the messages that have every window of a passage, with its words.
+def _whole_originals(pieces: DataFrame, originals: DataFrame, known: DataFrame, passages: DataFrame, messages: DataFrame) -> DataFrame:
+    """(_in, _pid, _from, _whole, _words): the messages that have the words of a passage in a row, with their number.
 
     Only passages whose windows are all met are looked at.  A message that has
     them all has the rarest, so its messages are the candidates; a candidate's
-    windows are then counted.
+    windows are then counted, and the texts of those that have all are compared.
     """
     key = ["_in", "_pid"]
     met = pieces.join(known, ["_in", "_hash"], "left")
@@ -119,15 +119,22 @@ def _whole_originals(pieces: DataFrame, originals: DataFrame, known: DataFrame)
     windows = pieces.filter("_kind = 3").select(*key, "_hash").distinct()
     has = candidates.join(windows, key).join(originals, ["_in", "_from", "_hash"], "left_semi")
     has = has.groupBy(*key, "_from", "_windows", "_words").agg(F.count(F.lit(1)).alias("_has"))
-    return has.filter("_has = _windows").select(*key, "_from", F.lit(True).alias("_whole"), "_words")
+    has = cut_lineage(has.filter("_has = _windows").select(*key, "_from", "_words"))
+    spaced = lambda c: F.concat(F.lit(" "), normal(c), F.lit(" "))
+    said = passages.select(*key, spaced(F.array_join("_said", " ")).alias("_said"))
+    # only texts of candidates travel, once each; a text is compared where it meets its passages
+    texts = messages.join(has.select("_in", "_from").distinct(), (messages["_in"] == has["_in"]) & (F.col("_turn") == F.col("_from")), "left_semi")
+    texts = texts.select("_in", F.col("_turn").alias("_from"), spaced(F.col("_body")).alias("_text"))
+    in_a_row = has.join(said, key).join(texts, ["_in", "_from"]).filter(F.col("_text").contains(F.col("_said")))
+    return in_a_row.select(*key, "_from", F.lit(True).alias("_whole"), "_words").distinct()
 
 
 def link_quotes(messages: DataFrame) -> DataFrame:
     """(_conv, _turn, _tie, _reply, _quotes): what parsed ``messages`` reply to and quote.
 
     ``_quotes`` is the sorted array of (level, turn) of the linked passages.
-    A passage that a message has as a whole text, line or sentence, or in all
-    its windows, links to the earliest such message before it.  Of any other,
+    A passage that a message has as a whole text, line or sentence, or with
+    its words in a row, links to the earliest such message before it.  Of any other,
     each piece counts for the earliest message that has it, and the passage
     links to the message with most words in pieces of one kind, of equal ones
     to the earliest.  Of several passages at the first level the latest original
@@ -155,7 +162,7 @@ def link_quotes(messages: DataFrame) -> DataFrame:
     words = F.when(F.col("_kind") == 3, _words(F.col("_met"))).otherwise(F.aggregate("_met", F.lit(0), lambda t, p: t + p["n"]))
     # pieces may cover all words and yet not be the passage: in another order, for instance
     linked = linked.select(*key, "_from", (F.col("_kind") == 0).alias("_whole"), words.alias("_words"))
-    linked = linked.unionByName(_whole_originals(pieces, originals, known.drop("_from")))
+    linked = linked.unionByName(_whole_originals(pieces, originals, known.drop("_from"), passages, messages.join(quoting, "_in", "left_semi")))
     # of equal numbers of words the earliest message is the original, so a passage keeps one message a number
     best = linked.groupBy(*key, "_whole", "_words").agg(F.min("_from").alias("_from"))
     best = best.groupBy(*key).agg(F.collect_list(F.struct(F.col("_whole").alias("whole"), F.col("_words").alias("words"), (-F.col("_from")).alias("before"))).alias("_best"))

@@ -70,6 +70,16 @@ def test_the_original_has_the_whole_passage(talk):
     assert [got[t] for t in range(6)] == [None, None, None, 2, 0, None]
 
 
+def test_words_in_a_row(talk):
+    """All windows in another order are not the passage; an introducing line may be long."""
+    rows = [(1, 0, "user", "one two three four five nine and two three four five six"), (1, 1, "user", "two three four five six seven then one two three four five six"),
+            (1, 2, "user", "so one two three four five six seven it is"), (1, 3, "user", "> one two three four\n> five six seven\nyes"),
+            (1, 4, "user", "On Monday " + "and so on " * 60 + "Ann wrote:\n> so one two three four five six seven it is\nfine")]
+    got = {r.turn: r for r in chat.format_chats(talk(rows)).collect()}
+    assert got[3].reply_to == 2 and got[4].reply_to == 2
+    assert got[4].text == "fine"
+
+
 def test_links_against_brute_force(talk):
     def windows(words):
         return {tuple(words[i:i + 5]) for i in range(len(words) - 4)}
