@@ -5,7 +5,8 @@ path; the longest one wins.  URLs that no rule decides are judged by
 gradient-boosted trees on lexical features: length, depth, digit ratio,
 entropy, parameter counts and suffix statistics.  The statistics of a suffix
 (its share of blocked URLs and how many there are) are counted over all
-labelled URLs and joined to the pages.  The trees are trained from about
+labelled URLs and joined to the pages; those of a training URL leave its fold
+out, so that its own label is not among them.  The trees are trained from about
 ``MAX_ROWS`` distinct labelled URLs at most, half of them of either label,
 drawn by a hash of the URL; each weighs as many rows as it stands for.
 """
@@ -25,6 +26,8 @@ MAX_ROWS = 20_000
 #: Suffixes up to which their statistics are broadcast; beyond, Spark chooses the join.
 BROADCAST_SUFFIXES = 100_000
 TREES, DEPTH = 12, 4
+#: Folds of the training URLs; a URL's suffix statistics come from the other folds, so none sees its own label.
+FOLDS = 5
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -90,15 +93,18 @@ class Model:
         self.trees, self.suffixes, self.base = trees, suffixes, base
         self.small = suffixes is not None and suffixes.count() <= BROADCAST_SUFFIXES
 
-    def with_features(self, urls: DataFrame, url_col: str = "_url") -> DataFrame:
-        """``urls`` with host, path and all features."""
+    def with_features(self, urls: DataFrame, url_col: str = "_url", others: DataFrame | None = None) -> DataFrame:
+        """``urls`` with host, path and all features; the suffix statistics from ``others`` (by _s and the URL's _fold) if given."""
         host, path = host_and_path(F.col(url_col))
         rows = urls.withColumns({"_host": host, "_path": path})
         rows = rows.withColumns({f"_f_{k}": c for k, c in features(F.col(url_col), F.col("_host"), F.col("_path")).items()})
         if self.suffixes is None:
             return rows.withColumns({f"_f_{name}": F.lit((self.base, 0.0)[i]) for i, name in enumerate(SUFFIX_FEATURES)})
-        known = F.broadcast(self.suffixes) if self.small else self.suffixes
-        rows = rows.join(known, suffix(F.col("_host")) == F.col("_s"), "left")
+        if others is not None:
+            rows = rows.withColumn("_s", suffix(F.col("_host"))).join(others, ["_s", "_fold"], "left")
+        else:
+            known = F.broadcast(self.suffixes) if self.small else self.suffixes
+            rows = rows.join(known, suffix(F.col("_host")) == F.col("_s"), "left")
         share, n = SUFFIX_FEATURES
         return rows.withColumns({f"_f_{share}": F.coalesce("_share", F.lit(self.base)), f"_f_{n}": F.coalesce("_n", F.lit(0.0))}).drop("_s", "_share", "_n")
 
@@ -117,12 +123,15 @@ def train(labelled: DataFrame, url_col: str = "url", block_col: str = "block", m
     rows = labelled.select(F.col(f"`{url_col}`").alias("_url"), F.col(f"`{block_col}`").alias("_block")).filter("_url is not null and _block is not null")
     blocked = F.col("_block").cast("double")
     host, _ = host_and_path(F.col("_url"))
-    seen = cut_lineage(rows.groupBy(suffix(host).alias("_s")).agg(F.count(F.lit(1)).alias("_n"), F.sum(blocked).alias("_b")))
+    fold = F.pmod(F.xxhash64(F.lit("fold"), "_url", F.lit(seed)), F.lit(FOLDS))
+    folds = cut_lineage(rows.groupBy(suffix(host).alias("_s"), fold.alias("_fold")).agg(F.count(F.lit(1)).alias("_n"), F.sum(blocked).alias("_b")))
+    seen = cut_lineage(folds.groupBy("_s").agg(F.sum("_n").alias("_n"), F.sum("_b").alias("_b")))
     total = seen.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.coalesce(F.sum("_b"), F.lit(0.0)).alias("b")).first()
     if not total["n"] or total["b"] in (0, total["n"]):
         return Model(None, None, float(bool(total["n"] and total["b"])))
     base = total["b"] / total["n"]
-    model = Model(None, seen.select("_s", ((F.col("_b") + 10 * base) / (F.col("_n") + 10)).alias("_share"), F.col("_n").cast("double").alias("_n")), base)
+    statistics = lambda n, b: (((b + 10 * base) / (n + 10)).alias("_share"), n.cast("double").alias("_n"))
+    model = Model(None, seen.select("_s", *statistics(F.col("_n"), F.col("_b"))), base)
     # each label has its own draw, so that a rare one is met; a URL is drawn with all its rows or not at all
     if total["n"] > max_rows:
         of = {r["_block"]: r["n"] for r in rows.groupBy("_block").agg(F.approx_count_distinct("_url", 0.02).alias("n")).collect()}
@@ -133,7 +142,12 @@ def train(labelled: DataFrame, url_col: str = "url", block_col: str = "block", m
     else:
         rows = rows.withColumn("_part", F.lit(1.0))
     sample = cut_lineage(rows.groupBy("_url", "_block").agg((F.count(F.lit(1)) / F.first("_part")).alias("_weight")))
-    rows = cut_lineage(model.with_features(sample).withColumn("_label", blocked).drop("_host", "_path"))
+    # a suffix that no other fold has is as unknown as a new one
+    others = seen.toDF("_s", "_all", "_all_b").join(folds, "_s")
+    n, b = (F.col("_all") - F.col("_n")) * (FOLDS / (FOLDS - 1)), (F.col("_all_b") - F.col("_b")) * (FOLDS / (FOLDS - 1))
+    others = cut_lineage(others.select("_s", "_fold", *statistics(n, b)))
+    rows = model.with_features(sample.withColumn("_fold", fold), others=others)
+    rows = cut_lineage(rows.withColumn("_label", blocked).drop("_host", "_path", "_fold"))
     inputs = [c for c in rows.columns if c.startswith("_f_")]
     assemble = VectorAssembler(inputCols=inputs, outputCol="_vector")
     boost = GBTClassifier(featuresCol="_vector", labelCol="_label", weightCol="_weight", maxIter=trees, maxDepth=depth, stepSize=0.3, seed=seed, cacheNodeIds=False, checkpointInterval=-1)
