@@ -2,10 +2,12 @@
 
 A ``Contract`` says what a table's declaration says: columns that are not null,
 keys that are unique, domains, and references to other tables.  Rules on one row
-are columns of the one scan of its table.  All references and all unique keys of
-all tables go into one tagged union on (what, key) and one aggregation, which
-pre-aggregates before the shuffle, so a parent that a third of all rows refer to
-is one row per task.  Only the keys that fail come back to the rows.
+are columns of the one scan of its table.  For references and unique keys only
+the keys travel: those of a parent and of all that refers to it in one
+aggregation, those of a unique key in another, each with partial sums before the
+shuffle, so a parent that a third of all rows refer to is one row per task.  Only
+the keys that fail come back to the rows, a rule at a time: none where no key
+fails, by broadcast where few do, else by a join on the key.
 """
 
 from __future__ import annotations
@@ -16,9 +18,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lotline.session import cut_lineage
 
+# So many failing keys at most go to every task.
+FEW = 100_000
+
 
 @dataclass(frozen=True)
 class Reference:
@@ -44,27 +50,45 @@ def _rules(contract: Contract) -> list[Column]:
     return out + [F.when(F.col(c).isNotNull() & ~F.col(c).isin(*values), F.lit(f"allowed:{c}")) for c, values in contract.allowed.items()]
 
 
-def _claims(name: str, contract: Contract) -> list[Column]:
-    """(what, key, is there, times, reason) that a row claims: its own key, its references, its unique keys."""
-    claim = lambda what, key, there, times, reason: F.struct(
-        F.lit(what).alias("what"), key.cast("string").alias("key"), F.lit(there).alias("there"), F.lit(times).alias("times"), F.lit(reason).alias("reason"))
-    out = [claim(f"row:{name}", F.col(contract.key), True, 0, None)]
-    for r in contract.references:
-        column = F.col(r.column) if r.when is None else F.when(F.col(r.when[0]) == r.when[1], F.col(r.column))
-        out.append(claim(f"row:{r.parent}", column, False, 0, f"reference:{r.column}"))
-    for key in contract.unique:
-        whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])  # as in SQL, a null is equal to none
-        text = F.when(whole, F.to_json(F.struct(*[F.col(c).cast("string").alias(f"k{i}") for i, c in enumerate(key)])))
-        out.append(claim(f"unique:{name}:{','.join(key)}", text, True, 1, f"unique:{','.join(key)}"))
-    return out
+def _whole(df: DataFrame, column: str) -> bool:
+    return isinstance(df.schema[column].dataType, T.IntegralType)
+
+
+def _refers(reference: Reference, kind: str) -> Column:
+    """The key that a row refers to, null for none."""
+    column = F.col(reference.column) if reference.when is None else F.when(F.col(reference.when[0]) == reference.when[1], F.col(reference.column))
+    return column.cast(kind)
+
+
+def _orphans(parent: str, tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract], kind: str) -> DataFrame:
+    """(_k0): keys that some row refers to and ``parent`` has not."""
+    keys = [tables[parent].select(F.col(contracts[parent].key).cast(kind).alias("_k0"), F.lit(True).alias("there"))]
+    keys += [tables[name].select(_refers(r, kind).alias("_k0"), F.lit(False).alias("there"))
+             for name, c in contracts.items() for r in c.references if r.parent == parent]
+    judged = reduce(DataFrame.unionByName, keys).filter("_k0 is not null").groupBy("_k0").agg(F.bool_or("there").alias("there"))
+    return judged.filter("not there").select("_k0")
 
 
-def _tagged(name: str, df: DataFrame, contract: Contract) -> DataFrame:
-    """A table's rows with ``_reasons`` of their own, ``_claims``, and a digest by which equal rows are judged alike."""
-    digest = F.sha2(F.to_json(F.struct(*[F.col(f"`{c}`").cast("string").alias(f"c{i}") for i, c in enumerate(df.columns)])), 256)
-    rules = _rules(contract)
-    reasons = F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>")
-    return df.select("*", reasons.alias("_reasons"), F.filter(F.array(*_claims(name, contract)), lambda c: c["key"].isNotNull()).alias("_claims"), digest.alias("_digest"))
+def _unique_key(df: DataFrame, key: Sequence[str]) -> list[Column]:
+    return [F.col(c).cast("long" if _whole(df, c) else "string") for c in key]
+
+
+def _repeated(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(_k0, _k1, ...): values of ``key`` that several rows have; as in SQL, a null is equal to none."""
+    keys = df.select(*[c.alias(f"_k{i}") for i, c in enumerate(_unique_key(df, key))]).dropna()
+    return keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+
+
+def _marked(df: DataFrame, key: Sequence[Column], failing: DataFrame, many: int, reason: str) -> DataFrame:
+    """``df`` with ``reason`` added to the ``_reasons`` of the rows whose key is in ``failing``, which has ``many`` rows."""
+    if not many:
+        return df
+    # a name of their own for the failing keys, which other rules of the table have as well
+    hits = failing.select(*[F.col(c).alias(f"_hit{c}") for c in failing.columns], F.lit(True).alias("_hit"))
+    equal = reduce(lambda a, b: a & b, [k == F.col(f"_hit_k{i}") for i, k in enumerate(key)])
+    joined = df.join(F.broadcast(hits) if many <= FEW else hits, equal, "left")
+    reasons = F.when(F.col("_hit"), F.array_union("_reasons", F.array(F.lit(reason)))).otherwise(F.col("_reasons"))
+    return joined.withColumn("_reasons", reasons).drop(*hits.columns)
 
 
 def quarantine(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract]) -> dict[str, tuple[DataFrame, DataFrame]]:
@@ -75,19 +99,27 @@ def quarantine(tables: Mapping[str, DataFrame], contracts: Mapping[str, Contract
     another names them.  Equal rows are judged alike; an empty table gives
     two empty ones.
     """
-    missing = {r.parent for c in contracts.values() for r in c.references} - set(contracts)
+    refs = [(name, r) for name, c in contracts.items() for r in c.references]
+    missing = {r.parent for _, r in refs} - set(contracts)
     if missing:
         raise ValueError(f"no contract for the referred tables {sorted(missing)}")
-    tagged = {name: _tagged(name, tables[name], contract) for name, contract in contracts.items()}
-    claims = [df.select(F.explode("_claims").alias("_c")).select("_c.what", "_c.key", "_c.there", "_c.times") for df in tagged.values()]
-    judged = reduce(DataFrame.unionByName, claims).groupBy("what", "key").agg(F.bool_or("there").alias("there"), F.sum("times").alias("times"))
-    failing = cut_lineage(judged.filter("not there or times > 1").select("what", "key"))
+    # keys are compared as numbers where all are whole numbers, else as text
+    kinds = {p: "long" if _whole(tables[p], contracts[p].key) and all(_whole(tables[name], r.column) for name, r in refs if r.parent == p) else "string"
+             for p in {r.parent for _, r in refs}}
+
+    def counted(failing: DataFrame) -> tuple[DataFrame, int]:
+        failing = cut_lineage(failing)
+        return failing, failing.count()
+
+    orphans = {p: counted(_orphans(p, tables, contracts, kind)) for p, kind in kinds.items()}
     out = {}
-    for name, df in tagged.items():
-        mine = df.select("_digest", F.explode("_claims").alias("_c")).select("_digest", "_c.what", "_c.key", "_c.reason").filter("reason is not null")
-        bad = mine.join(failing, ["what", "key"], "left_semi").groupBy("_digest").agg(F.collect_set("reason").alias("_more"))  # as many as the contract has rules
-        all_ = df.join(bad, "_digest", "left")
-        reasons = F.array_sort(F.concat("_reasons", F.coalesce("_more", F.array().cast("array<string>"))))
-        all_ = cut_lineage(all_.select(*[F.col(f"`{c}`") for c in tables[name].columns], reasons.alias("reasons")))
-        out[name] = (all_.filter(F.size("reasons") == 0).drop("reasons"), all_.filter(F.size("reasons") > 0))
+    for name, contract in contracts.items():
+        df, rules = tables[name], _rules(contract)
+        marked = df.withColumn("_reasons", F.array_compact(F.array(*rules)) if rules else F.array().cast("array<string>"))
+        for r in contract.references:
+            marked = _marked(marked, [_refers(r, kinds[r.parent])], *orphans[r.parent], f"reference:{r.column}")
+        for key in contract.unique:
+            marked = _marked(marked, _unique_key(df, key), *counted(_repeated(df, key)), f"unique:{','.join(key)}")
+        judged = cut_lineage(marked.select(*[F.col(f"`{c}`") for c in df.columns], F.array_sort("_reasons").alias("reasons")))
+        out[name] = (judged.filter(F.size("reasons") == 0).drop("reasons"), judged.filter(F.size("reasons") > 0))
     return out

@@ -4,7 +4,7 @@ import random
 from collections import Counter, defaultdict
 
 import pytest
-from conftest import rows
+from conftest import plan_text, rows
 from lotline.operators import contracts, quantiles, reports
 from lotline.operators.contracts import Contract, Reference
 
@@ -66,3 +66,24 @@ def test_status_report(spark):
     got = Counter(tuple(r) for r in reports.status_report([("a", a, ["s", "t"]), ("b", b, ["n"]), ("c", b.limit(0), ["n"])]).collect())
     assert got == Counter([("a", "x", "p", 0, 1), ("a", "x", None, 0, 1), ("a", None, "p", 0, 2), ("a", "x", None, 1, 2), ("a", None, None, 1, 2), ("a", None, None, 3, 4),
                            ("b", "1", None, 0, 2), ("b", None, None, 0, 1), ("b", None, None, 3, 3)])
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_quarantine_rows_stay_in_place(spark, monkeypatch, few):
+    plans, cut = {}, contracts.cut_lineage
+
+    def watched(df):
+        plans[tuple(df.columns)] = plan_text(df)
+        return cut(df)
+
+    monkeypatch.setattr(contracts, "cut_lineage", watched)
+    monkeypatch.setattr(contracts, "FEW", few)
+    tables = {"car": spark.createDataFrame([(i, f"v{i}") for i in range(20)], "id long, vin string"),
+              "bill": spark.createDataFrame([(i, i, i % 25) for i in range(200)], "id long, n long, car int")}
+    rules = {"car": Contract("id", ["id"], [["vin"]]), "bill": Contract("id", [], [["id"], ["n", "car"]], {}, [Reference("car", "car")])}
+    clean, rejected = contracts.quarantine(tables, rules)["bill"]
+    assert clean.count() == 160 and rejected.count() == 40
+    assert {tuple(r.reasons) for r in rejected.collect()} == {("reference:car",)}
+    # no rule fails: the table is judged as it is read; few keys fail: they come to the rows
+    assert "Exchange" not in plans[("id", "vin", "reasons")]
+    assert "Exchange hashpartitioning" not in plans[("id", "n", "car", "reasons")]
