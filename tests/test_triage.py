@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -128,3 +129,18 @@ def test_lot_prefix_semantics_on_driver_shape(spark):
                               "vehicle_id long, auction_lot_no string, make string, model string")
     m = spark.createDataFrame([(1, "picked up LOT-100000")], "message_id long, message_text string")
     assert TR.match_entity(m, v).first().vehicle_id == 10000
+
+
+@pytest.mark.parametrize("anchors", [0, 200, 10**6])
+def test_contains_join_long_patterns(spark, monkeypatch, anchors):
+    cuts, cut = [], TR.cut_lineage
+    monkeypatch.setattr(TR, "ANCHORS", anchors)
+    monkeypatch.setattr(TR, "cut_lineage", lambda df: cuts.append(cut(df)) or cuts[-1])
+    names = [f"customer#{i:09d}" for i in range(300)] + ["the quick brown fox jumps over the lazy dog", "lazy dog", "x\u00e9"]
+    texts = [f"fixed {names[i]} x\u00e9" for i in range(0, 300, 7)] + ["a" * n + names[300] + "\n" for n in range(17)] + [names[300][1:], "", None]
+    t = spark.createDataFrame(list(enumerate(texts)), "text_id long, text string")
+    p = spark.createDataFrame(list(enumerate(names)) * 2, "pattern_id long, pattern string")
+    got = [tuple(r) for r in TR.contains_join(t, p).collect()]
+    assert sorted(got) == sorted((i, j) for i, x in enumerate(texts) for j, y in enumerate(names) if x and y in x)
+    # anchors of a large dictionary of like names are rare: hardly a candidate that is no hit
+    assert cuts[-1].columns == ["_tid", "_pid", "_pat"] and cuts[-1].count() <= len(got) + 2
