@@ -103,3 +103,14 @@ def test_dedup_latest_and_upsert(spark):
     src = spark.createDataFrame([(1, "new", 5), (3, "ins", 6), (2, "stale", 0)], "k long, v string, ts long")
     out = dml.upsert_since(target, src, "k", 2, ts_col="ts")
     assert rows(out) == [(1, "new", 5), (2, "keep", 1), (3, "ins", 6)]
+
+
+def test_neighbours_need_no_window_over_the_rows(spark):
+    df = spark.createDataFrame([(i % 3, i, f"v{i}" if i % 4 else None) for i in range(500)], "a long, b long, c string")
+    k = dense_key(df, ["a", "b"], "key", prev=["b", "c"], nxt=["c"])
+    got = sorted(k.collect(), key=lambda r: r.key)
+    want = sorted(((r.a, r.b, r.c) for r in df.collect()), key=lambda t: t[:2])
+    assert [(r.a, r.b, r.c) for r in got] == want
+    assert [r._prev and tuple(r._prev) for r in got] == [None, *[t[1:] for t in want[:-1]]]
+    assert [r._next and tuple(r._next) for r in got] == [*[(t[2],) for t in want[1:]], None]
+    assert "hashpartitioning(_range" not in plan_text(k.select("a", "b", "key", "_prev")).split("BroadcastExchange")[0]
