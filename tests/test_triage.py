@@ -144,3 +144,15 @@ def test_contains_join_long_patterns(spark, monkeypatch, anchors):
     assert sorted(got) == sorted((i, j) for i, x in enumerate(texts) for j, y in enumerate(names) if x and y in x)
     # anchors of a large dictionary of like names are rare: hardly a candidate that is no hit
     assert cuts[-1].columns == ["_tid", "_pid", "_pat"] and cuts[-1].count() <= len(got) + 2
+
+
+def test_contains_join_reads_long_patterns_in_blocks(spark, monkeypatch):
+    plans, cut = {}, TR.cut_lineage
+    monkeypatch.setattr(TR, "cut_lineage", lambda df: plans.update({tuple(df.columns): plan_text(df)}) or cut(df))
+    passage = "".join(f"{i} " for i in range(40))
+    t = spark.createDataFrame([(i, "-" * i + passage + "end") for i in range(24)] + [(99, passage[1:])], "text_id long, text string")
+    p = spark.createDataFrame([(1, passage), (2, passage[:47])], "pattern_id long, pattern string")
+    got = TR.contains_join(t, p, k=24).collect()
+    assert sorted(map(tuple, got)) == [(i, j) for i in range(24) for j in (1, 2)]
+    plan = plans[("_tid", "_pid", "_pat")]
+    assert "(?s)(.{24})" in plan and "(?=" not in plan
