@@ -156,3 +156,20 @@ def test_contains_join_reads_long_patterns_in_blocks(spark, monkeypatch):
     assert sorted(map(tuple, got)) == [(i, j) for i in range(24) for j in (1, 2)]
     plan = plans[("_tid", "_pid", "_pat")]
     assert "(?s)(.{24})" in plan and "(?=" not in plan
+
+
+@pytest.mark.parametrize("anchors", [0, 10**6])
+def test_contains_join_reads_blocks_for_a_long_list_too(spark, monkeypatch, anchors):
+    plans, cut = {}, TR.cut_lineage
+    monkeypatch.setattr(TR, "ANCHORS", anchors)
+    monkeypatch.setattr(TR, "cut_lineage", lambda df: plans.update({tuple(df.columns): plan_text(df)}) or cut(df))
+    # alike but for the middle; one is listed under two ids, one under none
+    passages = ["the same beginning " * 3 + f"no {i} of 60 é\U0001f600\n" + "and the same end " * 3 for i in range(60)]
+    listed = [(i, x) for i, x in enumerate(passages)] + [(100, passages[7]), (None, passages[8]), (200, ""), (201, None)]
+    texts = [(i, "-" * i + passages[i] + passages[-1 - i]) for i in range(30)] + [(7, passages[7][1:]), (7, passages[9]), (90, "".join(passages)), (91, None)]
+    t = spark.createDataFrame(texts, "text_id long, text string")
+    p = spark.createDataFrame(listed, "pattern_id long, pattern string")
+    got = map(tuple, TR.contains_join(t, p, k=24).collect())
+    assert sorted(got, key=str) == sorted(((i, j) for i, x in texts for j, y in listed if x and y and y in x), key=str)
+    plan = plans[("_tid", "_pid", "_pat")]
+    assert "(?s)(.{24})" in plan and "(?=" not in plan
